@@ -14,9 +14,10 @@ from pyspark.sql import functions as F
 
 from ..functions import dates, keys
 from ..operators import aggregates as agg
-from ..operators import preview
+from ..operators import preview, profile
 from ..operators import relational as rel
 from ..sources import messy, standins
+from ..sources.tables import read_table
 from . import housing as H
 from . import school
 
@@ -225,3 +226,45 @@ def sample_rows(spark, sf_dir):
 def units_rollup_sorted(spark, sf_dir):
     """L4: the roll-up in key order."""
     return H.units_rollup(_rollup_input(spark, sf_dir), order=True)
+
+
+# ---- profiling -------------------------------------------------------------
+
+def _jobs_without_id(spark, sf_dir):
+    return _h(spark, sf_dir).drop("Job_ID")
+
+
+@register("profile_columns")
+def profile_columns(spark, sf_dir):
+    """A18 (A8, A11, A12, A13, A14): one row per column of the jobs table."""
+    return profile.profile_columns(_h(spark, sf_dir))
+
+
+@register("profile_customer")
+def profile_customer(spark, sf_dir):
+    """A18 over a table without gaps (customer)."""
+    return profile.profile_columns(read_table(spark, sf_dir, "customer"))
+
+
+@register("profile_dataset")
+def profile_dataset(spark, sf_dir):
+    """Rows, duplicate rows (all copies), rows with a gap, columns."""
+    return profile.dataset_checks(_jobs_without_id(spark, sf_dir))
+
+
+@register("profile_dataset_lineitem")
+def profile_dataset_lineitem(spark, sf_dir):
+    """Dataset checks over the whole order-line table."""
+    return profile.dataset_checks(read_table(spark, sf_dir, "lineitem")
+                                  .select("l_partkey", "l_suppkey", "l_quantity", "l_returnflag"))
+
+
+@register("null_counts")
+def null_counts(spark, sf_dir):
+    return profile.null_counts(_h(spark, sf_dir))
+
+
+@register("zscore_outliers")
+def zscore_outliers(spark, sf_dir):
+    """A13 over every numeric column of the order-line table."""
+    return profile.zscore_outliers(read_table(spark, sf_dir, "lineitem"))

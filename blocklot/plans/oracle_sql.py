@@ -335,3 +335,67 @@ FROM pairs p JOIN h ON p.CouncilDst IS NOT DISTINCT FROM h.CouncilDst
 
 
 ORACLE_SQL["council_cross_join"] = _council_summary()
+
+
+# ---- profiling -------------------------------------------------------------
+
+JOB_COLUMNS = [("Job_ID", "bigint"), ("CommntyDst", "double"), ("CouncilDst", "double"),
+               ("CenTract20", "double"), ("BBL", "bigint"), ("CompltYear", "string"),
+               ("PermitYear", "string"), ("ClassANet", "double"), ("ZoningDst1", "string"),
+               ("FloorsProp", "double")]
+CUSTOMER_COLUMNS = [("c_custkey", "bigint"), ("c_name", "string"), ("c_nationkey", "int"),
+                    ("c_acctbal", "double"), ("c_mktsegment", "string")]
+LINEITEM_NUMERIC = ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity",
+                    "l_extendedprice", "l_discount", "l_tax"]
+
+
+def _profile_sql(source: str, columns) -> str:
+    """Per column: brute-force distinct list, bounds, gaps and z-score outliers."""
+    parts = []
+    for i, (c, kind) in enumerate(columns):
+        numeric = kind in ("bigint", "int", "double")
+        gap_text = "nan" if numeric else "None"
+        listed = (f"(SELECT string_agg(v, ',' ORDER BY v) FROM (SELECT DISTINCT CAST({c} AS VARCHAR) AS v "
+                  f"FROM {source} WHERE {c} IS NOT NULL))")
+        n_values = f"(SELECT count(DISTINCT {c}) + max(CASE WHEN {c} IS NULL THEN 1 ELSE 0 END) FROM {source})"
+        gaps = f"(SELECT count(*) FROM {source} WHERE {c} IS NULL)"
+        if kind == "string":
+            other = "'many str values'"
+        else:
+            other = (f"(SELECT 'bounds: ' || CAST(min({c}) AS VARCHAR) || '-' || CAST(max({c}) AS VARCHAR) "
+                     f"FROM {source})")
+        sample = (f"CASE WHEN {n_values} <= 10 THEN concat_ws(',', {listed}, "
+                  f"CASE WHEN {gaps} > 0 THEN '{gap_text}' END) ELSE {other} END")
+        if numeric:
+            outliers = (f"(SELECT count(*) FROM {source}, (SELECT avg({c}) m, stddev_pop({c}) s FROM {source}) st "
+                        f"WHERE st.s > 0 AND abs(({c} - st.m) / st.s) > 3)")
+        else:
+            outliers = "CAST(NULL AS BIGINT)"
+        parts.append(f"SELECT {i} AS position, '{c}' AS column_name, '{kind}' AS dtype, {sample} AS sample, "
+                     f"{gaps} AS missing, {outliers} AS outliers")
+    return "\nUNION ALL\n".join(parts)
+
+
+def _dataset_sql(source: str, columns) -> str:
+    gap = " OR ".join(f"{c} IS NULL" for c in columns)
+    keys = ", ".join(columns)
+    return f"""
+SELECT CAST(sum(n) AS BIGINT) AS total_rows,
+ CAST(coalesce(sum(CASE WHEN n > 1 THEN n END), 0) AS BIGINT) AS duplicated_rows,
+ CAST(coalesce(sum(CASE WHEN gap THEN n END), 0) AS BIGINT) AS rows_with_missing,
+ CAST({len(columns)} AS BIGINT) AS columns
+FROM (SELECT count(*) AS n, bool_or({gap}) AS gap FROM {source} GROUP BY {keys})"""
+
+
+ORACLE_SQL["profile_columns"] = BASE + _profile_sql("housing_fx", JOB_COLUMNS)
+ORACLE_SQL["profile_customer"] = _profile_sql("customer", CUSTOMER_COLUMNS)
+ORACLE_SQL["profile_dataset"] = BASE + _dataset_sql("housing_fx", [c for c, _ in JOB_COLUMNS[1:]])
+ORACLE_SQL["profile_dataset_lineitem"] = _dataset_sql(
+    "lineitem", ["l_partkey", "l_suppkey", "l_quantity", "l_returnflag"])
+ORACLE_SQL["null_counts"] = BASE + "\nUNION ALL\n".join(
+    f"SELECT {i} AS position, '{c}' AS column_name, count(*) FILTER (WHERE {c} IS NULL) AS missing FROM housing_fx"
+    for i, (c, _) in enumerate(JOB_COLUMNS))
+ORACLE_SQL["zscore_outliers"] = "\nUNION ALL\n".join(
+    f"SELECT '{c}' AS column_name, (SELECT count(*) FROM lineitem, "
+    f"(SELECT avg({c}) m, stddev_pop({c}) s FROM lineitem) st WHERE st.s > 0 AND abs(({c} - st.m) / st.s) > 3) AS outliers"
+    for c in LINEITEM_NUMERIC)
