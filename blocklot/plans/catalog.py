@@ -14,12 +14,13 @@ from pyspark.sql import functions as F
 
 from ..functions import dates, keys
 from ..operators import aggregates as agg
+from ..operators import geometry as geo
 from ..operators import preview, profile
 from ..operators import relational as rel
-from ..sources import messy, standins
+from ..sources import layers, messy, standins
 from ..sources.tables import read_table
 from . import housing as H
-from . import school
+from . import crosswalks, school
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -268,3 +269,35 @@ def null_counts(spark, sf_dir):
 def zscore_outliers(spark, sf_dir):
     """A13 over every numeric column of the order-line table."""
     return profile.zscore_outliers(read_table(spark, sf_dir, "lineitem"))
+
+
+# ---- geometry and crosswalks ----------------------------------------------
+
+@register("polygon_centroid")
+def polygon_centroid(spark, sf_dir):
+    """Area and area-weighted centroid of every area polygon."""
+    return geo.centroids(layers.area_layer(spark, sf_dir))
+
+
+@register("crosswalk_within")
+def crosswalk_within(spark, sf_dir):
+    """Area -> zone by centroid within (left join, distinct pairs)."""
+    return crosswalks.centroid_crosswalk(layers.area_layer(spark, sf_dir), layers.zone_layer(spark, sf_dir))
+
+
+@register("crosswalk_intersects")
+def crosswalk_intersects(spark, sf_dir):
+    """Area -> zone for every touching or overlapping pair (left join)."""
+    return crosswalks.intersects_crosswalk(layers.area_layer(spark, sf_dir), layers.zone_layer(spark, sf_dir))
+
+
+@register("crosswalk_standardize")
+def crosswalk_standardize(spark, sf_dir):
+    """Community->school and community->tract crosswalks, keys standardised."""
+    school_xw = crosswalks.standardise_crosswalk(
+        standins.community_to_school(spark, sf_dir),
+        {"BoroCD": "community_district", "SchoolDist": "school_district"})
+    tract_xw = crosswalks.standardise_crosswalk(
+        standins.community_to_tract(spark, sf_dir),
+        {"BoroCD": "community_district", "CT2020": "census_tract"})
+    return school_xw.join(tract_xw, "community_district", "full")

@@ -399,3 +399,124 @@ ORACLE_SQL["zscore_outliers"] = "\nUNION ALL\n".join(
     f"SELECT '{c}' AS column_name, (SELECT count(*) FROM lineitem, "
     f"(SELECT avg({c}) m, stddev_pop({c}) s FROM lineitem) st WHERE st.s > 0 AND abs(({c} - st.m) / st.s) > 3) AS outliers"
     for c in LINEITEM_NUMERIC)
+
+
+# ---- geometry ---------------------------------------------------------------
+
+def _template_values() -> str:
+    from ..sources.layers import AREA_SHAPES
+    rows = []
+    for shape, rings in AREA_SHAPES.items():
+        for ring_no, ring in enumerate(rings):
+            for seq, (ux, uy) in enumerate(ring):
+                rows.append(f"({shape}, {ring_no}, {seq}, {ux}, {uy})")
+    return ", ".join(rows)
+
+
+GEO_LAYERS = f"""
+area_tpl(shape, ring, seq, ux, uy) AS (VALUES {_template_values()}),
+areas_v AS (
+ SELECT c_custkey AS key, t.ring, t.seq,
+  CAST((c_custkey % 50) * 100 + 10 + t.ux * (5 + c_custkey % 16) AS DOUBLE) AS x,
+  CAST((c_custkey // 50) * 100 + 10 + t.uy * (5 + (c_custkey // 7) % 16) AS DOUBLE) AS y
+ FROM customer JOIN area_tpl t ON t.shape = (c_custkey + c_nationkey) % 4),
+zone_tpl(ring, seq, use_far_x, dx, use_far_y, dy) AS (VALUES
+ (0, 0, false, 0, false, 0), (0, 1, true, 0, false, 0), (0, 2, true, 0, true, 0), (0, 3, false, 0, true, 0),
+ (0, 4, false, 0, false, 0),
+ (1, 0, false, 30, false, 20), (1, 1, false, 30, false, 60), (1, 2, false, 70, false, 60),
+ (1, 3, false, 70, false, 20), (1, 4, false, 30, false, 20)),
+zone_corners AS (
+ SELECT s_suppkey AS key, ((s_suppkey * 7) % 50) * 100 + 40 AS x0, s_suppkey * 30 - 25 AS y0,
+  ((s_suppkey * 7) % 50) * 100 + 40 + 100 * (2 + s_suppkey % 4) AS x1,
+  s_suppkey * 30 - 25 + 100 * (1 + s_suppkey % 3) AS y1
+ FROM supplier),
+zones_v AS (
+ SELECT z.key, t.ring, t.seq,
+  CAST(CASE WHEN t.use_far_x THEN z.x1 ELSE z.x0 END + t.dx AS DOUBLE) AS x,
+  CAST(CASE WHEN t.use_far_y THEN z.y1 ELSE z.y0 END + t.dy AS DOUBLE) AS y
+ FROM zone_corners z JOIN zone_tpl t ON t.ring = 0 OR z.key % 5 = 0),
+area_edges AS (
+ SELECT * FROM (SELECT key, ring, x AS x1, y AS y1, lead(x) OVER w AS x2, lead(y) OVER w AS y2
+  FROM areas_v WINDOW w AS (PARTITION BY key, ring ORDER BY seq)) WHERE x2 IS NOT NULL),
+zone_edges AS (
+ SELECT * FROM (SELECT key, ring, x AS x1, y AS y1, lead(x) OVER w AS x2, lead(y) OVER w AS y2
+  FROM zones_v WINDOW w AS (PARTITION BY key, ring ORDER BY seq)) WHERE x2 IS NOT NULL),
+ring_sums AS (
+ SELECT key, ring, sum(x1 * y2 - x2 * y1) AS s, sum((x1 + x2) * (x1 * y2 - x2 * y1)) AS sx,
+  sum((y1 + y2) * (x1 * y2 - x2 * y1)) AS sy
+ FROM area_edges GROUP BY key, ring),
+cent AS (
+ SELECT key, sum(f * s) / 2 AS area, sum(f * sx) / (sum(f * s) * 3) AS cx, sum(f * sy) / (sum(f * s) * 3) AS cy
+ FROM (SELECT *, CASE WHEN ring = 0 THEN sign(s) ELSE -sign(s) END AS f FROM ring_sums) GROUP BY key),
+area_box AS (SELECT key, min(x) AS minx, min(y) AS miny, max(x) AS maxx, max(y) AS maxy FROM areas_v WHERE ring = 0 GROUP BY key),
+zone_box AS (SELECT key, min(x) AS minx, min(y) AS miny, max(x) AS maxx, max(y) AS maxy FROM zones_v WHERE ring = 0 GROUP BY key)"""
+
+
+def _ray_tests(points: str, edges: str) -> str:
+    """(pkey, zkey, crossings, on_edge) for candidate (point, polygon) pairs."""
+    d = "((e.x2 - e.x1) * (p.py - e.y1) - (p.px - e.x1) * (e.y2 - e.y1))"
+    return f"""
+ SELECT p.pkey, p.zkey,
+  sum(CASE WHEN ((e.y1 > p.py) <> (e.y2 > p.py)) AND (({d} > 0) = (e.y2 > e.y1)) THEN 1 ELSE 0 END) AS crossings,
+  bool_or({d} = 0 AND p.px BETWEEN least(e.x1, e.x2) AND greatest(e.x1, e.x2)
+          AND p.py BETWEEN least(e.y1, e.y2) AND greatest(e.y1, e.y2)) AS on_edge
+ FROM {points} p JOIN {edges} e ON e.key = p.zkey GROUP BY p.pkey, p.zkey"""
+
+
+def _orient(ax, ay, bx, by, cx, cy) -> str:
+    return f"sign(({bx} - {ax}) * ({cy} - {ay}) - ({by} - {ay}) * ({cx} - {ax}))"
+
+
+def _on_seg(x1, y1, x2, y2, px, py) -> str:
+    return (f"({px} BETWEEN least({x1}, {x2}) AND greatest({x1}, {x2}) "
+            f"AND {py} BETWEEN least({y1}, {y2}) AND greatest({y1}, {y2}))")
+
+
+WITHIN_SQL = _with(GEO_LAYERS) + f""",
+cand AS (
+ SELECT c.key AS pkey, z.key AS zkey, c.cx AS px, c.cy AS py FROM cent c JOIN zone_box z
+ ON c.cx BETWEEN z.minx AND z.maxx AND c.cy BETWEEN z.miny AND z.maxy),
+tests AS ({_ray_tests('cand', 'zone_edges')}),
+inside AS (SELECT pkey, zkey FROM tests WHERE crossings % 2 = 1 AND NOT on_edge)
+SELECT DISTINCT c.key AS area_key, i.zkey AS zone_key FROM cent c LEFT JOIN inside i ON c.key = i.pkey"""
+
+_SEG = " OR ".join([
+    f"({_orient('a.x1', 'a.y1', 'a.x2', 'a.y2', 'z.x1', 'z.y1')} * {_orient('a.x1', 'a.y1', 'a.x2', 'a.y2', 'z.x2', 'z.y2')} < 0 "
+    f"AND {_orient('z.x1', 'z.y1', 'z.x2', 'z.y2', 'a.x1', 'a.y1')} * {_orient('z.x1', 'z.y1', 'z.x2', 'z.y2', 'a.x2', 'a.y2')} < 0)",
+    f"({_orient('a.x1', 'a.y1', 'a.x2', 'a.y2', 'z.x1', 'z.y1')} = 0 AND {_on_seg('a.x1', 'a.y1', 'a.x2', 'a.y2', 'z.x1', 'z.y1')})",
+    f"({_orient('a.x1', 'a.y1', 'a.x2', 'a.y2', 'z.x2', 'z.y2')} = 0 AND {_on_seg('a.x1', 'a.y1', 'a.x2', 'a.y2', 'z.x2', 'z.y2')})",
+    f"({_orient('z.x1', 'z.y1', 'z.x2', 'z.y2', 'a.x1', 'a.y1')} = 0 AND {_on_seg('z.x1', 'z.y1', 'z.x2', 'z.y2', 'a.x1', 'a.y1')})",
+    f"({_orient('z.x1', 'z.y1', 'z.x2', 'z.y2', 'a.x2', 'a.y2')} = 0 AND {_on_seg('z.x1', 'z.y1', 'z.x2', 'z.y2', 'a.x2', 'a.y2')})",
+])
+
+INTERSECTS_SQL = _with(GEO_LAYERS) + f""",
+pairs AS (
+ SELECT a.key AS akey, z.key AS zkey FROM area_box a JOIN zone_box z
+ ON a.minx <= z.maxx AND z.minx <= a.maxx AND a.miny <= z.maxy AND z.miny <= a.maxy),
+edge_hits AS (
+ SELECT DISTINCT p.akey, p.zkey FROM pairs p JOIN area_edges a ON a.key = p.akey JOIN zone_edges z ON z.key = p.zkey
+ WHERE {_SEG}),
+a_first AS (SELECT p.akey AS pkey, p.zkey, v.x AS px, v.y AS py FROM pairs p JOIN areas_v v
+            ON v.key = p.akey AND v.ring = 0 AND v.seq = 0),
+z_first AS (SELECT p.zkey AS pkey, p.akey AS zkey, v.x AS px, v.y AS py FROM pairs p JOIN zones_v v
+            ON v.key = p.zkey AND v.ring = 0 AND v.seq = 0),
+a_in_z AS (SELECT pkey AS akey, zkey FROM ({_ray_tests('a_first', 'zone_edges')}) WHERE crossings % 2 = 1 OR on_edge),
+z_in_a AS (SELECT zkey AS akey, pkey AS zkey FROM ({_ray_tests('z_first', 'area_edges')}) WHERE crossings % 2 = 1 OR on_edge),
+hits AS (SELECT * FROM edge_hits UNION SELECT * FROM a_in_z UNION SELECT * FROM z_in_a)
+SELECT DISTINCT a.key AS area_key, h.zkey AS zone_key FROM area_box a LEFT JOIN hits h ON a.key = h.akey"""
+
+ORACLE_SQL["polygon_centroid"] = _with(GEO_LAYERS) + "SELECT key, area, cx, cy FROM cent"
+ORACLE_SQL["crosswalk_within"] = WITHIN_SQL
+ORACLE_SQL["crosswalk_intersects"] = INTERSECTS_SQL
+ORACLE_SQL["crosswalk_standardize"] = f"""
+WITH boro AS (SELECT DISTINCT (1 + c_custkey % 5) * 100 + 1 + c_custkey % 12 AS BoroCD FROM customer),
+school_xw AS (
+ SELECT BoroCD AS community_district,
+  CAST(trunc(CASE WHEN BoroCD % 13 = 0 THEN NULL ELSE CAST(1 + (BoroCD * 7) % 32 AS DOUBLE) END) AS BIGINT) AS school_district
+ FROM boro),
+tract_xw AS (
+ SELECT BoroCD AS community_district,
+  {_tract_from_text("CAST(CAST(trunc(CASE WHEN BoroCD % 11 = 0 THEN NULL ELSE CAST(BoroCD * 211 AS DOUBLE) END) AS BIGINT) AS VARCHAR)")} AS census_tract
+ FROM boro)
+SELECT coalesce(s.community_district, t.community_district) AS community_district, s.school_district, t.census_tract
+FROM school_xw s FULL JOIN tract_xw t ON s.community_district = t.community_district"""
