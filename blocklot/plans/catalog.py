@@ -7,6 +7,7 @@ where the operator is a preview or a sample.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -17,7 +18,8 @@ from ..operators import aggregates as agg
 from ..operators import geometry as geo
 from ..operators import preview, profile
 from ..operators import relational as rel
-from ..sources import layers, messy, standins
+from ..session import scratch_path
+from ..sources import geojson, layers, messy, standins, tables
 from ..sources.tables import read_table
 from . import housing as H
 from . import crosswalks, school
@@ -301,3 +303,41 @@ def crosswalk_standardize(spark, sf_dir):
         standins.community_to_tract(spark, sf_dir),
         {"BoroCD": "community_district", "CT2020": "census_tract"})
     return school_xw.join(tract_xw, "community_district", "full")
+
+
+# ---- sources and sinks -----------------------------------------------------
+
+def _scratch(spark, name: str) -> str:
+    return scratch_path(spark, "runs", f"{name}-{uuid.uuid4().hex[:12]}")
+
+
+@register("geojson_roundtrip")
+def geojson_roundtrip(spark, sf_dir):
+    """Both layers written as GeoJSON, the folder read back as vertices."""
+    folder = _scratch(spark, "geojson")
+    geojson.write_layers({"areas": layers.area_layer(spark, sf_dir),
+                          "zones": layers.zone_layer(spark, sf_dir)}, folder)
+    return geojson.vertices(geojson.read_layers(spark, f"{folder}/*.geojson"))
+
+
+@register("csv_roundtrip")
+def csv_roundtrip(spark, sf_dir):
+    """The jobs table written as header CSV and read back with its schema."""
+    jobs = _h(spark, sf_dir)
+    path = tables.write_csv(jobs, _scratch(spark, "jobs-csv"))
+    return tables.read_csv(spark, path, jobs.schema)
+
+
+@register("table_replace")
+def table_replace(spark, sf_dir):
+    """A table path loaded once, then replaced by the cleaned buildings table."""
+    path = _scratch(spark, "table")
+    tables.replace_table(_h(spark, sf_dir), path)
+    tables.replace_table(H.clean_affordable(_a(spark, sf_dir)), path)
+    return tables.read_replaced(spark, path)
+
+
+@register("housing_job")
+def housing_job(spark, sf_dir):
+    """The whole job, each stage written as a table and read back by the next."""
+    return H.run_housing_job(_h(spark, sf_dir), _a(spark, sf_dir), out_dir=_scratch(spark, "job"))

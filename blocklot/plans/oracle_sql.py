@@ -520,3 +520,18 @@ tract_xw AS (
  FROM boro)
 SELECT coalesce(s.community_district, t.community_district) AS community_district, s.school_district, t.census_tract
 FROM school_xw s FULL JOIN tract_xw t ON s.community_district = t.community_district"""
+
+ORACLE_SQL["geojson_roundtrip"] = _with(GEO_LAYERS) + """
+SELECT 'areas' AS layer, key, 0 AS part, ring, seq, x, y FROM areas_v
+UNION ALL
+SELECT 'zones' AS layer, key, 0 AS part, ring, seq, x, y FROM zones_v"""
+ORACLE_SQL["csv_roundtrip"] = BASE + "SELECT * FROM housing_fx"
+ORACLE_SQL["table_replace"] = CLEAN + "SELECT * FROM affordable_clean"
+ORACLE_SQL["housing_job"] = CLEAN_JOINED + METRICS
+
+_CLEAN_JOB_COLUMNS = [c for c, _ in JOB_COLUMNS] + ["community_district", "council_district", "census_tract",
+                                                    "year_of_completion", "permit_year"]
+ORACLE_SQL["preview_transposed"] = _with(HOUSING_FX, HOUSING_CLEAN) + \
+    ", first_job AS (SELECT * FROM housing_clean ORDER BY Job_ID LIMIT 1)\n" + "\nUNION ALL\n".join(
+        f"SELECT {i} AS position, '{c}' AS column, CAST({c} AS VARCHAR) AS value FROM first_job"
+        for i, c in enumerate(_CLEAN_JOB_COLUMNS))
