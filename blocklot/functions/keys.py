@@ -57,14 +57,15 @@ def _as_double(c, dtype) -> Column:
 def int_key(c, dtype=None, strict: bool = False) -> Column:
     """Float-held integer key to bigint (``101.0`` -> 101).
 
-    A value with a fraction is NULL, or an error when ``strict``.
+    A value with a fraction (or NaN, inf) is NULL, or an error when ``strict``.
+    ``floor`` of a double is a bigint, so ``floor(d) == d`` is the whole check.
     """
-    d = _as_double(c, dtype)
-    as_long = d.try_cast("bigint")
+    d = _as_double(c, dtype) if isinstance(dtype, StringType) else _col(c).cast("double")
+    whole = F.floor(d)
     if not strict:
-        return F.when(as_long == d, as_long)
+        return F.when(whole == d, whole)
     bad = F.raise_error(F.concat(F.lit("non-integral key value: "), _col(c).cast("string")))
-    return F.when(as_long == d, as_long).when(d.isNotNull(), bad.cast("bigint"))
+    return F.when(whole == d, whole).when(d.isNotNull(), bad.cast("bigint"))
 
 
 def int_key_text(c, dtype=None, strict: bool = False) -> Column:
@@ -72,9 +73,15 @@ def int_key_text(c, dtype=None, strict: bool = False) -> Column:
     return int_key(c, dtype, strict).cast("string")
 
 
+LONG_LIMIT = 9.2e18
+
+
 def truncated_int(c, dtype=None) -> Column:
     """Number or numeric text to bigint, truncating toward zero (``8.9`` -> 8)."""
-    return _as_double(c, dtype).try_cast("bigint")
+    if isinstance(dtype, StringType):
+        return number_from_text(c).try_cast("bigint")
+    d = _col(c).cast("double")
+    return F.when(F.abs(d) < LONG_LIMIT, d.cast("bigint"))
 
 
 def borough_digit(prefix: Column) -> Column:
@@ -147,13 +154,11 @@ def census_tract(c, dtype=None) -> Column:
         s = truncated_int(c, dtype).cast("string")
     else:
         s = strip_ws(c)
-    n = F.length(s)
-    tail = F.when(n > 6, F.substr(s, n - 5, F.lit(6))).otherwise(s)
-    signed = tail.rlike(r"^[+-]")
-    filled = F.when(F.length(tail) >= 6, tail) \
-        .when(signed, F.concat(tail.substr(1, 1), F.lpad(tail.substr(F.lit(2), F.length(tail)), 5, "0"))) \
+    tail = F.right(s, F.lit(6))
+    signed = tail.startswith("-") | tail.startswith("+")
+    return F.when(F.length(tail) >= 6, tail) \
+        .when(signed, F.concat(F.left(tail, F.lit(1)), F.lpad(F.substr(tail, F.lit(2)), 5, "0"))) \
         .otherwise(F.lpad(tail, 6, "0"))
-    return F.when(s.isNull(), F.lit(None).cast("string")).otherwise(filled)
 
 
 def zero_pad(c, width: int) -> Column:

@@ -19,7 +19,7 @@ from ..operators import geometry as geo
 from ..operators import preview, profile
 from ..operators import relational as rel
 from ..session import scratch_path
-from ..sources import geojson, layers, messy, standins, tables
+from ..sources import geojson, ingest, layers, standins, tables
 from ..sources.tables import read_table
 from . import housing as H
 from . import crosswalks, school
@@ -35,11 +35,11 @@ def register(name: str):
 
 
 def _h(spark, sf_dir):
-    return standins.housing_jobs(spark, sf_dir)
+    return ingest.housing_jobs(spark, sf_dir)
 
 
 def _a(spark, sf_dir):
-    return standins.affordable_buildings(spark, sf_dir)
+    return ingest.affordable_buildings(spark, sf_dir)
 
 
 @register("housing_metrics")
@@ -136,7 +136,7 @@ def fill_unknown(spark, sf_dir):
 
 @register("std_community_board")
 def std_community_board(spark, sf_dir):
-    raw = messy.raw_keys(spark, sf_dir)
+    raw = ingest.raw_keys(spark, sf_dir)
     a = _a(spark, sf_dir).select(F.col("community_district").alias("board_text"))
     both = raw.select("board_text").unionByName(a)
     return keys.with_community_board(both, "board_text", "community_district")
@@ -144,7 +144,7 @@ def std_community_board(spark, sf_dir):
 
 @register("std_council")
 def std_council(spark, sf_dir):
-    raw = messy.raw_keys(spark, sf_dir)
+    raw = ingest.raw_keys(spark, sf_dir)
     return raw.select("council_text",
                       keys.council_district("council_text", raw.schema["council_text"].dataType)
                       .alias("council_district"))
@@ -159,7 +159,7 @@ def std_school(spark, sf_dir):
 
 @register("std_tract")
 def std_tract(spark, sf_dir):
-    raw = messy.raw_keys(spark, sf_dir)
+    raw = ingest.raw_keys(spark, sf_dir)
     t = {f.name: f.dataType for f in raw.schema.fields}
     return raw.select("tract_number", "tract_text",
                       keys.census_tract("tract_number", t["tract_number"]).alias("tract_from_number"),

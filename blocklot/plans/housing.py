@@ -54,8 +54,13 @@ def clean_affordable(affordable: DataFrame) -> DataFrame:
 
 
 def join_housing_affordable(housing_clean: DataFrame, affordable_clean: DataFrame) -> DataFrame:
-    """Every job with each matching building (many-to-many kept)."""
-    return rel.key_join(housing_clean, affordable_clean, JOIN_KEYS, how="left")
+    """Every job with each matching building (many-to-many kept).
+
+    Keys compare null-safe, as in the source join (a missing key meets a
+    missing key). It also keeps the optimizer from deriving not-null filters
+    on the building side and pushing the whole key standardisation into them.
+    """
+    return rel.key_join(housing_clean, affordable_clean, JOIN_KEYS, how="left", null_safe=True)
 
 
 def housing_metrics_from_join(joined: DataFrame) -> DataFrame:
@@ -82,12 +87,12 @@ def housing_metrics(housing_clean: DataFrame, affordable_clean: DataFrame) -> Da
          .agg(F.count(F.lit(1)).alias("h_rows"),
               F.count_if(done).alias("h_done"),
               agg.zero_sum(F.when(done, F.col("ClassANet"))).alias("h_units")))
-    a = (affordable_clean.where(F.col("community_district").isNotNull()
-                                & F.col("council_district").isNotNull())
-         .groupBy(*JOIN_KEYS)
+    a = (affordable_clean.groupBy(*JOIN_KEYS)
          .agg(F.count(F.lit(1)).alias("a_rows"),
               agg.zero_sum("All_Counted_Units").alias("a_units")))
-    joined = h.join(a, on=JOIN_KEYS, how="left")
+    on = [h[k].eqNullSafe(a[k]) for k in JOIN_KEYS]
+    joined = h.join(a, on[0] & on[1] & on[2], how="left").select(
+        "h_rows", "h_done", "h_units", "a_rows", "a_units")
     fan = F.greatest(F.coalesce(F.col("a_rows"), F.lit(0)), F.lit(1))
     return joined.agg(
         F.coalesce(F.sum(F.col("h_rows") * fan), F.lit(0)).alias("total_rows"),

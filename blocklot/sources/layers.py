@@ -34,24 +34,27 @@ AREA_SHAPES = {
 }
 
 
-def _rings(template, x0: Column, y0: Column, u: Column, v: Column) -> Column:
-    return F.array(*[F.array(*[F.array((x0 + ux * u).cast("double"), (y0 + uy * v).cast("double"))
-                               for ux, uy in ring]) for ring in template])
+def _shape_templates() -> Column:
+    """All area templates as one literal, indexed by shape code + 1."""
+    return F.array(*[F.array(*[F.array(*[F.array(F.lit(ux), F.lit(uy)) for ux, uy in ring])
+                               for ring in AREA_SHAPES[code]]) for code in sorted(AREA_SHAPES)])
 
 
 def area_layer(spark: SparkSession, sf_dir: str) -> DataFrame:
     c = read_table(spark, sf_dir, "customer")
     k = F.col("c_custkey")
-    x0 = (k % GRID_COLUMNS) * CELL + 10
-    y0 = F.floor(k / GRID_COLUMNS).cast("bigint") * CELL + 10
-    u = 5 + k % 16
-    v = 5 + F.floor(k / 7).cast("bigint") % 16
-    shape = (k + F.col("c_nationkey")) % 4
-    rings = None
-    for code, template in AREA_SHAPES.items():
-        r = _rings(template, x0, y0, u, v)
-        rings = F.when(shape == code, r) if rings is None else rings.when(shape == code, r)
-    return c.select(k.alias("key"), F.lit(0).alias("part"), rings.alias("rings"))
+    sized = c.select(
+        k.alias("key"),
+        ((k % GRID_COLUMNS) * CELL + 10).alias("x0"),
+        (F.floor(k / GRID_COLUMNS).cast("bigint") * CELL + 10).alias("y0"),
+        (5 + k % 16).alias("u"),
+        (5 + F.floor(k / 7).cast("bigint") % 16).alias("v"),
+        ((k + F.col("c_nationkey")) % 4).cast("int").alias("shape"))
+    x0, y0, u, v = F.col("x0"), F.col("y0"), F.col("u"), F.col("v")
+    template = F.element_at(_shape_templates(), F.col("shape") + 1)
+    rings = F.transform(template, lambda ring: F.transform(ring, lambda p: F.array(
+        (x0 + p[0] * u).cast("double"), (y0 + p[1] * v).cast("double"))))
+    return sized.select("key", F.lit(0).alias("part"), rings.alias("rings"))
 
 
 def zone_layer(spark: SparkSession, sf_dir: str) -> DataFrame:
