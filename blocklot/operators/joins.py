@@ -27,3 +27,15 @@ def estimated_bytes(df: DataFrame) -> int:
 def broadcast_if_small(df: DataFrame, max_bytes: int = DEFAULT_BROADCAST_BYTES) -> DataFrame:
     """``F.broadcast(df)`` when its estimated size is at most ``max_bytes``."""
     return F.broadcast(df) if estimated_bytes(df) <= max_bytes else df
+
+
+def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
+    """Round-robin ``df`` over at least ``min_partitions`` tasks when it has fewer.
+
+    A small input file is one scan task; CPU-heavy per-row work (geometry,
+    text keys) over it would then run on one core. At scale an input already
+    spans thousands of splits and this is a no-op (no shuffle is added).
+    """
+    target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+    current = df._jdf.rdd().getNumPartitions()
+    return df.repartition(target) if current < target else df

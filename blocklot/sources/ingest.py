@@ -17,6 +17,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from ..operators.joins import spread
 from ..session import scratch_path
 from . import layers, messy, standins
 
@@ -44,7 +45,7 @@ def ingest_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
         path = _WRITTEN.get(key)
         if path is None:
             path = scratch_path(spark, "ingest", _tag(sf_dir), name)
-            DERIVATIONS[name](spark, sf_dir).write.mode("overwrite").parquet(path)
+            spread(DERIVATIONS[name](spark, sf_dir)).write.mode("overwrite").parquet(path)
             _WRITTEN[key] = path
     return spark.read.parquet(path)
 

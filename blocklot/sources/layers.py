@@ -19,6 +19,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..operators.joins import spread
 from .tables import read_table
 
 GRID_COLUMNS = 50
@@ -41,7 +42,7 @@ def _shape_templates() -> Column:
 
 
 def area_layer(spark: SparkSession, sf_dir: str) -> DataFrame:
-    c = read_table(spark, sf_dir, "customer")
+    c = spread(read_table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey"))
     k = F.col("c_custkey")
     sized = c.select(
         k.alias("key"),
@@ -58,7 +59,7 @@ def area_layer(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def zone_layer(spark: SparkSession, sf_dir: str) -> DataFrame:
-    s = read_table(spark, sf_dir, "supplier")
+    s = spread(read_table(spark, sf_dir, "supplier").select("s_suppkey"))
     k = F.col("s_suppkey")
     x0 = ((k * 7) % GRID_COLUMNS) * CELL + 40
     y0 = k * 30 - 25
