@@ -1,0 +1,110 @@
+"""Housing pipeline against the check values of the stand-in tables (sf0.001)."""
+
+from pyspark.sql import Window
+from pyspark.sql import functions as F
+
+from blocklot.operators import aggregates as agg
+from blocklot.operators import relational as rel
+from blocklot.plans import housing as H
+from blocklot.sources import ingest, standins
+
+
+def _h(spark, sf_dir):
+    return ingest.housing_jobs(spark, sf_dir)
+
+
+def _a(spark, sf_dir):
+    return ingest.affordable_buildings(spark, sf_dir)
+
+
+def test_stand_in_sizes(spark, sf_dir):
+    assert standins.housing_jobs(spark, sf_dir).count() == 1500
+    assert standins.affordable_buildings(spark, sf_dir).count() == 6000
+
+
+def test_flagship_metrics(spark, sf_dir):
+    h, a = H.clean_housing(_h(spark, sf_dir)), H.clean_affordable(_a(spark, sf_dir))
+    row = H.housing_metrics(h, a).first()
+    assert (row.total_rows, row.housing_units, row.affordable_units) == (19306, 267256.0, 583452.0)
+
+
+def test_metrics_forms_agree(spark, sf_dir):
+    h, a = H.clean_housing(_h(spark, sf_dir)), H.clean_affordable(_a(spark, sf_dir))
+    pre = H.housing_metrics(h, a).first()
+    rows = H.housing_metrics_from_join(H.join_housing_affordable(h, a)).first()
+    assert tuple(pre) == tuple(rows)
+
+
+def test_joined_rows_with_match(spark, sf_dir):
+    joined = H.join_housing_affordable(H.clean_housing(_h(spark, sf_dir)), H.clean_affordable(_a(spark, sf_dir)))
+    assert joined.where(F.col("Project_ID").isNotNull() | F.col("All_Counted_Units").isNotNull()).count() == 18885
+    assert {"census_tract_x", "census_tract_y", "year_of_completion_x", "year_of_completion_y"} <= set(joined.columns)
+
+
+def test_redistribution_values(spark, sf_dir):
+    before = H.standardise_affordable_keys(_a(spark, sf_dir))
+    row = agg.units_reconciliation(before, agg.redistribute_missing(before)).first()
+    assert row.rows_after == 4818
+    assert (row.units_before, row.units_with_lot_before, row.units_after) == (152257.0, 122182.0, 216997.0)
+
+
+def test_redistribution_window_form_equals_join_form(spark, sf_dir):
+    std = H.standardise_affordable_keys(_a(spark, sf_dir))
+    w = Window.partitionBy("Project_ID")
+    missing = F.sum(F.when(F.col("BBL").isNull(), F.col("All_Counted_Units"))).over(w)
+    window_form = (std.withColumn("__m", F.when(F.col("Project_ID").isNotNull(), missing))
+                   .where(F.col("BBL").isNotNull())
+                   .withColumn("All_Counted_Units", F.col("All_Counted_Units") + F.coalesce("__m", F.lit(0.0)))
+                   .drop("__m"))
+    join_form = agg.redistribute_missing(std)
+    assert window_form.exceptAll(join_form).count() == 0
+    assert join_form.exceptAll(window_form).count() == 0
+
+
+def test_preservation_filter_keeps_unknown_type(spark, sf_dir):
+    kept = rel.exclude_value(_a(spark, sf_dir), "Reporting_Construction_Type", "Preservation")
+    assert kept.count() == 4038
+    assert kept.where(F.col("Reporting_Construction_Type").isNull()).count() == 1968
+
+
+def test_rollup_of_raw_jobs(spark, sf_dir):
+    keys5 = ["CommntyDst", "CouncilDst", "PermitYear", "ZoningDst1", "FloorsProp"]
+    out = agg.group_sums(_h(spark, sf_dir), keys5, {"units": "ClassANet"})
+    assert out.count() == 1053
+    assert out.agg(F.sum("units")).first()[0] == 21721.0
+
+
+def test_unmatched_is_left_minus_matched(spark, sf_dir):
+    h, a = _h(spark, sf_dir), _a(spark, sf_dir)
+    unmatched = H.unmatched_jobs(h, a)
+    joined = H.join_by_lot_year(h, a)
+    matched_ids = joined.where(F.col("Project_ID").isNotNull() | F.col("All_Counted_Units").isNotNull()) \
+        .select("Job_ID").distinct()
+    all_ids = H.prepare_completed_jobs(h).select("Job_ID")
+    assert unmatched.select("Job_ID").exceptAll(all_ids.exceptAll(matched_ids)).count() == 0
+    assert all_ids.exceptAll(matched_ids).exceptAll(unmatched.select("Job_ID")).count() == 0
+
+
+def test_key_type_check_raises(spark):
+    import pytest
+    left = spark.createDataFrame([(1, "a")], "BBL bigint, x string")
+    right = spark.createDataFrame([("1", "b")], "BBL string, y string")
+    with pytest.raises(TypeError):
+        rel.check_key_types(left, right, ["BBL"], ["BBL"])
+
+
+def test_key_join_suffixes_and_null_safe(spark):
+    left = spark.createDataFrame([(1, None, "l1"), (2, 5, "l2")], "k bigint, j bigint, v string")
+    right = spark.createDataFrame([(1, None, "r1"), (2, 6, "r2")], "k bigint, j bigint, V string")
+    out = rel.key_join(left, right, ["k", "j"], how="left", null_safe=True)
+    assert out.columns == ["k", "j", "v_x", "V_y"]
+    assert sorted(map(tuple, out.collect())) == [(1, None, "l1", "r1"), (2, 5, "l2", None)]
+    plain = rel.key_join(left, right, ["k", "j"], how="left")
+    assert sorted(map(tuple, plain.collect())) == [(1, None, "l1", None), (2, 5, "l2", None)]
+
+
+def test_whole_job_with_written_stages(spark, sf_dir):
+    from blocklot.session import scratch_path
+    import uuid
+    out = H.run_housing_job(_h(spark, sf_dir), _a(spark, sf_dir), out_dir=scratch_path(spark, "t", uuid.uuid4().hex))
+    assert tuple(out.first()) == (19306, 267256.0, 583452.0)
