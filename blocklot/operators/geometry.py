@@ -33,7 +33,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .joins import broadcast_if_small
+from .joins import DEFAULT_BROADCAST_BYTES
 
 EDGE_FIELDS = "struct<x1:double,y1:double,x2:double,y2:double>"
 
@@ -193,16 +193,43 @@ def cell_index(parts: DataFrame, g: float) -> DataFrame:
         F.col("b.maxx").alias("maxx"), F.col("b.maxy").alias("maxy"), F.col("edges"))).alias("polys"))
 
 
+# Bytes per index entry: a (cell, polygon) entry with its box, and one edge copy.
+INDEX_ENTRY_BYTES = 96
+INDEX_EDGE_BYTES = 40
+
+
+def index_size_bound(parts: DataFrame, g: float) -> int:
+    """Exact upper bound (bytes) of ``cell_index(parts, g)``, from one aggregate.
+
+    Counts every (cell, polygon) entry of the boxes and every copy of an edge
+    over the bands it spans; the index holds at most these.
+    """
+    box = outer_box(F.col("rings"))
+    cells = ((_cell(box["maxx"], g) - _cell(box["minx"], g) + 1)
+             * (_cell(box["maxy"], g) - _cell(box["miny"], g) + 1))
+    per_edge = F.aggregate(F.flatten(F.transform(F.col("rings"), ring_edges)), F.lit(0).cast("bigint"),
+                           lambda acc, e: acc + _cell(F.greatest(e["y1"], e["y2"]), g)
+                           - _cell(F.least(e["y1"], e["y2"]), g) + 1)
+    row = parts.agg(F.sum(cells).alias("cells"), F.sum(per_edge).alias("edges")).first()
+    return int((row["cells"] or 0) * INDEX_ENTRY_BYTES + (row["edges"] or 0) * INDEX_EDGE_BYTES)
+
+
 def points_in_polygons(points: DataFrame, parts: DataFrame, boundary: bool = False,
-                       g: float | None = None, point_key: str = "key") -> DataFrame:
+                       g: float | None = None, point_key: str = "key",
+                       max_broadcast_bytes: int = DEFAULT_BROADCAST_BYTES) -> DataFrame:
     """Left spatial join: (point key, polygon key) for each polygon containing the point.
 
     ``points`` has ``point_key``, ``px``, ``py``. A point in no polygon gives
     one row with a NULL polygon key. ``boundary=False`` is *within* (a point
-    on an edge is outside), ``True`` is *covers*.
+    on an edge is outside), ``True`` is *covers*. The index is broadcast only
+    when ``index_size_bound`` proves it small; otherwise points and index are
+    both shuffled on the cell (AQE splits a cell holding a large share of the
+    points into several tasks).
     """
     g = g or suggest_cell_size(parts)
-    index = broadcast_if_small(cell_index(parts, g))
+    index = cell_index(parts, g)
+    if index_size_bound(parts, g) <= max_broadcast_bytes:
+        index = F.broadcast(index)
     located = points.select(F.col(point_key).alias("pkey"), "px", "py",
                             _cell(F.col("px"), g).alias("cx"), _cell(F.col("py"), g).alias("cy"))
     looked = located.join(index, ["cx", "cy"], "left")

