@@ -201,16 +201,17 @@ INDEX_EDGE_BYTES = 40
 def index_size_bound(parts: DataFrame, g: float) -> int:
     """Exact upper bound (bytes) of ``cell_index(parts, g)``, from one aggregate.
 
-    Counts every (cell, polygon) entry of the boxes and every copy of an edge
-    over the bands it spans; the index holds at most these.
+    Counts every (cell, polygon) entry of the boxes, and every copy of an
+    edge: one per band it spans in each column of its polygon's box. The
+    index holds at most these.
     """
     box = outer_box(F.col("rings"))
-    cells = ((_cell(box["maxx"], g) - _cell(box["minx"], g) + 1)
-             * (_cell(box["maxy"], g) - _cell(box["miny"], g) + 1))
+    columns = _cell(box["maxx"], g) - _cell(box["minx"], g) + 1
+    cells = columns * (_cell(box["maxy"], g) - _cell(box["miny"], g) + 1)
     per_edge = F.aggregate(F.flatten(F.transform(F.col("rings"), ring_edges)), F.lit(0).cast("bigint"),
                            lambda acc, e: acc + _cell(F.greatest(e["y1"], e["y2"]), g)
                            - _cell(F.least(e["y1"], e["y2"]), g) + 1)
-    row = parts.agg(F.sum(cells).alias("cells"), F.sum(per_edge).alias("edges")).first()
+    row = parts.agg(F.sum(cells).alias("cells"), F.sum(per_edge * columns).alias("edges")).first()
     return int((row["cells"] or 0) * INDEX_ENTRY_BYTES + (row["edges"] or 0) * INDEX_EDGE_BYTES)
 
 
