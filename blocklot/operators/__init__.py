@@ -1 +1 @@
-"""operators"""
+"""DataFrame operators: filters and key joins, aggregates, profile, geometry, previews."""

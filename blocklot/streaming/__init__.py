@@ -1 +1,7 @@
-"""streaming"""
+"""Streaming: intentionally empty.
+
+The source job is batch only (no watermark, window, state or late-data
+code), so there is no streaming operator to rebuild. Every pipeline here is
+a lazy DataFrame plan and could be fed by ``readStream`` unchanged if a
+stream of raw housing records ever appears.
+"""
