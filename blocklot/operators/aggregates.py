@@ -6,9 +6,10 @@ out and the sum of a group whose values are all NULL is 0.
 Redistribution is written as aggregate-then-join, not as a window over the
 project: the per-project sum is a partial (map-side) aggregate, so a project
 holding a third of all rows costs one row per map task in the shuffle. The
-join back is to a table with one row per project; AQE turns it into a
-broadcast join when the measured aggregate is small and otherwise splits
-oversized partitions of the building side (skew join).
+join back to the one-row-per-project sums is a ``salted_join``: a project
+with more than ``rows_per_task`` buildings is split over several tasks (AQE's
+own skew split does not apply to a join fed by an aggregate). AQE still
+turns it into a broadcast join when the measured sums are small.
 """
 
 from __future__ import annotations
@@ -18,6 +19,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .skew import HOT_KEY_ROWS, salted_join
+
 
 def zero_sum(c) -> Column:
     """Sum where an all-NULL (or empty) group gives 0."""
@@ -46,7 +49,7 @@ def missing_key_sums(df: DataFrame, group: str, lot: str, measure: str,
 
 
 def redistribute_missing(df: DataFrame, group: str = "Project_ID", lot: str = "BBL",
-                         measure: str = "All_Counted_Units") -> DataFrame:
+                         measure: str = "All_Counted_Units", rows_per_task: int = HOT_KEY_ROWS) -> DataFrame:
     """Move the measure of rows without a lot onto the group's rows with a lot.
 
     Each row with a lot gets the group's whole missing sum added (so a group
@@ -55,7 +58,7 @@ def redistribute_missing(df: DataFrame, group: str = "Project_ID", lot: str = "B
     """
     missing = missing_key_sums(df, group, lot, measure, "__missing")
     kept = df.where(F.col(lot).isNotNull())
-    joined = kept.join(missing, on=group, how="left")
+    joined = salted_join(kept, missing, [group], how="left", rows_per_task=rows_per_task)
     cols = [(F.col(c) + F.coalesce(F.col("__missing"), F.lit(0))).alias(c) if c == measure else F.col(c)
             for c in df.columns]
     return joined.select(cols)

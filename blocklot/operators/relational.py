@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.keys import fill_zero
+from .skew import salt_sides
 
 
 def drop_null_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -72,7 +73,7 @@ def key_join(left: DataFrame, right: DataFrame, on: Sequence[str] | None = None,
              left_on: Sequence[str] | None = None, right_on: Sequence[str] | None = None,
              how: str = "left", suffixes: tuple[str, str] = ("_x", "_y"),
              null_safe: bool = False, check_types: bool = False,
-             broadcast_right: bool = False) -> DataFrame:
+             broadcast_right: bool = False, skew_rows: int | None = None) -> DataFrame:
     """Equi-join with one output column per shared key and suffixed overlaps.
 
     ``on`` names keys present on both sides (kept once, from the left for a
@@ -81,7 +82,9 @@ def key_join(left: DataFrame, right: DataFrame, on: Sequence[str] | None = None,
     compared case-insensitively, as Spark's resolver does). Key equality stays
     a hash-able equi-condition, null-safe or not, so the planner can pick a
     broadcast-hash or sort-merge join; ``broadcast_right`` only for a side
-    whose size the caller has bounded.
+    whose size the caller has bounded. With ``skew_rows``, a left key holding
+    more rows than that is split over several tasks (``skew.salt_sides``);
+    for inner and left-type joins only.
     """
     if on is not None:
         left_keys = right_keys = list(on)
@@ -106,6 +109,10 @@ def key_join(left: DataFrame, right: DataFrame, on: Sequence[str] | None = None,
     for lk, rk in zip(left_keys, right_keys):
         term = _equal(F.col(f"__l{lidx[lk]}"), F.col(f"__r{ridx[rk]}"), null_safe)
         cond = term if cond is None else cond & term
+    if skew_rows:
+        la, ra = salt_sides(la, ra, [f"__l{lidx[k]}" for k in left_keys], [f"__r{ridx[k]}" for k in right_keys],
+                            null_safe, skew_rows)
+        cond = cond & (F.col("__lsalt") == F.col("__rsalt"))
     if broadcast_right:
         ra = F.broadcast(ra)
     joined = la.join(ra, cond, how)

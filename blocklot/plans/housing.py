@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from ..functions import dates, keys
 from ..operators import aggregates as agg
 from ..operators import relational as rel
+from ..operators.skew import HOT_KEY_ROWS
 from ..sources.tables import replace_table
 
 JOIN_KEYS = ["community_district", "council_district", "BBL"]
@@ -60,7 +61,8 @@ def join_housing_affordable(housing_clean: DataFrame, affordable_clean: DataFram
     missing key). It also keeps the optimizer from deriving not-null filters
     on the building side and pushing the whole key standardisation into them.
     """
-    return rel.key_join(housing_clean, affordable_clean, JOIN_KEYS, how="left", null_safe=True)
+    return rel.key_join(housing_clean, affordable_clean, JOIN_KEYS, how="left", null_safe=True,
+                        skew_rows=HOT_KEY_ROWS)
 
 
 def housing_metrics_from_join(joined: DataFrame) -> DataFrame:
@@ -133,7 +135,8 @@ def join_by_lot_year(housing: DataFrame, affordable: DataFrame) -> DataFrame:
     h = prepare_completed_jobs(housing)
     a = prepare_new_construction(affordable)
     rel.check_key_types(h, a, ["BBL", "year_of_completion"], ["BBL", "year_of_completion"])
-    joined = rel.key_join(h, a, ["BBL", "year_of_completion"], how="left", null_safe=True)
+    joined = rel.key_join(h, a, ["BBL", "year_of_completion"], how="left", null_safe=True,
+                          skew_rows=HOT_KEY_ROWS)
     return rel.rename_columns(joined, {"community_district_x": "community_district",
                                        "council_district_x": "council_district"})
 
