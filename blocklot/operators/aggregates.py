@@ -19,6 +19,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .relational import drop_null_keys
 from .skew import HOT_KEY_ROWS, salted_join
 
 
@@ -31,7 +32,7 @@ def zero_sum(c) -> Column:
 def group_sums(df: DataFrame, keys: Sequence[str], sums: dict[str, str],
                order: bool = False) -> DataFrame:
     """``groupBy(keys)`` with named zero-sums; rows with any NULL key dropped."""
-    out = (df.dropna(subset=list(keys)).groupBy(*keys)
+    out = (drop_null_keys(df, keys).groupBy(*keys)
            .agg(*[zero_sum(src).alias(name) for name, src in sums.items()]))
     return out.orderBy(*keys) if order else out
 

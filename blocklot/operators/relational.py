@@ -11,14 +11,32 @@ from collections.abc import Iterable, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import FractionalType
 
 from ..functions.keys import fill_zero
 from .skew import salt_sides
 
 
+def not_missing(df: DataFrame, column: str) -> Column:
+    """``column`` is neither NULL nor (for floating types) NaN."""
+    c = F.col(column)
+    if isinstance(df.schema[column].dataType, FractionalType):
+        return c.isNotNull() & ~F.isnan(c)
+    return c.isNotNull()
+
+
 def drop_null_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Drop rows with NULL in any of ``keys`` (pushed into the scan as IsNotNull)."""
-    return df.dropna(subset=list(keys))
+    """Drop rows with NULL (or NaN) in any of ``keys``.
+
+    Written as ``IsNotNull`` conjuncts rather than ``dropna``: those reach the
+    parquet reader as pushed filters (row groups without values are skipped),
+    which the ``AtLeastNNonNulls`` predicate of ``dropna`` does not.
+    """
+    cond = None
+    for k in keys:
+        term = not_missing(df, k)
+        cond = term if cond is None else cond & term
+    return df.where(cond) if cond is not None else df
 
 
 def where_null(df: DataFrame, column: str) -> DataFrame:

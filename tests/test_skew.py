@@ -93,3 +93,13 @@ def test_key_join_salted_many_to_many(spark):
         plain = rel.key_join(left, right, ["k"], how="left", null_safe=null_safe)
         assert salted.columns == plain.columns == ["k", "v_x", "v_y"]
         assert salted.exceptAll(plain).count() == 0 and plain.exceptAll(salted).count() == 0
+
+
+def test_aqe_alone_leaves_aggregate_join_unsplit(spark, skew_conf):
+    """Why the salting exists: AQE does not split a join fed by an aggregate."""
+    df = _skewed(spark)
+    missing = agg.missing_key_sums(df, "Project_ID", "BBL", "All_Counted_Units", "__m")
+    plain = df.where("BBL is not null").join(missing, "Project_ID", "left")
+    plain.collect()
+    plan = plain._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan and "skew=true" not in plan
