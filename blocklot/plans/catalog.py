@@ -341,3 +341,29 @@ def table_replace(spark, sf_dir):
 def housing_job(spark, sf_dir):
     """The whole job, each stage written as a table and read back by the next."""
     return H.run_housing_job(_h(spark, sf_dir), _a(spark, sf_dir), out_dir=_scratch(spark, "job"))
+
+
+# ---- C9: fact tables standardised ------------------------------------------
+
+@register("std_fact_housing")
+def std_fact_housing(spark, sf_dir):
+    return crosswalks.standardise_fact_table(_h(spark, sf_dir), "housing")
+
+
+@register("std_fact_affordable")
+def std_fact_affordable(spark, sf_dir):
+    """The buildings table in its CSV spelling (spaces in names become underscores)."""
+    a = _a(spark, sf_dir).withColumnsRenamed({"community_district": "Community_Board",
+                                              "council_district": "Council_District",
+                                              "census_tract": "Census_Tract"})
+    return crosswalks.standardise_fact_table(a, "affordable")
+
+
+@register("std_fact_school")
+def std_fact_school(spark, sf_dir):
+    return crosswalks.standardise_fact_table(standins.school_capacity(spark, sf_dir), "school")
+
+
+@register("std_fact_transit")
+def std_fact_transit(spark, sf_dir):
+    return crosswalks.standardise_fact_table(standins.transit_access(spark, sf_dir), "transit")

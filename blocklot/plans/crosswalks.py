@@ -33,6 +33,21 @@ def intersects_crosswalk(areas: DataFrame, zones: DataFrame, area_name: str = "a
     return pairs.select(F.col("lkey").alias(area_name), F.col("rkey").alias(zone_name)).distinct()
 
 
+# Raw key column names of the four fact tables and their standard names.
+FACT_RENAMES = {
+    "housing": {"CommntyDst": "community_district", "CouncilDst": "council_district", "CenTract20": "census_tract"},
+    "affordable": {"Community_Board": "community_district", "Council_District": "council_district",
+                   "Census_Tract": "census_tract"},
+    "school": {"Geo_Dist": "school_district"},
+    "transit": {"Census_ID": "census_tract"},
+}
+
+
+def standardise_fact_table(df: DataFrame, kind: str) -> DataFrame:
+    """Rename a fact table's key columns and standardise them by name."""
+    return standardise_crosswalk(df, FACT_RENAMES[kind])
+
+
 def standardise_crosswalk(df: DataFrame, rename_map: dict[str, str]) -> DataFrame:
     """Rename, then apply the standardiser whose key name appears in each column name."""
     df = rel.rename_columns(df, rename_map)

@@ -535,3 +535,26 @@ ORACLE_SQL["preview_transposed"] = _with(HOUSING_FX, HOUSING_CLEAN) + \
     ", first_job AS (SELECT * FROM housing_clean ORDER BY Job_ID LIMIT 1)\n" + "\nUNION ALL\n".join(
         f"SELECT {i} AS position, '{c}' AS column, CAST({c} AS VARCHAR) AS value FROM first_job"
         for i, c in enumerate(_CLEAN_JOB_COLUMNS))
+
+# ---- C9 --------------------------------------------------------------------
+
+ORACLE_SQL["std_fact_housing"] = BASE + f"""
+SELECT Job_ID, CAST(trunc(CommntyDst) AS BIGINT) AS community_district,
+ CAST(trunc(CouncilDst) AS BIGINT) AS council_district,
+ {_tract_from_text("CAST(CAST(trunc(CenTract20) AS BIGINT) AS VARCHAR)")} AS census_tract,
+ BBL, CompltYear, PermitYear, ClassANet, ZoningDst1, FloorsProp
+FROM housing_fx"""
+ORACLE_SQL["std_fact_affordable"] = BASE + f"""
+SELECT Project_ID, BBL, {_board('community_district')} AS community_district,
+ CAST(trunc(council_district) AS BIGINT) AS council_district,
+ {_tract_from_text("CAST(CAST(trunc(census_tract) AS BIGINT) AS VARCHAR)")} AS census_tract,
+ Project_Completion_Date, Reporting_Construction_Type, All_Counted_Units
+FROM affordable_fx"""
+ORACLE_SQL["std_fact_school"] = """
+SELECT s_suppkey AS School_ID, 1 + s_suppkey % 32 AS school_district, 500 + (s_suppkey * 37) % 700 AS Org_Target_Cap,
+ 400 + (s_suppkey * 53) % 800 AS Org_Enroll
+FROM supplier"""
+ORACLE_SQL["std_fact_transit"] = f"""
+SELECT {_tract_from_text(_strip("(CASE p_partkey % 5 WHEN 0 THEN '36005' WHEN 1 THEN '36047' WHEN 2 THEN '36061' WHEN 3 THEN '36081' ELSE '36085' END || lpad(CAST(100 * (1 + p_partkey % 900) + p_partkey % 3 AS VARCHAR), 6, '0'))"))} AS census_tract,
+ p_retailprice AS Transit_Score
+FROM part"""

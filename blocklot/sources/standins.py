@@ -119,3 +119,15 @@ def community_to_tract(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(F.col("BoroCD") % 11 == 0, _null_double())
          .otherwise((F.col("BoroCD") * 211).cast("double")).alias("CT2020"),
     )
+
+
+def transit_access(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Transit access per census tract: 11-digit text census ids, one row per part."""
+    p = read_table(spark, sf_dir, "part")
+    k = F.col("p_partkey")
+    county = F.when(k % 5 == 0, "36005").when(k % 5 == 1, "36047").when(k % 5 == 2, "36061") \
+        .when(k % 5 == 3, "36081").otherwise("36085")
+    return p.select(
+        F.concat(county, F.lpad((100 * (1 + k % 900) + k % 3).cast("string"), 6, "0")).alias("Census_ID"),
+        F.col("p_retailprice").alias("Transit_Score"),
+    )
