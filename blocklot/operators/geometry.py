@@ -165,12 +165,38 @@ def _cell_range(lo: Column, hi: Column, g: float) -> Column:
     return F.sequence(_cell(lo, g), _cell(hi, g))
 
 
-def suggest_cell_size(parts: DataFrame) -> float:
-    """Median of the larger box side over the layer: most polygons touch a few cells."""
+MAX_POLYGONS_PER_CELL = 64
+MAX_HALVINGS = 6
+
+
+def busiest_cell(parts: DataFrame, g: float) -> int:
+    """Most polygon parts whose box covers a single cell of size ``g``."""
+    box = outer_box(F.col("rings"))
+    cells = (parts.select(box.alias("b"))
+             .select("b", F.explode(_cell_range(F.col("b.minx"), F.col("b.maxx"), g)).alias("cx"))
+             .select("cx", F.explode(_cell_range(F.col("b.miny"), F.col("b.maxy"), g)).alias("cy")))
+    row = cells.groupBy("cx", "cy").count().agg(F.max("count").alias("m")).first()
+    return int(row["m"] or 0)
+
+
+def suggest_cell_size(parts: DataFrame, max_per_cell: int = MAX_POLYGONS_PER_CELL) -> float:
+    """Cell size for the grid index.
+
+    Start from the median of the larger box side (most polygons touch a few
+    cells), then halve it while some cell is covered by more than
+    ``max_per_cell`` polygon boxes, so every index row holds a bounded list.
+    Polygons that overlap each other at one spot cannot be separated by any
+    cell size; halving stops after ``MAX_HALVINGS`` steps.
+    """
     box = outer_box(F.col("rings"))
     side = F.greatest(box["maxx"] - box["minx"], box["maxy"] - box["miny"])
     value = parts.agg(F.percentile_approx(side, 0.5).alias("g")).first()["g"]
-    return float(value) if value and value > 0 else 1.0
+    g = float(value) if value and value > 0 else 1.0
+    for _ in range(MAX_HALVINGS):
+        if busiest_cell(parts, g) <= max_per_cell:
+            break
+        g /= 2
+    return g
 
 
 def cell_index(parts: DataFrame, g: float) -> DataFrame:

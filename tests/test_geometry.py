@@ -108,3 +108,14 @@ def test_index_size_bound_covers_index(spark, zones):
     index = geo.cell_index(zones, g)
     entries = index.selectExpr("explode(polys) p").selectExpr("size(p.edges) n").collect()
     assert bound >= len(entries) * geo.INDEX_ENTRY_BYTES + sum(r.n for r in entries) * geo.INDEX_EDGE_BYTES
+
+
+def test_cell_size_halves_for_dense_cells(spark):
+    # 100 tiny squares inside one 1x1 area plus large squares elsewhere.
+    tiny = [(i, 0, [_ring((i % 10 * 0.1, i // 10 * 0.1), (i % 10 * 0.1 + 0.05, i // 10 * 0.1),
+                          (i % 10 * 0.1 + 0.05, i // 10 * 0.1 + 0.05), (i % 10 * 0.1, i // 10 * 0.1 + 0.05))])
+            for i in range(100)]
+    big = [(1000 + i, 0, [_ring((10 * i, 50), (10 * i + 8, 50), (10 * i + 8, 58), (10 * i, 58))]) for i in range(150)]
+    layer = spark.createDataFrame(tiny + big, "key bigint, part int, rings array<array<array<double>>>")
+    g = geo.suggest_cell_size(layer, max_per_cell=16)
+    assert geo.busiest_cell(layer, g) <= 16
