@@ -169,31 +169,44 @@ MAX_POLYGONS_PER_CELL = 64
 MAX_HALVINGS = 6
 
 
-def busiest_cell(parts: DataFrame, g: float) -> int:
-    """Most polygon parts whose box covers a single cell of size ``g``."""
-    box = outer_box(F.col("rings"))
-    cells = (parts.select(box.alias("b"))
-             .select("b", F.explode(_cell_range(F.col("b.minx"), F.col("b.maxx"), g)).alias("cx"))
-             .select("cx", F.explode(_cell_range(F.col("b.miny"), F.col("b.maxy"), g)).alias("cy")))
-    row = cells.groupBy("cx", "cy").count().agg(F.max("count").alias("m")).first()
+def _tagged_boxes(layers: list[DataFrame]) -> DataFrame:
+    boxes = None
+    for i, parts in enumerate(layers):
+        one = parts.select(F.lit(i).alias("layer"), outer_box(F.col("rings")).alias("b"))
+        boxes = one if boxes is None else boxes.unionByName(one)
+    return boxes
+
+
+def busiest_cell(parts: DataFrame | list[DataFrame], g: float) -> int:
+    """Most polygon parts of one layer whose boxes cover a single cell of size ``g``."""
+    layers = parts if isinstance(parts, list) else [parts]
+    cells = (_tagged_boxes(layers)
+             .select("layer", "b", F.explode(_cell_range(F.col("b.minx"), F.col("b.maxx"), g)).alias("cx"))
+             .select("layer", "cx", F.explode(_cell_range(F.col("b.miny"), F.col("b.maxy"), g)).alias("cy")))
+    row = cells.groupBy("layer", "cx", "cy").count().agg(F.max("count").alias("m")).first()
     return int(row["m"] or 0)
 
 
-def suggest_cell_size(parts: DataFrame, max_per_cell: int = MAX_POLYGONS_PER_CELL) -> float:
-    """Cell size for the grid index.
+def suggest_cell_size(parts: DataFrame | list[DataFrame], max_per_cell: int = MAX_POLYGONS_PER_CELL) -> float:
+    """Cell size for the grid index (of one layer, or shared by several).
 
-    Start from the median of the larger box side (most polygons touch a few
+    Start from the smallest of the layers' median larger box sides (most
+    polygons touch a few cells, and edges of two layers meet in few-edge
     cells), then halve it while some cell is covered by more than
-    ``max_per_cell`` polygon boxes, so every index row holds a bounded list.
-    Polygons that overlap each other at one spot cannot be separated by any
-    cell size; halving stops after ``MAX_HALVINGS`` steps.
+    ``max_per_cell`` boxes of one layer, so every index row holds a bounded
+    list. Polygons that overlap each other at one spot cannot be separated by
+    any cell size; halving stops after ``MAX_HALVINGS`` steps.
     """
-    box = outer_box(F.col("rings"))
+    layers = parts if isinstance(parts, list) else [parts]
+    box = F.col("b")
     side = F.greatest(box["maxx"] - box["minx"], box["maxy"] - box["miny"])
-    value = parts.agg(F.percentile_approx(side, 0.5).alias("g")).first()["g"]
-    g = float(value) if value and value > 0 else 1.0
+    medians = _tagged_boxes(layers).agg(*[
+        F.percentile_approx(F.when(F.col("layer") == i, side), 0.5).alias(f"g{i}") for i in range(len(layers))
+    ]).first()
+    values = [float(v) for v in medians if v is not None and v > 0]
+    g = min(values) if values else 1.0
     for _ in range(MAX_HALVINGS):
-        if busiest_cell(parts, g) <= max_per_cell:
+        if busiest_cell(layers, g) <= max_per_cell:
             break
         g /= 2
     return g
@@ -278,7 +291,7 @@ def polygons_intersecting(left: DataFrame, right: DataFrame, g: float | None = N
 
     A left polygon touching nothing keeps one row with a NULL right key.
     """
-    g = g or suggest_cell_size(right)
+    g = g or suggest_cell_size([left, right])
     le = _edge_cells(edges(left).select(F.col("key").alias("lkey"), "x1", "y1", "x2", "y2"), g)
     re = _edge_cells(edges(right).select(F.col("key").alias("rkey"), "x1", "y1", "x2", "y2"), g).select(
         "rkey", "cx", "cy", F.col("x1").alias("u1"), F.col("y1").alias("v1"),

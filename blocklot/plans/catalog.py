@@ -19,7 +19,7 @@ from ..operators import geometry as geo
 from ..operators import preview, profile
 from ..operators import relational as rel
 from ..session import scratch_path
-from ..sources import geojson, ingest, layers, standins, tables
+from ..sources import geojson, ingest, standins, tables
 from ..sources.tables import read_table
 from . import housing as H
 from . import crosswalks, school
@@ -278,19 +278,19 @@ def zscore_outliers(spark, sf_dir):
 @register("polygon_centroid")
 def polygon_centroid(spark, sf_dir):
     """Area and area-weighted centroid of every area polygon."""
-    return geo.centroids(layers.area_layer(spark, sf_dir))
+    return geo.centroids(ingest.area_layer(spark, sf_dir))
 
 
 @register("crosswalk_within")
 def crosswalk_within(spark, sf_dir):
     """Area -> zone by centroid within (left join, distinct pairs)."""
-    return crosswalks.centroid_crosswalk(layers.area_layer(spark, sf_dir), layers.zone_layer(spark, sf_dir))
+    return crosswalks.centroid_crosswalk(ingest.area_layer(spark, sf_dir), ingest.zone_layer(spark, sf_dir))
 
 
 @register("crosswalk_intersects")
 def crosswalk_intersects(spark, sf_dir):
     """Area -> zone for every touching or overlapping pair (left join)."""
-    return crosswalks.intersects_crosswalk(layers.area_layer(spark, sf_dir), layers.zone_layer(spark, sf_dir))
+    return crosswalks.intersects_crosswalk(ingest.area_layer(spark, sf_dir), ingest.zone_layer(spark, sf_dir))
 
 
 @register("crosswalk_standardize")
@@ -315,8 +315,8 @@ def _scratch(spark, name: str) -> str:
 def geojson_roundtrip(spark, sf_dir):
     """Both layers written as GeoJSON, the folder read back as vertices."""
     folder = _scratch(spark, "geojson")
-    geojson.write_layers({"areas": layers.area_layer(spark, sf_dir),
-                          "zones": layers.zone_layer(spark, sf_dir)}, folder)
+    geojson.write_layers({"areas": ingest.area_layer(spark, sf_dir),
+                          "zones": ingest.zone_layer(spark, sf_dir)}, folder)
     return geojson.vertices(geojson.read_layers(spark, f"{folder}/*.geojson"))
 
 

@@ -1,7 +1,7 @@
 """The raw (ingest) layer: stand-in source tables written once as parquet.
 
-The pipelines read raw housing tables the way the source job reads its
-warehouse ``ingest`` dataset. Here those tables are derived from the driver
+The pipelines read raw housing tables (and polygon layers) the way the
+source job reads its warehouse ``ingest`` dataset and its boundary files. Here those tables are derived from the driver
 tables by a Spark job and written once per application into the shared
 scratch folder; every query then scans plain parquet columns (column
 pruning, predicate pushdown and small generated code, instead of re-deriving
@@ -28,6 +28,8 @@ DERIVATIONS: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "housing_jobs": standins.housing_jobs,
     "affordable_buildings": standins.affordable_buildings,
     "raw_keys": messy.raw_keys,
+    "area_layer": layers.area_layer,
+    "zone_layer": layers.zone_layer,
 }
 
 
@@ -62,4 +64,12 @@ def raw_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ingest_table(spark, sf_dir, "raw_keys")
 
 
-__all__ = ["ingest_table", "housing_jobs", "affordable_buildings", "raw_keys", "layers"]
+def area_layer(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ingest_table(spark, sf_dir, "area_layer")
+
+
+def zone_layer(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ingest_table(spark, sf_dir, "zone_layer")
+
+
+__all__ = ["ingest_table", "housing_jobs", "affordable_buildings", "raw_keys", "area_layer", "zone_layer"]
