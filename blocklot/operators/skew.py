@@ -35,9 +35,7 @@ def hot_keys(df: DataFrame, keys: Sequence[str], rows_per_task: int = HOT_KEY_RO
         *keys, F.ceil(F.col("__rows") / F.lit(rows_per_task)).cast("int").alias("__splits"))
 
 
-def _with_splits(df: DataFrame, hot: DataFrame, df_keys: Sequence[str], hot_names: Sequence[str],
-                 null_safe: bool) -> DataFrame:
-    h = F.broadcast(hot.select(*[F.col(k).alias(f"__hot{i}") for i, k in enumerate(hot_names)], "__splits"))
+def _with_splits(df: DataFrame, h: DataFrame, df_keys: Sequence[str], null_safe: bool) -> DataFrame:
     cond = None
     for i, k in enumerate(df_keys):
         term = F.col(k).eqNullSafe(F.col(f"__hot{i}")) if null_safe else F.col(k) == F.col(f"__hot{i}")
@@ -54,10 +52,11 @@ def salt_sides(left: DataFrame, right: DataFrame, left_keys: Sequence[str], righ
     result with each hot key of ``left`` spread over several tasks.
     """
     hot = hot_keys(left, left_keys, rows_per_task)
-    lsalted = _with_splits(left, hot, left_keys, left_keys, null_safe)
+    h = F.broadcast(hot.select(*[F.col(k).alias(f"__hot{i}") for i, k in enumerate(left_keys)], "__splits"))
+    lsalted = _with_splits(left, h, left_keys, null_safe)
     lsalted = lsalted.select(*left.columns, F.pmod(F.xxhash64(*[F.col(c) for c in left.columns]),
                                                    F.col("__splits")).cast("int").alias("__lsalt"))
-    rsalted = _with_splits(right, hot, right_keys, left_keys, null_safe)
+    rsalted = _with_splits(right, h, right_keys, null_safe)
     rsalted = rsalted.select(*right.columns,
                              F.explode(F.sequence(F.lit(0), F.col("__splits") - 1)).alias("__rsalt"))
     return lsalted, rsalted
