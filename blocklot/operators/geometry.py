@@ -281,6 +281,33 @@ def points_in_polygons(points: DataFrame, parts: DataFrame, boundary: bool = Fal
     return looked.select(F.col("pkey").alias(point_key), F.explode_outer(keys).alias("polygon_key"))
 
 
+MAX_EDGES_PER_CELL = 256
+
+
+def busiest_edge_cell(left_edges: DataFrame, right_edges: DataFrame, g: float) -> int:
+    """Most edges of one layer whose boxes touch a single cell of size ``g``."""
+    tagged = (left_edges.select(F.lit(0).alias("layer"), "x1", "y1", "x2", "y2")
+              .unionByName(right_edges.select(F.lit(1).alias("layer"), "x1", "y1", "x2", "y2")))
+    cells = _edge_cells(tagged, g)
+    row = cells.groupBy("layer", "cx", "cy").count().agg(F.max("count").alias("m")).first()
+    return int(row["m"] or 0)
+
+
+def edge_cell_size(left_edges: DataFrame, right_edges: DataFrame, g: float,
+                   max_per_cell: int = MAX_EDGES_PER_CELL) -> float:
+    """Halve ``g`` while a cell holds more than ``max_per_cell`` edges of one layer.
+
+    The edge join tests the pairs of edges that share a cell, so this bounds
+    the pairs per cell by ``max_per_cell ** 2`` (up to ``MAX_HALVINGS`` steps;
+    long edges then touch more cells, which is linear in their length).
+    """
+    for _ in range(MAX_HALVINGS):
+        if busiest_edge_cell(left_edges, right_edges, g) <= max_per_cell:
+            break
+        g /= 2
+    return g
+
+
 def _edge_cells(e: DataFrame, g: float) -> DataFrame:
     return (e.select("*", F.explode(_cell_range(F.least("x1", "x2"), F.greatest("x1", "x2"), g)).alias("cx"))
             .select("*", F.explode(_cell_range(F.least("y1", "y2"), F.greatest("y1", "y2"), g)).alias("cy")))
@@ -292,8 +319,11 @@ def polygons_intersecting(left: DataFrame, right: DataFrame, g: float | None = N
     A left polygon touching nothing keeps one row with a NULL right key.
     """
     g = g or suggest_cell_size([left, right])
-    le = _edge_cells(edges(left).select(F.col("key").alias("lkey"), "x1", "y1", "x2", "y2"), g)
-    re = _edge_cells(edges(right).select(F.col("key").alias("rkey"), "x1", "y1", "x2", "y2"), g).select(
+    left_edges = edges(left).select(F.col("key").alias("lkey"), "x1", "y1", "x2", "y2")
+    right_edges = edges(right).select(F.col("key").alias("rkey"), "x1", "y1", "x2", "y2")
+    ge = edge_cell_size(left_edges, right_edges, g)
+    le = _edge_cells(left_edges, ge)
+    re = _edge_cells(right_edges, ge).select(
         "rkey", "cx", "cy", F.col("x1").alias("u1"), F.col("y1").alias("v1"),
         F.col("x2").alias("u2"), F.col("y2").alias("v2"))
     a = {"x1": F.col("x1"), "y1": F.col("y1"), "x2": F.col("x2"), "y2": F.col("y2")}

@@ -119,3 +119,20 @@ def test_cell_size_halves_for_dense_cells(spark):
     layer = spark.createDataFrame(tiny + big, "key bigint, part int, rings array<array<array<double>>>")
     g = geo.suggest_cell_size(layer, max_per_cell=16)
     assert geo.busiest_cell(layer, g) <= 16
+
+
+def test_edge_grid_halves_for_dense_edges(spark):
+    # A 200-vertex polygon inside one small box: its edges crowd one cell.
+    import math
+    ring = [[float(5 + 4 * math.cos(2 * math.pi * i / 200)), float(5 + 4 * math.sin(2 * math.pi * i / 200))]
+            for i in range(200)]
+    ring.append(ring[0])
+    dense = spark.createDataFrame([(1, 0, [ring])], "key bigint, part int, rings array<array<array<double>>>")
+    square = spark.createDataFrame([(2, 0, [_ring((0, 0), (10, 0), (10, 10), (0, 10))])],
+                                   "key bigint, part int, rings array<array<array<double>>>")
+    de = geo.edges(dense).select("x1", "y1", "x2", "y2")
+    se = geo.edges(square).select("x1", "y1", "x2", "y2")
+    g = geo.edge_cell_size(de, se, 10.0, max_per_cell=32)
+    assert g < 10.0 and geo.busiest_edge_cell(de, se, g) <= 32
+    pairs = {(r.lkey, r.rkey) for r in geo.polygons_intersecting(dense, square, g=10.0).collect()}
+    assert pairs == {(1, 2)}
