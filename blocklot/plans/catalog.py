@@ -106,12 +106,19 @@ def _rollup_input(spark, sf_dir):
 
 @register("units_rollup_5dim")
 def units_rollup_5dim(spark, sf_dir):
+    """5-key roll-up of the lot+year join, from per-key aggregates (no pairs built)."""
+    return H.units_rollup_from_sources(_h(spark, sf_dir), _a(spark, sf_dir))
+
+
+@register("units_rollup_join_form")
+def units_rollup_join_form(spark, sf_dir):
+    """C6 over the built C5 rows, as the source job does (cross-check)."""
     return H.units_rollup(_rollup_input(spark, sf_dir))
 
 
 @register("units_rollup_total")
 def units_rollup_total(spark, sf_dir):
-    return H.units_rollup_totals(H.units_rollup(_rollup_input(spark, sf_dir)))
+    return H.units_rollup_totals(H.units_rollup_from_sources(_h(spark, sf_dir), _a(spark, sf_dir)))
 
 
 @register("council_cross_join")
@@ -228,7 +235,7 @@ def sample_rows(spark, sf_dir):
 @register("units_rollup_sorted")
 def units_rollup_sorted(spark, sf_dir):
     """L4: the roll-up in key order."""
-    return H.units_rollup(_rollup_input(spark, sf_dir), order=True)
+    return H.units_rollup_from_sources(_h(spark, sf_dir), _a(spark, sf_dir), order=True)
 
 
 # ---- profiling -------------------------------------------------------------

@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from ..functions import dates, keys
 from ..operators import aggregates as agg
 from ..operators import relational as rel
-from ..operators.skew import HOT_KEY_ROWS
+from ..operators.skew import HOT_KEY_ROWS, salted_join
 from ..sources.tables import replace_table
 
 JOIN_KEYS = ["community_district", "council_district", "BBL"]
@@ -170,6 +170,28 @@ def units_rollup(merged: DataFrame, order: bool = False) -> DataFrame:
     return agg.group_sums(merged, ROLLUP_KEYS, ROLLUP_SUMS, order=order)
 
 
+def units_rollup_from_sources(housing: DataFrame, affordable: DataFrame, order: bool = False) -> DataFrame:
+    """C6 over the C5 join, without building the job x building pairs.
+
+    The buildings are reduced to one row per (lot, year) with their count
+    ``m`` and units ``U``; each completed job meets that row once (a
+    many-to-one join, salted for hot keys), standing for ``max(m, 1)`` joined
+    rows with ``ClassANet`` each and ``U`` units in total. Equal to
+    ``units_rollup(join_by_lot_year(standardise_job_keys(housing), affordable))``.
+    """
+    jobs = prepare_completed_jobs(standardise_job_keys(housing)).select(
+        "BBL", "year_of_completion", *[k for k in ROLLUP_KEYS if k != "year_of_completion"], "ClassANet")
+    jobs = rel.drop_null_keys(jobs, ROLLUP_KEYS)
+    per_key = prepare_new_construction(affordable).groupBy("BBL", "year_of_completion").agg(
+        F.count(F.lit(1)).alias("__m"), agg.zero_sum("All_Counted_Units").alias("__u"))
+    met = salted_join(jobs, per_key, ["BBL", "year_of_completion"], how="left", null_safe=True)
+    fan = F.greatest(F.coalesce(F.col("__m"), F.lit(0)), F.lit(1))
+    out = met.groupBy(*ROLLUP_KEYS).agg(
+        agg.zero_sum(F.col("ClassANet") * fan).alias("ClassANet_sum"),
+        agg.zero_sum(F.col("__u")).alias("AllCountedUnits_sum"))
+    return out.orderBy(*ROLLUP_KEYS) if order else out
+
+
 def units_rollup_totals(rollup: DataFrame) -> DataFrame:
     """Grand totals of the roll-up table."""
     return agg.grand_totals(rollup, list(ROLLUP_SUMS))

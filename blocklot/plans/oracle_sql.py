@@ -271,6 +271,7 @@ SELECT j.* FROM jobs j WHERE NOT EXISTS (
   AND j.year_of_completion IS NOT DISTINCT FROM k.year_of_completion)""",
     "units_rollup_5dim": _rollup_sql("SELECT * FROM rollup"),
     "units_rollup_sorted": _rollup_sql("SELECT * FROM rollup"),
+    "units_rollup_join_form": _rollup_sql("SELECT * FROM rollup"),
     "units_rollup_total": _rollup_sql(
         "SELECT coalesce(sum(ClassANet_sum), 0) AS ClassANet_sum, "
         "coalesce(sum(AllCountedUnits_sum), 0) AS AllCountedUnits_sum FROM rollup"),

@@ -108,3 +108,11 @@ def test_whole_job_with_written_stages(spark, sf_dir):
     import uuid
     out = H.run_housing_job(_h(spark, sf_dir), _a(spark, sf_dir), out_dir=scratch_path(spark, "t", uuid.uuid4().hex))
     assert tuple(out.first()) == (19306, 267256.0, 583452.0)
+
+
+def test_rollup_forms_agree(spark, sf_dir):
+    h, a = _h(spark, sf_dir), _a(spark, sf_dir)
+    pre = H.units_rollup_from_sources(h, a)
+    pairs = H.units_rollup(H.join_by_lot_year(H.standardise_job_keys(h), a))
+    assert pre.count() == pairs.count()
+    assert pre.exceptAll(pairs.select(*pre.columns)).count() == 0
