@@ -129,7 +129,7 @@ def key_join(left: DataFrame, right: DataFrame, on: Sequence[str] | None = None,
         cond = term if cond is None else cond & term
     if skew_rows:
         la, ra = salt_sides(la, ra, [f"__l{lidx[k]}" for k in left_keys], [f"__r{ridx[k]}" for k in right_keys],
-                            null_safe, skew_rows)
+                            rows_per_task=skew_rows)
         cond = cond & (F.col("__lsalt") == F.col("__rsalt"))
     if broadcast_right:
         ra = F.broadcast(ra)

@@ -35,17 +35,19 @@ def hot_keys(df: DataFrame, keys: Sequence[str], rows_per_task: int = HOT_KEY_RO
         *keys, F.ceil(F.col("__rows") / F.lit(rows_per_task)).cast("int").alias("__splits"))
 
 
-def _with_splits(df: DataFrame, h: DataFrame, df_keys: Sequence[str], null_safe: bool) -> DataFrame:
+def _with_splits(df: DataFrame, h: DataFrame, df_keys: Sequence[str]) -> DataFrame:
+    # Null-safe on purpose: a hot group of NULL keys is spread too, even in a
+    # join where NULL matches nothing (the salt never changes which rows meet).
     cond = None
     for i, k in enumerate(df_keys):
-        term = F.col(k).eqNullSafe(F.col(f"__hot{i}")) if null_safe else F.col(k) == F.col(f"__hot{i}")
+        term = F.col(k).eqNullSafe(F.col(f"__hot{i}"))
         cond = term if cond is None else cond & term
     joined = df.join(h, cond, "left")
     return joined.select(*df.columns, F.coalesce(F.col("__splits"), F.lit(1)).alias("__splits"))
 
 
 def salt_sides(left: DataFrame, right: DataFrame, left_keys: Sequence[str], right_keys: Sequence[str],
-               null_safe: bool = False, rows_per_task: int = HOT_KEY_ROWS):
+               rows_per_task: int = HOT_KEY_ROWS):
     """Add ``__lsalt`` to ``left`` and ``__rsalt`` to ``right`` (right rows of hot keys repeated).
 
     Joining on the keys plus ``__lsalt == __rsalt`` gives the plain join's
@@ -53,10 +55,10 @@ def salt_sides(left: DataFrame, right: DataFrame, left_keys: Sequence[str], righ
     """
     hot = hot_keys(left, left_keys, rows_per_task)
     h = F.broadcast(hot.select(*[F.col(k).alias(f"__hot{i}") for i, k in enumerate(left_keys)], "__splits"))
-    lsalted = _with_splits(left, h, left_keys, null_safe)
+    lsalted = _with_splits(left, h, left_keys)
     lsalted = lsalted.select(*left.columns, F.pmod(F.xxhash64(*[F.col(c) for c in left.columns]),
                                                    F.col("__splits")).cast("int").alias("__lsalt"))
-    rsalted = _with_splits(right, h, right_keys, null_safe)
+    rsalted = _with_splits(right, h, right_keys)
     rsalted = rsalted.select(*right.columns,
                              F.explode(F.sequence(F.lit(0), F.col("__splits") - 1)).alias("__rsalt"))
     return lsalted, rsalted
@@ -70,7 +72,7 @@ def salted_join(big: DataFrame, other: DataFrame, keys: Sequence[str], how: str
     "left_semi", "left_anti"). Shared key columns appear once, from ``big``.
     """
     renamed = other.select(*[F.col(c).alias(f"__o_{c}") for c in other.columns])
-    b, o = salt_sides(big, renamed, keys, [f"__o_{k}" for k in keys], null_safe, rows_per_task)
+    b, o = salt_sides(big, renamed, keys, [f"__o_{k}" for k in keys], rows_per_task=rows_per_task)
     cond = F.col("__lsalt") == F.col("__rsalt")
     for k in keys:
         left, right = F.col(k), F.col(f"__o_{k}")

@@ -1,7 +1,6 @@
 """Key and year standardisers, case by case (text and numeric inputs)."""
 
 import pytest
-from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StringType
 
 from blocklot.functions import dates, keys

@@ -103,3 +103,17 @@ def test_aqe_alone_leaves_aggregate_join_unsplit(spark, skew_conf):
     plain.collect()
     plan = plain._jdf.queryExecution().executedPlan().toString()
     assert "SortMergeJoin" in plan and "skew=true" not in plan
+
+
+def test_hot_null_keys_are_spread(spark):
+    from blocklot.operators.skew import salt_sides
+    left = spark.range(3000).select(F.when(F.col("id") % 2 == 0, F.lit(None)).otherwise(F.col("id") % 7)
+                                    .cast("bigint").alias("k"), F.col("id").alias("v"))
+    right = spark.range(10).select(F.col("id").alias("k"), F.col("id").alias("w"))
+    ls, _ = salt_sides(left, right, ["k"], ["k"], rows_per_task=100)
+    assert ls.where("k is null").select("__lsalt").distinct().count() > 1
+    from blocklot.operators.skew import salted_join
+    salted = salted_join(left, right, ["k"], how="left", rows_per_task=100)
+    plain = left.join(right, "k", "left")
+    assert salted.exceptAll(plain.select(*salted.columns)).count() == 0
+    assert plain.select(*salted.columns).exceptAll(salted).count() == 0
