@@ -39,3 +39,21 @@ def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
     target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
     current = df._jdf.rdd().getNumPartitions()
     return df.repartition(target) if current < target else df
+
+
+def lookup_join(big: DataFrame, dim: DataFrame, big_key: str, dim_key: str,
+                max_bytes: int = DEFAULT_BROADCAST_BYTES) -> DataFrame:
+    """Left join of a fact table to a dimension on ``big_key == dim_key`` (both columns kept).
+
+    The dimension is broadcast when its estimated size is at most
+    ``max_bytes``; beyond that it is a salted shuffle join, so a fact key
+    holding a large share of the rows is still split over several tasks
+    (a dimension built by an aggregate is not covered by AQE's skew split).
+    """
+    if estimated_bytes(dim) <= max_bytes:
+        return big.join(F.broadcast(dim), big[big_key] == dim[dim_key], "left")
+    from .skew import salted_join
+    key_type = big.schema[big_key].dataType
+    left = big.withColumn("__lookup", F.col(big_key))
+    right = dim.withColumn("__lookup", F.col(dim_key).cast(key_type))
+    return salted_join(left, right, ["__lookup"], how="left").drop("__lookup")

@@ -30,3 +30,13 @@ def test_dimension_tables_broadcast(spark, sf_dir):
                              standins.school_capacity(spark, sf_dir))
     q.collect()
     assert _plan(q).count("BroadcastHashJoin") >= 2
+
+
+def test_school_bridge_without_broadcast_equals_broadcast(spark, sf_dir):
+    h = ingest.housing_jobs(spark, sf_dir)
+    xw, sc = standins.community_to_school(spark, sf_dir), standins.school_capacity(spark, sf_dir)
+    small = school.school_bridge(h, xw, sc)
+    big = school.school_bridge(h, xw, sc, max_broadcast_bytes=0)
+    assert sorted(big.columns) == sorted(small.columns)
+    assert big.exceptAll(small.select(*big.columns)).count() == 0
+    assert small.select(*big.columns).exceptAll(big).count() == 0
