@@ -34,6 +34,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .joins import DEFAULT_BROADCAST_BYTES
+from .skew import salted_join
 
 EDGE_FIELDS = "struct<x1:double,y1:double,x2:double,y2:double>"
 
@@ -263,16 +264,19 @@ def points_in_polygons(points: DataFrame, parts: DataFrame, boundary: bool = Fal
     one row with a NULL polygon key. ``boundary=False`` is *within* (a point
     on an edge is outside), ``True`` is *covers*. The index is broadcast only
     when ``index_size_bound`` proves it small; otherwise points and index are
-    both shuffled on the cell (AQE splits a cell holding a large share of the
-    points into several tasks).
+    both shuffled on the cell, with a cell holding many points split over
+    several tasks (``skew.salted_join``).
     """
     g = g or suggest_cell_size(parts)
     index = cell_index(parts, g)
-    if index_size_bound(parts, g) <= max_broadcast_bytes:
-        index = F.broadcast(index)
     located = points.select(F.col(point_key).alias("pkey"), "px", "py",
                             _cell(F.col("px"), g).alias("cx"), _cell(F.col("py"), g).alias("cy"))
-    looked = located.join(index, ["cx", "cy"], "left")
+    if index_size_bound(parts, g) <= max_broadcast_bytes:
+        looked = located.join(F.broadcast(index), ["cx", "cy"], "left")
+    else:
+        # Index rows are one per cell (an aggregate), which AQE's skew split
+        # does not cover: a cell holding many points is salted explicitly.
+        looked = salted_join(located, index, ["cx", "cy"], how="left")
     px, py = F.col("px"), F.col("py")
     hits = F.filter(F.coalesce(F.col("polys"), F.array()), lambda p: (
         (px >= p["minx"]) & (px <= p["maxx"]) & (py >= p["miny"]) & (py <= p["maxy"])
