@@ -76,3 +76,19 @@ def vertices(parts: DataFrame) -> DataFrame:
     rings = parts.select("layer", "key", "part", F.posexplode("rings").alias("ring", "r"))
     pts = rings.select("layer", "key", "part", "ring", F.posexplode("r").alias("seq", "p"))
     return pts.select("layer", "key", "part", "ring", "seq", F.col("p")[0].alias("x"), F.col("p")[1].alias("y"))
+
+
+def rings_from_vertices(verts: DataFrame) -> DataFrame:
+    """Inverse of ``vertices``: (layer, key, part, ring, seq, x, y) rows back to
+    one row per part with ``rings`` in ring and vertex order.
+
+    Each ring is gathered within its own group, so a row holds one polygon
+    part, never more.
+    """
+    per_ring = verts.groupBy("layer", "key", "part", "ring").agg(
+        F.array_sort(F.collect_list(F.struct("seq", "x", "y"))).alias("pts"))
+    as_ring = per_ring.select("layer", "key", "part", "ring",
+                              F.transform("pts", lambda p: F.array(p["x"], p["y"])).alias("r"))
+    per_part = as_ring.groupBy("layer", "key", "part").agg(
+        F.array_sort(F.collect_list(F.struct("ring", "r"))).alias("rs"))
+    return per_part.select("layer", "key", "part", F.transform("rs", lambda x: x["r"]).alias("rings"))

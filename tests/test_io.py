@@ -49,3 +49,12 @@ def test_replace_table(spark):
     tables.replace_table(spark.createDataFrame([("x", 2)], "b string, c bigint"), path)
     back = tables.read_replaced(spark, path)
     assert back.columns == ["b", "c"] and [tuple(r) for r in back.collect()] == [("x", 2)]
+
+
+def test_rings_from_vertices_inverts_vertices(spark):
+    layer = spark.createDataFrame(
+        [("zones", 3, 0, [[[0.0, 0.0], [4.0, 0.0], [4.0, 4.0], [0.0, 0.0]], [[1.0, 1.0], [2.0, 1.0], [1.0, 2.0], [1.0, 1.0]]]),
+         ("zones", 4, 1, [[[9.0, 9.0], [8.0, 9.0], [8.0, 8.0], [9.0, 9.0]]])],
+        "layer string, key bigint, part int, rings array<array<array<double>>>")
+    back = geojson.rings_from_vertices(geojson.vertices(layer))
+    assert sorted(map(tuple, back.collect())) == sorted(map(tuple, layer.collect()))
