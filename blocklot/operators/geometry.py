@@ -238,26 +238,37 @@ INDEX_ENTRY_BYTES = 96
 INDEX_EDGE_BYTES = 40
 
 
-def index_size_bound(parts: DataFrame, g: float) -> int:
+def index_size_bound(parts: DataFrame | list[DataFrame], g: float) -> int | list[int]:
     """Exact upper bound (bytes) of ``cell_index(parts, g)``, from one aggregate.
 
     Counts every (cell, polygon) entry of the boxes, and every copy of an
     edge: one per band it spans in each column of its polygon's box. The
-    index holds at most these.
+    index holds at most these. Given a list of layers, returns one bound per
+    layer from a single aggregate.
     """
+    layers = parts if isinstance(parts, list) else [parts]
     box = outer_box(F.col("rings"))
     columns = _cell(box["maxx"], g) - _cell(box["minx"], g) + 1
     cells = columns * (_cell(box["maxy"], g) - _cell(box["miny"], g) + 1)
     per_edge = F.aggregate(F.flatten(F.transform(F.col("rings"), ring_edges)), F.lit(0).cast("bigint"),
                            lambda acc, e: acc + _cell(F.greatest(e["y1"], e["y2"]), g)
                            - _cell(F.least(e["y1"], e["y2"]), g) + 1)
-    row = parts.agg(F.sum(cells).alias("cells"), F.sum(per_edge * columns).alias("edges")).first()
-    return int((row["cells"] or 0) * INDEX_ENTRY_BYTES + (row["edges"] or 0) * INDEX_EDGE_BYTES)
+    tagged = None
+    for i, layer in enumerate(layers):
+        one = layer.select(F.lit(i).alias("layer"), cells.alias("cells"), (per_edge * columns).alias("edges"))
+        tagged = one if tagged is None else tagged.unionByName(one)
+    row = tagged.agg(*[x for i in range(len(layers)) for x in (
+        F.sum(F.when(F.col("layer") == i, F.col("cells"))).alias(f"c{i}"),
+        F.sum(F.when(F.col("layer") == i, F.col("edges"))).alias(f"e{i}"))]).first()
+    bounds = [int((row[f"c{i}"] or 0) * INDEX_ENTRY_BYTES + (row[f"e{i}"] or 0) * INDEX_EDGE_BYTES)
+              for i in range(len(layers))]
+    return bounds if isinstance(parts, list) else bounds[0]
 
 
 def points_in_polygons(points: DataFrame, parts: DataFrame, boundary: bool = False,
                        g: float | None = None, point_key: str = "key",
-                       max_broadcast_bytes: int = DEFAULT_BROADCAST_BYTES) -> DataFrame:
+                       max_broadcast_bytes: int = DEFAULT_BROADCAST_BYTES,
+                       index_bytes: int | None = None) -> DataFrame:
     """Left spatial join: (point key, polygon key) for each polygon containing the point.
 
     ``points`` has ``point_key``, ``px``, ``py``. A point in no polygon gives
@@ -271,7 +282,8 @@ def points_in_polygons(points: DataFrame, parts: DataFrame, boundary: bool = Fal
     index = cell_index(parts, g)
     located = points.select(F.col(point_key).alias("pkey"), "px", "py",
                             _cell(F.col("px"), g).alias("cx"), _cell(F.col("py"), g).alias("cy"))
-    if index_size_bound(parts, g) <= max_broadcast_bytes:
+    bound = index_bytes if index_bytes is not None else index_size_bound(parts, g)
+    if bound <= max_broadcast_bytes:
         looked = located.join(F.broadcast(index), ["cx", "cy"], "left")
     else:
         # Index rows are one per cell (an aggregate), which AQE's skew split
@@ -333,11 +345,12 @@ def polygons_intersecting(left: DataFrame, right: DataFrame, g: float | None = N
     a = {"x1": F.col("x1"), "y1": F.col("y1"), "x2": F.col("x2"), "y2": F.col("y2")}
     b = {"x1": F.col("u1"), "y1": F.col("v1"), "x2": F.col("u2"), "y2": F.col("v2")}
     crossing = le.join(re, ["cx", "cy"]).where(segments_touch(a, b)).select("lkey", "rkey")
+    right_bytes, left_bytes = index_size_bound([right, left], g)
     left_in_right = (points_in_polygons(first_vertices(left).withColumnRenamed("key", "lkey"), right,
-                                        boundary=True, g=g, point_key="lkey")
+                                        boundary=True, g=g, point_key="lkey", index_bytes=right_bytes)
                      .where(F.col("polygon_key").isNotNull()).select("lkey", F.col("polygon_key").alias("rkey")))
     right_in_left = (points_in_polygons(first_vertices(right).withColumnRenamed("key", "rkey"), left,
-                                        boundary=True, g=g, point_key="rkey")
+                                        boundary=True, g=g, point_key="rkey", index_bytes=left_bytes)
                      .where(F.col("polygon_key").isNotNull()).select(F.col("polygon_key").alias("lkey"), "rkey"))
     pairs = crossing.unionByName(left_in_right).unionByName(right_in_left).distinct()
     keys = left.select(F.col("key").alias("lkey")).distinct()
