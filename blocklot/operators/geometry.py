@@ -167,6 +167,7 @@ def _cell_range(lo: Column, hi: Column, g: float) -> Column:
 
 
 MAX_POLYGONS_PER_CELL = 64
+MAX_EDGES_PER_BAND = 1024
 MAX_HALVINGS = 6
 
 
@@ -188,15 +189,34 @@ def busiest_cell(parts: DataFrame | list[DataFrame], g: float) -> int:
     return int(row["m"] or 0)
 
 
-def suggest_cell_size(parts: DataFrame | list[DataFrame], max_per_cell: int = MAX_POLYGONS_PER_CELL) -> float:
+def busiest_band(parts: DataFrame | list[DataFrame], g: float) -> int:
+    """Most edges of one polygon part that span a single horizontal band of height ``g``.
+
+    An index entry carries at most this many edges, so it bounds the ray test
+    each point runs per candidate polygon.
+    """
+    layers = parts if isinstance(parts, list) else [parts]
+    counts = None
+    for i, layer in enumerate(layers):
+        banded = edges(layer).select(F.lit(i).alias("layer"), F.col("key").cast("string").alias("key"), "part", F.explode(
+            _cell_range(F.least("y1", "y2"), F.greatest("y1", "y2"), g)).alias("cy"))
+        counts = banded if counts is None else counts.unionByName(banded)
+    row = counts.groupBy("layer", "key", "part", "cy").count().agg(F.max("count").alias("m")).first()
+    return int(row["m"] or 0)
+
+
+def suggest_cell_size(parts: DataFrame | list[DataFrame], max_per_cell: int = MAX_POLYGONS_PER_CELL,
+                      max_per_band: int = MAX_EDGES_PER_BAND) -> float:
     """Cell size for the grid index (of one layer, or shared by several).
 
     Start from the smallest of the layers' median larger box sides (most
     polygons touch a few cells, and edges of two layers meet in few-edge
     cells), then halve it while some cell is covered by more than
-    ``max_per_cell`` boxes of one layer, so every index row holds a bounded
-    list. Polygons that overlap each other at one spot cannot be separated by
-    any cell size; halving stops after ``MAX_HALVINGS`` steps.
+    ``max_per_cell`` boxes of one layer, or one polygon has more than
+    ``max_per_band`` edges in one band, so every index row holds a bounded
+    list and every point tests a bounded number of edges. Polygons that
+    overlap each other at one spot cannot be separated by any cell size;
+    halving stops after ``MAX_HALVINGS`` steps.
     """
     layers = parts if isinstance(parts, list) else [parts]
     box = F.col("b")
@@ -207,7 +227,7 @@ def suggest_cell_size(parts: DataFrame | list[DataFrame], max_per_cell: int = MA
     values = [float(v) for v in medians if v is not None and v > 0]
     g = min(values) if values else 1.0
     for _ in range(MAX_HALVINGS):
-        if busiest_cell(layers, g) <= max_per_cell:
+        if busiest_cell(layers, g) <= max_per_cell and busiest_band(layers, g) <= max_per_band:
             break
         g /= 2
     return g

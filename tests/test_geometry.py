@@ -136,3 +136,16 @@ def test_edge_grid_halves_for_dense_edges(spark):
     assert g < 10.0 and geo.busiest_edge_cell(de, se, g) <= 32
     pairs = {(r.lkey, r.rkey) for r in geo.polygons_intersecting(dense, square, g=10.0).collect()}
     assert pairs == {(1, 2)}
+
+
+def test_cell_size_halves_for_dense_bands(spark):
+    import math
+    ring = [[float(50 + 40 * math.cos(2 * math.pi * i / 400)), float(50 + 40 * math.sin(2 * math.pi * i / 400))]
+            for i in range(400)]
+    ring.append(ring[0])
+    layer = spark.createDataFrame([(1, 0, [ring])], "key bigint, part int, rings array<array<array<double>>>")
+    g = geo.suggest_cell_size(layer, max_per_band=64)
+    assert geo.busiest_band(layer, g) <= 64
+    pts = spark.createDataFrame([(1, 50.0, 50.0), (2, 95.0, 50.0)], "key bigint, px double, py double")
+    got = {(r.key, r.polygon_key) for r in geo.points_in_polygons(pts, layer, g=g).collect()}
+    assert got == {(1, 1), (2, None)}
