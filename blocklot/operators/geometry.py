@@ -171,10 +171,15 @@ MAX_EDGES_PER_BAND = 1024
 MAX_HALVINGS = 6
 
 
+def _edge_count(rings: Column) -> Column:
+    return F.aggregate(rings, F.lit(0), lambda acc, r: acc + F.greatest(F.size(r) - 1, F.lit(0)))
+
+
 def _tagged_boxes(layers: list[DataFrame]) -> DataFrame:
     boxes = None
     for i, parts in enumerate(layers):
-        one = parts.select(F.lit(i).alias("layer"), outer_box(F.col("rings")).alias("b"))
+        one = parts.select(F.lit(i).alias("layer"), outer_box(F.col("rings")).alias("b"),
+                           _edge_count(F.col("rings")).alias("n_edges"))
         boxes = one if boxes is None else boxes.unionByName(one)
     return boxes
 
@@ -221,13 +226,15 @@ def suggest_cell_size(parts: DataFrame | list[DataFrame], max_per_cell: int = MA
     layers = parts if isinstance(parts, list) else [parts]
     box = F.col("b")
     side = F.greatest(box["maxx"] - box["minx"], box["maxy"] - box["miny"])
-    medians = _tagged_boxes(layers).agg(*[
+    stats = _tagged_boxes(layers).agg(*[
         F.percentile_approx(F.when(F.col("layer") == i, side), 0.5).alias(f"g{i}") for i in range(len(layers))
-    ]).first()
-    values = [float(v) for v in medians if v is not None and v > 0]
+    ], F.max("n_edges").alias("most_edges")).first()
+    values = [float(stats[f"g{i}"]) for i in range(len(layers)) if stats[f"g{i}"] and stats[f"g{i}"] > 0]
     g = min(values) if values else 1.0
+    # A band never holds more edges of a polygon than the polygon has.
+    check_bands = (stats["most_edges"] or 0) > max_per_band
     for _ in range(MAX_HALVINGS):
-        if busiest_cell(layers, g) <= max_per_cell and busiest_band(layers, g) <= max_per_band:
+        if busiest_cell(layers, g) <= max_per_cell and (not check_bands or busiest_band(layers, g) <= max_per_band):
             break
         g /= 2
     return g
