@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from . import exact_dedup, simhash
+from . import bpe, decontaminate, exact_dedup, simhash
 
-_MODULES = [exact_dedup, simhash]
+_MODULES = [decontaminate, simhash, exact_dedup, bpe]
 
 QUERIES = {name: f for m in _MODULES for name, f in m.QUERIES.items()}
 ORACLE_SQL = {name: sql for m in _MODULES for name, sql in m.ORACLE_SQL.items()}
