@@ -48,7 +48,7 @@ from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import col, materialise, read_table, row_blocks, shared_path, ship_package
+from .common import col, materialise, read_table, row_blocks, shared_path, ship_package, text_buffer
 
 MAGIC = b"PACKIDS1"
 HEAD = struct.Struct("<8s4Q")
@@ -230,8 +230,7 @@ def write_packed(docs: DataFrame, tokenizer: str, folder: str, end_id: int = END
         writer, shard, n = Writer(width_of(encoder.vocabulary)), TaskContext.get().partitionId(), 0
         path = f"{folder}/ids/{shard:06d}-{uuid.uuid4().hex}.bin"
         for batch in batches:
-            size = np.concatenate([[0], np.cumsum([len(x) if x else 0 for x in batch.column(1).to_pylist()])])
-            for a, b in row_blocks(size, ENCODE_BYTES):
+            for a, b in row_blocks(text_buffer(batch.column(1))[1], ENCODE_BYTES):
                 part = batch.slice(a, b - a)
                 ids, lengths = encoder.encode(part.column(1).to_pylist(), end_id)
                 writer.add(ids, lengths)
