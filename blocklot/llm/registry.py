@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from . import (bpe, chat, decontaminate, exact_dedup, language, packed_ids, quality_fm, simhash, url_rules)
+from . import (bpe, chat, decontaminate, exact_dedup, language, packed_ids, pii, quality_fm, simhash, url_rules)
 
-_MODULES = [language, decontaminate, packed_ids, simhash, quality_fm, url_rules, exact_dedup, chat, bpe]
+_MODULES = [language, pii, decontaminate, packed_ids, simhash, quality_fm, url_rules, exact_dedup, chat, bpe]
 
 QUERIES = {name: f for m in _MODULES for name, f in m.QUERIES.items()}
 ORACLE_SQL = {name: sql for m in _MODULES for name, sql in m.ORACLE_SQL.items()}
