@@ -223,9 +223,13 @@ def _written(spans: Column, kind: Column | None = None) -> Column:
         ":", s.kind if kind is None else kind, s.start.cast("string"), s.end.cast("string")))
 
 
+def _of_kind(spans: Column, kind: str) -> Column:
+    return F.filter(spans, lambda s: s.kind == kind)
+
+
 def op2_pii_sanitise(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = find(read_table(spark, sf_dir, "documents"))
-    counts = [F.size(F.filter("base", lambda b, k=k: b.kind == k)).cast("bigint").alias(f"n_{k}") for k in KINDS]
+    counts = [F.size(_of_kind(F.col("base"), k)).cast("bigint").alias(f"n_{k}") for k in KINDS]
     base, terms = _written(F.col("base")), _written(F.col("found"), F.lit("term"))
     return found.select("doc_id", *counts, F.sha2(F.array_join(base, ",").cast("binary"), 256).alias("base_sha256"),
                         F.array_join(F.concat(base, terms), ",").alias("spans"), F.size("found").alias("n_term"))
