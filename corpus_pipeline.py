@@ -10,12 +10,15 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from blocklot.llm import exact_dedup, simhash
+from blocklot.llm import bpe, decontaminate, exact_dedup, language, simhash
 from blocklot.llm.common import materialise, read_table
 
 STAGES = [
-    ("exact_dedup", exact_dedup.stage),
-    ("simhash_near_dedup", simhash.stage),
+    ("language_id", language.stage),  # documents whose language is not known go
+    ("exact_dedup", exact_dedup.stage),  # one document of each group of equal texts stays
+    ("simhash_near_dedup", simhash.stage),  # one document of each component stays
+    ("decontaminate", decontaminate.stage),  # documents that hold a benchmark item go
+    ("bpe_round_trip", bpe.stage),  # token ids and what they decode to
 ]
 
 #: SQL can express neither the language model nor the near-duplicate components.
