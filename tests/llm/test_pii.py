@@ -53,7 +53,7 @@ def test_base_spans_equal_the_stated_patterns(docs):
 def corpus():
     rows = [(i, f"hello there Zanzibar contact bob@x.org thanks number {'q' * (i % 7 + 3)}") for i in range(30)]
     rows += [(100 + i, "hello there friends of the word nothing here " + "z" * (i % 5 + 3)) for i in range(300)]
-    rows += [(500 + i, "thanks a lot Bahamas") for i in range(8)]
+    rows += [(500 + i, "thanks a lot Bahamas") for i in range(20)]
     # One text and its copies: no evidence for the pair.
     return rows + [(600 + i, "singular quixotic ann@y.org") for i in range(9)] + [(700, None), (None, "+49 30 12345678")]
 
@@ -93,9 +93,9 @@ def test_sanitised_text(docs):
 
 
 def test_overlapping_spans_are_replaced_once(docs):
-    rows = [(1, "+49 4111 1111 1111 1111 x 1.2.3.4567 end")]
-    got = pii.sanitise(docs(rows)).first().sanitised
-    assert "4111" not in got and got.endswith(" end")
+    rows = [(1, "+4222222222222 end")]
+    assert base(rows[0][1]) == ["card:1:14", "phone:0:14"]
+    assert pii.sanitise(docs(rows)).first().sanitised == "<phone> end"
 
 
 def test_query_columns(spark):
