@@ -46,6 +46,23 @@ def ship_package(spark: SparkSession) -> None:
     sc._blocklot_shipped = True
 
 
+_WORKER: dict[tuple, object] = {}
+
+
+def worker_cache(kind: str, key: tuple, make):
+    """An object that a Python worker keeps from task to task; those of other kinds are let go."""
+    for other in [k for k in _WORKER if k[0] != kind]:
+        del _WORKER[other]
+    if (kind, *key) not in _WORKER:
+        _WORKER[(kind, *key)] = make()
+    return _WORKER[(kind, *key)]
+
+
+def drop_caches() -> None:
+    """Lets go what an earlier operator kept in this worker; for operators that keep nothing."""
+    _WORKER.clear()
+
+
 def shared_path(spark: SparkSession, label: str) -> str:
     """A new path below the shared folder of the session (``spark.checkpoint.dir``)."""
     return f"{scratch_dir(spark)}/llm/{label}-{uuid.uuid4().hex}"

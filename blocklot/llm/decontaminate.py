@@ -37,7 +37,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import (col, fold_latin, read_table, row_blocks, ship_package, span_hashes,
+from .common import (col, drop_caches, fold_latin, read_table, row_blocks, ship_package, span_hashes,
                      text_buffer, word_spans)
 
 SEED_WORDS = 3
@@ -193,6 +193,7 @@ def _documents(batch: pa.RecordBatch, column: int) -> Iterator[tuple[int, np.nda
 
 def _counter(items):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        drop_caches()
         block = items.value
         total = np.zeros(len(block.distinct), np.int64)
         for batch in batches:
@@ -251,6 +252,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """
     def finder(items):
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            drop_caches()
             block = items.value
             for batch in batches:
                 rows, found, best = [], [], []
@@ -282,6 +284,7 @@ def clean(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The rows of ``docs`` that hold no benchmark item, with all their columns."""
     def keeper(items, text_at):
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            drop_caches()
             block = items.value
             for batch in batches:
                 keep = np.ones(batch.num_rows, bool)

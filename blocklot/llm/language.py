@@ -36,7 +36,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import BLOCK_BYTES, col, crc32_of_id, fold_latin, read_table, ship_package, text_buffer
+from .common import BLOCK_BYTES, col, crc32_of_id, drop_caches, fold_latin, read_table, row_blocks, ship_package, text_buffer
 
 BUCKETS = 1 << 16
 WINDOW = 64
@@ -45,6 +45,8 @@ PENALTY = 2.0
 SMOOTHING = 0.1
 TRAIN_ROWS = 20_000
 UNKNOWN = "und"
+#: Bytes of text whose windows are held at a time.
+ROWS_BYTES = 2 << 20
 
 
 def gram_buckets(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -146,6 +148,7 @@ def train(docs: DataFrame, learn: Column, rows: int = TRAIN_ROWS) -> Model:
         known = known.where(F.shiftrightunsigned(F.xxhash64(col(docs, "text")), 2) < share)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        drop_caches()
         totals: dict[str, np.ndarray] = {}
         for batch in batches:
             raw, offsets = text_buffer(batch.column(0))
@@ -186,7 +189,9 @@ def _has_letters(raw: np.ndarray, offsets: np.ndarray) -> np.ndarray:
 def predictions(model: Model, column) -> tuple[list[str], np.ndarray, list[str]]:
     """(language, score, mixture) of each text of an Arrow column."""
     raw, offsets = text_buffer(column)
-    share = model.mixtures(raw, offsets)
+    share = np.zeros((len(offsets) - 1, len(model.langs)))
+    for a, b in row_blocks(offsets, ROWS_BYTES):
+        share[a:b] = model.mixtures(raw[offsets[a]:offsets[b]], offsets[a:b + 1] - offsets[a])
     share[~_has_letters(raw, offsets)] = 0
     if not model.langs:
         return [UNKNOWN] * len(share), np.zeros(len(share)), [""] * len(share)
@@ -210,6 +215,7 @@ def identify(docs: DataFrame, model: Model) -> DataFrame:
     kind = docs.schema["doc_id"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        drop_caches()
         for batch in batches:
             lang, score, mixture = predictions(sent.value, batch.column(1))
             yield pa.RecordBatch.from_arrays(
@@ -226,6 +232,7 @@ def keep_known(docs: DataFrame, model: Model) -> DataFrame:
     sent, at = docs.sparkSession.sparkContext.broadcast(model), docs.columns.index("text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        drop_caches()
         for batch in batches:
             lang, _, _ = predictions(sent.value, batch.column(at))
             yield batch.filter(pa.array([x != UNKNOWN for x in lang], pa.bool_()))

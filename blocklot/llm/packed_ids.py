@@ -48,7 +48,7 @@ from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import col, materialise, read_table, row_blocks, shared_path, ship_package, text_buffer
+from .common import col, materialise, read_table, row_blocks, shared_path, ship_package, text_buffer, worker_cache
 
 MAGIC = b"PACKIDS1"
 HEAD = struct.Struct("<8s4Q")
@@ -205,13 +205,8 @@ class WordEncoder:
         return out, lengths
 
 
-_ENCODERS: dict[str, WordEncoder] = {}
-
-
 def _encoder(path: str) -> WordEncoder:
-    if path not in _ENCODERS:
-        _ENCODERS[path] = WordEncoder(path)
-    return _ENCODERS[path]
+    return worker_cache("words", (path,), lambda: WordEncoder(path))
 
 
 def write_packed(docs: DataFrame, tokenizer: str, folder: str, end_id: int = END_ID) -> tuple[DataFrame, DataFrame]:

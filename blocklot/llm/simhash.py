@@ -36,7 +36,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import col, materialise, read_table, ship_package
+from .common import col, drop_caches, materialise, read_table, ship_package
 from .components import components
 
 RADIUS = 3
@@ -71,6 +71,7 @@ def fingerprint(text: str | None, words: int = WORDS) -> int:
 
 
 def _fingerprints(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    drop_caches()
     for batch in batches:
         found = np.array([fingerprint(t) for t in batch.column(1).to_pylist()], np.uint64).astype(np.int64)
         yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found, pa.int64())], ["doc_id", "fp"])
