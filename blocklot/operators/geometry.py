@@ -8,21 +8,23 @@ outer ring, the others are holes, every ring closed). Coordinates are planar
 Everything per polygon is computed inside its row with higher-order
 functions (no shuffle): ring sums for the centroid, bounding boxes, edges.
 
-Spatial joins use a uniform grid of cell size ``g``:
-
-* ``cell_index`` turns the polygon layer into one row per grid cell holding
-  the polygons whose box covers the cell, each with only its edges that lie
-  in the cell's horizontal band and reach the cell's column (a ray cast to the
-  right from a point in the cell can only cross those). It is built with
-  shuffles over the polygon layer only.
-* ``points_in_polygons`` looks each point's cell up in that index (an
-  equi-join: broadcast when the index is bounded, a shuffle join otherwise)
-  and runs the even-odd ray test over the few edges it got, inside the row.
-  The point side is never shuffled when the index is broadcast, and a point
-  with no polygon keeps one row with a NULL key (left-join semantics).
-* ``polygons_intersecting`` pairs polygons whose boundaries cross (edges
-  exploded to the cells they touch, equi-joined on the cell, exact segment
-  test) or where one contains a vertex of the other.
+Spatial joins use a family of grids. The cell sizes are powers of four, so
+``v / g`` is exact and the cell of a coordinate never depends on rounding:
+
+* a polygon is filed at the level whose cell is at least as long as its box,
+  in the (at most four) cells that its box meets, whatever other polygons
+  there are; an edge likewise by its own box;
+* ``points_in_polygons`` looks a point up at every level that occurs (an
+  equi-join on level and cell: broadcast when the index is bounded, salted
+  otherwise), compares boxes, and then tests the edges of the one horizontal
+  strip of the polygon that the point lies in. A polygon has as many strips as
+  leave its edges in at most four strips each on average;
+* ``polygons_intersecting`` pairs polygons whose boundaries cross (the finer of
+  two edges looks the coarser one up at the coarser one's level, exact
+  segment test) or where one contains a vertex of the other.
+
+Nothing is tuned to the data: results and index sizes (four cells a polygon,
+about four copies an edge) are the same for any mix of sizes.
 
 Boundary rules: ``within`` excludes points on an edge, ``covers`` includes
 them; intersects counts touching polygons.
@@ -50,7 +52,11 @@ def ring_edges(ring: Column) -> Column:
 
 
 def _ring_sums(ring: Column) -> Column:
-    """Shoelace sums of one ring: S = sum(x1*y2 - x2*y1), SX, SY (centroid numerators)."""
+    """Shoelace sums of one ring: S = sum(x1*y2 - x2*y1), SX, SY (centroid numerators).
+
+    Callers move the polygon's box corner to the origin first: the products
+    then have the size of the polygon, not of its place on the map.
+    """
     zero = F.struct(F.lit(0.0).alias("s"), F.lit(0.0).alias("sx"), F.lit(0.0).alias("sy"))
 
     def step(acc, e):
@@ -85,8 +91,13 @@ def outer_box(rings: Column) -> Column:
 
 def centroids(parts: DataFrame) -> DataFrame:
     """Area-weighted centroid and area per key (shoelace over all rings and parts)."""
-    m = parts.select("key", part_moments(F.col("rings")).alias("m"))
-    sums = m.groupBy("key").agg(F.sum("m.s").alias("s2"), F.sum("m.sx").alias("sx"), F.sum("m.sy").alias("sy"))
+    boxed = parts.select("key", "rings", outer_box(F.col("rings")).alias("b"))
+    local = F.transform("rings", lambda ring: F.transform(ring, lambda p: F.array(
+        p[0] - F.col("b.minx"), p[1] - F.col("b.miny"))))
+    m = boxed.select("key", "b.minx", "b.miny", part_moments(local).alias("m"))
+    # Back on the map: the moment about the true origin is the local one plus 3 * corner * 2 * area.
+    sums = m.groupBy("key").agg(F.sum("m.s").alias("s2"), F.sum(F.col("m.sx") + F.col("minx") * F.col("m.s") * 3).alias("sx"),
+                                F.sum(F.col("m.sy") + F.col("miny") * F.col("m.s") * 3).alias("sy"))
     return sums.select("key", (F.col("s2") / 2).alias("area"),
                        F.when(F.col("s2") != 0, F.col("sx") / (F.col("s2") * 3)).alias("cx"),
                        F.when(F.col("s2") != 0, F.col("sy") / (F.col("s2") * 3)).alias("cy"))
@@ -158,226 +169,168 @@ def segments_touch(a: dict, b: dict) -> Column:
 
 # ---- grid join -------------------------------------------------------------
 
-def _cell(v: Column, g: float) -> Column:
-    return F.floor(v / F.lit(g)).cast("bigint")
+# Levels are exponents of two, two apart; sizes beyond them share the last level.
+MIN_LEVEL, MAX_LEVEL, LEVEL_STEP = -30, 60, 2
+CELL_ENTRY_BYTES = 96
+EDGE_BYTES = 64
 
 
-def _cell_range(lo: Column, hi: Column, g: float) -> Column:
-    return F.sequence(_cell(lo, g), _cell(hi, g))
+def _level(side: Column) -> Column:
+    """The level whose cell is at least ``side`` long."""
+    up = F.ceil(F.log2(side) / LEVEL_STEP) * LEVEL_STEP
+    return F.greatest(F.least(F.when(side > 0, up).otherwise(F.lit(MIN_LEVEL)), F.lit(MAX_LEVEL)),
+                      F.lit(MIN_LEVEL)).cast("int")
 
 
-MAX_POLYGONS_PER_CELL = 64
-MAX_EDGES_PER_BAND = 1024
-MAX_HALVINGS = 6
+def _size(level: Column) -> Column:
+    return F.pow(F.lit(2.0), level)
 
 
-def _edge_count(rings: Column) -> Column:
-    return F.aggregate(rings, F.lit(0), lambda acc, r: acc + F.greatest(F.size(r) - 1, F.lit(0)))
+def _cell(v: Column, size: Column) -> Column:
+    return F.floor(v / size).cast("bigint")
 
 
-def _tagged_boxes(layers: list[DataFrame]) -> DataFrame:
-    boxes = None
-    for i, parts in enumerate(layers):
-        one = parts.select(F.lit(i).alias("layer"), outer_box(F.col("rings")).alias("b"),
-                           _edge_count(F.col("rings")).alias("n_edges"))
-        boxes = one if boxes is None else boxes.unionByName(one)
-    return boxes
+def _cells_between(lo: Column, hi: Column, size: Column) -> Column:
+    return F.sequence(_cell(lo, size), _cell(hi, size))
 
 
-def busiest_cell(parts: DataFrame | list[DataFrame], g: float) -> int:
-    """Most polygon parts of one layer whose boxes cover a single cell of size ``g``."""
-    layers = parts if isinstance(parts, list) else [parts]
-    cells = (_tagged_boxes(layers)
-             .select("layer", "b", F.explode(_cell_range(F.col("b.minx"), F.col("b.maxx"), g)).alias("cx"))
-             .select("layer", "cx", F.explode(_cell_range(F.col("b.miny"), F.col("b.maxy"), g)).alias("cy")))
-    row = cells.groupBy("layer", "cx", "cy").count().agg(F.max("count").alias("m")).first()
-    return int(row["m"] or 0)
+def _prepared(parts: DataFrame) -> DataFrame:
+    """key, part, edges, b (box), level, h (strip height) of each polygon part."""
+    shaped = parts.select("key", "part", F.flatten(F.transform("rings", ring_edges)).alias("edges"),
+                          outer_box(F.col("rings")).alias("b"))
+    n, box = F.size("edges"), F.col("b")
+    low = F.transform("edges", lambda e: F.least(e["y1"], e["y2"]))
+    high = F.transform("edges", lambda e: F.greatest(e["y1"], e["y2"]))
+    top = F.greatest(F.ceil(F.log2(F.greatest(F.array_max(high) - F.array_min(low), F.lit(2.0 ** MIN_LEVEL)))),
+                     F.lit(MIN_LEVEL))
 
+    def copies(h: Column) -> Column:
+        return F.aggregate("edges", F.lit(0).cast("bigint"), lambda acc, e: acc + _cell(
+            F.greatest(e["y1"], e["y2"]), h) - _cell(F.least(e["y1"], e["y2"]), h) + 1)
 
-def busiest_band(parts: DataFrame | list[DataFrame], g: float) -> int:
-    """Most edges of one polygon part that span a single horizontal band of height ``g``.
+    heights = F.transform(F.sequence(F.lit(0), F.ceil(F.log2(n + 1)).cast("int")), lambda j: _size(top - j))
+    fitting = F.filter(F.transform(heights, lambda h: F.struct(h.alias("h"), copies(h).alias("copies"))),
+                       lambda c: c["copies"] <= 4 * n + 8)
+    chosen = F.element_at(fitting, -1)
+    return shaped.where(n > 0).select(
+        "key", "part", "edges", "b", chosen["h"].alias("h"), chosen["copies"].alias("copies"),
+        _level(F.greatest(box["maxx"] - box["minx"], box["maxy"] - box["miny"])).alias("level"))
+
+
+def polygon_cells(prepared: DataFrame) -> DataFrame:
+    """One row per cell that a part's box meets, at the part's level."""
+    size, b = _size(F.col("level")), F.col("b")
+    columns = prepared.select("key", "part", "b", "h", "level", F.explode(
+        _cells_between(b["minx"], b["maxx"], size)).alias("cx"))
+    return columns.select("key", "part", "b", "h", "level", "cx", F.explode(
+        _cells_between(b["miny"], b["maxy"], size)).alias("cy"))
+
+
+def polygon_strips(prepared: DataFrame) -> DataFrame:
+    """key, part, strip, edges: the edges of a part that reach each of its horizontal strips."""
+    each = prepared.select("key", "part", "h", F.explode("edges").alias("e"))
+    spread = each.select("key", "part", "e", F.explode(_cells_between(
+        F.least("e.y1", "e.y2"), F.greatest("e.y1", "e.y2"), F.col("h"))).alias("strip"))
+    return spread.groupBy("key", "part", "strip").agg(F.collect_list("e").alias("edges"))
+
+
+def check_parts(parts: DataFrame) -> None:
+    """Raise when two rows share key and part: their edges would be taken for one polygon."""
+    twice = parts.groupBy("key", "part").count().where("count > 1").limit(1).collect()
+    if twice:
+        raise ValueError(f"layer has several rows for key {twice[0]['key']}, part {twice[0]['part']}")
 
-    An index entry carries at most this many edges, so it bounds the ray test
-    each point runs per candidate polygon.
-    """
-    layers = parts if isinstance(parts, list) else [parts]
-    counts = None
-    for i, layer in enumerate(layers):
-        banded = edges(layer).select(F.lit(i).alias("layer"), F.col("key").cast("string").alias("key"), "part", F.explode(
-            _cell_range(F.least("y1", "y2"), F.greatest("y1", "y2"), g)).alias("cy"))
-        counts = banded if counts is None else counts.unionByName(banded)
-    row = counts.groupBy("layer", "key", "part", "cy").count().agg(F.max("count").alias("m")).first()
-    return int(row["m"] or 0)
-
-
-def suggest_cell_size(parts: DataFrame | list[DataFrame], max_per_cell: int = MAX_POLYGONS_PER_CELL,
-                      max_per_band: int = MAX_EDGES_PER_BAND) -> float:
-    """Cell size for the grid index (of one layer, or shared by several).
-
-    Start from the smallest of the layers' median larger box sides (most
-    polygons touch a few cells, and edges of two layers meet in few-edge
-    cells), then halve it while some cell is covered by more than
-    ``max_per_cell`` boxes of one layer, or one polygon has more than
-    ``max_per_band`` edges in one band, so every index row holds a bounded
-    list and every point tests a bounded number of edges. Polygons that
-    overlap each other at one spot cannot be separated by any cell size;
-    halving stops after ``MAX_HALVINGS`` steps.
-    """
-    layers = parts if isinstance(parts, list) else [parts]
-    box = F.col("b")
-    side = F.greatest(box["maxx"] - box["minx"], box["maxy"] - box["miny"])
-    stats = _tagged_boxes(layers).agg(*[
-        F.percentile_approx(F.when(F.col("layer") == i, side), 0.5).alias(f"g{i}") for i in range(len(layers))
-    ], F.max("n_edges").alias("most_edges")).first()
-    values = [float(stats[f"g{i}"]) for i in range(len(layers)) if stats[f"g{i}"] and stats[f"g{i}"] > 0]
-    g = min(values) if values else 1.0
-    # A band never holds more edges of a polygon than the polygon has.
-    check_bands = (stats["most_edges"] or 0) > max_per_band
-    for _ in range(MAX_HALVINGS):
-        if busiest_cell(layers, g) <= max_per_cell and (not check_bands or busiest_band(layers, g) <= max_per_band):
-            break
-        g /= 2
-    return g
-
-
-def cell_index(parts: DataFrame, g: float) -> DataFrame:
-    """Grid cell -> polygons whose box covers it, with their band edges.
-
-    Columns: cx, cy, polys: array<struct<key, minx, miny, maxx, maxy, edges>>.
-    """
-    boxed = parts.select("key", "part", outer_box(F.col("rings")).alias("b"))
-    cells = (boxed.select("key", "part", "b", F.explode(_cell_range(F.col("b.minx"), F.col("b.maxx"), g)).alias("cx"))
-             .select("key", "part", "b", "cx", F.explode(_cell_range(F.col("b.miny"), F.col("b.maxy"), g)).alias("cy")))
-    e = edges(parts)
-    banded = e.select("key", "part", "x1", "y1", "x2", "y2",
-                      F.explode(_cell_range(F.least("y1", "y2"), F.greatest("y1", "y2"), g)).alias("cy"))
-    reach = cells.join(banded, ["key", "part", "cy"]).where(
-        F.greatest("x1", "x2") >= F.col("cx") * F.lit(g))
-    per_poly = reach.groupBy("cx", "cy", "key", "part").agg(
-        F.first("b").alias("b"), F.collect_list(F.struct("x1", "y1", "x2", "y2")).alias("edges"))
-    return per_poly.groupBy("cx", "cy").agg(F.collect_list(F.struct(
-        F.col("key"), F.col("b.minx").alias("minx"), F.col("b.miny").alias("miny"),
-        F.col("b.maxx").alias("maxx"), F.col("b.maxy").alias("maxy"), F.col("edges"))).alias("polys"))
-
-
-# Bytes per index entry: a (cell, polygon) entry with its box, and one edge copy.
-INDEX_ENTRY_BYTES = 96
-INDEX_EDGE_BYTES = 40
-
-
-def index_size_bound(parts: DataFrame | list[DataFrame], g: float) -> int | list[int]:
-    """Exact upper bound (bytes) of ``cell_index(parts, g)``, from one aggregate.
-
-    Counts every (cell, polygon) entry of the boxes, and every copy of an
-    edge: one per band it spans in each column of its polygon's box. The
-    index holds at most these. Given a list of layers, returns one bound per
-    layer from a single aggregate.
-    """
-    layers = parts if isinstance(parts, list) else [parts]
-    box = outer_box(F.col("rings"))
-    columns = _cell(box["maxx"], g) - _cell(box["minx"], g) + 1
-    cells = columns * (_cell(box["maxy"], g) - _cell(box["miny"], g) + 1)
-    per_edge = F.aggregate(F.flatten(F.transform(F.col("rings"), ring_edges)), F.lit(0).cast("bigint"),
-                           lambda acc, e: acc + _cell(F.greatest(e["y1"], e["y2"]), g)
-                           - _cell(F.least(e["y1"], e["y2"]), g) + 1)
-    tagged = None
-    for i, layer in enumerate(layers):
-        one = layer.select(F.lit(i).alias("layer"), cells.alias("cells"), (per_edge * columns).alias("edges"))
-        tagged = one if tagged is None else tagged.unionByName(one)
-    row = tagged.agg(*[x for i in range(len(layers)) for x in (
-        F.sum(F.when(F.col("layer") == i, F.col("cells"))).alias(f"c{i}"),
-        F.sum(F.when(F.col("layer") == i, F.col("edges"))).alias(f"e{i}"))]).first()
-    bounds = [int((row[f"c{i}"] or 0) * INDEX_ENTRY_BYTES + (row[f"e{i}"] or 0) * INDEX_EDGE_BYTES)
-              for i in range(len(layers))]
-    return bounds if isinstance(parts, list) else bounds[0]
-
-
-def points_in_polygons(points: DataFrame, parts: DataFrame, boundary: bool = False,
-                       g: float | None = None, point_key: str = "key",
-                       max_broadcast_bytes: int = DEFAULT_BROADCAST_BYTES,
-                       index_bytes: int | None = None) -> DataFrame:
-    """Left spatial join: (point key, polygon key) for each polygon containing the point.
+
+def index_facts(prepared: DataFrame) -> tuple[int, list[int]]:
+    """(bytes that the index takes at most, levels that occur), from one aggregate."""
+    size, b = _size(F.col("level")), F.col("b")
+    cells = ((_cell(b["maxx"], size) - _cell(b["minx"], size) + 1)
+             * (_cell(b["maxy"], size) - _cell(b["miny"], size) + 1))
+    row = prepared.agg(F.sum(cells).alias("cells"), F.sum("copies").alias("copies"),
+                       F.array_sort(F.collect_set("level")).alias("levels")).first()  # at most 46 levels
+    return int(row["cells"] or 0) * CELL_ENTRY_BYTES + int(row["copies"] or 0) * EDGE_BYTES, list(row["levels"])
+
+
+def points_in_polygons(points: DataFrame, parts: DataFrame, boundary: bool = False, point_key: str = "key",
+                       max_broadcast_bytes: int = DEFAULT_BROADCAST_BYTES) -> DataFrame:
+    """Left spatial join: distinct (point key, polygon key) for each polygon containing the point.
 
     ``points`` has ``point_key``, ``px``, ``py``. A point in no polygon gives
     one row with a NULL polygon key. ``boundary=False`` is *within* (a point
     on an edge is outside), ``True`` is *covers*. The index is broadcast only
-    when ``index_size_bound`` proves it small; otherwise points and index are
-    both shuffled on the cell, with a cell holding many points split over
-    several tasks (``skew.salted_join``).
+    when ``index_facts`` proves it small; otherwise points and index are both
+    shuffled on the cell, with a cell holding many points split over several
+    tasks (``skew.salted_join``).
     """
-    g = g or suggest_cell_size(parts)
-    index = cell_index(parts, g)
-    located = points.select(F.col(point_key).alias("pkey"), "px", "py",
-                            _cell(F.col("px"), g).alias("cx"), _cell(F.col("py"), g).alias("cy"))
-    bound = index_bytes if index_bytes is not None else index_size_bound(parts, g)
-    if bound <= max_broadcast_bytes:
-        looked = located.join(F.broadcast(index), ["cx", "cy"], "left")
-    else:
-        # Index rows are one per cell (an aggregate), which AQE's skew split
-        # does not cover: a cell holding many points is salted explicitly.
-        looked = salted_join(located, index, ["cx", "cy"], how="left")
-    px, py = F.col("px"), F.col("py")
-    hits = F.filter(F.coalesce(F.col("polys"), F.array()), lambda p: (
-        (px >= p["minx"]) & (px <= p["maxx"]) & (py >= p["miny"]) & (py <= p["maxy"])
-        & point_in_edges(p["edges"], px, py, boundary)))
-    keys = F.array_distinct(F.transform(hits, lambda p: p["key"]))
-    return looked.select(F.col("pkey").alias(point_key), F.explode_outer(keys).alias("polygon_key"))
-
-
-MAX_EDGES_PER_CELL = 256
-
-
-def busiest_edge_cell(left_edges: DataFrame, right_edges: DataFrame, g: float) -> int:
-    """Most edges of one layer whose boxes touch a single cell of size ``g``."""
-    tagged = (left_edges.select(F.lit(0).alias("layer"), "x1", "y1", "x2", "y2")
-              .unionByName(right_edges.select(F.lit(1).alias("layer"), "x1", "y1", "x2", "y2")))
-    cells = _edge_cells(tagged, g)
-    row = cells.groupBy("layer", "cx", "cy").count().agg(F.max("count").alias("m")).first()
-    return int(row["m"] or 0)
-
-
-def edge_cell_size(left_edges: DataFrame, right_edges: DataFrame, g: float,
-                   max_per_cell: int = MAX_EDGES_PER_CELL) -> float:
-    """Halve ``g`` while a cell holds more than ``max_per_cell`` edges of one layer.
-
-    The edge join tests the pairs of edges that share a cell, so this bounds
-    the pairs per cell by ``max_per_cell ** 2`` (up to ``MAX_HALVINGS`` steps;
-    long edges then touch more cells, which is linear in their length).
-    """
-    for _ in range(MAX_HALVINGS):
-        if busiest_edge_cell(left_edges, right_edges, g) <= max_per_cell:
-            break
-        g /= 2
-    return g
+    check_parts(parts)
+    prepared = _prepared(parts)
+    bound, levels = index_facts(prepared)
+    small = bound <= max_broadcast_bytes
+    px, py, b = F.col("px"), F.col("py"), F.col("b")
+    all_levels = F.array(*[F.lit(x) for x in levels]) if levels else F.array().cast("array<int>")
+    located = points.select(F.col(point_key).alias("pkey"), "px", "py", F.explode(all_levels).alias("level")).select(
+        "pkey", "px", "py", "level", _cell(px, _size(F.col("level"))).alias("cx"),
+        _cell(py, _size(F.col("level"))).alias("cy"))
+
+    def look_up(rows: DataFrame, index: DataFrame, on: list[str]) -> DataFrame:
+        return rows.join(F.broadcast(index), on) if small else salted_join(rows, index, on, how="inner")
+
+    near = look_up(located, polygon_cells(prepared), ["level", "cx", "cy"]).where(
+        (px >= b["minx"]) & (px <= b["maxx"]) & (py >= b["miny"]) & (py <= b["maxy"]))
+    in_strip = look_up(near.select("pkey", "px", "py", "key", "part", _cell(py, F.col("h")).alias("strip")),
+                       polygon_strips(prepared), ["key", "part", "strip"])
+    hits = in_strip.where(point_in_edges(F.col("edges"), px, py, boundary)).select(
+        "pkey", F.col("key").alias("polygon_key")).distinct()
+    keys = points.select(F.col(point_key).alias("pkey")).distinct()
+    return keys.join(hits, "pkey", "left").select(F.col("pkey").alias(point_key), "polygon_key")
+
+
+# ---- intersects ------------------------------------------------------------
+
+def _levelled(e: DataFrame) -> DataFrame:
+    side = F.greatest(F.abs(F.col("x2") - F.col("x1")), F.abs(F.col("y2") - F.col("y1")))
+    return e.withColumn("own", _level(side))
+
+
+def _filed(e: DataFrame, levels: Column) -> DataFrame:
+    """Edges in the cells that they meet, at each of ``levels`` (an array of levels no finer than their own)."""
+    at = e.select("*", F.explode(levels).alias("level"))
+    size = _size(F.col("level"))
+    columns = at.select("*", F.explode(_cells_between(F.least("x1", "x2"), F.greatest("x1", "x2"), size)).alias("cx"))
+    return columns.select("*", F.explode(_cells_between(F.least("y1", "y2"), F.greatest("y1", "y2"), size)).alias("cy"))
 
 
-def _edge_cells(e: DataFrame, g: float) -> DataFrame:
-    return (e.select("*", F.explode(_cell_range(F.least("x1", "x2"), F.greatest("x1", "x2"), g)).alias("cx"))
-            .select("*", F.explode(_cell_range(F.least("y1", "y2"), F.greatest("y1", "y2"), g)).alias("cy")))
+def _levels_in(e: DataFrame) -> Column:
+    found = e.agg(F.array_sort(F.collect_set("own")).alias("levels")).first()["levels"]  # at most 46
+    return F.array(*[F.lit(x) for x in found]) if found else F.array().cast("array<int>")
 
 
-def polygons_intersecting(left: DataFrame, right: DataFrame, g: float | None = None) -> DataFrame:
+def polygons_intersecting(left: DataFrame, right: DataFrame,
+                          max_broadcast_bytes: int = DEFAULT_BROADCAST_BYTES) -> DataFrame:
     """Left spatial join on *intersects*: (left key, right key) per touching pair.
 
     A left polygon touching nothing keeps one row with a NULL right key.
     """
-    g = g or suggest_cell_size([left, right])
-    left_edges = edges(left).select(F.col("key").alias("lkey"), "x1", "y1", "x2", "y2")
-    right_edges = edges(right).select(F.col("key").alias("rkey"), "x1", "y1", "x2", "y2")
-    ge = edge_cell_size(left_edges, right_edges, g)
-    le = _edge_cells(left_edges, ge)
-    re = _edge_cells(right_edges, ge).select(
-        "rkey", "cx", "cy", F.col("x1").alias("u1"), F.col("y1").alias("v1"),
-        F.col("x2").alias("u2"), F.col("y2").alias("v2"))
-    a = {"x1": F.col("x1"), "y1": F.col("y1"), "x2": F.col("x2"), "y2": F.col("y2")}
-    b = {"x1": F.col("u1"), "y1": F.col("v1"), "x2": F.col("u2"), "y2": F.col("v2")}
-    crossing = le.join(re, ["cx", "cy"]).where(segments_touch(a, b)).select("lkey", "rkey")
-    right_bytes, left_bytes = index_size_bound([right, left], g)
-    left_in_right = (points_in_polygons(first_vertices(left).withColumnRenamed("key", "lkey"), right,
-                                        boundary=True, g=g, point_key="lkey", index_bytes=right_bytes)
+    le = _levelled(edges(left).select(F.col("key").alias("lkey"), "x1", "y1", "x2", "y2"))
+    re = _levelled(edges(right).select(F.col("key").alias("rkey"), "x1", "y1", "x2", "y2"))
+    left_levels, right_levels, own = _levels_in(le), _levels_in(re), F.array("own")
+    a = {c: F.col(f"a.{c}") for c in ("x1", "y1", "x2", "y2")}
+    b = {c: F.col(f"b.{c}") for c in ("x1", "y1", "x2", "y2")}
+
+    def meeting(one: DataFrame, other: DataFrame) -> DataFrame:
+        on = [F.col(f"a.{c}") == F.col(f"b.{c}") for c in ("level", "cx", "cy")]
+        return one.alias("a").join(other.alias("b"), on[0] & on[1] & on[2]).where(
+            segments_touch(a, b)).select("a.lkey", "b.rkey")
+
+    # Every pair once: at the right edge's level where that is the coarser one (or the same), else at the left's.
+    up_left = _filed(le, F.filter(right_levels, lambda x: x >= F.col("own")))
+    up_right = _filed(re, F.filter(left_levels, lambda x: x > F.col("own")))
+    crossing = meeting(up_left, _filed(re, own)).unionByName(meeting(_filed(le, own), up_right))
+    left_in_right = (points_in_polygons(first_vertices(left).withColumnRenamed("key", "lkey"), right, boundary=True,
+                                        point_key="lkey", max_broadcast_bytes=max_broadcast_bytes)
                      .where(F.col("polygon_key").isNotNull()).select("lkey", F.col("polygon_key").alias("rkey")))
-    right_in_left = (points_in_polygons(first_vertices(right).withColumnRenamed("key", "rkey"), left,
-                                        boundary=True, g=g, point_key="rkey", index_bytes=left_bytes)
+    right_in_left = (points_in_polygons(first_vertices(right).withColumnRenamed("key", "rkey"), left, boundary=True,
+                                        point_key="rkey", max_broadcast_bytes=max_broadcast_bytes)
                      .where(F.col("polygon_key").isNotNull()).select(F.col("polygon_key").alias("lkey"), "rkey"))
     pairs = crossing.unionByName(left_in_right).unionByName(right_in_left).distinct()
     keys = left.select(F.col("key").alias("lkey")).distinct()
