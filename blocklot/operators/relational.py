@@ -7,14 +7,13 @@ them), and ``key_join(null_safe=True)`` lets NULL keys match each other.
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Sequence
+from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import FractionalType
 
-from ..functions.keys import fill_zero
-from .skew import salt_sides
+from .skew import split_join
 
 
 def not_missing(df: DataFrame, column: str) -> Column:
@@ -39,14 +38,6 @@ def drop_null_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     return df.where(cond) if cond is not None else df
 
 
-def where_null(df: DataFrame, column: str) -> DataFrame:
-    return df.where(F.col(column).isNull())
-
-
-def where_not_null(df: DataFrame, column: str) -> DataFrame:
-    return df.where(F.col(column).isNotNull())
-
-
 def exclude_value(df: DataFrame, column: str, value) -> DataFrame:
     """Rows whose ``column`` is not ``value``; NULLs are kept."""
     return df.where(~F.col(column).eqNullSafe(F.lit(value)))
@@ -58,11 +49,6 @@ def rename_columns(df: DataFrame, mapping: dict[str, str]) -> DataFrame:
     return df.withColumnsRenamed(present) if present else df
 
 
-def add_filled(df: DataFrame, target: str, addend: str) -> DataFrame:
-    """``target += coalesce(addend, 0)``."""
-    return df.withColumn(target, F.col(target) + fill_zero(addend))
-
-
 def fill_labels(df: DataFrame, label: str = "Unknown") -> DataFrame:
     """Every NULL becomes ``label``: non-text columns are cast to text first."""
     return df.select([F.coalesce(F.col(c).cast("string"), F.lit(label)).alias(c) for c in df.columns])
@@ -91,7 +77,7 @@ def key_join(left: DataFrame, right: DataFrame, on: Sequence[str] | None = None,
              left_on: Sequence[str] | None = None, right_on: Sequence[str] | None = None,
              how: str = "left", suffixes: tuple[str, str] = ("_x", "_y"),
              null_safe: bool = False, check_types: bool = False,
-             broadcast_right: bool = False, skew_rows: int | None = None) -> DataFrame:
+             skew_rows: int | None = None) -> DataFrame:
     """Equi-join with one output column per shared key and suffixed overlaps.
 
     ``on`` names keys present on both sides (kept once, from the left for a
@@ -99,10 +85,9 @@ def key_join(left: DataFrame, right: DataFrame, on: Sequence[str] | None = None,
     are kept. Other columns present on both sides get ``suffixes`` (names are
     compared case-insensitively, as Spark's resolver does). Key equality stays
     a hash-able equi-condition, null-safe or not, so the planner can pick a
-    broadcast-hash or sort-merge join; ``broadcast_right`` only for a side
-    whose size the caller has bounded. With ``skew_rows``, a left key holding
-    more rows than that is split over several tasks (``skew.salt_sides``);
-    for inner and left-type joins only.
+    broadcast-hash or sort-merge join. With ``skew_rows``, a key holding more
+    rows than that on either side is split over several tasks
+    (``skew.split_join``); for inner and left-type joins only.
     """
     if on is not None:
         left_keys = right_keys = list(on)
@@ -128,12 +113,10 @@ def key_join(left: DataFrame, right: DataFrame, on: Sequence[str] | None = None,
         term = _equal(F.col(f"__l{lidx[lk]}"), F.col(f"__r{ridx[rk]}"), null_safe)
         cond = term if cond is None else cond & term
     if skew_rows:
-        la, ra = salt_sides(la, ra, [f"__l{lidx[k]}" for k in left_keys], [f"__r{ridx[k]}" for k in right_keys],
-                            rows_per_task=skew_rows)
-        cond = cond & (F.col("__lsalt") == F.col("__rsalt"))
-    if broadcast_right:
-        ra = F.broadcast(ra)
-    joined = la.join(ra, cond, how)
+        joined = split_join(la, ra, [f"__l{lidx[k]}" for k in left_keys], [f"__r{ridx[k]}" for k in right_keys],
+                            how, null_safe, skew_rows)
+    else:
+        joined = la.join(ra, cond, how)
     if how in ("left_semi", "left_anti", "semi", "anti", "leftsemi", "leftanti"):
         return joined.select([F.col(f"__l{i}").alias(c) for i, c in enumerate(left.columns)])
     out = []
@@ -151,19 +134,11 @@ def key_join(left: DataFrame, right: DataFrame, on: Sequence[str] | None = None,
     return joined.select(out)
 
 
-def unmatched_rows(left: DataFrame, right: DataFrame, on: Sequence[str], null_safe: bool = False) -> DataFrame:
+def unmatched_rows(left: DataFrame, right: DataFrame, on: Sequence[str], null_safe: bool = False,
+                   skew_rows: int | None = None) -> DataFrame:
     """Left rows with no partner on the right (anti join)."""
-    return key_join(left, right, on, how="left_anti", null_safe=null_safe)
-
-
-def shape(df: DataFrame) -> DataFrame:
-    """One row: (rows, columns)."""
-    return df.agg(F.count(F.lit(1)).alias("rows")).withColumn("columns", F.lit(len(df.columns)).cast("bigint"))
+    return key_join(left, right, on, how="left_anti", null_safe=null_safe, skew_rows=skew_rows)
 
 
 def distinct_pairs(df: DataFrame, a: str, b: str) -> DataFrame:
     return df.select(a, b).distinct()
-
-
-def project(df: DataFrame, columns: Iterable[str]) -> DataFrame:
-    return df.select(*columns)

@@ -1,21 +1,25 @@
-"""Joins that stay spread out when one key holds a large share of the rows.
-
-AQE's skew-join rule only splits a join whose inputs are plain shuffles; a
-join back to an aggregate (redistribution) or behind other operators is not
-covered. ``salted_join`` handles hot keys explicitly:
-
-1. count rows per key on the big side (a partial aggregate over the key
-   columns only) and keep the keys holding more than ``rows_per_task`` rows,
-   each with a split count ``ceil(rows / rows_per_task)``. At most
-   ``total_rows / rows_per_task`` keys qualify, so this table has a proven
-   bound and is broadcast;
-2. the big side's rows of a hot key get a salt in ``[0, splits)`` from a hash
-   of the whole row (deterministic, so a retried task reproduces it);
-3. the other side's rows of a hot key are repeated once per salt value;
-4. the join runs on (keys, salt): a hot key is processed by ``splits`` tasks.
-
-Every big-side row meets exactly the rows it would meet without salting,
-so the result is the plain join's result.
+"""Joins that stay spread out when one key holds a large share of the rows of either side.
+
+AQE's skew-join rule only splits a join whose inputs are plain shuffles, and
+of a left outer join only the left side; a join back to an aggregate
+(redistribution) is not covered at all. ``split_join`` handles hot keys
+explicitly:
+
+1. each side is counted per key (a partial aggregate over the key columns
+   only); keys with more than ``rows_per_task`` rows are hot and get
+   ``ceil(rows / rows_per_task)`` splits. At most ``rows / rows_per_task`` keys
+   of a side qualify, so the list has a proven bound; it is collected once and
+   broadcast. A side with at most ``rows_per_task`` rows in all has no hot key
+   and is only counted. Without hot keys the join is the plain join;
+2. rows of a hot key get a salt on their own side and are repeated once per
+   salt of the other side: a key that is hot on both sides becomes a grid of
+   (left splits x right splits) tasks. The salt is the row's running number in
+   its partition, so equal rows are spread too and no column is read for it;
+3. the join runs on (keys, salts). A pair of rows meets in exactly one place.
+
+A left outer join must not report a left row as unmatched because it met an
+empty salt: keys that are hot on the right exist there, so their left rows all
+match, and are joined in an inner join of their own.
 """
 
 from __future__ import annotations
@@ -26,6 +30,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 HOT_KEY_ROWS = 2_000_000
+SEMI = ("left_semi", "semi", "leftsemi")
+ANTI = ("left_anti", "anti", "leftanti")
+LEFT = ("left", "left_outer", "leftouter")
 
 
 def hot_keys(df: DataFrame, keys: Sequence[str], rows_per_task: int = HOT_KEY_ROWS) -> DataFrame:
@@ -35,50 +42,73 @@ def hot_keys(df: DataFrame, keys: Sequence[str], rows_per_task: int = HOT_KEY_RO
         *keys, F.ceil(F.col("__rows") / F.lit(rows_per_task)).cast("int").alias("__splits"))
 
 
-def _with_splits(df: DataFrame, h: DataFrame, df_keys: Sequence[str]) -> DataFrame:
+def _hot_list(df: DataFrame, keys: Sequence[str], rows_per_task: int) -> dict[tuple, int]:
+    keyed = df.select(*keys)
+    if keyed.count() <= rows_per_task:
+        return {}
+    return {tuple(r)[:-1]: r["__splits"] for r in hot_keys(keyed, keys, rows_per_task).collect()}
+
+
+def _salted(df: DataFrame, keys: Sequence[str], table: DataFrame, own: str, other: str) -> DataFrame:
+    """``df`` with ``__l`` and ``__r`` salts, its own drawn and the other side's repeated, and ``__r_hot``."""
     # Null-safe on purpose: a hot group of NULL keys is spread too, even in a
-    # join where NULL matches nothing (the salt never changes which rows meet).
+    # join where NULL matches nothing (the salts never change which rows meet).
     cond = None
-    for i, k in enumerate(df_keys):
+    for i, k in enumerate(keys):
         term = F.col(k).eqNullSafe(F.col(f"__hot{i}"))
         cond = term if cond is None else cond & term
-    joined = df.join(h, cond, "left")
-    return joined.select(*df.columns, F.coalesce(F.col("__splits"), F.lit(1)).alias("__splits"))
+    with_splits = df.withColumn("__id", F.monotonically_increasing_id()).join(F.broadcast(table), cond, "left")
+    splits = {s: F.coalesce(F.col(f"__{s}_splits"), F.lit(1)) for s in ("l", "r")}
+    return with_splits.select(
+        *df.columns, (splits["r"] > 1).alias("__r_hot"),
+        F.pmod(F.col("__id"), splits[own]).cast("int").alias(f"__{own}"),
+        F.explode(F.sequence(F.lit(0), splits[other] - 1)).alias(f"__{other}"))
 
 
-def salt_sides(left: DataFrame, right: DataFrame, left_keys: Sequence[str], right_keys: Sequence[str],
-               rows_per_task: int = HOT_KEY_ROWS):
-    """Add ``__lsalt`` to ``left`` and ``__rsalt`` to ``right`` (right rows of hot keys repeated).
+def split_join(left: DataFrame, right: DataFrame, left_keys: Sequence[str], right_keys: Sequence[str],
+               how: str = "inner", null_safe: bool = False, rows_per_task: int = HOT_KEY_ROWS) -> DataFrame:
+    """``left.join(right, keys, how)`` with hot keys of both sides split over several tasks.
 
-    Joining on the keys plus ``__lsalt == __rsalt`` gives the plain join's
-    result with each hot key of ``left`` spread over several tasks.
+    ``how`` is inner or a left-type join. The two sides share no column name;
+    all columns of both are kept (of ``left`` only, in a semi or anti join).
     """
-    hot = hot_keys(left, left_keys, rows_per_task)
-    h = F.broadcast(hot.select(*[F.col(k).alias(f"__hot{i}") for i, k in enumerate(left_keys)], "__splits"))
-    lsalted = _with_splits(left, h, left_keys)
-    lsalted = lsalted.select(*left.columns, F.pmod(F.xxhash64(*[F.col(c) for c in left.columns]),
-                                                   F.col("__splits")).cast("int").alias("__lsalt"))
-    rsalted = _with_splits(right, h, right_keys)
-    rsalted = rsalted.select(*right.columns,
-                             F.explode(F.sequence(F.lit(0), F.col("__splits") - 1)).alias("__rsalt"))
-    return lsalted, rsalted
+    if how in SEMI + ANTI:
+        right = right.select(*right_keys).distinct()
+    hot_left = _hot_list(left, left_keys, rows_per_task)
+    hot_right = {} if how in SEMI + ANTI else _hot_list(right, right_keys, rows_per_task)
+    if not null_safe:
+        hot_right = {k: n for k, n in hot_right.items() if None not in k}
+    on = None
+    for lk, rk in zip(left_keys, right_keys):
+        term = F.col(lk).eqNullSafe(F.col(rk)) if null_safe else F.col(lk) == F.col(rk)
+        on = term if on is None else on & term
+    if not hot_left and not hot_right:
+        return left.join(right, on, how)
+    kinds = ", ".join(f"__hot{i} {left.schema[k].dataType.simpleString()}" for i, k in enumerate(left_keys))
+    table = left.sparkSession.createDataFrame(
+        [(*k, hot_left.get(k, 1), hot_right.get(k, 1)) for k in hot_left.keys() | hot_right.keys()],
+        f"{kinds}, __l_splits int, __r_splits int")
+    ls = _salted(left, left_keys, table, "l", "r")
+    rs = _salted(right, right_keys, table, "r", "l").select(
+        *right.columns, F.col("__r_hot").alias("__hot_too"), F.col("__l").alias("__l2"), F.col("__r").alias("__r2"))
+    on = on & (F.col("__l") == F.col("__l2")) & (F.col("__r") == F.col("__r2"))
+    if how in LEFT and hot_right:
+        rest = ls.where("not __r_hot").join(rs.where("not __hot_too"), on, how)
+        joined = rest.unionByName(ls.where("__r_hot").join(rs.where("__hot_too"), on, "inner"))
+    else:
+        joined = ls.join(rs, on, how)
+    return joined.select(*left.columns, *([] if how in SEMI + ANTI else right.columns))
 
 
 def salted_join(big: DataFrame, other: DataFrame, keys: Sequence[str], how: str = "left",
                 null_safe: bool = False, rows_per_task: int = HOT_KEY_ROWS) -> DataFrame:
-    """``big.join(other, keys, how)`` with hot keys of ``big`` split over several tasks.
+    """``big.join(other, keys, how)`` with hot keys split over several tasks (``split_join``).
 
-    ``how`` is an inner or left-type join seen from ``big`` ("inner", "left",
-    "left_semi", "left_anti"). Shared key columns appear once, from ``big``.
+    Shared key columns appear once, from ``big``.
     """
     renamed = other.select(*[F.col(c).alias(f"__o_{c}") for c in other.columns])
-    b, o = salt_sides(big, renamed, keys, [f"__o_{k}" for k in keys], rows_per_task=rows_per_task)
-    cond = F.col("__lsalt") == F.col("__rsalt")
-    for k in keys:
-        left, right = F.col(k), F.col(f"__o_{k}")
-        cond = cond & (left.eqNullSafe(right) if null_safe else left == right)
-    joined = b.join(o, cond, how)
-    if how in ("left_semi", "left_anti", "semi", "anti", "leftsemi", "leftanti"):
-        return joined.select(*big.columns)
+    joined = split_join(big, renamed, keys, [f"__o_{k}" for k in keys], how, null_safe, rows_per_task)
+    if how in SEMI + ANTI:
+        return joined
     rest = [c for c in other.columns if c not in keys]
     return joined.select(*big.columns, *[F.col(f"__o_{c}").alias(c) for c in rest])

@@ -103,16 +103,20 @@ def housing_metrics(housing_clean: DataFrame, affordable_clean: DataFrame) -> Da
     )
 
 
-def prepare_new_construction(affordable: DataFrame) -> DataFrame:
-    """C5 affordable side: no preservation projects, a completion date, a year."""
+def _new_construction(affordable: DataFrame) -> DataFrame:
+    """No preservation projects; a completion date, a year, an integer lot."""
     t = {f.name: f.dataType for f in affordable.schema.fields}
     a = rel.exclude_value(affordable, "Reporting_Construction_Type", "Preservation")
     a = rel.drop_null_keys(a, ["Project_Completion_Date"])
-    a = a.withColumns({
+    return a.withColumns({
         "year_of_completion": dates.any_year("Project_Completion_Date"),
         "BBL": keys.int_key("BBL", t["BBL"]),
     })
-    return agg.redistribute_missing(a)
+
+
+def prepare_new_construction(affordable: DataFrame) -> DataFrame:
+    """C5 affordable side: new construction, units of lot-less buildings redistributed."""
+    return agg.redistribute_missing(_new_construction(affordable))
 
 
 def prepare_completed_jobs(housing: DataFrame) -> DataFrame:
@@ -142,11 +146,14 @@ def join_by_lot_year(housing: DataFrame, affordable: DataFrame) -> DataFrame:
 
 
 def unmatched_jobs(housing: DataFrame, affordable: DataFrame) -> DataFrame:
-    """Completed jobs with no building on the same (lot, year)."""
+    """Completed jobs with no building on the same (lot, year).
+
+    Only the buildings' (lot, year) pairs matter, so nothing is redistributed:
+    redistribution changes units, and drops the buildings without a lot.
+    """
     h = prepare_completed_jobs(housing)
-    a = prepare_new_construction(affordable)
-    return rel.unmatched_rows(h, a.select("BBL", "year_of_completion"),
-                              ["BBL", "year_of_completion"], null_safe=True)
+    built = rel.drop_null_keys(_new_construction(affordable), ["BBL"]).select("BBL", "year_of_completion").distinct()
+    return rel.unmatched_rows(h, built, ["BBL", "year_of_completion"], null_safe=True, skew_rows=HOT_KEY_ROWS)
 
 
 ROLLUP_KEYS = ["community_district", "council_district", "year_of_completion", "ZoningDst1", "FloorsProp"]
@@ -174,21 +181,23 @@ def units_rollup_from_sources(housing: DataFrame, affordable: DataFrame, order:
     """C6 over the C5 join, without building the job x building pairs.
 
     The buildings are reduced to one row per (lot, year) with their count
-    ``m`` and units ``U``; each completed job meets that row once (a
-    many-to-one join, salted for hot keys), standing for ``max(m, 1)`` joined
-    rows with ``ClassANet`` each and ``U`` units in total. Equal to
+    ``m`` and units ``U``, the jobs to one row per (lot, roll-up keys) with
+    their count ``j`` and ``ClassANet`` sum. The two meet in a many-to-one
+    join: such a row stands for ``max(m, 1)`` joined rows per job, and ``j U``
+    units. Both reductions combine map-side before their shuffle. Equal to
     ``units_rollup(join_by_lot_year(standardise_job_keys(housing), affordable))``.
     """
     jobs = prepare_completed_jobs(standardise_job_keys(housing)).select(
         "BBL", "year_of_completion", *[k for k in ROLLUP_KEYS if k != "year_of_completion"], "ClassANet")
-    jobs = rel.drop_null_keys(jobs, ROLLUP_KEYS)
+    jobs = rel.drop_null_keys(jobs, ROLLUP_KEYS).groupBy("BBL", *ROLLUP_KEYS).agg(
+        F.count(F.lit(1)).alias("__j"), agg.zero_sum("ClassANet").alias("ClassANet"))
     per_key = prepare_new_construction(affordable).groupBy("BBL", "year_of_completion").agg(
         F.count(F.lit(1)).alias("__m"), agg.zero_sum("All_Counted_Units").alias("__u"))
     met = salted_join(jobs, per_key, ["BBL", "year_of_completion"], how="left", null_safe=True)
     fan = F.greatest(F.coalesce(F.col("__m"), F.lit(0)), F.lit(1))
     out = met.groupBy(*ROLLUP_KEYS).agg(
         agg.zero_sum(F.col("ClassANet") * fan).alias("ClassANet_sum"),
-        agg.zero_sum(F.col("__u")).alias("AllCountedUnits_sum"))
+        agg.zero_sum(F.col("__j") * F.col("__u")).alias("AllCountedUnits_sum"))
     return out.orderBy(*ROLLUP_KEYS) if order else out
 
 

@@ -105,15 +105,65 @@ def test_aqe_alone_leaves_aggregate_join_unsplit(spark, skew_conf):
     assert "SortMergeJoin" in plan and "skew=true" not in plan
 
 
+def _equal(one, other):
+    other = other.select(*one.columns)
+    return one.exceptAll(other).count() == 0 and other.exceptAll(one).count() == 0
+
+
 def test_hot_null_keys_are_spread(spark):
-    from blocklot.operators.skew import salt_sides
+    from blocklot.operators.skew import salted_join
     left = spark.range(3000).select(F.when(F.col("id") % 2 == 0, F.lit(None)).otherwise(F.col("id") % 7)
                                     .cast("bigint").alias("k"), F.col("id").alias("v"))
     right = spark.range(10).select(F.col("id").alias("k"), F.col("id").alias("w"))
-    ls, _ = salt_sides(left, right, ["k"], ["k"], rows_per_task=100)
-    assert ls.where("k is null").select("__lsalt").distinct().count() > 1
-    from blocklot.operators.skew import salted_join
-    salted = salted_join(left, right, ["k"], how="left", rows_per_task=100)
-    plain = left.join(right, "k", "left")
-    assert salted.exceptAll(plain.select(*salted.columns)).count() == 0
-    assert plain.select(*salted.columns).exceptAll(salted).count() == 0
+    assert _equal(salted_join(left, right, ["k"], how="left", rows_per_task=100), left.join(right, "k", "left"))
+
+
+def _salt_pairs(left, right, rows_per_task):
+    """Distinct (left salt, right salt) places of key 0, from the joined rows' own salts."""
+    from blocklot.operators import skew
+    table = left.sparkSession.createDataFrame(
+        [(0, skew._hot_list(left, ["k"], rows_per_task).get((0,), 1), skew._hot_list(right, ["j"], rows_per_task).get((0,), 1))],
+        "__hot0 bigint, __l_splits int, __r_splits int")
+    ls = skew._salted(left, ["k"], table, "l", "r").where("k = 0")
+    return ls.select("__l", "__r").distinct().count()
+
+
+def test_right_side_hot_key_is_split(spark):
+    from blocklot.operators.skew import split_join
+    left = spark.range(40).select((F.col("id") % 4).alias("k"), F.col("id").alias("v"))
+    right = spark.range(9000).select(F.when(F.col("id") % 3 == 0, 0).otherwise(F.col("id") + 5).alias("j"),
+                                     F.col("id").alias("w"))
+    assert _salt_pairs(left, right, 100) == 30
+    for how in ("left", "inner", "left_semi", "left_anti"):
+        for null_safe in (False, True):
+            got = split_join(left, right, ["k"], ["j"], how, null_safe, rows_per_task=100)
+            assert _equal(got, left.join(right, left.k == right.j, how)), how
+
+
+def test_hot_on_both_sides_with_nulls(spark):
+    from blocklot.operators.skew import split_join
+    left = spark.range(900).select(F.when(F.col("id") % 3 == 0, 0).when(F.col("id") % 3 == 1, F.lit(None))
+                                   .otherwise(F.col("id")).cast("bigint").alias("k"), F.col("id").alias("v"))
+    right = spark.range(600).select(F.when(F.col("id") % 2 == 0, 0).when(F.col("id") % 5 == 1, F.lit(None))
+                                    .otherwise(F.col("id")).cast("bigint").alias("j"), F.col("id").alias("w"))
+    for how in ("left", "inner", "left_semi", "left_anti"):
+        for null_safe in (False, True):
+            on = left.k.eqNullSafe(right.j) if null_safe else left.k == right.j
+            got = split_join(left, right, ["k"], ["j"], how, null_safe, rows_per_task=50)
+            assert _equal(got, left.join(right, on, how)), (how, null_safe)
+
+
+def test_identical_rows_are_spread(spark):
+    from blocklot.operators import skew
+    left = spark.range(1000).select(F.lit(0).cast("bigint").alias("k"), F.lit(1).alias("v"))
+    right = spark.range(3).select(F.col("id").alias("j"), F.col("id").alias("w"))
+    assert _salt_pairs(left, right, 100) == 10
+    assert skew.split_join(left, right, ["k"], ["j"], "left", rows_per_task=100).count() == 1000
+
+
+def test_without_hot_keys_the_join_is_plain(spark):
+    from blocklot.operators.skew import split_join
+    left = spark.range(50).select(F.col("id").alias("k"))
+    right = spark.range(50).select(F.col("id").alias("j"))
+    plan = split_join(left, right, ["k"], ["j"], rows_per_task=100)._jdf.queryExecution().optimizedPlan().toString()
+    assert "__l" not in plan and "Generate" not in plan
