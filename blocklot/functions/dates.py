@@ -25,8 +25,11 @@ def _year_of(text: Column, pattern: str) -> Column:
 
 
 def strict_year(c) -> Column:
-    """Year of ``M/d/yyyy`` text (one or two digit month and day); else NULL."""
-    s = strip_ws(_col(c).cast("string"))
+    """Year of ``M/d/yyyy`` text (one or two digit month and day); else NULL.
+
+    Text with spaces around it is not in that format: NULL.
+    """
+    s = _col(c).cast("string")
     ok = s.rlike(r"^[0-9]{1,2}/[0-9]{1,2}/[0-9]{4}$")
     return F.when(ok, _year_of(s, MONTH_DAY_YEAR)).cast("bigint")
 

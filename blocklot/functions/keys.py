@@ -12,7 +12,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
-from pyspark.sql.types import NumericType, StringType
+from pyspark.sql.types import IntegralType, NumericType, StringType
 
 # Borough prefixes of community board codes and their digit.
 BOROUGH_DIGITS = {"MN": 1, "BX": 2, "BK": 3, "QN": 4, "SI": 5}
@@ -59,7 +59,10 @@ def int_key(c, dtype=None, strict: bool = False) -> Column:
 
     A value with a fraction (or NaN, inf) is NULL, or an error when ``strict``.
     ``floor`` of a double is a bigint, so ``floor(d) == d`` is the whole check.
+    Integer columns pass through as they are: a double holds 53 bits only.
     """
+    if isinstance(dtype, IntegralType):
+        return _col(c).cast("bigint")
     d = _as_double(c, dtype) if isinstance(dtype, StringType) else _col(c).cast("double")
     whole = F.floor(d)
     if not strict:
@@ -77,7 +80,13 @@ LONG_LIMIT = 9.2e18
 
 
 def truncated_int(c, dtype=None) -> Column:
-    """Number or numeric text to bigint, truncating toward zero (``8.9`` -> 8)."""
+    """Number or numeric text to bigint, truncating toward zero (``8.9`` -> 8).
+
+    Integer columns pass through; a number beyond the bigint range is NULL, as
+    no integer key can hold it.
+    """
+    if isinstance(dtype, IntegralType):
+        return _col(c).cast("bigint")
     if isinstance(dtype, StringType):
         return number_from_text(c).try_cast("bigint")
     d = _col(c).cast("double")

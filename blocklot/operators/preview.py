@@ -12,11 +12,6 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# Lehmer (minimal standard) generator modulus and multiplier.
-LEHMER_MODULUS = 2147483647
-LEHMER_MULTIPLIER = 48271
-
-
 def head(df: DataFrame, n: int = 20, order_by: Sequence[str] | None = None) -> DataFrame:
     ordered = df.orderBy(*order_by) if order_by else df
     return ordered.limit(n)
@@ -32,9 +27,8 @@ def first_row_transposed(df: DataFrame, order_by: Sequence[str] | None = None) -
 
 
 def sample_rank(key: str, seed: int) -> Column:
-    """A repeatable pseudo-random rank of an integer key (no overflow)."""
-    k = F.pmod(F.col(key) + F.lit(seed), F.lit(LEHMER_MODULUS))
-    return F.pmod(k * LEHMER_MULTIPLIER, F.lit(LEHMER_MODULUS))
+    """A repeatable pseudo-random rank of a key of any type: neighbouring keys land far apart."""
+    return F.md5(F.concat_ws(":", F.coalesce(F.col(key).cast("string"), F.lit("")), F.lit(str(seed))).cast("binary"))
 
 
 def seeded_sample(df: DataFrame, n: int, key: str, seed: int = 0) -> DataFrame:

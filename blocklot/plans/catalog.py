@@ -265,8 +265,7 @@ def profile_dataset(spark, sf_dir):
 @register("profile_dataset_lineitem")
 def profile_dataset_lineitem(spark, sf_dir):
     """Dataset checks over the whole order-line table."""
-    return profile.dataset_checks(read_table(spark, sf_dir, "lineitem")
-                                  .select("l_partkey", "l_suppkey", "l_quantity", "l_returnflag"))
+    return profile.dataset_checks(read_table(spark, sf_dir, "lineitem"))
 
 
 @register("null_counts")
@@ -320,11 +319,12 @@ def _scratch(spark, name: str) -> str:
 
 @register("geojson_roundtrip")
 def geojson_roundtrip(spark, sf_dir):
-    """Both layers written as GeoJSON, the folder read back as vertices."""
+    """Both layers written as GeoJSON, the folder read back as vertices with an attribute."""
     folder = _scratch(spark, "geojson")
     geojson.write_layers({"areas": ingest.area_layer(spark, sf_dir),
                           "zones": ingest.zone_layer(spark, sf_dir)}, folder)
-    return geojson.vertices(geojson.read_layers(spark, f"{folder}/*.geojson"))
+    return geojson.vertices(geojson.read_layers(spark, f"{folder}/*.geojson").withColumn(
+        "name", F.col("properties")["name"]), ["name"])
 
 
 @register("csv_roundtrip")

@@ -18,7 +18,7 @@ from ..functions import dates, keys
 from ..operators import aggregates as agg
 from ..operators import relational as rel
 from ..operators.skew import HOT_KEY_ROWS, salted_join
-from ..sources.tables import replace_table
+from ..sources.tables import read_replaced, replace_table
 
 JOIN_KEYS = ["community_district", "council_district", "BBL"]
 
@@ -217,7 +217,7 @@ def run_housing_job(housing: DataFrame, affordable: DataFrame, out_dir: str | No
     if out_dir is None:
         return housing_metrics(h, a)
     spark = housing.sparkSession
-    h = spark.read.parquet(replace_table(h, f"{out_dir}/housing_processed"))
-    a = spark.read.parquet(replace_table(a, f"{out_dir}/affordable_processed"))
-    j = spark.read.parquet(replace_table(join_housing_affordable(h, a), f"{out_dir}/housing_main"))
+    h = read_replaced(spark, replace_table(h, f"{out_dir}/housing_processed"))
+    a = read_replaced(spark, replace_table(a, f"{out_dir}/affordable_processed"))
+    j = read_replaced(spark, replace_table(join_housing_affordable(h, a), f"{out_dir}/housing_main"))
     return housing_metrics_from_join(j)

@@ -46,8 +46,8 @@ def _int(c: str) -> str:
 
 
 def _strict_year(c: str) -> str:
-    return (f"CASE WHEN regexp_full_match(trim({c}), '[0-9]{{1,2}}/[0-9]{{1,2}}/[0-9]{{4}}') "
-            f"THEN CAST(year(try_strptime(trim({c}), '%m/%d/%Y')) AS BIGINT) END")
+    return (f"CASE WHEN regexp_full_match({c}, '[0-9]{{1,2}}/[0-9]{{1,2}}/[0-9]{{4}}') "
+            f"THEN CAST(year(try_strptime({c}, '%m/%d/%Y')) AS BIGINT) END")
 
 
 def _any_year(c: str) -> str:
@@ -313,9 +313,7 @@ FROM affordable_fx""",
     "distinct_pairs": BASE + "SELECT DISTINCT CommntyDst, CouncilDst FROM housing_fx",
     "preview_head": _with(HOUSING_FX, HOUSING_CLEAN) + "SELECT * FROM housing_clean ORDER BY Job_ID LIMIT 20",
     "sample_rows": BASE + """
-SELECT * EXCLUDE (r) FROM (
- SELECT *, (((Job_ID + 42) % 2147483647) * 48271) % 2147483647 AS r FROM housing_fx)
-ORDER BY r, Job_ID LIMIT 10""",
+SELECT * FROM housing_fx ORDER BY md5(CAST(Job_ID AS VARCHAR) || ':42'), Job_ID LIMIT 10""",
 }
 
 
@@ -421,27 +419,29 @@ areas_v AS (
   CAST((c_custkey % 50) * 100 + 10 + t.ux * (5 + c_custkey % 16) AS DOUBLE) AS x,
   CAST((c_custkey // 50) * 100 + 10 + t.uy * (5 + (c_custkey // 7) % 16) AS DOUBLE) AS y
  FROM customer JOIN area_tpl t ON t.shape = (c_custkey + c_nationkey) % 4),
-zone_tpl(ring, seq, use_far_x, dx, use_far_y, dy) AS (VALUES
- (0, 0, false, 0, false, 0), (0, 1, true, 0, false, 0), (0, 2, true, 0, true, 0), (0, 3, false, 0, true, 0),
- (0, 4, false, 0, false, 0),
- (1, 0, false, 30, false, 20), (1, 1, false, 30, false, 60), (1, 2, false, 70, false, 60),
- (1, 3, false, 70, false, 20), (1, 4, false, 30, false, 20)),
+zone_tpl(part, ring, seq, use_far_x, dx, use_far_y, dy) AS (VALUES
+ (0, 0, 0, false, 0, false, 0), (0, 0, 1, true, 0, false, 0), (0, 0, 2, true, 0, true, 0), (0, 0, 3, false, 0, true, 0),
+ (0, 0, 4, false, 0, false, 0),
+ (0, 1, 0, false, 30, false, 20), (0, 1, 1, false, 30, false, 60), (0, 1, 2, false, 70, false, 60),
+ (0, 1, 3, false, 70, false, 20), (0, 1, 4, false, 30, false, 20),
+ (1, 0, 0, true, 10, false, 10), (1, 0, 1, true, 25, false, 10), (1, 0, 2, true, 25, false, 25),
+ (1, 0, 3, true, 10, false, 25), (1, 0, 4, true, 10, false, 10)),
 zone_corners AS (
  SELECT s_suppkey AS key, ((s_suppkey * 7) % 50) * 100 + 40 AS x0, s_suppkey * 30 - 25 AS y0,
   ((s_suppkey * 7) % 50) * 100 + 40 + 100 * (2 + s_suppkey % 4) AS x1,
   s_suppkey * 30 - 25 + 100 * (1 + s_suppkey % 3) AS y1
  FROM supplier),
 zones_v AS (
- SELECT z.key, t.ring, t.seq,
+ SELECT z.key, t.part, t.ring, t.seq,
   CAST(CASE WHEN t.use_far_x THEN z.x1 ELSE z.x0 END + t.dx AS DOUBLE) AS x,
   CAST(CASE WHEN t.use_far_y THEN z.y1 ELSE z.y0 END + t.dy AS DOUBLE) AS y
- FROM zone_corners z JOIN zone_tpl t ON t.ring = 0 OR z.key % 5 = 0),
+ FROM zone_corners z JOIN zone_tpl t ON CASE WHEN t.part = 1 THEN z.key % 7 = 0 ELSE t.ring = 0 OR z.key % 5 = 0 END),
 area_edges AS (
  SELECT * FROM (SELECT key, ring, x AS x1, y AS y1, lead(x) OVER w AS x2, lead(y) OVER w AS y2
   FROM areas_v WINDOW w AS (PARTITION BY key, ring ORDER BY seq)) WHERE x2 IS NOT NULL),
 zone_edges AS (
  SELECT * FROM (SELECT key, ring, x AS x1, y AS y1, lead(x) OVER w AS x2, lead(y) OVER w AS y2
-  FROM zones_v WINDOW w AS (PARTITION BY key, ring ORDER BY seq)) WHERE x2 IS NOT NULL),
+  FROM zones_v WINDOW w AS (PARTITION BY key, part, ring ORDER BY seq)) WHERE x2 IS NOT NULL),
 ring_sums AS (
  SELECT key, ring, sum(x1 * y2 - x2 * y1) AS s, sum((x1 + x2) * (x1 * y2 - x2 * y1)) AS sx,
   sum((y1 + y2) * (x1 * y2 - x2 * y1)) AS sy
@@ -523,9 +523,9 @@ SELECT coalesce(s.community_district, t.community_district) AS community_distric
 FROM school_xw s FULL JOIN tract_xw t ON s.community_district = t.community_district"""
 
 ORACLE_SQL["geojson_roundtrip"] = _with(GEO_LAYERS) + """
-SELECT 'areas' AS layer, key, 0 AS part, ring, seq, x, y FROM areas_v
+SELECT 'areas' AS layer, key, 0 AS part, ring, seq, x, y, NULL AS name FROM areas_v
 UNION ALL
-SELECT 'zones' AS layer, key, 0 AS part, ring, seq, x, y FROM zones_v"""
+SELECT 'zones' AS layer, key, part, ring, seq, x, y, 'zone ' || key AS name FROM zones_v"""
 ORACLE_SQL["csv_roundtrip"] = BASE + "SELECT * FROM housing_fx"
 ORACLE_SQL["table_replace"] = CLEAN + "SELECT * FROM affordable_clean"
 ORACLE_SQL["housing_job"] = CLEAN_JOINED + METRICS

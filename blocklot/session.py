@@ -45,8 +45,9 @@ def scratch_dir(spark: SparkSession) -> str:
 
     On a cluster this is the folder named by ``spark.checkpoint.dir`` (a
     shared file system every executor can reach). Only when that setting is
-    absent, as in local tests, a private folder is made and registered, so
-    ``DataFrame.checkpoint()`` works the same way in both settings.
+    absent and the master is ``local`` (one machine, as in tests), a private
+    folder is made and registered, so ``DataFrame.checkpoint()`` works the same
+    way in both settings; on a cluster a missing setting is an error.
     """
     sc = spark.sparkContext
     current = sc._jsc.sc().getCheckpointDir()
@@ -55,6 +56,8 @@ def scratch_dir(spark: SparkSession) -> str:
     conf_dir = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get(
         "spark.checkpoint.dir", None)
     if not conf_dir:
+        if not sc.master.startswith("local[") and sc.master != "local":
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         conf_dir = tempfile.mkdtemp(prefix="blocklot-scratch-")
     sc.setCheckpointDir(conf_dir)
     return sc._jsc.sc().getCheckpointDir().get()

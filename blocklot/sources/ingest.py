@@ -11,7 +11,6 @@ each raw column inside every filter the optimizer pushes down).
 from __future__ import annotations
 
 import hashlib
-import os
 import threading
 from collections.abc import Callable
 
@@ -33,20 +32,21 @@ DERIVATIONS: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 }
 
 
-def _tag(sf_dir: str) -> str:
-    path = os.path.abspath(sf_dir)
-    stamp = "".join(f"{n}:{os.path.getmtime(os.path.join(path, n))}" for n in sorted(os.listdir(path))) \
-        if os.path.isdir(path) else ""
-    return hashlib.sha1((path + stamp).encode()).hexdigest()[:16]
+def _tag(spark: SparkSession, sf_dir: str) -> str:
+    """A name that changes when the files of ``sf_dir`` do, whatever store they are in."""
+    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(sf_dir)
+    fs = where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    found = sorted((x.getPath().getName(), x.getModificationTime(), x.getLen()) for x in fs.listStatus(where))
+    return hashlib.sha1(repr((sf_dir, found)).encode()).hexdigest()[:16]
 
 
 def ingest_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """The raw table ``name`` for ``sf_dir``, written on first use in this application."""
-    key = (spark.sparkContext.applicationId, os.path.abspath(sf_dir), name)
+    key = (spark.sparkContext.applicationId, sf_dir, name)
     with _LOCK:
         path = _WRITTEN.get(key)
         if path is None:
-            path = scratch_path(spark, "ingest", _tag(sf_dir), name)
+            path = scratch_path(spark, "ingest", _tag(spark, sf_dir), name)
             spread(DERIVATIONS[name](spark, sf_dir)).write.mode("overwrite").parquet(path)
             _WRITTEN[key] = path
     return spark.read.parquet(path)

@@ -7,11 +7,12 @@ row and grow with the scale factor:
   cells: rectangles, U shapes (centroid outside the polygon), squares with a
   hole (centroid in the hole) and triangles, sized from the key;
 * zones (one polygon per supplier), larger rectangles spread over the same
-  grid, overlapping each other, every fifth with a hole; their edges fall on
-  some area centroids, which exercises the on-boundary rule.
+  grid, overlapping each other, every fifth with a hole, every seventh with a
+  second part to the right of the first; their edges fall on some area
+  centroids, which exercises the on-boundary rule.
 
 All vertices are integers, so areas and centroids are exact sums.
-Layer columns: key, part, rings (GeoJSON Polygon coordinates).
+Layer columns: key, part, rings (GeoJSON Polygon coordinates); zones also name (an attribute).
 """
 
 from __future__ import annotations
@@ -70,5 +71,9 @@ def zone_layer(spark: SparkSession, sf_dir: str) -> DataFrame:
     outer = F.array(pt(x0, y0), pt(x1, y0), pt(x1, y1), pt(x0, y1), pt(x0, y0))
     hole = F.array(pt(x0 + 30, y0 + 20), pt(x0 + 30, y0 + 60), pt(x0 + 70, y0 + 60),
                    pt(x0 + 70, y0 + 20), pt(x0 + 30, y0 + 20))
-    rings = F.when(k % 5 == 0, F.array(outer, hole)).otherwise(F.array(outer))
-    return s.select(k.alias("key"), F.lit(0).alias("part"), rings.alias("rings"))
+    first = F.when(k % 5 == 0, F.array(outer, hole)).otherwise(F.array(outer))
+    second = F.array(F.array(pt(x1 + 10, y0 + 10), pt(x1 + 25, y0 + 10), pt(x1 + 25, y0 + 25), pt(x1 + 10, y0 + 25),
+                             pt(x1 + 10, y0 + 10)))
+    parts = F.when(k % 7 == 0, F.array(first, second)).otherwise(F.array(first))
+    named = F.concat(F.lit("zone "), k.cast("string"))
+    return s.select(k.alias("key"), named.alias("name"), F.posexplode(parts).alias("part", "rings"))

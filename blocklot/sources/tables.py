@@ -2,7 +2,7 @@
 
 Scans stay lazy: callers select columns and filter afterwards and Catalyst
 pushes both into the parquet reader (``ReadSchema`` / ``PushedFilters``).
-Sinks use Spark's commit protocol, so a replaced table is never half written.
+A replaced table is a series of versions; only a complete one is ever read.
 """
 
 from __future__ import annotations
@@ -12,8 +12,6 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
-from ..session import scratch_path
-
 DRIVER_TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem",
                  "events", "documents", "embeddings", "pages", "benchmark", "labels",
                  "conversations")
@@ -40,25 +38,54 @@ def write_csv(df: DataFrame, path: str) -> str:
     return path
 
 
+def _filesystem(spark: SparkSession, path: str):
+    """(Hadoop file system, Hadoop path) of ``path``."""
+    jvm = spark.sparkContext._jvm
+    where = jvm.org.apache.hadoop.fs.Path(path)
+    return where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), where
+
+
+def _versions(spark: SparkSession, path: str) -> list[int]:
+    fs, where = _filesystem(spark, path)
+    if not fs.exists(where):
+        return []
+    names = [x.getPath().getName() for x in fs.listStatus(where)]
+    return sorted(int(n[len(READY):]) for n in names if n.startswith(READY))
+
+
+#: A version's data folder, and the empty file that makes it the table.
+DATA, READY = "v", "_ready-"
+
+
 def replace_table(df: DataFrame, path: str, partition_by: list[str] | None = None) -> str:
-    """Replace-table sink: the new table becomes visible only when complete."""
+    """Replace-table sink: the old table can be read until the new one is complete.
+
+    Every load goes to a folder of its own below ``path``; once Spark has
+    committed it, an empty marker file (one atomic create) makes it the current
+    version. A load that fails leaves the table as it was. The version before
+    the current one is kept for readers that have begun on it; older ones, and
+    the leftovers of failed loads, are removed.
+    """
+    spark = df.sparkSession
+    fs, _ = _filesystem(spark, path)
+    before = _versions(spark, path)
+    number = (before[-1] if before else 0) + 1
+    target = os.path.join(path, f"{DATA}{number}")
     writer = df.write.mode("overwrite").format("parquet")
     if partition_by:
         writer = writer.partitionBy(*partition_by)
-    writer.save(path)
+    writer.save(target)
+    _, marker = _filesystem(spark, os.path.join(path, f"{READY}{number}"))
+    fs.create(marker, False).close()
+    for old in before[:-1]:
+        for name in (f"{READY}{old}", f"{DATA}{old}"):
+            fs.delete(_filesystem(spark, os.path.join(path, name))[1], True)
     return path
 
 
 def read_replaced(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.parquet(path)
-
-
-def materialize(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` to the shared scratch folder and read it back.
-
-    Cuts lineage (a lost executor re-reads the file instead of recomputing the
-    whole upstream plan) and gives the next step exact size statistics.
-    """
-    path = scratch_path(df.sparkSession, "tables", name)
-    replace_table(df, path)
-    return df.sparkSession.read.parquet(path)
+    """The current version of a table written by ``replace_table``."""
+    found = _versions(spark, path)
+    if not found:
+        raise FileNotFoundError(f"no complete table at {path}")
+    return spark.read.parquet(os.path.join(path, f"{DATA}{found[-1]}"))
