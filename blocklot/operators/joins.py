@@ -1,13 +1,11 @@
-"""Broadcast only behind a size check.
-
-``broadcast_if_small`` reads the optimizer's size estimate of a plan (file
-sizes scaled through projections, filters and aggregates: an upper bound
-for the scans used here) and adds a broadcast hint only when it is below the
-limit. Beyond the limit nothing is forced: the planner picks a shuffle join
-and AQE, which measures the real size of each shuffled side at run time,
-still converts the join to a broadcast when the measured side is small
-(``spark.sql.adaptive.autoBroadcastJoinThreshold``) and splits skewed
-partitions otherwise.
+"""Dimension look-ups that broadcast behind a size check, and spreading of small inputs.
+
+``lookup_join`` reads the optimizer's size of a plan. That is an estimate, from
+the compressed bytes of the files scanned, so it is multiplied by
+``EXPANSION`` before it is compared with the limit; and it only picks the plan,
+never the result. Beyond the limit the join is a salted shuffle join, and AQE,
+which measures the real size of each shuffled side, may still broadcast it
+(``spark.sql.adaptive.autoBroadcastJoinThreshold``).
 """
 
 from __future__ import annotations
@@ -16,6 +14,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 DEFAULT_BROADCAST_BYTES = 64 * 1024 * 1024
+#: Bytes in memory per compressed byte on disk that are allowed for.
+EXPANSION = 10
 
 
 def estimated_bytes(df: DataFrame) -> int:
@@ -24,11 +24,6 @@ def estimated_bytes(df: DataFrame) -> int:
     return int(str(stats.sizeInBytes()))
 
 
-def broadcast_if_small(df: DataFrame, max_bytes: int = DEFAULT_BROADCAST_BYTES) -> DataFrame:
-    """``F.broadcast(df)`` when its estimated size is at most ``max_bytes``."""
-    return F.broadcast(df) if estimated_bytes(df) <= max_bytes else df
-
-
 def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
     """Round-robin ``df`` over at least ``min_partitions`` tasks when it has fewer.
 
@@ -50,7 +45,7 @@ def lookup_join(big: DataFrame, dim: DataFrame, big_key: str, dim_key: str,
     holding a large share of the rows is still split over several tasks
     (a dimension built by an aggregate is not covered by AQE's skew split).
     """
-    if estimated_bytes(dim) <= max_bytes:
+    if estimated_bytes(dim) * EXPANSION <= max_bytes:
         return big.join(F.broadcast(dim), big[big_key] == dim[dim_key], "left")
     from .skew import salted_join
     key_type = big.schema[big_key].dataType

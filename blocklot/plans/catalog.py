@@ -19,7 +19,7 @@ from ..operators import geometry as geo
 from ..operators import preview, profile
 from ..operators import relational as rel
 from ..session import scratch_path
-from ..sources import geojson, ingest, standins, tables
+from ..sources import geojson, ingest, layers, standins, tables
 from ..sources.tables import read_table
 from . import housing as H
 from . import crosswalks, school
@@ -132,13 +132,30 @@ def school_bridge(spark, sf_dir):
                                 standins.school_capacity(spark, sf_dir))
 
 
+@register("school_bridge_by_district")
+def school_bridge_by_district(spark, sf_dir):
+    """J4/J5 with one row per job: the schools of a district summed before the join."""
+    return school.school_bridge_by_district(_h(spark, sf_dir), standins.community_to_school(spark, sf_dir),
+                                            standins.school_capacity(spark, sf_dir))
+
+
+@register("council_school_summary")
+def council_school_summary(spark, sf_dir):
+    """C11: the council join carried on to the schools, per (community, council)."""
+    return school.council_school_summary(_h(spark, sf_dir), _a(spark, sf_dir), standins.community_to_school(spark, sf_dir),
+                                         standins.school_capacity(spark, sf_dir))
+
+
 @register("fill_unknown")
 def fill_unknown(spark, sf_dir):
-    """Every gap of the bridged table written as 'Unknown'."""
-    bridged = school.school_bridge(_h(spark, sf_dir), standins.community_to_school(spark, sf_dir),
-                                   standins.school_capacity(spark, sf_dir))
-    return rel.fill_labels(bridged.select("Job_ID", "CommntyDst", "SchoolDist", "School_ID",
-                                          "SchoolCapacity"))
+    """Every gap of the bridged table written as 'Unknown', in every column."""
+    return rel.fill_labels(school_bridge_by_district(spark, sf_dir))
+
+
+@register("join_quality_report")
+def join_quality_report(spark, sf_dir):
+    """Row counts, key gaps, unjoined jobs and unit totals of the lot+year join."""
+    return H.join_quality_report(_h(spark, sf_dir), _a(spark, sf_dir))
 
 
 @register("std_community_board")
@@ -256,9 +273,15 @@ def profile_customer(spark, sf_dir):
     return profile.profile_columns(read_table(spark, sf_dir, "customer"))
 
 
+@register("profile_dataset_jobs")
+def profile_dataset_jobs(spark, sf_dir):
+    """Rows, duplicate rows (all copies), rows with a gap, columns of the jobs table."""
+    return profile.dataset_checks(_h(spark, sf_dir))
+
+
 @register("profile_dataset")
 def profile_dataset(spark, sf_dir):
-    """Rows, duplicate rows (all copies), rows with a gap, columns."""
+    """The same checks beside the id: jobs that differ in nothing but their number are duplicates."""
     return profile.dataset_checks(_jobs_without_id(spark, sf_dir))
 
 
@@ -299,6 +322,29 @@ def crosswalk_intersects(spark, sf_dir):
     return crosswalks.intersects_crosswalk(ingest.area_layer(spark, sf_dir), ingest.zone_layer(spark, sf_dir))
 
 
+def _districts(spark, sf_dir):
+    return {name: ingest.district_layer(spark, sf_dir, name) for name in layers.DISTRICTS}
+
+
+@register("crosswalk_within_decimal")
+def crosswalk_within_decimal(spark, sf_dir):
+    """C7 on layers whose corners are no binary fractions."""
+    d = _districts(spark, sf_dir)
+    return crosswalks.centroid_crosswalk(d["community"], d["council"])
+
+
+@register("crosswalk_set_within")
+def crosswalk_set_within(spark, sf_dir):
+    """The four centroid crosswalks of the four layers."""
+    return crosswalks.centroid_crosswalks(_districts(spark, sf_dir))
+
+
+@register("crosswalk_set_intersects")
+def crosswalk_set_intersects(spark, sf_dir):
+    """The six overlap crosswalks of the four layers."""
+    return crosswalks.intersects_crosswalks(_districts(spark, sf_dir))
+
+
 @register("crosswalk_standardize")
 def crosswalk_standardize(spark, sf_dir):
     """Community->school and community->tract crosswalks, keys standardised."""

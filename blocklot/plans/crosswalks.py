@@ -33,6 +33,51 @@ def intersects_crosswalk(areas: DataFrame, zones: DataFrame, area_name: str = "a
     return pairs.select(F.col("lkey").alias(area_name), F.col("rkey").alias(zone_name)).distinct()
 
 
+# The pairs of layers that the source maps: by centroid, and by overlap.
+WITHIN_PAIRS = [("community", "tract"), ("council", "tract"), ("community", "school"), ("council", "school")]
+INTERSECTS_PAIRS = [("tract", "community"), ("community", "council"), ("tract", "council"), ("tract", "school"),
+                    ("community", "school"), ("council", "school")]
+
+
+def _by_target(pairs: list[tuple[str, str]]) -> dict[str, list[str]]:
+    out: dict[str, list[str]] = {}
+    for source, target in pairs:
+        out.setdefault(target, []).append(source)
+    return out
+
+
+def _tagged(target: str, source: str):
+    return F.struct(F.lit(f"{source}_to_{target}").alias("pair"), F.col("key").alias("key")).alias("key")
+
+
+def centroid_crosswalks(layers: dict[str, DataFrame], pairs: list[tuple[str, str]] | None = None) -> DataFrame:
+    """Every centroid crosswalk of the set: (pair, source_key, target_key), a target layer indexed once."""
+    out = None
+    for target, sources in _by_target(pairs or WITHIN_PAIRS).items():
+        points = None
+        for source in sources:
+            own = geo.centroids(layers[source]).select(_tagged(target, source), F.col("cx").alias("px"), F.col("cy").alias("py"))
+            points = own if points is None else points.unionByName(own)
+        found = geo.points_in_polygons(points, layers[target], boundary=False).select(
+            "key.pair", F.col("key.key").alias("source_key"), F.col("polygon_key").alias("target_key"))
+        out = found if out is None else out.unionByName(found)
+    return out
+
+
+def intersects_crosswalks(layers: dict[str, DataFrame], pairs: list[tuple[str, str]] | None = None) -> DataFrame:
+    """Every overlap crosswalk of the set: (pair, source_key, target_key), a target layer filed once."""
+    out = None
+    for target, sources in _by_target(pairs or INTERSECTS_PAIRS).items():
+        left = None
+        for source in sources:
+            own = layers[source].select(_tagged(target, source), "part", "rings")
+            left = own if left is None else left.unionByName(own)
+        found = geo.polygons_intersecting(left, layers[target]).select(
+            "lkey.pair", F.col("lkey.key").alias("source_key"), F.col("rkey").alias("target_key"))
+        out = found if out is None else out.unionByName(found)
+    return out
+
+
 # Raw key column names of the four fact tables and their standard names.
 FACT_RENAMES = {
     "housing": {"CommntyDst": "community_district", "CouncilDst": "council_district", "CenTract20": "census_tract"},

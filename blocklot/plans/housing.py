@@ -156,6 +156,40 @@ def unmatched_jobs(housing: DataFrame, affordable: DataFrame) -> DataFrame:
     return rel.unmatched_rows(h, built, ["BBL", "year_of_completion"], null_safe=True, skew_rows=HOT_KEY_ROWS)
 
 
+def join_quality_report(housing: DataFrame, affordable: DataFrame) -> DataFrame:
+    """C5's counts: rows before and after each step, gaps in the keys, unjoined jobs, unit totals.
+
+    One aggregate per side and the anti join of J7; the joined rows are not
+    built. A joined row without a partner is a job without one: every building
+    that is left has a completion date, a column that jobs do not have (P12).
+    """
+    h, a = prepare_completed_jobs(housing), _new_construction(affordable)
+    no_lot, no_year = F.col("BBL").isNull(), F.col("year_of_completion").isNull()
+    jobs = h.agg(
+        F.count(F.lit(1)).alias("housing_rows_completed"), F.count_if(no_lot).alias("housing_missing_lot"),
+        F.count_if(no_year).alias("housing_missing_year"), agg.zero_sum("ClassANet").alias("housing_units"))
+    spread = agg.redistribute_missing(a)
+    built = a.agg(F.count(F.lit(1)).alias("affordable_rows_new"), F.count_if(no_lot).alias("affordable_missing_lot"))
+    left = spread.agg(F.count(F.lit(1)).alias("affordable_rows_left"), F.count_if(no_year).alias("affordable_missing_year"),
+                      agg.zero_sum("All_Counted_Units").alias("affordable_units"))
+    raw_h = housing.agg(F.count(F.lit(1)).alias("housing_rows"))
+    raw_a = affordable.agg(F.count(F.lit(1)).alias("affordable_rows"))
+    alone = unmatched_jobs(housing, affordable).agg(F.count(F.lit(1)).alias("unjoined_rows"))
+    rows = raw_h
+    for one in (raw_a, jobs, built, left, alone):
+        rows = rows.unionByName(one, allowMissingColumns=True)
+    return rows.agg(*[F.max(c).alias(c) for c in rows.columns])  # one row of each, side by side
+
+
+def rows_without_partner(joined: DataFrame, left: DataFrame, right: DataFrame) -> DataFrame:
+    """Rows of a built left join whose columns from ``right`` alone are all NULL (P12 names them)."""
+    gap = None
+    for c in rel.columns_not_in(right, left):
+        term = F.col(c).isNull()
+        gap = term if gap is None else gap & term
+    return joined.where(gap) if gap is not None else joined.limit(0)
+
+
 ROLLUP_KEYS = ["community_district", "council_district", "year_of_completion", "ZoningDst1", "FloorsProp"]
 ROLLUP_SUMS = {"ClassANet_sum": "ClassANet", "AllCountedUnits_sum": "All_Counted_Units"}
 

@@ -7,6 +7,8 @@ Column names and types match the Spark output.
 
 from __future__ import annotations
 
+from ..sources.layers import DISTRICTS
+
 HOUSING_FX = """
 housing_fx AS (
  SELECT o_orderkey AS Job_ID,
@@ -276,13 +278,6 @@ SELECT j.* FROM jobs j WHERE NOT EXISTS (
         "SELECT coalesce(sum(ClassANet_sum), 0) AS ClassANet_sum, "
         "coalesce(sum(AllCountedUnits_sum), 0) AS AllCountedUnits_sum FROM rollup"),
     "school_bridge": BASE + "," + SCHOOL_XW.lstrip() + "\nSELECT * FROM bridge",
-    "fill_unknown": BASE + "," + SCHOOL_XW.lstrip() + """
-SELECT coalesce(CAST(Job_ID AS VARCHAR), 'Unknown') AS Job_ID,
- coalesce(CAST(CommntyDst AS VARCHAR), 'Unknown') AS CommntyDst,
- coalesce(CAST(SchoolDist AS VARCHAR), 'Unknown') AS SchoolDist,
- coalesce(CAST(School_ID AS VARCHAR), 'Unknown') AS School_ID,
- coalesce(CAST(SchoolCapacity AS VARCHAR), 'Unknown') AS SchoolCapacity
-FROM bridge""",
     "std_community_board": BASE + "," + MESSY.lstrip() + f"""
 SELECT board_text, {_board('board_text')} AS community_district
 FROM (SELECT board_text FROM raw_keys UNION ALL SELECT community_district FROM affordable_fx)""",
@@ -389,8 +384,10 @@ FROM (SELECT count(*) AS n, bool_or({gap}) AS gap FROM {source} GROUP BY {keys})
 ORACLE_SQL["profile_columns"] = BASE + _profile_sql("housing_fx", JOB_COLUMNS)
 ORACLE_SQL["profile_customer"] = _profile_sql("customer", CUSTOMER_COLUMNS)
 ORACLE_SQL["profile_dataset"] = BASE + _dataset_sql("housing_fx", [c for c, _ in JOB_COLUMNS[1:]])
+ORACLE_SQL["profile_dataset_jobs"] = BASE + _dataset_sql("housing_fx", [c for c, _ in JOB_COLUMNS])
 ORACLE_SQL["profile_dataset_lineitem"] = _dataset_sql(
-    "lineitem", ["l_partkey", "l_suppkey", "l_quantity", "l_returnflag"])
+    "lineitem", ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_extendedprice",
+                 "l_discount", "l_tax", "l_returnflag", "l_linestatus", "l_shipdate"])
 ORACLE_SQL["null_counts"] = BASE + "\nUNION ALL\n".join(
     f"SELECT {i} AS position, '{c}' AS column_name, count(*) FILTER (WHERE {c} IS NULL) AS missing FROM housing_fx"
     for i, (c, _) in enumerate(JOB_COLUMNS))
@@ -559,3 +556,72 @@ ORACLE_SQL["std_fact_transit"] = f"""
 SELECT {_tract_from_text(_strip("(CASE p_partkey % 5 WHEN 0 THEN '36005' WHEN 1 THEN '36047' WHEN 2 THEN '36061' WHEN 3 THEN '36081' ELSE '36085' END || lpad(CAST(100 * (1 + p_partkey % 900) + p_partkey % 3 AS VARCHAR), 6, '0'))"))} AS census_tract,
  p_retailprice AS Transit_Score
 FROM part"""
+
+
+# ---- school step by district, quality report, crosswalk sets ----------------
+
+BY_DISTRICT = """,
+district AS (SELECT Geo_Dist, count(*) AS schools, CAST(sum(SchoolCapacity) AS BIGINT) AS spare_seats
+ FROM (SELECT 1 + s_suppkey % 32 AS Geo_Dist, (500 + (s_suppkey * 37) % 700) - (400 + (s_suppkey * 53) % 800) AS SchoolCapacity
+  FROM supplier) GROUP BY Geo_Dist),
+district_xw AS (SELECT BoroCD, CASE WHEN BoroCD % 13 = 0 THEN NULL ELSE CAST(1 + (BoroCD * 7) % 32 AS DOUBLE) END AS SchoolDist
+ FROM (SELECT DISTINCT (1 + c_custkey % 5) * 100 + 1 + c_custkey % 12 AS BoroCD FROM customer)),
+job_district AS (SELECT h.*, x.BoroCD, x.SchoolDist, d.Geo_Dist, d.schools, d.spare_seats FROM housing_fx h
+ LEFT JOIN district_xw x ON h.CommntyDst = x.BoroCD LEFT JOIN district d ON x.SchoolDist = d.Geo_Dist)"""
+
+ORACLE_SQL["school_bridge_by_district"] = BASE + BY_DISTRICT + "\nSELECT * FROM job_district"
+ORACLE_SQL["fill_unknown"] = BASE + BY_DISTRICT + """
+SELECT """ + ", ".join(
+    f"coalesce(CAST({c} AS VARCHAR), 'Unknown') AS {c}" for c in
+    [c for c, _ in JOB_COLUMNS] + ["BoroCD", "SchoolDist", "Geo_Dist", "schools", "spare_seats"]) + "\nFROM job_district"
+ORACLE_SQL["council_school_summary"] = BASE + BY_DISTRICT + """,
+built AS (SELECT council_district, count(*) AS a_rows, sum(All_Counted_Units) AS a_units FROM affordable_fx GROUP BY 1),
+chain AS (SELECT j.CommntyDst, j.CouncilDst, j.SchoolDist, j.ClassANet, coalesce(b.a_rows, 0) AS a_rows,
+ coalesce(b.a_units, 0) AS a_units, coalesce(j.schools, 0) AS schools, j.spare_seats,
+ greatest(coalesce(b.a_rows, 0), 1) AS m, greatest(coalesce(j.schools, 0), 1) AS s
+ FROM job_district j LEFT JOIN built b ON j.CouncilDst IS NOT DISTINCT FROM b.council_district)
+SELECT CommntyDst, CouncilDst, SchoolDist, count(*) AS housing_rows, any_value(a_rows) AS affordable_rows,
+ any_value(schools) AS schools, any_value(spare_seats) AS spare_seats, CAST(sum(m * s) AS BIGINT) AS joined_rows,
+ sum(ClassANet * m * s) AS housing_units, sum(a_units * s) AS affordable_units
+FROM chain GROUP BY CommntyDst, CouncilDst, SchoolDist"""
+
+ORACLE_SQL["join_quality_report"] = BASE + "," + LOT_YEAR.lstrip() + """
+SELECT (SELECT count(*) FROM housing_fx) AS housing_rows, (SELECT count(*) FROM affordable_fx) AS affordable_rows,
+ (SELECT count(*) FROM jobs) AS housing_rows_completed, (SELECT count(*) FROM jobs WHERE BBL IS NULL) AS housing_missing_lot,
+ (SELECT count(*) FROM jobs WHERE year_of_completion IS NULL) AS housing_missing_year,
+ (SELECT coalesce(sum(ClassANet), 0) FROM jobs) AS housing_units,
+ (SELECT count(*) FROM nc) AS affordable_rows_new, (SELECT count(*) FROM nc WHERE BBL IS NULL) AS affordable_missing_lot,
+ (SELECT count(*) FROM nc_kept) AS affordable_rows_left,
+ (SELECT count(*) FROM nc_kept WHERE year_of_completion IS NULL) AS affordable_missing_year,
+ (SELECT coalesce(sum(All_Counted_Units), 0) FROM nc_kept) AS affordable_units,
+ (SELECT count(*) FROM jobs j WHERE NOT EXISTS (SELECT 1 FROM nc_kept k WHERE j.BBL IS NOT DISTINCT FROM k.BBL
+  AND j.year_of_completion IS NOT DISTINCT FROM k.year_of_completion)) AS unjoined_rows"""
+
+
+def _rectangles(name: str) -> str:
+    table, key, columns, spacing, ox, oy, sizes, least = DISTRICTS[name]
+    x0 = f"(({key} % {columns}) * {spacing} + {ox} + ({key} * 37) % 301)"
+    y0 = f"(({key} // {columns}) * {spacing} + {oy} + ({key} * 53) % 211)"
+    w, h = f"(({key} % {sizes}) * 2 + {least})", f"((({key} // 3) % {sizes}) * 2 + {least + 2})"
+    return (f"{name} AS (SELECT CAST({key} AS BIGINT) AS key, {x0} AS x0, {y0} AS y0, {x0} + {w} AS x1, {y0} + {h} AS y1 "
+            f"FROM {table})")
+
+
+# Whole hundredths: twice the centroid is a whole number, so everything is exact.
+_WITHIN = "a.x0 + a.x1 > 2 * z.x0 AND a.x0 + a.x1 < 2 * z.x1 AND a.y0 + a.y1 > 2 * z.y0 AND a.y0 + a.y1 < 2 * z.y1"
+_OVERLAP = "a.x0 <= z.x1 AND z.x0 <= a.x1 AND a.y0 <= z.y1 AND z.y0 <= a.y1"
+
+
+def _pairs_sql(pairs, condition: str) -> str:
+    return "WITH " + ", ".join(_rectangles(n) for n in DISTRICTS) + "\n" + "\nUNION ALL\n".join(
+        f"SELECT '{a}_to_{z}' AS pair, a.key AS source_key, z.key AS target_key FROM {a} a LEFT JOIN {z} z ON {condition}"
+        for a, z in pairs)
+
+
+ORACLE_SQL["crosswalk_set_within"] = _pairs_sql(
+    [("community", "tract"), ("council", "tract"), ("community", "school"), ("council", "school")], _WITHIN)
+ORACLE_SQL["crosswalk_set_intersects"] = _pairs_sql(
+    [("tract", "community"), ("community", "council"), ("tract", "council"), ("tract", "school"),
+     ("community", "school"), ("council", "school")], _OVERLAP)
+ORACLE_SQL["crosswalk_within_decimal"] = (
+    "SELECT source_key AS area_key, target_key AS zone_key FROM (" + _pairs_sql([("community", "council")], _WITHIN) + ")")

@@ -12,6 +12,7 @@ from __future__ import annotations
 
 import hashlib
 import threading
+from functools import partial
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -29,6 +30,7 @@ DERIVATIONS: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "raw_keys": messy.raw_keys,
     "area_layer": layers.area_layer,
     "zone_layer": layers.zone_layer,
+    **{f"{name}_layer": partial(layers.district_layer, name=name) for name in layers.DISTRICTS},
 }
 
 
@@ -72,4 +74,8 @@ def zone_layer(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ingest_table(spark, sf_dir, "zone_layer")
 
 
-__all__ = ["ingest_table", "housing_jobs", "affordable_buildings", "raw_keys", "area_layer", "zone_layer"]
+def district_layer(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return ingest_table(spark, sf_dir, f"{name}_layer")
+
+
+__all__ = ["district_layer", "ingest_table", "housing_jobs", "affordable_buildings", "raw_keys", "area_layer", "zone_layer"]

@@ -77,3 +77,29 @@ def zone_layer(spark: SparkSession, sf_dir: str) -> DataFrame:
     parts = F.when(k % 7 == 0, F.array(first, second)).otherwise(F.array(first))
     named = F.concat(F.lit("zone "), k.cast("string"))
     return s.select(k.alias("key"), named.alias("name"), F.posexplode(parts).alias("part", "rings"))
+
+
+# Rectangles for the four district layers: table, key, columns of the grid, spacing, offsets and
+# size terms in hundredths of a unit. Widths and heights are odd, so a centroid never lies on an edge.
+DISTRICTS = {
+    "community": ("customer", "c_custkey", 40, 1000, 3, 7, 300, 401),
+    "council": ("supplier", "s_suppkey", 13, 3000, 11, 5, 900, 1501),
+    "school": ("supplier", "s_suppkey", 10, 4000, 17, 13, 1100, 1901),
+    "tract": ("part", "p_partkey", 45, 900, 1, 2, 150, 601),
+}
+
+
+def district_layer(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """One rectangle per key, with corners at two decimals (no binary fractions)."""
+    table, key, columns, spacing, ox, oy, sizes, least = DISTRICTS[name]
+    k = F.col(key).cast("bigint")
+    row = F.floor(k / columns).cast("bigint")
+    x0 = (k % columns) * spacing + ox + (k * 37) % 301
+    y0 = row * spacing + oy + (k * 53) % 211
+    x1 = x0 + (k % sizes) * 2 + least
+    y1 = y0 + (F.floor(k / 3).cast("bigint") % sizes) * 2 + least + 2
+
+    def pt(x, y):
+        return F.array(x / 100, y / 100)
+    ring = F.array(pt(x0, y0), pt(x1, y0), pt(x1, y1), pt(x0, y1), pt(x0, y0))
+    return read_table(spark, sf_dir, table).select(k.alias("key"), F.lit(0).alias("part"), F.array(ring).alias("rings"))
