@@ -279,7 +279,9 @@ def op4_packed_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
     manifest, where = write_packed(read_table(spark, sf_dir, "documents"),
                                    public_tokenizers.path("word_bpe_49k.json"), shared_path(spark, "packed"))
-    return where.join(read_packed(manifest), ["shard", "place"]).select("doc_id", "start", "n_tokens", "ids_crc32")
+    # One row per document on both sides: never a broadcast, however well the files compress.
+    found = where.join(read_packed(manifest).hint("merge"), ["shard", "place"])
+    return found.select("doc_id", "start", "n_tokens", "ids_crc32")
 
 
 QUERIES = {"op4_packed_ids": op4_packed_ids}
