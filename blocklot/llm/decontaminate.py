@@ -16,20 +16,26 @@ The benchmark is the stated query set: it is taken in blocks of bounded size
 (``BLOCK_ITEMS`` texts and ``BLOCK_BYTES_MAX`` bytes on average), each broadcast,
 against all rows. Documents are never shuffled and no document text reaches the driver.
 
-Words are runs of ASCII letters and digits and of all non-ASCII characters, in
-lower case (Latin-1 capitals too).
+Words are runs of letters, digits and marks, in lower case (ASCII and Latin-1
+capitals). A character of a script that is written without spaces between words
+(``UNSEGMENTED``) and a non-ASCII symbol are each a word; punctuation, spaces and
+control characters only separate.
 
 Defined results: a null or empty document has no hits. A null ``item_id`` or
 ``doc_id`` is carried along; repeated document rows are each reported, equal
-texts of one item are reported for every item. Items of fewer than
-``MIN_WORDS`` words can't be told from chance and have no hits. Empty tables
+texts of one item are reported for every item. An item of fewer than ``MIN_WORDS``
+words is found by its exact word sequence, anywhere in a document; one of fewer
+than ``SEED_WORDS`` words, which stands in documents by chance, only where it is all
+of the document's words. An item without words has no hits. Empty tables
 give an empty result. Other columns of the documents are not read (``clean``
 keeps them all).
 """
 
 from __future__ import annotations
 
+import functools
 import math
+import unicodedata
 from collections.abc import Iterator
 
 import numpy as np
@@ -41,6 +47,7 @@ from .common import (col, drop_caches, fold_latin, read_table, row_blocks, ship_
                      text_buffer, word_spans)
 
 SEED_WORDS = 3
+#: From this length on an item is aligned, below it must occur word by word.
 MIN_WORDS = 8
 #: Corpus occurrences up to which a seed counts as rare in itself.
 RARE = 20
@@ -49,13 +56,51 @@ MATCH, MISMATCH, GAP = 2, -1, -1
 #: Size of a benchmark block, which bounds what is collected and broadcast at a time.
 BLOCK_ITEMS = 20_000
 BLOCK_BYTES_MAX = 32 << 20
+#: First and last code points of scripts written without spaces between words.
+UNSEGMENTED = (
+    (0x0E00, 0x0EFF), (0x1000, 0x109F), (0x1780, 0x17FF), (0x1950, 0x19DF), (0x1A20, 0x1AAF),  # Thai to Tai Tham
+    (0x1B00, 0x1B7F), (0x2E80, 0x2FDF), (0x3005, 0x3007), (0x3021, 0x3029), (0x3031, 0x3035), (0x3038, 0x303C),
+    (0x3041, 0x312F), (0x31A0, 0x31FF), (0x3400, 0x4DBF), (0x4E00, 0x9FFF), (0xA000, 0xA4CF),  # kana, Han, Yi
+    (0xA980, 0xA9FF), (0xAA60, 0xAADF), (0xF900, 0xFAFF), (0xFF66, 0xFF9F), (0x1AFF0, 0x1B16F), (0x20000, 0x3FFFF))
+SEPARATOR, PART, WHOLE = 0, 1, 2
+
+
+@functools.cache
+def _classes() -> np.ndarray:
+    """Of each code point: ``SEPARATOR``, ``PART`` of a word, or a ``WHOLE`` word."""
+    kinds = dict.fromkeys(("Sm", "Sc", "So"), WHOLE) | dict.fromkeys(
+        ("Cc", "Cf", "Zs", "Zl", "Zp", "Pc", "Pd", "Ps", "Pe", "Pi", "Pf", "Po", "Sk"), SEPARATOR)
+    out = np.frombuffer(bytearray(kinds.get(unicodedata.category(chr(i)), PART) for i in range(0x110000)), np.uint8)
+    for a, b in UNSEGMENTED:
+        out[a:b + 1][out[a:b + 1] == PART] = WHOLE
+    return out
+
+
+def _word_bytes(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(whether each byte is in a word, places where a word starts or ends within a run of such bytes)."""
+    is_word = ((data >= 0x61) & (data <= 0x7A)) | ((data >= 0x30) & (data <= 0x39))
+    lead = np.flatnonzero(data >= 0xC0)
+    if not len(lead):
+        return is_word, lead
+    padded = np.concatenate([data, np.zeros(3, np.uint8)]).astype(np.int32)
+    first = padded[lead]
+    size = 2 + (first >= 0xE0) + (first >= 0xF0)
+    code = first & (0xFF >> (size + 1))
+    for k in range(1, 4):
+        code = np.where(size > k, (code << 6) | (padded[lead + np.minimum(k, size)] & 0x3F), code)
+    kind = _classes()[np.minimum(code, 0x10FFFF)]
+    for k in range(4):
+        inside = (size > k) & (lead + k < len(data))
+        is_word[lead[inside] + k] = kind[inside] != SEPARATOR
+    own = kind == WHOLE
+    return is_word, np.concatenate([lead[own], lead[own] + size[own]])
 
 
 def word_hashes(data: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """(hash of each word, first word of each row and the end) for rows ``bounds`` of ``data``."""
     data = fold_latin(data)
-    is_word = ((data >= 0x61) & (data <= 0x7A)) | ((data >= 0x30) & (data <= 0x39)) | (data >= 0x80)
-    starts, ends = word_spans(is_word, bounds)
+    is_word, cuts = _word_bytes(data)
+    starts, ends = word_spans(is_word, np.concatenate([bounds, cuts]))
     return span_hashes(data, starts, ends), np.searchsorted(starts, bounds)
 
 
@@ -107,10 +152,14 @@ class Items:
 
     def __init__(self, ids: list, texts: list[str | None]):
         self.ids, self.words, grams, owner = [], [], [], []
+        #: Items too short for a 3-gram, by their words.
+        self.tiny: dict[tuple, list[int]] = {}
         for item_id, text in zip(ids, texts):
             raw = np.frombuffer((text or "").encode(), np.uint8)
             words, _ = word_hashes(raw, np.array([0, len(raw)]))
-            if len(words) >= MIN_WORDS:
+            if len(words):
+                if len(words) < SEED_WORDS:
+                    self.tiny.setdefault(tuple(words.tolist()), []).append(len(self.ids))
                 own = np.unique(gram_hashes(words))
                 grams.append(own)
                 owner.append(np.full(len(own), len(self.ids)))
@@ -171,6 +220,12 @@ class Items:
         out = {}
         for item in np.unique(owner).tolist():
             target, at = self.words[item], place[owner == item]
+            if len(target) < MIN_WORDS:
+                at = at[at + len(target) <= len(words)]
+                same = at[(words[at[:, None] + np.arange(len(target))] == target).all(axis=1)]
+                if len(same):
+                    out[item] = (1.0, int(same[0]), int(same[0]) + len(target))
+                continue
             reach = len(target) + len(target) // 2 + 1
             for part in np.split(at, np.flatnonzero(np.diff(at) > reach) + 1):
                 a, b = max(0, int(part[0]) - reach), min(len(words), int(part[-1]) + SEED_WORDS + reach)
@@ -210,6 +265,11 @@ def _counter(items):
 def _row_hits(batch: pa.RecordBatch, column: int, block: Items) -> Iterator[tuple[int, int, tuple[float, int, int]]]:
     """(row, item, alignment) of every seeded item that reaches the threshold."""
     for a, words, first, grams in _documents(batch, column):
+        if block.tiny:
+            many = np.diff(first)
+            for r in np.flatnonzero((many > 0) & (many < SEED_WORDS)).tolist():
+                for item in block.tiny.get(tuple(words[first[r]:first[r + 1]].tolist()), ()):
+                    yield a + r, item, (1.0, 0, int(many[r]))
         places, found = block.hits(grams)
         row = np.searchsorted(first, places, side="right") - 1
         inside = places + SEED_WORDS <= first[np.minimum(row + 1, len(first) - 1)]

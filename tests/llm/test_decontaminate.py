@@ -98,3 +98,41 @@ def test_empty_tables(case, docs, spark):
     assert dc.contaminated(docs([]), bench).count() == 0
     none = bench.where("false")
     assert dc.contaminated(docs(rows), none).count() == 0 and dc.clean(docs(rows), none).count() == len(rows)
+
+
+def hits(spark, docs, items, rows):
+    bench = spark.createDataFrame(list(enumerate(items)), "item_id long, text string")
+    return {(r.doc_id, r.item_id): r for r in dc.contaminated(docs(rows), bench).collect()}
+
+
+def test_short_items_are_found_word_by_word(spark, docs):
+    items = ["What is the capital of France?", "red green blue", "Paris", "New York", "?!"]
+    rows = [(1, "lorem ipsum. WHAT is the capital, of France and so on"), (2, "what is the big capital of France"),
+            (3, "what is the capital of"), (4, "red green blue"), (5, "red green red green blue"), (6, "Paris"),
+            (7, "in Paris and New York"), (8, "new york!"), (9, "is the capital of France? What"), (10, "?!")]
+    found = hits(spark, docs, items, rows)
+    assert found.keys() == {(1, 0), (4, 1), (5, 1), (6, 2), (8, 3)}
+    at = found[1, 0]
+    assert (at.score, at.first_word, at.end_word) == (1, 2, 8)
+    assert (found[8, 3].first_word, found[8, 3].end_word) == (0, 2)
+    bench = spark.createDataFrame(list(enumerate(items)), "item_id long, text string")
+    assert sorted(r.doc_id for r in dc.clean(docs(rows), bench).collect()) == [2, 3, 7, 9, 10]
+
+
+def test_scripts_without_spaces(spark, docs):
+    items = ["世界上最高的山峰叫什么名字？", "日本の首都はどこですか。", "เมืองหลวงของประเทศไทยคืออะไร", "法国的首都"]
+    rows = [(i, f"前文这里{t}后面还有" + "字" * 30) for i, t in enumerate(items)]
+    rows += [(10, "「世界上，最高的山峰——叫甚么名字」"), (11, "完全没有关系的一段文字，谈的是天气和农业。"), (12, "法国美丽的首都")]
+    assert hits(spark, docs, items, rows).keys() == {(0, 0), (1, 1), (2, 2), (3, 3), (10, 0)}
+
+
+def test_words_of_mixed_text():
+    def split(t):
+        raw = np.frombuffer(t.encode(), np.uint8)
+        return dc.word_hashes(raw, np.array([0, len(raw)]))[0].tolist()
+    for text, words in [("Été，naïve—word", ["été", "naïve", "word"]), ("x≤5€", ["x", "≤", "5", "€"]),
+                        ("GPT是什么", ["gpt", "是", "什", "么"]), ("नमस्ते।दुनिया", ["नमस्ते", "दुनिया"]), ("한국어 말", ["한국어", "말"]),
+                        ("。，", []), ("😀a\u2028𠀀b", ["😀", "a", "𠀀", "b"]), ("", [])]:
+        assert split(text) == [split(w)[0] for w in words], text
+    raw = np.frombuffer("é山山é".encode(), np.uint8)
+    assert dc.word_hashes(raw, np.array([0, 2, 5, 5, 10]))[1].tolist() == [0, 1, 2, 2, 4]
