@@ -5,8 +5,9 @@ that pass Luhn) and phone numbers (9 to 15 digits), the leftmost non-overlapping
 matches of each kind. The patterns are the stated ones, written so that matching
 is linear in the text and never recursive.
 
-*Terms*: runs of three or more letters, in lower case, within ``CONTEXT`` code
-points of an entity and outside all entities.
+*Terms*: runs of three or more letters, in lower case, outside all entities (an
+entity ends a run). Every term of a document counts, however far it stands from
+the entity.
 
 *Disclosure*: with document counts over the whole corpus, a term t reveals an
 entity e by their pointwise mutual information as a share of the information in e:
@@ -15,15 +16,17 @@ entity e by their pointwise mutual information as a share of the information in
 
 It is 1 when every document with t has e, and 0 or less when t tells nothing. A
 pair counts only when at least ``SUPPORT`` different texts show it: one text (or its
-copies) is no evidence. From ``GENERALISE`` on, the term is generalised near that
-entity (first letter and an asterisk); from ``REMOVE`` on it is removed. Entities are
-replaced by their kind.
-
-*Plan*: one scan finds entities and their terms and writes them (no texts). Counts
-are partial aggregates; the corpus count of terms is restricted to terms that
-can be disclosing, by a broadcast where those are at most ``BROADCAST_TERMS``,
-after the map-side combination where they are more. Spans are put together per
-distinct text, so a group of copies costs one row.
+copies) is no evidence. A term counts by the entity that it reveals most of: from
+``GENERALISE`` on it is generalised (first letter and an asterisk), from ``REMOVE`` on
+it is removed, at every occurrence in every document, whether or not the entity
+stands there too. Entities are replaced by their kind.
+
+*Plan*: one scan finds entities, and the distinct terms of texts that have any, and
+writes them (no texts). Only entities of ``SUPPORT`` texts are paired with terms, per
+distinct text, so a group of copies costs one row. Counts are partial aggregates.
+The terms of the corpus are joined to those that can be disclosing, or are, by a
+broadcast where those are at most ``BROADCAST_TERMS``, by a shuffle where they are
+more. The documents then meet the entities and disclosing terms of their text.
 
 Defined results: a null text is empty and has no spans. Repeated rows give repeated
 results. A null doc_id is carried along. Empty tables give an empty result. Other
@@ -37,7 +40,6 @@ from pyspark.sql import functions as F
 
 from .common import col, free_name, materialise, read_table
 
-CONTEXT = 80
 SUPPORT = 2
 GENERALISE, REMOVE = 0.6, 0.9
 BROADCAST_TERMS = 200_000
@@ -117,78 +119,129 @@ def entities(text: Column, kind: str) -> Column:
     return checked if hint is None else F.when(F.contains(text, F.lit(hint)), checked).otherwise(none)
 
 
-def _terms(text: Column, base: Column) -> Column:
-    """(entity, term, start, end) of the terms around each span of ``base``, outside all spans."""
-    def around(b: Column) -> Column:
-        low = F.greatest(b.start - CONTEXT, F.lit(0))
-        window = text.substr(low + 1, b.end + CONTEXT - low)
-        size = F.length(window)
-        found = F.transform(spans_of(window, TERM), lambda t: F.struct(
-            F.concat(b.kind, F.lit(":"), b.value).alias("entity"), F.lower(t.value).alias("term"),
-            (t.start + low).alias("start"), (t.start + low + F.length(t.value)).alias("end")))
-        # A word that the window's edge may have cut is no term.
-        whole = F.filter(found, lambda t: ((t.start > low) | (low == 0)) & (
-            (t.end < low + size) | (size < b.end + CONTEXT - low)))
-        return F.filter(whole, lambda t: ~F.exists(base, lambda s: (t.start < s.end) & (s.start < t.end)))
+def _masked(text: Column, base: Column) -> Column:
+    """``text`` with blanks in the place of its entities, all other characters where they were."""
+    done = F.aggregate(
+        F.array_sort(F.transform(base, lambda b: F.struct(b.start.alias("start"), b.end.alias("end")))),
+        F.struct(F.lit(0).alias("at"), F.array().cast("array<string>").alias("out")),
+        lambda acc, s: F.when(s.end <= acc["at"], acc).otherwise(F.struct(
+            s.end.alias("at"), F.concat(acc["out"], F.array(
+                text.substr(acc["at"] + 1, F.greatest(s.start - acc["at"], F.lit(0))),
+                F.repeat(F.lit(" "), s.end - F.greatest(s.start, acc["at"])))).alias("out"))))
+    return F.when(F.size(base) > 0, F.concat(
+        F.array_join(done["out"], ""), text.substr(done["at"] + 1, F.length(text)))).otherwise(text)
+
+
+def _terms(text: Column) -> Column:
+    """The distinct terms of ``text``."""
+    return F.array_distinct(F.transform(F.regexp_extract_all(text, F.lit(TERM), F.lit(0)), lambda w: F.lower(w)))
+
 
-    return F.flatten(F.transform(base, around))
+def _names(base: Column) -> Column:
+    return F.array_distinct(F.transform(base, lambda b: F.concat(b.kind, F.lit(":"), b.value)))
+
+
+def _digest(text: Column) -> Column:
+    return F.sha2(text.cast("binary"), 256)
 
 
 def scan(docs: DataFrame) -> DataFrame:
-    """(doc_id, digest, base, terms) of each row, written to the shared folder; no text."""
+    """(doc_id, digest, base, terms, inner, cut) of each row, written to the shared folder; no text.
+
+    ``terms`` stand outside the entities, ``inner`` are runs of the whole text that are no such terms,
+    ``cut`` terms that are no run of the whole text. All three are null where ``base`` is empty.
+    """
     text = F.coalesce(col(docs, "text"), F.lit(""))
     rows = docs.select(col(docs, "doc_id").alias("doc_id"), text.alias("text"))
-    found = rows.select("doc_id", "text", F.sha2(F.col("text").cast("binary"), 256).alias("digest"),
+    found = rows.select("doc_id", "text", _digest(F.col("text")).alias("digest"),
                         F.concat(*[entities(F.col("text"), k) for k in KINDS]).alias("base"))
-    terms = F.when(F.size("base") > 0, _terms(F.col("text"), F.col("base")))
-    return materialise(found.select("doc_id", "digest", "base", terms.alias("terms")), "pii-scan")
+    some = F.size("base") > 0
+    both = found.select("doc_id", "digest", "base", F.when(some, _terms(_masked(F.col("text"), F.col("base")))).alias(
+        "terms"), F.when(some, _terms(F.col("text"))).alias("runs"))
+    return materialise(both.select(
+        "doc_id", "digest", "base", "terms", F.array_except("runs", "terms").alias("inner"),
+        F.array_except("terms", "runs").alias("cut")), "pii-scan")
+
+
+def _meet(every: DataFrame, wanted: DataFrame) -> DataFrame:
+    """Rows of ``every`` whose term is in ``wanted`` (one row a term), with its columns."""
+    return every.join(F.broadcast(wanted) if wanted.count() <= BROADCAST_TERMS else wanted, "term")
 
 
-def _corpus_counts(docs: DataFrame, wanted: DataFrame) -> DataFrame:
-    """(term, n): documents with each term of ``wanted`` (term), over all of ``docs``."""
-    words = F.transform(F.regexp_extract_all(col(docs, "text"), F.lit(TERM), F.lit(0)), lambda w: F.lower(w))
-    every = docs.select(F.explode(F.array_distinct(words)).alias("term"))
+def _corpus_counts(docs: DataFrame, scanned: DataFrame, wanted: DataFrame) -> DataFrame:
+    """(term, n_t): documents with each term of ``wanted`` (term), over all of ``docs``."""
+    every = docs.select(F.explode(_terms(col(docs, "text"))).alias("term")).select("term", F.lit(1).alias("n"))
+    for name, n in (("inner", -1), ("cut", 1)):
+        every = every.unionByName(scanned.select(F.explode(name).alias("term")).select("term", F.lit(n).alias("n")))
     if wanted.count() <= BROADCAST_TERMS:
-        return every.join(F.broadcast(wanted), "term", "left_semi").groupBy("term").agg(F.count(F.lit(1)).alias("n_t"))
-    return every.groupBy("term").agg(F.count(F.lit(1)).alias("n_t")).join(wanted, "term", "left_semi")
+        every = every.join(F.broadcast(wanted), "term", "left_semi")
+        return every.groupBy("term").agg(F.sum("n").alias("n_t"))
+    return every.groupBy("term").agg(F.sum("n").alias("n_t")).join(wanted, "term", "left_semi")
 
 
 def disclosures(docs: DataFrame, scanned: DataFrame) -> DataFrame:
     """(entity, term, disclosure) of the pairs that reach ``GENERALISE``."""
     n = scanned.count()
-    pair = F.array_distinct(F.transform("terms", lambda t: F.struct(t.entity.alias("entity"), t.term.alias("term"))))
-    by_text = scanned.where(F.size("terms") > 0).select("digest", F.explode(pair).alias("p")).groupBy(
-        "p.entity", "p.term", "digest").agg(F.count(F.lit(1)).alias("n"))
-    joint = materialise(by_text.groupBy("entity", "term").agg(
+    texts = materialise(scanned.where(F.size("base") > 0).groupBy("digest").agg(
+        F.count(F.lit(1)).alias("n"), F.first(F.struct(_names(F.col("base")).alias("names"), "terms")).alias("x")).select(
+        "digest", "n", "x.names", "x.terms"), "pii-texts")
+    named = texts.select("digest", "n", F.explode("names").alias("entity"))
+    owners = materialise(named.groupBy("entity").agg(F.sum("n").alias("n_e"), F.count(F.lit(1)).alias("texts")).where(
+        (F.col("texts") >= SUPPORT) & (F.col("n_e") < n)).select("entity", "n_e"), "pii-owners")
+    paired = named.join(owners, "entity", "left_semi").groupBy("digest").agg(F.collect_list("entity").alias("names"))
+    pairs = texts.select("digest", "n", "terms").join(paired, "digest").select(
+        "n", "terms", F.explode("names").alias("entity")).select("n", "entity", F.explode("terms").alias("term"))
+    joint = materialise(pairs.groupBy("entity", "term").agg(
         F.sum("n").alias("n_te"), F.count(F.lit(1)).alias("texts")).where(F.col("texts") >= SUPPORT), "pii-joint")
-    who = F.array_distinct(F.transform("base", lambda b: F.concat(b.kind, F.lit(":"), b.value)))
-    owners = scanned.where(F.size("base") > 0).select(F.explode(who).alias("entity")).groupBy("entity").agg(
-        F.count(F.lit(1)).alias("n_e"))
-    terms = materialise(_corpus_counts(docs, joint.select("term").distinct()), "pii-terms")
+    terms = materialise(_corpus_counts(docs, scanned, joint.select("term").distinct()), "pii-terms")
     known = joint.join(terms, "term").join(owners, "entity")
     share = F.log(F.lit(float(n)) * F.col("n_te") / (F.col("n_t") * F.col("n_e"))) / F.log(F.lit(float(n)) / F.col("n_e"))
-    return known.where(F.col("n_e") < n).select("entity", "term", share.alias("disclosure")).where(
-        F.col("disclosure") >= GENERALISE)
+    return known.select("entity", "term", share.alias("disclosure")).where(F.col("disclosure") >= GENERALISE)
 
 
-def term_spans(docs: DataFrame, scanned: DataFrame) -> DataFrame:
-    """(digest, found): per distinct text with disclosing terms, their (start, end, disclosure) in order."""
-    telling = materialise(disclosures(docs, scanned), "pii-telling")
-    texts = scanned.where(F.size("terms") > 0).select("digest", F.explode("terms").alias("t")).select(
-        "digest", "t.entity", "t.term", "t.start", "t.end").distinct()
-    hits = texts.join(telling, ["entity", "term"]).groupBy("digest", "start", "end").agg(
-        F.max("disclosure").alias("disclosure"))
-    return materialise(hits.groupBy("digest").agg(
-        F.array_sort(F.collect_list(F.struct("start", "end", "disclosure"))).alias("found")), "pii-spans")
+def telling_terms(docs: DataFrame, scanned: DataFrame) -> DataFrame:
+    """(digest, telling): per distinct text with disclosing terms, the disclosure of each, whatever entity it reveals."""
+    telling = materialise(disclosures(docs, scanned).groupBy("term").agg(
+        F.max("disclosure").alias("disclosure")), "pii-telling")
+    text = F.coalesce(col(docs, "text"), F.lit(""))
+    # In two steps: beside an explode the digest would be computed for each term.
+    every = docs.select(_digest(text).alias("digest"), _terms(text).alias("terms")).select(
+        "digest", F.explode("terms").alias("term")).unionByName(scanned.select("digest", F.explode("cut").alias("term")))
+    hits = _meet(every, telling).groupBy("digest", "term").agg(F.first("disclosure").alias("disclosure"))
+    return hits.groupBy("digest").agg(F.map_from_entries(F.collect_list(F.struct("term", "disclosure"))).alias("telling"))
+
+
+def _term_spans() -> Column:
+    """(start, end, disclosure) of every occurrence of the terms of ``telling``: ``runs`` are found between ``pieces``."""
+    parts = F.zip_with(F.slice("pieces", F.lit(1), F.size("runs")), "runs", lambda p, m: F.struct(
+        F.length(p).alias("gap"), F.length(m).alias("size"), F.try_element_at("telling", F.lower(m)).alias("disclosure")))
+    none = F.array().cast("array<struct<start:int,end:int,disclosure:double>>")
+    walked = F.aggregate(
+        parts, F.struct(F.lit(0).alias("at"), none.alias("out")),
+        lambda acc, x: F.struct(
+            (acc["at"] + x.gap + x.size).alias("at"),
+            F.when(x.disclosure.isNull(), acc["out"]).otherwise(F.array_append(acc["out"], F.struct(
+                (acc["at"] + x.gap).alias("start"), (acc["at"] + x.gap + x.size).alias("end"),
+                x.disclosure.alias("disclosure")))).alias("out")),
+        lambda acc: acc["out"])
+    return F.when(F.col("telling").isNotNull(), walked).otherwise(none)
 
 
 def find(docs: DataFrame) -> DataFrame:
     """(doc_id, digest, base, found) of each row of ``docs``: entity spans, and spans of disclosing terms."""
     scanned = scan(docs)
-    spans = term_spans(docs, scanned)
-    none = F.array().cast("array<struct<start:int,end:int,disclosure:double>>")
-    return scanned.select("doc_id", "digest", "base").join(spans, "digest", "left").withColumn(
-        "found", F.coalesce("found", none))
+    based = scanned.where(F.size("base") > 0).groupBy("digest").agg(F.first("base").alias("base"))
+    known = materialise(based.join(telling_terms(docs, scanned), "digest", "full"), "pii-spans")
+    text = F.coalesce(col(docs, "text"), F.lit(""))
+    rows = docs.select(col(docs, "doc_id").alias("doc_id"), text.alias("text"), _digest(text).alias("digest"))
+    met = rows.join(known, "digest", "left").withColumn(
+        "base", F.coalesce("base", F.array().cast(f"array<{SPAN}>")))
+    # Step by step, each text is masked, searched and cut once, and only where it has such terms.
+    masked = met.select("doc_id", "digest", "base", "telling", F.when(
+        F.col("telling").isNotNull(), _masked(F.col("text"), F.col("base"))).alias("text"))
+    cut = masked.select("doc_id", "digest", "base", "telling", F.split("text", TERM, -1).alias("pieces"),
+                        F.regexp_extract_all("text", F.lit(TERM), F.lit(0)).alias("runs"))
+    return cut.select("doc_id", "digest", "base", _term_spans().alias("found"))
 
 
 def rewrite(text: Column, base: Column, found: Column) -> Column:

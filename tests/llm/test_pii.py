@@ -115,3 +115,46 @@ def test_empty_table_and_native_plan(docs, documents):
     assert pii.find(docs([])).count() == 0 and pii.sanitise(docs([])).count() == 0
     plan = pii.find(documents)._jdf.queryExecution().toString()
     assert "Python" not in plan and "Arrow" not in plan
+
+
+def far_corpus():
+    far = "filler words stand between here " * 10
+    rows = [(i, f"Zanzibar {far}{'v' * (i + 3)} write to bob@x.org {far}{'w' * (i + 3)} ZANZIBAR") for i in range(6)]
+    rows += [(100 + i, f"{far}nothing of note {'z' * (i + 3)}") for i in range(300)]
+    return rows + [(900, f"the zanzibar again, {far}without the address; zanzibar"), (901, "mail zanzibar@y.org now")]
+
+
+def test_terms_far_from_the_entity_count_and_are_marked_everywhere(docs):
+    rows = far_corpus()
+    df = docs(rows)
+    n, n_e, n_t = len(rows), 6, 7  # the name within another address is no term
+    got = {(r.entity, r.term): r.disclosure for r in pii.disclosures(df, pii.scan(df)).collect()}
+    want = math.log(n * 6 / (n_t * n_e)) / math.log(n / n_e)
+    assert abs(got["email:bob@x.org", "zanzibar"] - want) < 1e-9 and want >= pii.REMOVE
+    out = {r.doc_id: r.sanitised for r in pii.sanitise(df).collect()}
+    assert not any("zanzibar" in t.lower() for t in out.values())
+    assert out[0].startswith("<removed> filler") and out[0].endswith("<removed>") and "<email>" in out[0]
+    assert out[900].startswith("the <removed> again") and out[900].endswith("address; <removed>")
+    assert out[901] == "mail <email> now"
+
+
+def test_spans_of_terms_are_their_places(docs):
+    rows = far_corpus() + [(950, "😀é zanzibar x@y.orgézanzibar, Zanzibar"), (None, "zanzibar"), (900, None)]
+    found = pii.find(docs(rows)).collect()
+    assert len(found) == len(rows)
+    for r in found:
+        text = next(t for i, t in rows if i == r.doc_id and hashlib.sha256((t or "").encode()).hexdigest() == r.digest)
+        names = [m.span() for m in re.finditer("zanzibar(?!@)", text or "", re.I)]
+        spans = [(f.start, f.end) for f in r.found]
+        assert spans == sorted(set(spans))
+        if r.doc_id == 950:
+            assert [s for s in spans if s in names] == [names[0], names[2]]
+        else:
+            assert set(names) <= set(spans)
+
+
+def test_the_shuffled_marking_equals_the_broadcast_one(docs, monkeypatch, rows_of):
+    df = docs(far_corpus())
+    few = rows_of(pii.find(df))
+    monkeypatch.setattr(pii, "BROADCAST_TERMS", 0)
+    assert rows_of(pii.find(df)) == few
