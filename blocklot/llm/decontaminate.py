@@ -1,14 +1,13 @@
-"""Benchmark decontamination (operator 3): rare n-gram seeds, then Smith-Waterman alignment.
-
-1. The word 3-grams of the benchmark items are the possible seeds. One pass over
-   the documents counts how often each occurs in the corpus.
-2. Every item keeps its rarest half of 3-grams, and all that occur at most
-   ``RARE`` times. Rarity is relative to the item, so an item that leaked into a
-   great part of the corpus still has seeds.
-3. A second pass joins documents to items on the seeds. Seed hits of an item
-   that stand close together open a window of the document, which is aligned
-   with the whole item by Smith-Waterman over words (match 2, mismatch -1, gap
-   -1): changed, missing and added words cost score but don't hide a copy.
+"""Benchmark decontamination (operator 3): n-gram seeds, then Smith-Waterman alignment.
+
+1. Every word 3-gram of the benchmark items is a seed, rare in the corpus or not: a
+   selection by rarity would lose edited copies whose intact 3-grams are common.
+2. One pass joins documents to items on the seeds. An item that has too few words
+   in common with the document goes no further.
+3. Seed hits of an item that stand close together open a window of the document,
+   which is aligned with the whole item by Smith-Waterman over words (match 2, mismatch -1, gap
+   -1): changed, missing and added words cost score but don't hide a copy that
+   keeps three words in a row (one that keeps none has no seed and isn't found).
 4. A document is contaminated by an item if the score reaches ``THRESHOLD`` of
    the score of a full verbatim copy.
 
@@ -49,8 +48,6 @@ from .common import (col, drop_caches, fold_latin, read_table, row_blocks, ship_
 SEED_WORDS = 3
 #: From this length on an item is aligned, below it must occur word by word.
 MIN_WORDS = 8
-#: Corpus occurrences up to which a seed counts as rare in itself.
-RARE = 20
 THRESHOLD = 0.5
 MATCH, MISMATCH, GAP = 2, -1, -1
 #: Size of a benchmark block, which bounds what is collected and broadcast at a time.
@@ -165,6 +162,9 @@ class Items:
                 owner.append(np.full(len(own), len(self.ids)))
                 self.ids.append(item_id)
                 self.words.append(words)
+        self.sizes = np.array([len(w) for w in self.words], np.int64)
+        self.first = np.cumsum(self.sizes) - self.sizes
+        self.flat = np.concatenate(self.words) if self.words else np.empty(0, np.uint64)
         self.bags = [np.unique(w, return_counts=True) for w in self.words]
         self.grams = np.concatenate(grams) if grams else np.empty(0, np.uint64)
         self.owner = np.concatenate(owner).astype(np.int64) if owner else np.empty(0, np.int64)
@@ -189,19 +189,12 @@ class Items:
         same = self.distinct[at] == grams[maybe]
         return maybe[same], at[same]
 
-    def keep_rare(self, counts: np.ndarray) -> "Items":
-        """Drops the 3-grams that are common in the corpus; ``counts`` goes with ``distinct``."""
-        if len(self.grams):
-            n = counts[np.searchsorted(self.distinct, self.grams)]
-            order = np.lexsort((n, self.owner))
-            sizes = np.bincount(self.owner)
-            rank = np.empty(len(n), np.int64)
-            rank[order] = np.arange(len(n)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
-            keep = (n <= RARE) | (rank < (sizes[self.owner] + 1) // 2)
-            self.grams, self.owner = self.grams[keep], self.owner[keep]
-            self.distinct = np.unique(self.grams)
-            self._filter()
-        return self
+    def _possible(self, items: np.ndarray, words: np.ndarray) -> np.ndarray:
+        """Those of ``items`` of whose words enough stand anywhere in the document."""
+        n = self.sizes[items]
+        ends = np.cumsum(n)
+        inside = np.isin(self.flat[np.repeat(self.first[items] - ends + n, n) + np.arange(ends[-1])], words)
+        return items[np.add.reduceat(inside.astype(np.int64), ends - n) >= np.where(n < MIN_WORDS, n, THRESHOLD * n)]
 
     def _common(self, item: int, window: np.ndarray) -> int:
         """Words that the item and the window have in common, repeats counted as often as both have them."""
@@ -218,7 +211,10 @@ class Items:
         owner = self.owner[np.repeat(first, many) + np.arange(many.sum()) - np.repeat(np.cumsum(many) - many, many)]
         place = np.repeat(places, many)
         out = {}
-        for item in np.unique(owner).tolist():
+        items = np.unique(owner)
+        if len(items) > 8:
+            items = self._possible(items, words)
+        for item in items.tolist():
             target, at = self.words[item], place[owner == item]
             if len(target) < MIN_WORDS:
                 at = at[at + len(target) <= len(words)]
@@ -246,22 +242,6 @@ def _documents(batch: pa.RecordBatch, column: int) -> Iterator[tuple[int, np.nda
         yield a, words, first, gram_hashes(words)
 
 
-def _counter(items):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        drop_caches()
-        block = items.value
-        total = np.zeros(len(block.distinct), np.int64)
-        for batch in batches:
-            for _, _, first, grams in _documents(batch, 0):
-                places, found = block.hits(grams)
-                row = np.searchsorted(first, places, side="right")
-                inside = places + SEED_WORDS <= first[np.minimum(row, len(first) - 1)]
-                total += np.bincount(found[inside], minlength=len(total))
-        some = np.flatnonzero(total)
-        yield pa.RecordBatch.from_arrays([pa.array(some), pa.array(total[some])], ["gram", "n"])
-    return run
-
-
 def _row_hits(batch: pa.RecordBatch, column: int, block: Items) -> Iterator[tuple[int, int, tuple[float, int, int]]]:
     """(row, item, alignment) of every seeded item that reaches the threshold."""
     for a, words, first, grams in _documents(batch, column):
@@ -284,24 +264,17 @@ def _row_hits(batch: pa.RecordBatch, column: int, block: Items) -> Iterator[tupl
 
 
 def blocks(docs: DataFrame, benchmark: DataFrame) -> Iterator:
-    """Broadcast benchmark blocks, each with the seeds that are rare in the texts of ``docs``."""
+    """Broadcast benchmark blocks."""
     spark = docs.sparkSession
     ship_package(spark)
     items = benchmark.select(col(benchmark, "item_id").alias("item_id"), col(benchmark, "text").alias("text"))
     n, size = items.agg(F.count(F.lit(1)), F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()
     parts = max(1, math.ceil(n / BLOCK_ITEMS), math.ceil(size / BLOCK_BYTES_MAX))
-    texts = docs.select(col(docs, "text").alias("text"))
     for k in range(parts):
         own = items.where(F.pmod(F.xxhash64("text"), F.lit(parts)) == k).collect()
         block = Items([r.item_id for r in own], [r.text for r in own])
-        if not block.ids:
-            continue
-        sent = spark.sparkContext.broadcast(block)
-        counts = np.zeros(len(block.distinct), np.int64)
-        for r in texts.mapInArrow(_counter(sent), "gram bigint, n bigint").groupBy("gram").agg(
-                F.sum("n").alias("n")).collect():  # at most one row per 3-gram of the block
-            counts[r.gram] = r.n
-        yield spark.sparkContext.broadcast(block.keep_rare(counts))
+        if block.ids:
+            yield spark.sparkContext.broadcast(block)
 
 
 def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:

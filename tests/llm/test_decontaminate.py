@@ -136,3 +136,20 @@ def test_words_of_mixed_text():
         assert split(text) == [split(w)[0] for w in words], text
     raw = np.frombuffer("é山山é".encode(), np.uint8)
     assert dc.word_hashes(raw, np.array([0, 2, 5, 5, 10]))[1].tolist() == [0, 1, 2, 2, 4]
+
+
+def test_seeds_that_are_common_in_the_corpus_find_edited_copies(spark, docs):
+    """All pairs, where the intact 3-grams of a copy are the commonest of its item."""
+    rng = random.Random(7)
+    items = [words(rng, 24) for _ in range(12)]
+    rows = [(100 * i + k, " ".join(words(rng, 5) + item[:10])) for i, item in enumerate(items) for k in range(30)]
+    rows += [(5000 + i, " ".join(w if k < 10 or k % 3 != 1 else "changed" for k, w in enumerate(item)))
+             for i, item in enumerate(items)]
+
+    def split(t):
+        raw = np.frombuffer(t.encode(), np.uint8)
+        return dc.word_hashes(raw, np.array([0, len(raw)]))[0]
+    want = {(d, i) for i, item in enumerate(items) for d, t in rows
+            if dc.smith_waterman(split(t), split(" ".join(item)))[0] >= dc.THRESHOLD * dc.MATCH * 24}
+    assert want >= {(5000 + i, i) for i in range(12)}
+    assert hits(spark, docs, [" ".join(w) for w in items], rows).keys() == want
