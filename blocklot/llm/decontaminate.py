@@ -271,7 +271,7 @@ def blocks(docs: DataFrame, benchmark: DataFrame) -> Iterator:
     n, size = items.agg(F.count(F.lit(1)), F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()
     parts = max(1, math.ceil(n / BLOCK_ITEMS), math.ceil(size / BLOCK_BYTES_MAX))
     for k in range(parts):
-        own = items.where(F.pmod(F.xxhash64("text"), F.lit(parts)) == k).collect()
+        own = items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(parts)) == k).collect()
         block = Items([r.item_id for r in own], [r.text for r in own])
         if block.ids:
             yield spark.sparkContext.broadcast(block)

@@ -153,3 +153,10 @@ def test_seeds_that_are_common_in_the_corpus_find_edited_copies(spark, docs):
             if dc.smith_waterman(split(t), split(" ".join(item)))[0] >= dc.THRESHOLD * dc.MATCH * 24}
     assert want >= {(5000 + i, i) for i in range(12)}
     assert hits(spark, docs, [" ".join(w) for w in items], rows).keys() == want
+
+
+def test_items_of_one_text_go_to_different_blocks(spark, docs, monkeypatch):
+    monkeypatch.setattr(dc, "BLOCK_ITEMS", 50)
+    bench = spark.createDataFrame([(i, "one and the same text of a benchmark") for i in range(200)], "item_id long, text string")
+    sizes = [len(b.value.ids) for b in dc.blocks(docs([(1, "x")]), bench)]
+    assert sum(sizes) == 200 and len(sizes) == 4 and max(sizes) < 100
