@@ -26,8 +26,9 @@ folder; the name gets into the manifest only if the task succeeded, so a retried
 or doubled task leaves at most a file that nothing refers to. Counts before each
 shard come from the manifest, which has one row per shard.
 
-*Encoding.* ``tokenizers`` encodes each distinct word between spaces and line feeds
-once: the tokenizer drops white space, and no merge crosses it.
+*Encoding.* Arrow finds the distinct words between spaces and line feeds, as whole byte strings, and
+``tokenizers`` encodes each once: the tokenizer drops white space, and no merge crosses
+it. Special strings in a text become their ids, as they do in the library.
 
 Defined results: a null or empty text has the end id only. Null doc_ids sort
 first; rows that repeat doc_id and text are written one after the other. An
@@ -42,13 +43,14 @@ import zlib
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .common import col, materialise, read_table, row_blocks, shared_path, ship_package, text_buffer, worker_cache
+from .word_ids import ALPHANUMERIC, PUNCTUATION, WordIds, pieces, taken
 
 MAGIC = b"PACKIDS1"
 HEAD = struct.Struct("<8s4Q")
@@ -56,7 +58,7 @@ BLOCK_IDS = 1 << 16
 END_ID = 2
 #: Bytes of text that are encoded together, and words kept with their ids from batch to batch.
 ENCODE_BYTES = 8 << 20
-CACHE = 400_000
+CACHE = 1_000_000
 
 
 def width_of(vocabulary: int) -> int:
@@ -147,25 +149,23 @@ class Reader:
         return self.ids(int(self.starts[k]), int(self.starts[k + 1]))
 
 
+#: What each byte is folded to.
+FOLDED = np.array([0x20 if i == 0x0A else i + 0x20 if 0x41 <= i <= 0x5A else i for i in range(256)], np.uint8)
+
+
 class WordEncoder:
     """Encodes batches of texts with a ``tokenizers`` file, each distinct word once."""
 
-    def __init__(self, path: str, cache: int = CACHE):
+    def __init__(self, path: str, end_id: int, cache: int = CACHE):
         import os
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
         self.vocabulary = self.tokenizer.get_vocab_size()
-        self.cache = cache
-        self._clear()
-
-    def _clear(self) -> None:
-        self.place: dict[str, int] = {}
-        self.flat, self.first = np.empty(0, np.uint32), np.zeros(1, np.int64)
+        self.known = WordIds(self._learn, cache, [end_id])
 
-    def _learn(self, words: list[str]) -> None:
-        """Adds the ids of new words; they are encoded as lines of words, cut again by their offsets."""
+    def _learn(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of new words; they are encoded as lines of words, cut again by their offsets."""
         ids, counts = [], []
         for a in range(0, len(words), 256):
             part = words[a:a + 256]
@@ -174,39 +174,49 @@ class WordEncoder:
             begin = np.array([o[0] for o in line.offsets], np.int64)
             counts.append(np.bincount(np.searchsorted(ends, begin, side="right"), minlength=len(part)))
             ids.append(np.array(line.ids, np.uint32))
-        base = len(self.first) - 1
-        for k, w in enumerate(words):
-            self.place[w] = base + k
-        self.flat = np.concatenate([self.flat, *ids])
-        self.first = np.concatenate([self.first, self.first[-1] + np.cumsum(np.concatenate(counts))])
-
-    def encode(self, texts: list[str | None], end_id: int) -> tuple[np.ndarray, np.ndarray]:
-        """(ids of all texts, ids per text), the end id after each text."""
-        if len(self.place) > self.cache:
-            self._clear()
-        split = [t.replace("\n", " ").split(" ") if t else [] for t in texts]
-        codes, known = pd.factorize(np.array([w for s in split for w in s], dtype=object))
-        known = known.tolist()
-        new = [w for w in known if w not in self.place]
-        if new:
-            self._learn(new)
-        at = np.fromiter((self.place[w] for w in known), np.int64, len(known))[codes]
-        size = self.first[at + 1] - self.first[at]
-        # One end id after the words of each text: a word of its own that stands last.
-        words = np.fromiter(map(len, split), np.int64, len(split))
-        stop = np.cumsum(words)
-        lengths = np.diff(np.concatenate([[0], np.cumsum(size)])[np.concatenate([[0], stop])]) + 1
-        out = np.full(int(lengths.sum()), end_id, np.uint32)
-        extra = np.repeat(np.arange(len(words)), words)  # end ids that stand before a word
-        begin = np.cumsum(size) - size + extra
-        n = int(size.sum())
-        inner = np.arange(n) - np.repeat(np.cumsum(size) - size, size)
-        out[np.repeat(begin, size) + inner] = self.flat[np.repeat(self.first[at], size) + inner]
-        return out, lengths
-
-
-def _encoder(path: str) -> WordEncoder:
-    return worker_cache("words", (path,), lambda: WordEncoder(path))
+        return np.concatenate(ids), np.concatenate(counts)
+
+    def encode(self, raw: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(ids of all texts, ids per text) of the texts ``bounds`` of ``raw``, the end id after each."""
+        special = b"<|" in raw.tobytes()  # a special string may stand there, which is what it is byte by byte
+        data = raw if special else FOLDED[raw]
+        # A word ends after its space or line feed, or with its text.
+        space = (data == 0x20) | (data == 0x0A)
+        mark = np.zeros(len(data) + 1, bool)
+        mark[1:] = space
+        mark[bounds] = True
+        if not special:
+            mark[_tails(data, space, mark)] = True
+        cuts = np.flatnonzero(mark)
+        found = pieces(data, cuts)
+        # Words that differ by the space at their end alone are one.
+        bare = pc.ascii_rtrim(found.dictionary, " \n").dictionary_encode()
+        at, lists = self.known.find(bare.dictionary)
+        at = at[bare.indices.to_numpy()][found.indices.to_numpy()]
+        stop = np.searchsorted(cuts, bounds)
+        ids, lengths = taken(np.insert(at, stop[1:], 0), lists, stop + np.arange(len(stop)))
+        return ids.astype(np.uint32), lengths
+
+
+def _tails(data: np.ndarray, space: np.ndarray, mark: np.ndarray) -> np.ndarray:
+    """Where ASCII punctuation begins that goes on from an ASCII letter or digit to the end of its word.
+
+    The tokenizer cuts there too, whatever the word is: so ``word`` and ``word,`` are one word that is learnt.
+    """
+    other = np.zeros(len(data) + 2, bool)
+    other[1:-1] = PUNCTUATION[data]
+    change = np.flatnonzero(other[1:] != other[:-1])
+    start, end = change[::2], change[1::2]
+    whole = mark[end]  # a text ends there: the byte before is no space
+    inner = end < len(data)
+    whole[inner] |= space[end[inner]]
+    whole &= start > 0
+    start = start[whole]
+    return start[ALPHANUMERIC[data[start - 1]]]
+
+
+def _encoder(path: str, end_id: int) -> WordEncoder:
+    return worker_cache("words", (path, end_id), lambda: WordEncoder(path, end_id))
 
 
 def write_packed(docs: DataFrame, tokenizer: str, folder: str, end_id: int = END_ID) -> tuple[DataFrame, DataFrame]:
@@ -221,13 +231,14 @@ def write_packed(docs: DataFrame, tokenizer: str, folder: str, end_id: int = END
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
-        encoder = _encoder(tokenizer)
+        encoder = _encoder(tokenizer, end_id)
         writer, shard, n = Writer(width_of(encoder.vocabulary)), TaskContext.get().partitionId(), 0
         path = f"{folder}/ids/{shard:06d}-{uuid.uuid4().hex}.bin"
         for batch in batches:
-            for a, b in row_blocks(text_buffer(batch.column(1))[1], ENCODE_BYTES):
+            raw, bounds = text_buffer(batch.column(1))
+            for a, b in row_blocks(bounds, ENCODE_BYTES):
                 part = batch.slice(a, b - a)
-                ids, lengths = encoder.encode(part.column(1).to_pylist(), end_id)
+                ids, lengths = encoder.encode(raw[bounds[a]:bounds[b]], bounds[a:b + 1] - bounds[a])
                 writer.add(ids, lengths)
                 k = len(part)
                 yield pa.RecordBatch.from_arrays(

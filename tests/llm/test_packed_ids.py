@@ -44,27 +44,52 @@ def test_file_random_access(width):
     assert (reader.ids(0, len(ids)) == ids).all()
 
 
+def buffers(texts):
+    parts = [(t or "").encode() for t in texts]
+    return np.frombuffer(b"".join(parts), np.uint8), np.cumsum([0, *map(len, parts)])
+
+
+def same_as_the_library(texts, size=500, cache=1000):
+    want = [e.ids + [2] for e in Tokenizer.from_file(PATH).encode_batch(texts, add_special_tokens=False)]
+    encoder = pk.WordEncoder(PATH, 2, cache=cache)
+    for a in range(0, len(texts), size):
+        ids, lengths = encoder.encode(*buffers(texts[a:a + size]))
+        cut = np.concatenate([[0], np.cumsum(lengths)])
+        for k in range(len(lengths)):
+            assert ids[cut[k]:cut[k + 1]].tolist() == want[a + k], texts[a + k]
+
+
 def test_word_encoder_equals_the_library(documents):
     import random
     random.seed(2)
-    parts = list("ab cdeéß漢字😀\n\t  '’sllveTHE the 0123½!!--___    \x1c\x85é́İΣς가각ᄀ") + ["<|endoftext|>"]
+    parts = list("ab cdeéß漢字😀\n\t  '’sllveTHE the 0123½!!--___    \x1c\x85é́İΣς가각ᄀ")
     texts = ["".join(random.choice(parts) for _ in range(random.randint(0, 30))) for _ in range(3000)]
     texts += [r.text for r in documents.select("text").collect()]
-    library = Tokenizer.from_file(PATH)
-    library.encode_special_tokens = True
-    want = [e.ids + [2] for e in library.encode_batch(texts, add_special_tokens=False)]
-    encoder = pk.WordEncoder(PATH, cache=1000)
-    for a in range(0, len(texts), 500):
-        ids, lengths = encoder.encode(texts[a:a + 500], 2)
-        cut = np.concatenate([[0], np.cumsum(lengths)])
-        for k in range(len(lengths)):
-            assert ids[cut[k]:cut[k + 1]].tolist() == want[a + k]
+    same_as_the_library(texts)
+    same_as_the_library(texts, 4000, 10)
+
+
+def test_special_strings_are_what_the_library_makes_of_them():
+    import random
+    random.seed(5)
+    parts = ["<|endoftext|>", "<|EndOfText|>", "<|startoftext|>", "<|", "|>", "<", " ", "a", "B,", "\n", ".", "é"]
+    same_as_the_library(["".join(random.choice(parts) for _ in range(random.randint(0, 12))) for _ in range(1500)], 7)
+
+
+def test_control_characters_and_word_ends():
+    import random
+    random.seed(6)
+    same_as_the_library(["hello", "a\x00b", "a", "cat", "a cat"])
+    control = [chr(i) for i in range(0x20)] + ["\x7f", "\x80", "\xa0", "\u2028", "\ufeff", "\u0301", "\u0338", "\u200d"]
+    marks = list(".,;:'\"!?<>=_~%&*") + ["'s", "n't", "a", "B", "9", "é", "…", " ", " "]
+    same_as_the_library(["".join(random.choice("a " + "".join(control)) for _ in range(random.randint(0, 8))) for _ in range(2000)], 50)
+    same_as_the_library(["".join(random.choice(marks + ["\u0338"]) for _ in range(random.randint(0, 9))) for _ in range(3000)], 11)
 
 
 def test_query_equals_brute_force(spark, docs):
-    rows = [(7, "the end"), (3, None), (5, ""), (1, "Word " * 20_000), (None, "null id"), (9, "é漢 😀!"), (4, "b"), (4, "b")]
+    rows = [(7, "the end"), (3, None), (5, ""), (1, "Word " * 20_000), (None, "null id"), (9, "é漢 😀!"), (4, "b"), (4, "b"),
+            (11, "a\x00b"), (12, "x<|endoftext|>y")]
     library = Tokenizer.from_file(PATH)
-    library.encode_special_tokens = True
     manifest, where = pk.write_packed(docs(rows).repartition(3), PATH, shared_path(spark, "test-packed"))
     got = where.join(pk.read_packed(manifest), ["shard", "place"]).collect()
     start, want = 0, []
