@@ -14,13 +14,14 @@ when first met (lazy determinisation) and kept, up to a bound; states beyond it
 last for one piece. Caches cost time when they are full and change no result.
 
 Pieces are the matches of the split pattern. A piece that is itself a token is
-that token. White-space-delimited chunks of a text are encoded once per worker
-and looked up afterwards: a chunk starts at a space between two characters that
-are not white space, where no match of the pattern can cross.
+that token. Texts are cut into chunks where no match of the pattern can cross
+(``chunk_cuts``). Arrow finds the distinct chunks of a batch, as whole byte strings; each goes
+through the transducer once, and its ids are kept for the batches that follow.
 
-*Decoder.* Ids become bytes token by token. ``Utf8Stream`` is an incremental
-UTF-8 state machine: it holds an unfinished character back until its last byte
-comes, and replaces what can't become one by U+FFFD.
+*Decoder.* Ids become the bytes of their tokens, which are fed, some tokens at a time, to
+``Utf8Stream``, an incremental UTF-8 state machine: it holds an unfinished character back
+until its last byte comes, and replaces what can't become one by U+FFFD. The ids of a text
+always decode to its own bytes.
 
 Defined results: null and empty texts have no ids and decode to no bytes.
 Repeated rows give repeated results, an empty table an empty one. Columns of
@@ -30,19 +31,24 @@ the input with other names are not read.
 from __future__ import annotations
 
 import base64
-import re
 from array import array
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import col, read_table, row_blocks, ship_package, text_buffer, worker_cache
-
-#: What a worker keeps: states of the transducer, token pairs that were tried, chunks with their ids (two halves).
-STATES, PAIRS, CHUNKS = 220_000, 120_000, 40_000
+from .word_ids import ALPHANUMERIC, PUNCTUATION, WordIds, byte_table, pieces, taken
+
+#: What a worker keeps: states of the transducer, token pairs that were tried, chunks with their ids.
+STATES, PAIRS, CHUNKS = 150_000, 100_000, 500_000
+#: Tokens that are fed to the decoder at a time.
+STREAM_TOKENS = 4096
+#: Of each byte: a visible ASCII character.
+VISIBLE = byte_table(lambda c: c.isprintable() and c != " ")
 #: Above every rank: a pair that no merge joins.
 NEVER = 1 << 40
 #: Below it, Python and the pattern agree for good on what a letter is.
@@ -193,48 +199,61 @@ class Transducer:
         return out
 
 
+def chunk_cuts(data: np.ndarray, bounds: np.ndarray) -> np.ndarray:
+    """Where the texts ``bounds`` of UTF-8 ``data`` can be cut, so that no match of the pattern crosses a cut.
+
+    At a space between two characters that are not white space, before ASCII
+    punctuation that follows an ASCII letter or digit, and at the bounds themselves. A
+    character beside a space is taken for white space if its first bytes are those of one.
+    """
+    mark = np.zeros(len(data) + 1, bool)
+    mark[bounds] = True
+    if len(data) > 1:
+        mark[1:-1] |= PUNCTUATION[data[1:]] & ALPHANUMERIC[data[:-1]]
+    padded = np.concatenate([np.zeros(3, np.uint8), data, np.zeros(2, np.uint8)])
+    at = np.flatnonzero(data == 0x20)
+    third, second, last, first, then = (padded[at + k] for k in (0, 1, 2, 4, 5))
+    before = VISIBLE[last] | (last >= 0x80) & ~(
+        (second == 0xC2) & ((last == 0x85) | (last == 0xA0)) | (third == 0xE1) & (second == 0x9A)
+        | (third == 0xE2) & ((second == 0x80) | (second == 0x81)) | (third == 0xE3) & (second == 0x80))
+    after = VISIBLE[first] | (first >= 0x80) & ~(
+        (first == 0xC2) & ((then == 0x85) | (then == 0xA0)) | (first == 0xE1) & (then == 0x9A)
+        | (first == 0xE2) & ((then == 0x80) | (then == 0x81)) | (first == 0xE3) & (then == 0x80))
+    mark[at[before & after]] = True
+    return np.flatnonzero(mark)
+
+
 class Encoder:
-    """Texts to ids: split pattern, transducer, and a cache of chunks."""
+    """Texts to ids: distinct chunks by Arrow, split pattern, transducer."""
 
     def __init__(self, ranks: dict[bytes, int], pattern: str, chunks: int = CHUNKS):
-        self.transducer, self.most_chunks = Transducer(ranks), chunks
+        self.transducer = Transducer(ranks)
         self.pieces = regex.compile(pattern).findall
-        self.after_space: dict[str, array] = {}
-        self.older: dict[str, array] = {}
-        self.stops = {mark: self.whole(mark) for mark in ".,"}
-        self.tangled = re.compile(r"^\s|\s\s|\s$").search
-        self.cut = re.compile(r"(?<=\S) (?=\S)").split
+        self.known = WordIds(self._learn, chunks)
 
-    def whole(self, text: str) -> array:
+    def whole(self, text: str) -> list[int]:
+        """The ids of one chunk."""
         if text[:1] == " " and text[1:].isalpha() and max(text) < LATIN_END:  # letters after a space: one piece
-            return array("i", self.transducer.encode(text.encode()))
-        out = array("i")
+            return self.transducer.encode(text.encode())
+        out = []
         for piece in self.pieces(text):
-            out.extend(self.transducer.encode(piece.encode()))
+            out += self.transducer.encode(piece.encode())
         return out
 
-    def append(self, text: str, out: array) -> None:
-        """Adds the ids of ``text`` to ``out``."""
-        known = self.after_space
-        first, *rest = self.cut(text) if self.tangled(text) else text.split(" ")
-        out.extend(self.whole(first))
-        for chunk in rest:
-            ids = known.get(chunk)
-            if ids is None:
-                word, stop = chunk, None
-                if chunk[-1] in self.stops and chunk[-2:-1].isalpha():  # a mark after a letter: a piece of its own
-                    word, stop = chunk[:-1], self.stops[chunk[-1]]
-                    ids = known.get(word)
-                if ids is None:
-                    ids = self.older.get(word) or self.whole(" " + word)
-                    if len(known) >= self.most_chunks:  # what is in use comes back from the older half
-                        self.older, self.after_space = known, {}
-                        known = self.after_space
-                    known[word] = ids
-                if stop is not None:
-                    out.extend(ids)
-                    ids = stop
-            out.extend(ids)
+    def _learn(self, chunks: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        ids, counts = array("i"), np.empty(len(chunks), np.int64)
+        for k, chunk in enumerate(chunks):
+            own = self.whole(chunk)
+            ids.extend(own)
+            counts[k] = len(own)
+        return np.array(ids, np.int32), counts
+
+    def encode(self, raw: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(ids of all texts, ids per text) of the texts ``bounds`` of ``raw``."""
+        cuts = chunk_cuts(raw, bounds)
+        found = pieces(raw, cuts)
+        at, lists = self.known.find(found.dictionary)
+        return taken(at[found.indices.to_numpy()], lists, np.searchsorted(cuts, bounds))
 
 
 def _follow(byte: int) -> int:
@@ -288,32 +307,52 @@ def _encoder(ranks_path: str, pattern: str) -> Encoder:
     return worker_cache("bpe", (ranks_path, pattern), lambda: Encoder(read_ranks(ranks_path), pattern))
 
 
-def _tokens(ranks_path: str) -> dict[int, bytes]:
-    return worker_cache("bpe", (ranks_path,), lambda: {i: t for t, i in read_ranks(ranks_path).items()})
+def _tokens(ranks_path: str) -> pa.Array:
+    """The bytes of every token by its id; null for an id that no token has."""
+    def make() -> pa.Array:
+        tokens = {i: t for t, i in read_ranks(ranks_path).items()}
+        return pa.array([tokens.get(i) for i in range(max(tokens) + 1)], pa.large_binary())
+    return worker_cache("bpe", (ranks_path,), make)
 
 
 def encode_batches(batches: Iterator[pa.RecordBatch], ranks_path: str, pattern: str) -> Iterator[pa.RecordBatch]:
     """Batches (doc_id, text) to batches (doc_id, ids)."""
     encoder = _encoder(ranks_path, pattern)
     for batch in batches:
-        for a, b in row_blocks(text_buffer(batch.column(1))[1], OUT_BYTES):
-            part, ids, ends = batch.slice(a, b - a), array("i"), [0]
-            for text in part.column(1):
-                text = text.as_py()
-                if text:
-                    encoder.append(text, ids)
-                ends.append(len(ids))
-            values = pa.Array.from_buffers(pa.int32(), len(ids), [None, pa.py_buffer(ids)])
+        raw, bounds = text_buffer(batch.column(1))
+        for a, b in row_blocks(bounds, OUT_BYTES):
+            ids, lengths = encoder.encode(raw[bounds[a]:bounds[b]], bounds[a:b + 1] - bounds[a])
+            ends = np.concatenate([[0], np.cumsum(lengths)]).astype(np.int32)
             yield pa.RecordBatch.from_arrays(
-                [part.column(0), pa.ListArray.from_arrays(pa.array(ends, pa.int32()), values)], ["doc_id", "ids"])
+                [batch.column(0).slice(a, b - a), pa.ListArray.from_arrays(pa.array(ends), pa.array(ids))], ["doc_id", "ids"])
+
+
+def stream_text(data: bytes, ends: np.ndarray, tokens: int = STREAM_TOKENS) -> str:
+    """The text of tokens that end at ``ends`` in ``data``, fed to the state machine some tokens at a time."""
+    stream, at, out = Utf8Stream(), 0, []
+    for k in range(tokens - 1, len(ends) + tokens - 1, tokens):
+        end = int(ends[min(k, len(ends) - 1)])
+        out.append(stream.feed(data[at:end]))
+        at = end
+    out.append(stream.close())
+    return "".join(out)
 
 
 def decode_batches(batches: Iterator[pa.RecordBatch], ranks_path: str) -> Iterator[pa.RecordBatch]:
     """Batches (doc_id, ids) to batches (doc_id, ids, decoded)."""
-    token = _tokens(ranks_path).__getitem__
+    tokens = _tokens(ranks_path)
     for batch in batches:
-        out = [b"".join(map(token, ids.values.to_numpy().tolist())) if ids.is_valid else b"" for ids in batch.column(1)]
-        yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(out, pa.binary())], ["doc_id", "ids", "decoded"])
+        ids = batch.column(1)
+        first = ids.offsets.to_numpy()
+        got = tokens.take(ids.values.slice(int(first[0]), int(first[-1] - first[0])))
+        if got.null_count:
+            raise ValueError("an id that no token has")
+        first = first - first[0]
+        ends = np.frombuffer(got.buffers()[1], np.int64)[got.offset:got.offset + len(got) + 1]
+        data = pa.py_buffer(got.buffers()[2]) if got.buffers()[2] is not None else pa.py_buffer(b"")
+        out = [stream_text(data.slice(int(ends[a]), int(ends[b] - ends[a])).to_pybytes(), ends[a + 1:b + 1] - ends[a])
+               for a, b in zip(first[:-1].tolist(), first[1:].tolist())]
+        yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(out, pa.string())], ["doc_id", "ids", "decoded"])
 
 
 def _texts(docs: DataFrame) -> tuple[DataFrame, str]:
@@ -329,25 +368,25 @@ def encode(docs: DataFrame, ranks_path: str, pattern: str) -> DataFrame:
 
 
 def decode(encoded: DataFrame, ranks_path: str) -> DataFrame:
-    """(doc_id, ids, decoded): the bytes that the ids of each row stand for."""
+    """(doc_id, ids, decoded): the text that the ids of each row stand for; null ids stand for none."""
     ship_package(encoded.sparkSession)
     kind = encoded.schema["doc_id"].dataType.simpleString()
-    return encoded.select("doc_id", "ids").mapInArrow(
-        lambda batches: decode_batches(batches, ranks_path), f"doc_id {kind}, ids array<int>, decoded binary")
+    return encoded.select("doc_id", F.coalesce("ids", F.array().cast("array<int>")).alias("ids")).mapInArrow(
+        lambda batches: decode_batches(batches, ranks_path), f"doc_id {kind}, ids array<int>, decoded string")
 
 
 def encode_and_decode(docs: DataFrame, ranks_path: str, pattern: str) -> DataFrame:
     """``decode(encode(docs))`` in one pass over the batches, so that the ids don't cross to the JVM in between."""
     texts, kind = _texts(docs)
     return texts.mapInArrow(lambda batches: decode_batches(encode_batches(batches, ranks_path, pattern), ranks_path),
-                            f"doc_id {kind}, ids array<int>, decoded binary")
+                            f"doc_id {kind}, ids array<int>, decoded string")
 
 
 def digests(decoded: DataFrame) -> DataFrame:
     return decoded.select(
         "doc_id", F.size("ids").cast("bigint").alias("n_tokens"),
         F.sha2(F.array_join(F.col("ids").cast("array<string>"), ",").cast("binary"), 256).alias("ids_sha256"),
-        F.sha2("decoded", 256).alias("decoded_sha256"))
+        F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"))
 
 
 def round_trip(docs: DataFrame) -> DataFrame:

@@ -58,7 +58,7 @@ BLOCK_IDS = 1 << 16
 END_ID = 2
 #: Bytes of text that are encoded together, and words kept with their ids from batch to batch.
 ENCODE_BYTES = 8 << 20
-CACHE = 1_000_000
+CACHE = 700_000
 
 
 def width_of(vocabulary: int) -> int:

@@ -2,6 +2,7 @@ import base64
 import hashlib
 import random
 
+import numpy as np
 import public_tokenizers
 import pytest
 import tiktoken
@@ -23,11 +24,15 @@ def encoder():
     return bpe.Encoder(bpe.read_ranks(PATH), public_tokenizers.PATTERN)
 
 
+def all_ids(encoder, texts):
+    parts = [t.encode() for t in texts]
+    found, lengths = encoder.encode(np.frombuffer(b"".join(parts), np.uint8), np.cumsum([0, *map(len, parts)]))
+    ends = np.cumsum(lengths)
+    return [found[e - n:e].tolist() for e, n in zip(ends.tolist(), lengths.tolist())]
+
+
 def ids(encoder, text):
-    from array import array
-    out = array("i")
-    encoder.append(text, out)
-    return out.tolist()
+    return all_ids(encoder, [text])[0]
 
 
 def test_encoding_equals_the_library(encoder, reference, documents):
@@ -36,8 +41,20 @@ def test_encoding_equals_the_library(encoder, reference, documents):
     texts += [random.choice("ab") * random.randint(1, 500) for _ in range(50)]
     texts += ["".join(random.choices("abcdefgtheiongr", k=400)) for _ in range(50)]
     texts += [r.text for r in documents.select("text").collect()]
-    for t in texts:
-        assert ids(encoder, t) == reference.encode_ordinary(t), t
+    for a in range(0, len(texts), 700):
+        for t, got in zip(texts[a:a + 700], all_ids(encoder, texts[a:a + 700])):
+            assert got == reference.encode_ordinary(t), t
+
+
+def test_white_space_and_punctuation_at_the_cuts(encoder, reference):
+    random.seed(4)
+    marks = ["a", "B", "9", "é", "漢", " ", " ", "  ", "\n", "\t", "\r", "\x0b", "\x0c", "\x1c", "\x1f", "\x00", "\x7f", "\x85", "\xa0",
+             "\u1680", "\u2003", "\u2028", "\u202f", "\u205f", "\u3000", "\u200b", "\ufeff", "’", "'s", "'ll", "'", "''", ".", ",,", "_",
+             "-", "<|", "\u0301", "½", "😀"]
+    texts = ["".join(random.choice(marks) for _ in range(random.randint(0, 12))) for _ in range(20_000)]
+    for a in range(0, len(texts), 500):
+        for t, got in zip(texts[a:a + 500], all_ids(encoder, texts[a:a + 500])):
+            assert got == reference.encode_ordinary(t), repr(t)
 
 
 def test_small_caches_change_nothing(encoder):
@@ -45,7 +62,7 @@ def test_small_caches_change_nothing(encoder):
     small.transducer.most_states, small.transducer.most_pairs = 20, 10
     random.seed(2)
     for _ in range(300):
-        t = "".join(random.choice(ALPHABET) for _ in range(30))
+        t = "".join(random.choice(ALPHABET) for _ in range(30)) + "漢" * random.choice([0, 0, 200])
         assert ids(small, t) == ids(encoder, t)
 
 
@@ -70,6 +87,16 @@ def test_streaming_decode_at_every_cut():
             assert out == text.decode("utf-8", "replace")
 
 
+def test_decoding_streams_over_tokens(encoder, reference):
+    text = "aé漢😀 words, words\x00 ß" * 30
+    found = ids(encoder, text)
+    parts = [reference.decode_single_token_bytes(i) for i in found]
+    ends = np.cumsum([len(p) for p in parts])
+    for tokens in (1, 2, 7, 4096):
+        assert bpe.stream_text(b"".join(parts), ends, tokens) == text
+    assert bpe.stream_text(b"", np.empty(0, np.int64)) == ""
+
+
 def test_streaming_decode_gives_a_character_with_its_last_byte():
     stream = bpe.Utf8Stream()
     assert [stream.feed(bytes([b])) for b in "😀é".encode()] == ["", "", "", "😀", "", "é"]
