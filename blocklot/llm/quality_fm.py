@@ -1,7 +1,7 @@
 """Quality scores from a factorisation machine (operator 6).
 
 *Features* of a text: its words in lower case, hashed to ``WORD_BUCKETS`` (share of
-each in the text, scaled), and structure statistics with the metadata column
+each in the text, scaled; words that share a bucket are one feature), and structure statistics with the metadata column
 ``n_chars``, each cut into ``BINS`` bins at quantiles of the training sample (one
 feature per bin, so that pairs of bins can interact).
 
@@ -9,15 +9,16 @@ feature per bin, so that pairs of bins can interact).
 pairwise sum is computed in linear time as half of sum_f ((sum_i v_if x_i)^2 -
 sum_i v_if^2 x_i^2).
 
-*Fit.* On a bounded sample: the labelled rows that the caller marks, a hash sample
-of about ``TRAIN_ROWS`` of them where there are more (documented bound). The
-sampled labels are broadcast (at most about ``TRAIN_ROWS`` rows), features are made
-on Spark, and the fit itself (Adam on the logistic loss) runs on the bounded
-feature table. Every document is scored, over its whole text.
+*Fit.* On a bounded sample: the labelled ids that the caller marks, a hash sample
+of about ``TRAIN_ROWS`` of them where there are more, and fewer if their texts could have more than
+``TRAIN_WORDS`` words (documented bounds). Of documents that repeat an id, the one whose text has
+the largest hash is learnt from. The sampled labels are broadcast (at most two for
+each id), features are made on Spark, and the fit itself (Adam on the logistic
+loss) runs on the bounded feature table, 6 bytes a word. Every document is scored, over its whole text.
 
 Defined results: null and empty texts have no words and zero statistics, and a
 score like any other. A null ``n_chars`` falls into the lowest bin. A null doc_id
-is not held out and has no label. Several labels of one doc_id each count. If
+is not held out and has no label. Two labels of one doc_id each count, equal ones once. If
 nothing is labelled, or only one class, every score is the share of class 1 (0
 without labels). Repeated rows give repeated results, an empty table an empty one.
 """
@@ -28,16 +29,18 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import (col, crc32_of_id, fold_latin, read_table, row_blocks, ship_package, span_hashes, text_buffer,
+from .common import (col, crc32_of_id, fold_latin, materialise, read_table, row_blocks, ship_package, span_hashes, text_buffer,
                      word_spans)
 
 WORD_BUCKETS = 1 << 13
 BINS = 8
 FACTORS = 8
 TRAIN_ROWS = 12_000
+TRAIN_WORDS = 6_000_000
 EPOCHS = 8
 BATCH = 64
 RATE = 0.02
@@ -116,8 +119,12 @@ def _block(raw: np.ndarray, bounds: np.ndarray, n_chars: np.ndarray):
         put(name, _sums(raw == byte[0], bounds) / some)
     put("short_words", _sums(lengths <= 2, first) / some)
     put("n_chars", np.log1p(np.maximum(n_chars, 0)))
-    bucket = (x >> np.uint64(51)).astype(np.int64)
-    return stats, r, bucket, WORD_SCALE * np.sqrt(times / some[r])
+    # The words of a row are in the order of their hashes, so those of a bucket stand together: one feature.
+    bucket, share = (x >> np.uint64(51)).astype(np.int64), WORD_SCALE * np.sqrt(times / some[r])
+    new = np.ones(len(r), bool)
+    new[1:] = (r[1:] != r[:-1]) | (bucket[1:] != bucket[:-1])
+    at = np.flatnonzero(new)
+    return stats, r[at], bucket[at], np.add.reduceat(share, at) if len(at) else share
 
 
 def features(batch: pa.RecordBatch, text_at: int, chars_at: int | None) -> Iterator:
@@ -169,10 +176,9 @@ class Machine:
         raw, _ = self.raw(len(stats), *self.sparse(stats, row, bucket, x))
         return 1 / (1 + np.exp(-np.clip(raw, -35, 35)))
 
-    def fit(self, n: int, row, which, value, label: np.ndarray) -> "Machine":
-        """Adam on the logistic loss, in a fixed order."""
-        first = np.append(np.searchsorted(row, np.arange(n)), len(row))
-        rate = label.mean()
+    def fit(self, stats: np.ndarray, first: np.ndarray, bucket: np.ndarray, x: np.ndarray, label: np.ndarray) -> "Machine":
+        """Adam on the logistic loss, in a fixed order; row i has the words ``first[i]:first[i + 1]``."""
+        rate, n = label.mean(), len(label)
         self.bias = float(np.log(rate / (1 - rate)))
         slow = [np.zeros_like(self.linear), np.zeros_like(self.factors)]
         fast = [np.zeros_like(self.linear), np.zeros_like(self.factors)]
@@ -183,7 +189,7 @@ class Machine:
                 own = order[a:a + BATCH]
                 sizes = first[own + 1] - first[own]
                 at = np.repeat(first[own] - np.cumsum(sizes) + sizes, sizes) + np.arange(sizes.sum())
-                r, f, v = np.repeat(np.arange(len(own)), sizes), which[at], value[at]
+                r, f, v = self.sparse(stats[own], np.repeat(np.arange(len(own)), sizes), bucket[at], x[at])
                 raw, sums = self.raw(len(own), r, f, v)
                 error = (1 / (1 + np.exp(-np.clip(raw, -35, 35))) - label[own]) / len(own)
                 self.bias -= RATE * error.sum()
@@ -211,62 +217,76 @@ class Constant:
         return np.full(len(stats), self.score)
 
 
-def fit(tables: list, label: np.ndarray):
-    """A machine from feature blocks (statistics, row, bucket, x) and the label of each row."""
+def fit(stats: np.ndarray, first: np.ndarray, bucket: np.ndarray, x: np.ndarray, label: np.ndarray):
+    """A machine from the statistics, words and label of each row."""
     if not len(label) or label.min() == label.max():
         return Constant(float(label.mean()) if len(label) else 0.0)
-    stats = np.concatenate([t[0] for t in tables])
-    base = np.cumsum([0] + [len(t[0]) for t in tables])
-    row = np.concatenate([t[1] + b for t, b in zip(tables, base)])
     edges = np.quantile(stats, np.arange(1, BINS) / BINS, axis=0).T
     # The outer bins also see the tails: quantiles alone would hide rare extremes.
     edges[:, 0], edges[:, -1] = np.quantile(stats, 0.03, axis=0), np.quantile(stats, 0.97, axis=0)
-    machine = Machine(np.sort(edges, axis=1))
-    sparse = machine.sparse(stats, row, np.concatenate([t[2] for t in tables]), np.concatenate([t[3] for t in tables]))
-    return machine.fit(len(stats), *sparse, label.astype(np.float64))
+    return Machine(np.sort(edges, axis=1)).fit(stats, first, bucket, x, label.astype(np.float64))
 
 
-def train(docs: DataFrame, labels: DataFrame, learn: Column, rows: int = TRAIN_ROWS):
-    """Learns ``quality`` from the rows of ``labels`` that ``learn`` marks and the texts of ``docs``."""
-    ship_package(docs.sparkSession)
-    marked = labels.where(learn & col(labels, "quality").isNotNull() & col(labels, "doc_id").isNotNull())
-    n = marked.count()
-    if n > rows:
-        marked = marked.where(F.shiftrightunsigned(F.xxhash64(col(labels, "doc_id")), 2) < int((1 << 62) * rows / n))
-    sample = marked.select(col(labels, "doc_id").alias("id"), col(labels, "quality").cast("int").alias("quality"))
+def _part(key: Column, share: float) -> Column:
+    """Whether the hash of ``key`` is in the first ``share`` of all hashes."""
+    return F.lit(True) if share >= 1 else F.shiftrightunsigned(F.xxhash64(key, F.lit("quality")), 2) < int((1 << 62) * share)
+
+
+def sample(docs: DataFrame, labels: DataFrame, learn: Column, rows: int, words: int) -> DataFrame:
+    """(quality, text, n_chars): one row for each (doc_id, quality) of a bounded sample of the labels that ``learn`` marks.
+
+    At most about ``rows`` ids, and ``words`` words as their texts' sizes bound them.
+    """
+    quality = (col(labels, "quality").cast("int") != 0).cast("int")
+    marked = materialise(labels.where(learn & quality.isNotNull() & col(labels, "doc_id").isNotNull()).select(
+        col(labels, "doc_id").alias("id"), quality.alias("quality")).distinct(), "labels")
     has_chars = "n_chars" in docs.columns
-    texts = docs.select(col(docs, "doc_id").alias("id"), col(docs, "text").alias("text"),
+    share = min(1.0, rows / max(1, marked.count()))
+    text = col(docs, "text")
+    texts = docs.select(col(docs, "doc_id").alias("id"), text.alias("text"),
                         (col(docs, "n_chars") if has_chars else F.lit(0)).cast("double").alias("n_chars"))
 
+    def chosen(part: float) -> DataFrame:
+        few = F.broadcast(marked.where(_part(F.col("id"), part)))  # at most about ``rows`` ids, two labels each
+        return texts.where(_part(F.col("id"), part)).join(few, "id")
+
+    # A word has a byte and a space at least; a row has no more words than buckets.
+    most = chosen(share).agg(F.sum(F.least(F.lit(WORD_BUCKETS), F.octet_length("text") / 2 + 1))).first()[0]
+    if (most or 0) > words:
+        share *= words / most
+    return chosen(share).groupBy("id", "quality").agg(F.max_by(
+        F.struct("text", "n_chars"), F.struct(F.xxhash64("text"), "n_chars")).alias("row")).select("quality", "row.text", "row.n_chars")
+
+
+def train(docs: DataFrame, labels: DataFrame, learn: Column, rows: int = TRAIN_ROWS, words: int = TRAIN_WORDS):
+    """Learns ``quality`` from the rows of ``labels`` that ``learn`` marks and the texts of ``docs``."""
+    ship_package(docs.sparkSession)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             quality = batch.column(0)
             for a, stats, row, bucket, x in features(batch, 1, 2):
                 n = len(stats)
                 ends = np.searchsorted(row, np.arange(n + 1)).astype(np.int32)
+                flat = pa.FixedSizeListArray.from_arrays(pa.array(stats.ravel()), stats.shape[1])
                 yield pa.RecordBatch.from_arrays(
-                    [quality.slice(a, n), pa.array(list(stats)),
-                     pa.ListArray.from_arrays(pa.array(ends), pa.array(bucket.astype(np.int32))),
+                    [quality.slice(a, n), flat.cast(pa.list_(pa.float64())),
+                     pa.ListArray.from_arrays(pa.array(ends), pa.array(bucket.astype(np.int16))),
                      pa.ListArray.from_arrays(pa.array(ends), pa.array(x.astype(np.float32)))],
                     ["quality", "stats", "bucket", "x"])
 
-    # At most about TRAIN_ROWS rows with the features of one text each.
-    got = texts.join(F.broadcast(sample), "id").select("quality", "text", "n_chars").mapInArrow(
-        run, "quality int, stats array<double>, bucket array<int>, x array<float>").toArrow().combine_chunks()
+    # At most about ``rows`` rows and ``words`` words, six bytes each.
+    got = sample(docs, labels, learn, rows, words).mapInArrow(
+        run, "quality int, stats array<double>, bucket array<smallint>, x array<float>").toArrow()
     if not got.num_rows:
-        return fit([], np.empty(0))
-    lists = got["bucket"].combine_chunks()
-    sizes = np.diff(lists.offsets.to_numpy())
-    stats = np.array(got["stats"].to_pylist())
-    flat = [np.repeat(np.arange(len(sizes)), sizes), lists.flatten().to_numpy().astype(np.int64),
-            got["x"].combine_chunks().flatten().to_numpy().astype(np.float64)]
+        return fit(*[np.empty(0)] * 5)
+    stats = pc.list_flatten(got["stats"]).to_numpy().reshape(got.num_rows, len(STATS))
     # In an order of its own, so that the fit doesn't depend on how Spark dealt the rows.
     order = np.lexsort((got["quality"].to_numpy(), *stats.T))
-    place = np.empty(len(order), np.int64)
-    place[order] = np.arange(len(order))
-    row = place[flat[0]]
-    sort = np.lexsort((flat[1], row))
-    return fit([(stats[order], row[sort], flat[1][sort], flat[2][sort])], got["quality"].to_numpy()[order])
+    got = got.select(["quality", "bucket", "x"]).take(pa.array(order))
+    first = np.concatenate([[0], np.cumsum(pc.list_value_length(got["bucket"]).to_numpy())])
+    return fit(stats[order], first, pc.list_flatten(got["bucket"]).to_numpy(), pc.list_flatten(got["x"]).to_numpy(),
+               got["quality"].to_numpy())
 
 
 def score(docs: DataFrame, machine) -> DataFrame:

@@ -1,10 +1,13 @@
+import re
 import zlib
+from collections import Counter
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import functions as F
 
 from blocklot.llm import quality_fm as fm
+from blocklot.llm.common import span_hashes
 
 
 def test_pairwise_identity_equals_the_double_sum():
@@ -36,6 +39,69 @@ def test_features_do_not_depend_on_neighbours():
     assert get["shouts"] == 1 and get["title_words"] == 1 and get["top_word"] == 0.5
 
 
+def plain_features(text, n_chars):
+    """Statistics and word shares of one text, by string functions."""
+    raw = text.encode()
+    low = "".join(c.lower() if c < "\u00df" and c != "×" and (c.isascii() or "À" <= c <= "Þ") else c for c in text)
+    words = [w for w in re.split(r"[ \t\n\r\x0b\x0c]+", text) if w]
+    lows = [w for w in re.split(r"[ \t\n\r\x0b\x0c]+", low) if w]
+    size, some = max(len(raw), 1), max(len(words), 1)
+    capital = [c for c in text if c.isascii() and c.isupper() or "À" <= c <= "Þ" and c != "×"]
+    upper = len(capital)  # a capital of two bytes differs in one of them
+    lengths, times = [len(w.encode()) for w in words], Counter(lows)
+    lines = [x for x in text.split("\n") if x]
+    symbols = sum(c.isascii() and not c.isalnum() and c not in " \t\n\r\x0b\x0c" for c in text)
+    stats = {
+        "words": np.log1p(len(words)), "mean_word": sum(lengths) / some, "long_word": max(lengths, default=0),
+        "upper": upper / size, "digits": sum(c in "0123456789" for c in text) / size, "symbols": symbols / size,
+        "other_bytes": sum(b >= 128 for b in raw) / size, "spaces": sum(c in " \t\n\r\x0b\x0c" for c in text) / size,
+        "distinct": len(times) / some, "top_word": max(times.values(), default=0) / some,
+        "repeated_next": sum(a == b for a, b in zip(lows, lows[1:])) / some,
+        "title_words": sum(w[0].isascii() and w[0].isupper() for w in words) / some, "lines": np.log1p(len(lines)),
+        "mean_line": sum(len(x.encode()) for x in lines) / max(len(lines), 1),
+        "repeated_lines": 1 - len(set(lines)) / max(len(lines), 1),
+        "short_words": sum(n <= 2 for n in lengths) / some, "n_chars": np.log1p(max(n_chars or 0, 0))}
+    for name, mark in (("stops", "."), ("commas", ","), ("bars", "|"), ("shouts", "!")):
+        stats[name] = text.count(mark) / some
+    shares = {}
+    for word, n in times.items():
+        data = np.frombuffer(word.encode(), np.uint8)
+        bucket = int(span_hashes(data, np.array([0]), np.array([len(data)]))[0]) >> 51
+        shares[bucket] = shares.get(bucket, 0) + fm.WORD_SCALE * (n / some) ** 0.5
+    return stats, shares
+
+
+def test_scores_equal_brute_force(spark, docs):
+    rows = [(1, "Good words, more Words.\nGood words\n\nÉtude étude 12!"), (2, None), (3, ""), (4, "!! $$ ## | !!"), (5, "x " * 3000),
+            (6, " ".join(f"w{k}" for k in range(4000))), (7, "漢字 é 漢字"), (7, "漢字 é 漢字")]
+    rng = np.random.default_rng(3)
+    m = fm.Machine(np.sort(rng.normal(size=(len(fm.STATS), fm.BINS - 1)), axis=1))
+    m.linear, m.bias = rng.normal(0, 0.1, size=m.linear.shape), 0.2
+    got = {r.doc_id: r.score for r in fm.score(docs(rows), m).collect()}
+    for i, text in rows:
+        stats, shares = plain_features(text or "", len(text or ""))
+        x = {fm.WORD_BUCKETS + k * fm.BINS + int((m.edges[k] <= stats[name]).sum()): 1.0 for k, name in enumerate(fm.STATS)}
+        x |= shares
+        total = m.bias + sum(m.linear[f] * v for f, v in x.items())
+        own = list(x.items())
+        if len(own) < 200:
+            total += sum(m.factors[f] @ m.factors[g] * v * w for a, (f, v) in enumerate(own) for g, w in own[:a])
+        else:
+            vectors = np.array([m.factors[f] * v for f, v in own])
+            both = vectors @ vectors.T
+            total += (both.sum() - np.trace(both)) / 2
+        assert abs(got[i] - 1 / (1 + np.exp(-np.clip(total, -35, 35)))) < 1e-6, i
+
+
+def test_the_sample_is_bounded(spark, docs):
+    labels = spark.createDataFrame([(i % 500, i % 2) for i in range(3000)] + [(7, 0)] * 3000, "doc_id long, quality int")
+    df = docs([(i, "some words here " * 20) for i in range(500)] + [(7, f"copy {k}") for k in range(1000)])
+    whole = fm.sample(df, labels, F.lit(True), 10_000, 1_000_000).collect()
+    assert len(whole) == 501 and {r.quality for r in whole} == {0, 1}
+    assert 60 < fm.sample(df, labels, F.lit(True), 100, 1_000_000).count() < 160
+    assert 5 < fm.sample(df, labels, F.lit(True), 10_000, 10_000).count() < 80
+
+
 def test_held_out_accuracy(spark):
     sf = "/root/testdata/sf0.01"
     label = {r.doc_id: r.quality for r in spark.read.parquet(f"{sf}/labels.parquet").collect()}
