@@ -1,15 +1,20 @@
 """Benchmark decontamination (operator 3): n-gram seeds, then Smith-Waterman alignment.
 
-1. Every word 3-gram of the benchmark items is a seed, rare in the corpus or not: a
-   selection by rarity would lose edited copies whose intact 3-grams are common.
-2. One pass joins documents to items on the seeds. An item that has too few words
-   in common with the document goes no further.
-3. Seed hits of an item that stand close together open a window of the document,
+1. One pass counts how often each word 3-gram of the benchmark items stands in the corpus.
+   The rarer half of an item's 3-grams are its *rare seeds*, whatever the counts.
+2. A second pass joins documents to items on the 3-grams. An item that has too few
+   words in common with the document goes no further.
+3. Seeds of an item that stand close together open a window of the document,
    which is aligned with the whole item by Smith-Waterman over words (match 2, mismatch -1, gap
    -1): changed, missing and added words cost score but don't hide a copy that
-   keeps three words in a row (one that keeps none has no seed and isn't found).
-4. A document is contaminated by an item if the score reaches ``THRESHOLD`` of
-   the score of a full verbatim copy.
+   keeps three words in a row (one that keeps none has no seed and isn't found). The windows
+   of the rare seeds come first. Only a pair that they don't decide goes on to the
+   windows of all its seeds, so an edited copy whose intact 3-grams are common is not lost.
+   A window reaches twice the item's length beyond its seeds: no alignment that counts is longer.
+4. A document is contaminated by an item if the score reaches ``THRESHOLD`` of the score of
+   a full verbatim copy; for an item of fewer than ``MIN_WORDS`` words, if it is at most
+   ``SHORT_LOSS`` below that (one word changed or missing, or a few added), and at most 1 below for one of
+   fewer than five words.
 
 The benchmark is the stated query set: it is taken in blocks of bounded size
 (``BLOCK_ITEMS`` texts and ``BLOCK_BYTES_MAX`` bytes on average), each broadcast,
@@ -22,9 +27,8 @@ control characters only separate.
 
 Defined results: a null or empty document has no hits. A null ``item_id`` or
 ``doc_id`` is carried along; repeated document rows are each reported, equal
-texts of one item are reported for every item. An item of fewer than ``MIN_WORDS``
-words is found by its exact word sequence, anywhere in a document; one of fewer
-than ``SEED_WORDS`` words, which stands in documents by chance, only where it is all
+texts of one item are reported for every item. An item of fewer than ``SEED_WORDS`` words,
+which stands in documents by chance, is found only where it is all
 of the document's words. An item without words has no hits. Empty tables
 give an empty result. Other columns of the documents are not read (``clean``
 keeps them all).
@@ -46,9 +50,9 @@ from .common import (col, drop_caches, fold_latin, read_table, row_blocks, ship_
                      text_buffer, word_spans)
 
 SEED_WORDS = 3
-#: From this length on an item is aligned, below it must occur word by word.
-MIN_WORDS = 8
 THRESHOLD = 0.5
+#: An item of fewer words may lose that much of its score.
+MIN_WORDS, SHORT_LOSS = 8, 3
 MATCH, MISMATCH, GAP = 2, -1, -1
 #: Size of a benchmark block, which bounds what is collected and broadcast at a time.
 BLOCK_ITEMS = 20_000
@@ -144,6 +148,13 @@ def smith_waterman(text: np.ndarray, item: np.ndarray) -> tuple[int, int, int]:
     return best
 
 
+def least_score(words: int) -> float:
+    """The score that a copy of an item of so many words must reach."""
+    if words >= MIN_WORDS:
+        return THRESHOLD * MATCH * words
+    return MATCH * words - (SHORT_LOSS if words >= 5 else 1)
+
+
 class Items:
     """One block of the benchmark: word hashes of each item, and an index of its 3-grams."""
 
@@ -171,8 +182,18 @@ class Items:
         order = np.argsort(self.grams, kind="stable")
         self.grams, self.owner = self.grams[order], self.owner[order]
         self.distinct = np.unique(self.grams)
+        self.least = np.array([least_score(n) for n in self.sizes.tolist()])
+        self.rare = np.ones(len(self.grams), bool)
         self._filter()
 
+    def mark_rare(self, counts: np.ndarray) -> None:
+        """Marks the rarer half of each item's 3-grams by the ``counts`` of ``distinct``; ties by the hash."""
+        n = counts[np.searchsorted(self.distinct, self.grams)]
+        order = np.lexsort((self.grams, n, self.owner))
+        own = self.owner[order]
+        first = np.searchsorted(own, own)
+        self.rare[order] = 2 * (np.arange(len(own)) - first) < np.bincount(own, minlength=1)[own]
+
     def _filter(self) -> None:
         """A bit per hash remainder: most 3-grams of the documents miss without a search."""
         self.bits = max(16, int(len(self.distinct) * 16).bit_length())
@@ -194,7 +215,7 @@ class Items:
         n = self.sizes[items]
         ends = np.cumsum(n)
         inside = np.isin(self.flat[np.repeat(self.first[items] - ends + n, n) + np.arange(ends[-1])], words)
-        return items[np.add.reduceat(inside.astype(np.int64), ends - n) >= np.where(n < MIN_WORDS, n, THRESHOLD * n)]
+        return items[MATCH * np.add.reduceat(inside.astype(np.int64), ends - n) >= self.least[items]]
 
     def _common(self, item: int, window: np.ndarray) -> int:
         """Words that the item and the window have in common, repeats counted as often as both have them."""
@@ -204,35 +225,41 @@ class Items:
         return int(np.minimum(np.bincount(at[own[at] == window], minlength=len(own)), counts).sum())
 
     def align(self, words: np.ndarray, places: np.ndarray, found: np.ndarray) -> dict[int, tuple[float, int, int]]:
-        """The best (share of the full score, first word, end) of each item seeded in a document."""
+        """The best (share of the full score, first word, end) of each item of which the document holds a copy."""
         grams = self.distinct[found]
         first, last = np.searchsorted(self.grams, grams), np.searchsorted(self.grams, grams, side="right")
         many = last - first
-        owner = self.owner[np.repeat(first, many) + np.arange(many.sum()) - np.repeat(np.cumsum(many) - many, many)]
-        place = np.repeat(places, many)
+        entry = np.repeat(first, many) + np.arange(many.sum()) - np.repeat(np.cumsum(many) - many, many)
+        owner, rare, place = self.owner[entry], self.rare[entry], np.repeat(places, many)
         out = {}
         items = np.unique(owner)
         if len(items) > 8:
             items = self._possible(items, words)
         for item in items.tolist():
-            target, at = self.words[item], place[owner == item]
-            if len(target) < MIN_WORDS:
-                at = at[at + len(target) <= len(words)]
-                same = at[(words[at[:, None] + np.arange(len(target))] == target).all(axis=1)]
-                if len(same):
-                    out[item] = (1.0, int(same[0]), int(same[0]) + len(target))
-                continue
-            reach = len(target) + len(target) // 2 + 1
-            for part in np.split(at, np.flatnonzero(np.diff(at) > reach) + 1):
-                a, b = max(0, int(part[0]) - reach), min(len(words), int(part[-1]) + SEED_WORDS + reach)
-                if self._common(item, words[a:b]) < THRESHOLD * len(target):
-                    continue  # no alignment can match more words than the two have in common
-                score, s, e = smith_waterman(words[a:b], target)
-                share = score / (MATCH * len(target))
-                if share > out.get(item, (0.0,))[0]:
-                    out[item] = (share, a + s, a + e)
+            own = owner == item
+            at, mark = place[own], rare[own]
+            best = self._best(item, words, at[mark]) if mark.any() else None
+            if best is None and not mark.all():
+                best = self._best(item, words, at)
+            if best is not None:
+                out[item] = best
         return out
 
+    def _best(self, item: int, words: np.ndarray, seeds: np.ndarray) -> tuple[float, int, int] | None:
+        """The best alignment in the windows of ``seeds`` that reaches the item's least score."""
+        target, least = self.words[item], self.least[item]
+        # An alignment of k <= m matches and g others has 2k - g >= m, so k + g <= 2m words.
+        reach = 2 * len(target)
+        best = None
+        for part in np.split(seeds, np.flatnonzero(np.diff(seeds) > reach) + 1):
+            a, b = max(0, int(part[0]) - reach), min(len(words), int(part[-1]) + SEED_WORDS + reach)
+            if MATCH * self._common(item, words[a:b]) < least:
+                continue  # no alignment can match more words than the two have in common
+            score, s, e = smith_waterman(words[a:b], target)
+            if score >= least and (best is None or score > best[0]):
+                best = (score, a + s, a + e)
+        return None if best is None else (best[0] / (MATCH * len(target)), *best[1:])
+
 
 def _documents(batch: pa.RecordBatch, column: int) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray]]:
     """(first row, word hashes, first word of each row, 3-gram hashes) for blocks of rows."""
@@ -242,29 +269,54 @@ def _documents(batch: pa.RecordBatch, column: int) -> Iterator[tuple[int, np.nda
         yield a, words, first, gram_hashes(words)
 
 
+def _seeds(block: Items, first: np.ndarray, grams: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(place, number among the block's 3-grams, row) of the 3-grams that occur in the block and cross no row's end."""
+    places, found = block.hits(grams)
+    row = np.searchsorted(first, places, side="right") - 1
+    inside = places + SEED_WORDS <= first[np.minimum(row + 1, len(first) - 1)]
+    return places[inside], found[inside], row[inside]
+
+
 def _row_hits(batch: pa.RecordBatch, column: int, block: Items) -> Iterator[tuple[int, int, tuple[float, int, int]]]:
-    """(row, item, alignment) of every seeded item that reaches the threshold."""
+    """(row, item, alignment) of every item that a row holds a copy of."""
     for a, words, first, grams in _documents(batch, column):
         if block.tiny:
             many = np.diff(first)
             for r in np.flatnonzero((many > 0) & (many < SEED_WORDS)).tolist():
                 for item in block.tiny.get(tuple(words[first[r]:first[r + 1]].tolist()), ()):
                     yield a + r, item, (1.0, 0, int(many[r]))
-        places, found = block.hits(grams)
-        row = np.searchsorted(first, places, side="right") - 1
-        inside = places + SEED_WORDS <= first[np.minimum(row + 1, len(first) - 1)]
-        places, found, row = places[inside], found[inside], row[inside]
+        places, found, row = _seeds(block, first, grams)
         cuts = np.flatnonzero(np.diff(row)) + 1
         for group in np.split(np.arange(len(row)), cuts) if len(row) else []:
             r = int(row[group[0]])
             doc = words[first[r]:first[r + 1]]
             for item, best in block.align(doc, places[group] - first[r], found[group]).items():
-                if best[0] >= THRESHOLD:
-                    yield a + r, item, best
+                yield a + r, item, best
+
+
+def seed_counts(docs: DataFrame, block: Items) -> np.ndarray:
+    """How often each of the block's 3-grams stands in ``docs``; one number for each comes to the driver."""
+    sent = docs.sparkSession.sparkContext.broadcast(block)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        drop_caches()
+        total = np.zeros(len(sent.value.distinct), np.int64)
+        for batch in batches:
+            for _, _, first, grams in _documents(batch, 0):
+                np.add.at(total, _seeds(sent.value, first, grams)[1], 1)
+        some = np.flatnonzero(total)
+        yield pa.RecordBatch.from_arrays([pa.array(some, pa.int64()), pa.array(total[some])], ["seed", "n"])
+
+    got = docs.select(col(docs, "text").alias("text")).mapInArrow(run, "seed bigint, n bigint").groupBy("seed").agg(
+        F.sum("n").alias("n")).toArrow()
+    out = np.zeros(len(block.distinct), np.int64)
+    out[got["seed"].to_numpy()] = got["n"].to_numpy()
+    sent.unpersist()
+    return out
 
 
 def blocks(docs: DataFrame, benchmark: DataFrame) -> Iterator:
-    """Broadcast benchmark blocks."""
+    """Broadcast benchmark blocks, with their rare seeds in ``docs`` marked."""
     spark = docs.sparkSession
     ship_package(spark)
     items = benchmark.select(col(benchmark, "item_id").alias("item_id"), col(benchmark, "text").alias("text"))
@@ -274,6 +326,8 @@ def blocks(docs: DataFrame, benchmark: DataFrame) -> Iterator:
         own = items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(parts)) == k).collect()
         block = Items([r.item_id for r in own], [r.text for r in own])
         if block.ids:
+            if len(block.grams):
+                block.mark_rare(seed_counts(docs, block))
             yield spark.sparkContext.broadcast(block)
 
 

@@ -72,8 +72,8 @@ def test_equals_alignment_of_every_pair(spark):
     for r in df.collect():
         w = split(r.text)
         for i, item in items.items():
-            if len(item) >= dc.MIN_WORDS and np.isin(w, item).sum() >= dc.THRESHOLD * len(item):
-                if dc.smith_waterman(w, item)[0] >= dc.THRESHOLD * dc.MATCH * len(item):
+            if dc.MATCH * np.isin(w, item).sum() >= dc.least_score(len(item)):
+                if dc.smith_waterman(w, item)[0] >= dc.least_score(len(item)):
                     want.add((r.doc_id, i))
     assert {(r.doc_id, r.item_id) for r in dc.op3_decontaminate(spark, sf).collect()} == want and want
 
@@ -105,25 +105,77 @@ def hits(spark, docs, items, rows):
     return {(r.doc_id, r.item_id): r for r in dc.contaminated(docs(rows), bench).collect()}
 
 
-def test_short_items_are_found_word_by_word(spark, docs):
-    items = ["What is the capital of France?", "red green blue", "Paris", "New York", "?!"]
+def test_short_items(spark, docs):
+    items = ["What is the capital of France?", "red green blue", "Paris", "New York", "?!", "four words are few"]
     rows = [(1, "lorem ipsum. WHAT is the capital, of France and so on"), (2, "what is the big capital of France"),
             (3, "what is the capital of"), (4, "red green blue"), (5, "red green red green blue"), (6, "Paris"),
-            (7, "in Paris and New York"), (8, "new york!"), (9, "is the capital of France? What"), (10, "?!")]
+            (7, "in Paris and New York"), (8, "new york!"), (9, "is the capital of Spain? What"), (10, "?!"),
+            (11, "what is the capital city of all France"), (12, "what is the name of France"), (13, "red green blues"),
+            (14, "four words are so few"), (15, "four words are many")]
     found = hits(spark, docs, items, rows)
-    assert found.keys() == {(1, 0), (4, 1), (5, 1), (6, 2), (8, 3)}
+    assert found.keys() == {(1, 0), (2, 0), (3, 0), (4, 1), (5, 1), (6, 2), (8, 3), (11, 0), (12, 0), (14, 5)}
     at = found[1, 0]
     assert (at.score, at.first_word, at.end_word) == (1, 2, 8)
     assert (found[8, 3].first_word, found[8, 3].end_word) == (0, 2)
     bench = spark.createDataFrame(list(enumerate(items)), "item_id long, text string")
-    assert sorted(r.doc_id for r in dc.clean(docs(rows), bench).collect()) == [2, 3, 7, 9, 10]
+    assert sorted(r.doc_id for r in dc.clean(docs(rows), bench).collect()) == [7, 9, 10, 13, 15]
 
 
 def test_scripts_without_spaces(spark, docs):
     items = ["世界上最高的山峰叫什么名字？", "日本の首都はどこですか。", "เมืองหลวงของประเทศไทยคืออะไร", "法国的首都"]
     rows = [(i, f"前文这里{t}后面还有" + "字" * 30) for i, t in enumerate(items)]
-    rows += [(10, "「世界上，最高的山峰——叫甚么名字」"), (11, "完全没有关系的一段文字，谈的是天气和农业。"), (12, "法国美丽的首都")]
-    assert hits(spark, docs, items, rows).keys() == {(0, 0), (1, 1), (2, 2), (3, 3), (10, 0)}
+    rows += [(10, "「世界上，最高的山峰——叫甚么名字」"), (11, "完全没有关系的一段文字，谈的是天气和农业。"), (12, "法国美丽的首都"),
+             (13, "美国的首都")]
+    assert hits(spark, docs, items, rows).keys() == {(0, 0), (1, 1), (2, 2), (3, 3), (10, 0), (12, 3), (13, 3)}
+
+
+def hashed(text):
+    raw = np.frombuffer(text.encode(), np.uint8)
+    return dc.word_hashes(raw, np.array([0, len(raw)]))[0]
+
+
+def grams(w):
+    return {tuple(w[k:k + 3].tolist()) for k in range(len(w) - 2)}
+
+
+@pytest.mark.parametrize("length", [3, 4, 5, 6, 7, 8, 12, 40])
+def test_copies_with_many_edits_equal_all_pairs(spark, docs, length):
+    """Copies with words put in, left out and changed, against the alignment of every pair that shares a seed."""
+    rng = random.Random(length)
+    items = [words(rng, length) for _ in range(8)]
+    rows = []
+    for k in range(240):
+        item, rate = rng.choice(items), rng.choice([0.05, 0.2, 0.4])
+        copy = []
+        for w in item:
+            kind = rng.random() / rate
+            copy += [] if kind < 0.3 else [rng.choice(["changed", "other"])] if kind < 0.6 else [w] + ["put", "in"][:rng.randint(1, 2)] \
+                if kind < 1 else [w]
+        rows.append((k, " ".join(words(rng, rng.randint(0, 5)) + copy + words(rng, rng.randint(0, 5)))))
+    # Two words put in after every second one, the last words intact: a copy of nearly twice the item's length.
+    stretched = [x for i, w in enumerate(items[0]) for x in ([w, "put", "in"] if i % 2 and i < length - 12 else [w])]
+    rows.append((1000, " ".join(stretched)))
+    want = {}
+    for d, t in rows:
+        for i, item in enumerate(items):
+            w, target = hashed(t), hashed(" ".join(item))
+            score = dc.smith_waterman(w, target)
+            if score[0] >= dc.least_score(length) and grams(w[score[1]:score[2]]) & grams(target):
+                want[d, i] = score[0] / (2 * length)
+    got = hits(spark, docs, [" ".join(w) for w in items], rows)
+    assert got.keys() == want.keys() and len(want) > 20
+    assert (1000, 0) in got
+    assert all(abs(got[k].score - want[k]) < 1e-9 for k in want)
+
+
+def test_rare_seeds_are_the_rarer_half():
+    block = dc.Items([1, 2], ["a b c d e f g", "c d e x y z"])
+    counts = np.arange(len(block.distinct))[::-1].copy()
+    block.mark_rare(counts)
+    for item in (0, 1):
+        own = block.owner == item
+        n = counts[np.searchsorted(block.distinct, block.grams[own])]
+        assert sorted(n[block.rare[own]]) == sorted(n)[:(len(n) + 1) // 2]
 
 
 def test_words_of_mixed_text():
