@@ -20,7 +20,7 @@ verdict is ``DEFAULT``.
 
 Defined results: a null URL, or one without ``://``, has an empty host and path; no
 rule with a host fits it, a rule with an empty host fits every URL that its path
-fits. Rule columns that are null count as empty. Repeated rows give repeated
+fits. A null host or path of a rule counts as empty; a rule without a verdict is no rule. Repeated rows give repeated
 results; empty tables give an empty result, no rules the default verdict.
 """
 
@@ -106,7 +106,7 @@ def judge(pages: DataFrame, rules: DataFrame, default: str = DEFAULT) -> DataFra
     dealt = materialise(urls.repartitionByRange("key", "page_id").withColumn("part", F.spark_partition_id()), "urls")
     bounds = dealt.groupBy("part").agg(F.min("key").alias("low"), F.max("key").alias("high"))  # one row per partition
     low = F.lower(F.coalesce(col(rules, "host"), F.lit("")))
-    given = rules.select(low.alias("host"), F.coalesce(col(rules, "path"), F.lit("")).alias("path"),
+    given = rules.where(col(rules, "verdict").isNotNull()).select(low.alias("host"), F.coalesce(col(rules, "path"), F.lit("")).alias("path"),
                          col(rules, "verdict").alias("verdict")).distinct().withColumn("key", host_key(F.col("host")))
     table = bounds.orderBy("low").collect()
     parts = spark.sparkContext.broadcast([(r.part, r.low, r.high) for r in table])

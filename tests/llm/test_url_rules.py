@@ -52,3 +52,11 @@ def test_empty_tables_nulls_and_repeats(spark):
     assert got == sorted(map(repr, [(1, "org", "/", "org/", "block")] * 2 + [(None, "", "", "", "block")]))
     assert ur.judge(pages.where("false"), rules).count() == 0
     assert {r.verdict for r in ur.judge(pages, rules.where("false")).collect()} == {"allow"}
+
+
+def test_a_rule_without_a_verdict_is_no_rule(spark):
+    rules = spark.createDataFrame([("org", "/", None), ("org", "/a", "block"), (None, None, None)],
+                                  "host string, path string, verdict string")
+    pages = spark.createDataFrame([(1, "http://org/"), (2, "http://org/a"), (3, None)], "page_id long, url string")
+    got = sorted((r.page_id, r.rule, r.verdict) for r in ur.judge(pages, rules).collect())
+    assert got == [(1, None, "allow"), (2, "org/a", "block"), (3, None, "allow")]
