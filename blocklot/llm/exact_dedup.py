@@ -54,9 +54,10 @@ def _groups(docs: DataFrame, digest: Callable[[Column], Column]) -> DataFrame:
 def verdicts(docs: DataFrame, digest: Callable[[Column], Column] = sha256_digest) -> DataFrame:
     """(doc_id, digest, keep_id, group_size, kept), one row per document, dropped ones too."""
     found = materialise(_groups(docs, digest).drop("text"), "dedup-groups")
-    texts = found.groupBy("digest").agg(
+    # Written, so that both sides of the join are plain shuffles, and Spark can split the rows of a hot digest.
+    texts = materialise(found.groupBy("digest").agg(
         F.count(F.lit(1)).alias("texts"), F.max("keep_id").alias("keep_id"),
-        F.max("group_size").alias("group_size"))
+        F.max("group_size").alias("group_size")), "dedup-texts")
     ids = _rows(docs, digest).select("doc_id", "digest").distinct()
     shared = texts.where("texts > 1")
     if shared.isEmpty():
@@ -64,7 +65,7 @@ def verdicts(docs: DataFrame, digest: Callable[[Column], Column] = sha256_digest
     else:
         clear = ids.join(texts.where("texts = 1").drop("texts"), "digest")
         clash = _rows(docs, digest).join(shared.select("digest"), "digest", "left_semi").distinct()
-        groups = _groups(docs, digest).join(shared.select("digest"), "digest", "left_semi")
+        groups = materialise(_groups(docs, digest).join(shared.select("digest"), "digest", "left_semi"), "dedup-shared")
         out = clear.unionByName(clash.join(groups, ["digest", "text"]).drop("text"))
     return out.select("doc_id", "digest", "keep_id", "group_size",
                       F.col("doc_id").eqNullSafe(F.col("keep_id")).alias("kept"))

@@ -49,6 +49,28 @@ def test_hot_group_is_spread_over_the_salts(spark, docs):
     assert out[5].keep_id == 1999 and out[5].group_size == 2000 and sum(r.kept for r in out.values()) == 51
 
 
+def test_the_rows_of_a_hot_digest_are_split(spark, docs):
+    few = {"spark.sql.shuffle.partitions": "16", "spark.sql.adaptive.coalescePartitions.enabled": "false", "spark.sql.autoBroadcastJoinThreshold": "-1",
+           "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.advisoryPartitionSizeInBytes": "16k",
+           "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "16k",
+           "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.2"}
+    before = {k: spark.conf.get(k, None) for k in few}
+    try:
+        for k, v in few.items():
+            spark.conf.set(k, v)
+        rows = spark.range(0, 60_000, 1, 12).selectExpr("id as doc_id", "if(id % 3 = 0, 'hot', concat('text ', id)) as text")
+        out = exact_dedup.verdicts(rows)
+        assert out.where("kept").count() == 40_001
+        out.collect()
+        plan = out._jdf.queryExecution().executedPlan().toString()
+        assert "skew=true" in plan
+        sizes = [len(p) for p in exact_dedup.verdicts(rows).select("doc_id").rdd.glom().collect()]
+        assert max(sizes) < 15_000 and sum(sizes) == 60_000
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
 def test_empty_table(docs):
     assert exact_dedup.verdicts(docs([])).count() == 0
     assert exact_dedup.keep_documents(docs([])).count() == 0
