@@ -16,9 +16,10 @@ the logarithm of the number of windows.
 ``lang_pred`` is the language with the largest proportion, ``score`` that
 proportion; ``mixture`` lists the chosen set.
 
-Training reads text and non-null lang of the documents that ``learn`` marks, a
-hash sample of about ``TRAIN_ROWS`` of them where there are more (the documented
-bound of the fit). Every document is scored.
+Training reads text and non-null lang of the documents that ``learn`` marks: of each
+language the distinct texts, a hash sample of about ``TRAIN_ROWS`` of them where there are
+more (the documented bound of the fit). So a rare language is learnt from all its texts,
+and copies of one text count once. Every document is scored.
 
 Defined results: ``und`` with score 0 and an empty mixture for a null text, a text
 without letters, or if nothing could be learned. Equal likelihoods: the language
@@ -43,7 +44,7 @@ WINDOW = 64
 STEPS = 15
 PENALTY = 2.0
 SMOOTHING = 0.1
-TRAIN_ROWS = 20_000
+TRAIN_ROWS = 8_000
 UNKNOWN = "und"
 #: Bytes of text whose windows are held at a time.
 ROWS_BYTES = 2 << 20
@@ -142,10 +143,13 @@ def train(docs: DataFrame, learn: Column, rows: int = TRAIN_ROWS) -> Model:
     """Learns from text and lang of the rows of ``docs`` that ``learn`` marks."""
     ship_package(docs.sparkSession)
     known = docs.where(learn & col(docs, "lang").isNotNull() & col(docs, "text").isNotNull())
-    n = known.count()
-    if n > rows:
-        share = int((1 << 62) * rows / n)
-        known = known.where(F.shiftrightunsigned(F.xxhash64(col(docs, "text")), 2) < share)
+    known = known.select(col(docs, "text").alias("text"), col(docs, "lang").alias("lang"))
+    # One row per language: the texts it has, as near as the sample needs it.
+    texts = known.groupBy("lang").agg(F.approx_count_distinct(F.xxhash64("text"), 0.02).alias("n"))
+    share = texts.select("lang", F.least(F.lit(1.0), F.lit(float(rows)) / F.col("n")).alias("share"))
+    place = F.shiftrightunsigned(F.xxhash64("text"), 11).cast("double") / float(1 << 53)
+    # A broadcast as wide as the model: one row for each language.
+    known = known.join(F.broadcast(share), "lang").where(place < F.col("share")).select("text", "lang").distinct()
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         drop_caches()
@@ -167,7 +171,7 @@ def train(docs: DataFrame, learn: Column, rows: int = TRAIN_ROWS) -> Model:
                 [pa.array([lang] * len(some), pa.string()), pa.array(some, pa.int64()), pa.array(total[some])],
                 ["lang", "bucket", "n"])
 
-    counted = known.select(col(docs, "text").alias("text"), col(docs, "lang").alias("lang")).mapInArrow(
+    counted = known.mapInArrow(
         count, "lang string, bucket bigint, n bigint").groupBy("lang", "bucket").agg(F.sum("n").alias("n")).toArrow()
     langs = sorted(set(counted["lang"].to_pylist()))
     counts = np.zeros((BUCKETS, len(langs)))

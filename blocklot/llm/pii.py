@@ -25,7 +25,7 @@ stands there too. Entities are replaced by their kind.
 writes them (no texts). Only entities of ``SUPPORT`` texts are paired with terms, per
 distinct text, so a group of copies costs one row. Counts are partial aggregates.
 The terms of the corpus are joined to those that can be disclosing, or are, by a
-broadcast where those are at most ``BROADCAST_TERMS``, by a shuffle where they are
+broadcast where those take at most ``BROADCAST_BYTES``, by a shuffle where they take
 more. The documents then meet the entities and disclosing terms of their text.
 
 Defined results: a null text is empty and has no spans. Repeated rows give repeated
@@ -42,7 +42,8 @@ from .common import col, free_name, materialise, read_table
 
 SUPPORT = 2
 GENERALISE, REMOVE = 0.6, 0.9
-BROADCAST_TERMS = 200_000
+#: Most that the terms of a broadcast may take, with ``ROW_BYTES`` for each.
+BROADCAST_BYTES, ROW_BYTES = 16 << 20, 64
 KINDS = ("email", "ip", "card", "phone")
 TERM = r"\p{L}{3,}+"
 #: The stated patterns. Possessive: the classes that meet don't overlap, so backtracking finds nothing more.
@@ -59,20 +60,47 @@ HINTS = {"email": "@", "ip": ".", "card": None, "phone": "+"}
 SPAN = "struct<kind:string,start:int,end:int,value:string>"
 
 
+def bound(value: Column, use) -> Column:
+    """``use(value)`` with the value computed once, however often ``use`` refers to it, in lambdas too."""
+    return F.element_at(F.transform(F.array(value), use), 1)
+
+
+def prefixes(values: Column, join, zero: Column) -> Column:
+    """Of each of ``values``, what ``join`` makes of those before it (``zero`` where there are none).
+
+    In blocks of about the square root of their number, as arrays grow by copying: n values cost n ** 1.5 steps.
+    """
+    start = F.struct(zero.alias("at"), F.array_remove(F.array(zero), zero).alias("out"))
+
+    def walk(items: Column) -> Column:
+        return F.aggregate(items, start, lambda acc, x: F.struct(
+            join(acc["at"], x).alias("at"), F.array_append(acc["out"], acc["at"]).alias("out")))
+
+    def blocks(items: Column) -> Column:
+        size = F.greatest(F.ceil(F.sqrt(F.size(items))).cast("int"), F.lit(1))
+        return F.transform(F.sequence(F.lit(0), F.floor((F.size(items) - 1) / size).cast("int")),
+                           lambda k: walk(F.slice(items, k * size + 1, size)))
+
+    def flat(within: Column) -> Column:
+        bases = walk(F.transform(within, lambda w: w["at"]))["out"]
+        return F.flatten(F.zip_with(within, bases, lambda w, base: F.transform(w["out"], lambda x: join(base, x))))
+
+    return bound(bound(values, blocks), flat)
+
+
 def spans_of(text: Column, pattern: str) -> Column:
     """(start, value) of the matches of ``pattern``, from the lengths of the pieces between them."""
-    found = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
-    pieces = F.split(text, pattern, -1)
-    lengths = F.zip_with(F.slice(pieces, F.lit(1), F.size(found)), found, lambda p, m: F.struct(
-        F.length(p).alias("gap"), m.alias("value")))
     none = F.array().cast("array<struct<start:int,value:string>>")
-    walked = F.aggregate(
-        lengths, F.struct(F.lit(0).alias("at"), none.alias("out")),
-        lambda acc, x: F.struct(
-            (acc["at"] + x.gap + F.length(x.value)).alias("at"),
-            F.array_append(acc["out"], F.struct((acc["at"] + x.gap).alias("start"), x.value.alias("value"))).alias("out")),
-        lambda acc: acc["out"])
-    return F.when(F.size(found) > 0, walked).otherwise(none)
+
+    def located(found: Column) -> Column:
+        parts = F.zip_with(F.slice(F.split(text, pattern, -1), F.lit(1), F.size(found)), found, lambda p, m: F.struct(
+            F.length(p).alias("gap"), F.length(m).alias("size"), m.alias("value")))
+        return bound(parts, lambda lengths: F.zip_with(
+            lengths, prefixes(F.transform(lengths, lambda x: x.gap + x["size"]), lambda a, b: a + b, F.lit(0)),
+            lambda x, at: F.struct((at + x.gap).alias("start"), x.value.alias("value"))))
+
+    return bound(F.regexp_extract_all(text, F.lit(pattern), F.lit(0)),
+                 lambda found: F.when(F.size(found) > 0, located(found)).otherwise(none))
 
 
 def _digits(value: Column) -> Column:
@@ -119,17 +147,16 @@ def entities(text: Column, kind: str) -> Column:
     return checked if hint is None else F.when(F.contains(text, F.lit(hint)), checked).otherwise(none)
 
 
-def _masked(text: Column, base: Column) -> Column:
-    """``text`` with blanks in the place of its entities, all other characters where they were."""
-    done = F.aggregate(
-        F.array_sort(F.transform(base, lambda b: F.struct(b.start.alias("start"), b.end.alias("end")))),
-        F.struct(F.lit(0).alias("at"), F.array().cast("array<string>").alias("out")),
-        lambda acc, s: F.when(s.end <= acc["at"], acc).otherwise(F.struct(
-            s.end.alias("at"), F.concat(acc["out"], F.array(
-                text.substr(acc["at"] + 1, F.greatest(s.start - acc["at"], F.lit(0))),
-                F.repeat(F.lit(" "), s.end - F.greatest(s.start, acc["at"])))).alias("out"))))
-    return F.when(F.size(base) > 0, F.concat(
-        F.array_join(done["out"], ""), text.substr(done["at"] + 1, F.length(text)))).otherwise(text)
+def _masked(text: Column) -> Column:
+    """``text`` with blanks in the place of its e-mail addresses, all other characters where they were.
+
+    Of the entities only these have letters.
+    """
+    pattern = PATTERNS["email"]
+    found = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
+    pieces = F.split(text, pattern, -1)
+    cut = F.zip_with(pieces, found, lambda p, m: F.concat(p, F.coalesce(F.repeat(F.lit(" "), F.length(m)), F.lit(""))))
+    return F.when(F.contains(text, F.lit(HINTS["email"])), F.array_join(cut, "")).otherwise(text)
 
 
 def _terms(text: Column) -> Column:
@@ -156,16 +183,22 @@ def scan(docs: DataFrame) -> DataFrame:
     found = rows.select("doc_id", "text", _digest(F.col("text")).alias("digest"),
                         F.concat(*[entities(F.col("text"), k) for k in KINDS]).alias("base"))
     some = F.size("base") > 0
-    both = found.select("doc_id", "digest", "base", F.when(some, _terms(_masked(F.col("text"), F.col("base")))).alias(
+    both = found.select("doc_id", "digest", "base", F.when(some, _terms(_masked(F.col("text")))).alias(
         "terms"), F.when(some, _terms(F.col("text"))).alias("runs"))
     return materialise(both.select(
         "doc_id", "digest", "base", "terms", F.array_except("runs", "terms").alias("inner"),
         F.array_except("terms", "runs").alias("cut")), "pii-scan")
 
 
+def _is_small(wanted: DataFrame) -> bool:
+    """Whether the terms of ``wanted`` may be broadcast, from their measured size."""
+    n = wanted.agg(F.sum(F.octet_length("term") + ROW_BYTES)).first()[0]
+    return (n or 0) <= BROADCAST_BYTES
+
+
 def _meet(every: DataFrame, wanted: DataFrame) -> DataFrame:
     """Rows of ``every`` whose term is in ``wanted`` (one row a term), with its columns."""
-    return every.join(F.broadcast(wanted) if wanted.count() <= BROADCAST_TERMS else wanted, "term")
+    return every.join(F.broadcast(wanted) if _is_small(wanted) else wanted, "term")
 
 
 def _corpus_counts(docs: DataFrame, scanned: DataFrame, wanted: DataFrame) -> DataFrame:
@@ -173,7 +206,7 @@ def _corpus_counts(docs: DataFrame, scanned: DataFrame, wanted: DataFrame) -> Da
     every = docs.select(F.explode(_terms(col(docs, "text"))).alias("term")).select("term", F.lit(1).alias("n"))
     for name, n in (("inner", -1), ("cut", 1)):
         every = every.unionByName(scanned.select(F.explode(name).alias("term")).select("term", F.lit(n).alias("n")))
-    if wanted.count() <= BROADCAST_TERMS:
+    if _is_small(wanted):
         every = every.join(F.broadcast(wanted), "term", "left_semi")
         return every.groupBy("term").agg(F.sum("n").alias("n_t"))
     return every.groupBy("term").agg(F.sum("n").alias("n_t")).join(wanted, "term", "left_semi")
@@ -193,7 +226,8 @@ def disclosures(docs: DataFrame, scanned: DataFrame) -> DataFrame:
         "n", "terms", F.explode("names").alias("entity")).select("n", "entity", F.explode("terms").alias("term"))
     joint = materialise(pairs.groupBy("entity", "term").agg(
         F.sum("n").alias("n_te"), F.count(F.lit(1)).alias("texts")).where(F.col("texts") >= SUPPORT), "pii-joint")
-    terms = materialise(_corpus_counts(docs, scanned, joint.select("term").distinct()), "pii-terms")
+    terms = materialise(_corpus_counts(docs, scanned, materialise(
+        joint.select("term").distinct(), "pii-wanted")), "pii-terms")
     known = joint.join(terms, "term").join(owners, "entity")
     share = F.log(F.lit(float(n)) * F.col("n_te") / (F.col("n_t") * F.col("n_e"))) / F.log(F.lit(float(n)) / F.col("n_e"))
     return known.select("entity", "term", share.alias("disclosure")).where(F.col("disclosure") >= GENERALISE)
@@ -215,16 +249,13 @@ def _term_spans() -> Column:
     """(start, end, disclosure) of every occurrence of the terms of ``telling``: ``runs`` are found between ``pieces``."""
     parts = F.zip_with(F.slice("pieces", F.lit(1), F.size("runs")), "runs", lambda p, m: F.struct(
         F.length(p).alias("gap"), F.length(m).alias("size"), F.try_element_at("telling", F.lower(m)).alias("disclosure")))
+    spans = bound(parts, lambda lengths: F.zip_with(
+        lengths, prefixes(F.transform(lengths, lambda x: x.gap + x["size"]), lambda a, b: a + b, F.lit(0)),
+        lambda x, at: F.struct((at + x.gap).alias("start"), (at + x.gap + x["size"]).alias("end"),
+                               x.disclosure.alias("disclosure"))))
     none = F.array().cast("array<struct<start:int,end:int,disclosure:double>>")
-    walked = F.aggregate(
-        parts, F.struct(F.lit(0).alias("at"), none.alias("out")),
-        lambda acc, x: F.struct(
-            (acc["at"] + x.gap + x.size).alias("at"),
-            F.when(x.disclosure.isNull(), acc["out"]).otherwise(F.array_append(acc["out"], F.struct(
-                (acc["at"] + x.gap).alias("start"), (acc["at"] + x.gap + x.size).alias("end"),
-                x.disclosure.alias("disclosure")))).alias("out")),
-        lambda acc: acc["out"])
-    return F.when(F.col("telling").isNotNull(), walked).otherwise(none)
+    return F.when(F.col("telling").isNotNull() & (F.size("runs") > 0), F.filter(
+        spans, lambda x: x.disclosure.isNotNull())).otherwise(none)
 
 
 def find(docs: DataFrame) -> DataFrame:
@@ -238,27 +269,51 @@ def find(docs: DataFrame) -> DataFrame:
         "base", F.coalesce("base", F.array().cast(f"array<{SPAN}>")))
     # Step by step, each text is masked, searched and cut once, and only where it has such terms.
     masked = met.select("doc_id", "digest", "base", "telling", F.when(
-        F.col("telling").isNotNull(), _masked(F.col("text"), F.col("base"))).alias("text"))
+        F.col("telling").isNotNull(), _masked(F.col("text"))).alias("text"))
     cut = masked.select("doc_id", "digest", "base", "telling", F.split("text", TERM, -1).alias("pieces"),
                         F.regexp_extract_all("text", F.lit(TERM), F.lit(0)).alias("runs"))
     return cut.select("doc_id", "digest", "base", _term_spans().alias("found"))
 
 
+#: Code points of a block of text, so that a span is cut from its block and not from the start of the text.
+CUT = 2048
+
+
+def _between(blocks: Column, start: Column, end: Column) -> Column:
+    """Code points [start, end) of the text that ``blocks`` of ``CUT`` code points make."""
+    first, last = F.floor(start / CUT).cast("int"), F.floor(end / CUT).cast("int")
+
+    def block(k: Column) -> Column:
+        return F.coalesce(F.get(blocks, k), F.lit(""))
+
+    inner = F.array_join(F.slice(blocks, first + 2, F.greatest(last - first - 1, F.lit(0))), "")
+    return F.when(end <= start, F.lit("")).when(
+        first == last, block(first).substr(start - first * CUT + 1, end - start)).otherwise(F.concat(
+            block(first).substr(start - first * CUT + 1, F.lit(CUT)), inner, block(last).substr(F.lit(1), end - last * CUT)))
+
+
 def rewrite(text: Column, base: Column, found: Column) -> Column:
     """``text`` with its spans replaced; of spans that overlap, the union by the label of the first."""
-    labelled = F.array_sort(F.concat(
+    spans = F.array_sort(F.concat(
         F.transform(base, lambda b: F.struct(
             b.start.alias("start"), b.end.alias("end"), F.concat(F.lit("<"), b.kind, F.lit(">")).alias("label"))),
         F.transform(found, lambda t: F.struct(
-            t.start.alias("start"), t.end.alias("end"), F.when(t.disclosure >= REMOVE, F.lit("<removed>")).otherwise(
-                F.concat(text.substr(t.start + 1, F.lit(1)), F.lit("*"))).alias("label")))))
-    done = F.aggregate(
-        labelled, F.struct(F.lit(0).alias("at"), F.array().cast("array<string>").alias("out")),
-        lambda acc, s: F.when(s.start < acc["at"], F.struct(
-            F.greatest(acc["at"], s.end).alias("at"), acc["out"].alias("out"))).otherwise(F.struct(
-                s.end.alias("at"), F.concat(acc["out"], F.array(
-                    text.substr(acc["at"] + 1, s.start - acc["at"]), s.label)).alias("out"))))
-    return F.concat(F.array_join(done["out"], ""), text.substr(done["at"] + 1, F.length(text)))
+            t.start.alias("start"), t.end.alias("end"),
+            F.when(t.disclosure >= REMOVE, F.lit("<removed>")).otherwise(F.lit("*")).alias("label")))))
+
+    def replaced(known: Column) -> Column:
+        blocks, own = known["blocks"], known["spans"]
+        # Where the text that is done ends before each span.
+        done = prefixes(F.transform(own, lambda s: s["end"]), lambda a, b: F.greatest(a, b), F.lit(0))
+        pieces = F.zip_with(own, done, lambda s, at: F.when(s.start >= at, F.concat(
+            _between(blocks, at, s.start),
+            F.when(s.label == "*", F.concat(_between(blocks, s.start, s.start + 1), s.label)).otherwise(s.label))))
+        rest = _between(blocks, F.array_max(F.transform(own, lambda s: s["end"])), known["size"])
+        return F.concat(F.array_join(F.filter(pieces, lambda p: p.isNotNull()), ""), rest)
+
+    known = F.struct(F.regexp_extract_all(text, F.lit(f"(?s).{{1,{CUT}}}"), F.lit(0)).alias("blocks"), spans.alias("spans"),
+                     F.length(text).alias("size"))
+    return F.when(F.size(base) + F.size(found) > 0, bound(known, replaced)).otherwise(text)
 
 
 def sanitise(docs: DataFrame) -> DataFrame:

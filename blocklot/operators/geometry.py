@@ -36,7 +36,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .joins import DEFAULT_BROADCAST_BYTES
+from .predicates import orientation
 from .skew import salted_join
+from ..session import written
 
 EDGE_FIELDS = "struct<x1:double,y1:double,x2:double,y2:double>"
 
@@ -103,33 +105,24 @@ def centroids(parts: DataFrame) -> DataFrame:
                        F.when(F.col("s2") != 0, F.col("sy") / (F.col("s2") * 3)).alias("cy"))
 
 
-def edges(parts: DataFrame) -> DataFrame:
-    """One row per edge: key, part, ring, x1, y1, x2, y2."""
-    rings = parts.select("key", "part", F.posexplode("rings").alias("ring", "r"))
-    return rings.select("key", "part", "ring", F.inline(ring_edges(F.col("r"))))
-
-
-def first_vertices(parts: DataFrame) -> DataFrame:
-    """The first vertex of each part's outer ring, as a point (key, px, py)."""
-    return parts.select("key", F.col("rings")[0][0][0].alias("px"), F.col("rings")[0][0][1].alias("py"))
-
-
 # ---- exact predicates ------------------------------------------------------
 
-def _cross(e, px: Column, py: Column) -> Column:
-    """(x2-x1)*(py-y1) - (px-x1)*(y2-y1): side of the point to the edge line."""
-    return (e["x2"] - e["x1"]) * (py - e["y1"]) - (px - e["x1"]) * (e["y2"] - e["y1"])
+def _side(e, px: Column, py: Column) -> Column:
+    """The side of the edge's line that the point is on (1 left, -1 right, 0 on it); exact."""
+    return orientation(e["x1"], e["y1"], e["x2"], e["y2"], px, py)
 
 
 def _crosses_right(e, px: Column, py: Column) -> Column:
     straddles = (e["y1"] > py) != (e["y2"] > py)
-    return straddles & ((_cross(e, px, py) > 0) == (e["y2"] > e["y1"]))
+    # A point beyond the edge's box is left or right of all of it; only the others need the line.
+    return straddles & (px <= F.greatest(e["x1"], e["x2"])) & (
+        (px < F.least(e["x1"], e["x2"])) | ((_side(e, px, py) > 0) == (e["y2"] > e["y1"])))
 
 
 def _on_edge(e, px: Column, py: Column) -> Column:
-    return ((_cross(e, px, py) == 0)
-            & (px >= F.least(e["x1"], e["x2"])) & (px <= F.greatest(e["x1"], e["x2"]))
-            & (py >= F.least(e["y1"], e["y2"])) & (py <= F.greatest(e["y1"], e["y2"])))
+    return ((px >= F.least(e["x1"], e["x2"])) & (px <= F.greatest(e["x1"], e["x2"]))
+            & (py >= F.least(e["y1"], e["y2"])) & (py <= F.greatest(e["y1"], e["y2"]))
+            & (_side(e, px, py) == 0))
 
 
 def point_in_edges(edge_list: Column, px: Column, py: Column, boundary: bool) -> Column:
@@ -142,29 +135,19 @@ def point_in_edges(edge_list: Column, px: Column, py: Column, boundary: bool) ->
     return (odd | on_edge) if boundary else (odd & ~on_edge)
 
 
-def _orient(ax, ay, bx, by, cx, cy) -> Column:
-    return F.signum((bx - ax) * (cy - ay) - (by - ay) * (cx - ax))
-
-
-def _between(p, a, b) -> Column:
-    return (p >= F.least(a, b)) & (p <= F.greatest(a, b))
-
-
 def segments_touch(a: dict, b: dict) -> Column:
-    """Closed segments a and b share at least one point (exact orientation test)."""
-    o1 = _orient(a["x1"], a["y1"], a["x2"], a["y2"], b["x1"], b["y1"])
-    o2 = _orient(a["x1"], a["y1"], a["x2"], a["y2"], b["x2"], b["y2"])
-    o3 = _orient(b["x1"], b["y1"], b["x2"], b["y2"], a["x1"], a["y1"])
-    o4 = _orient(b["x1"], b["y1"], b["x2"], b["y2"], a["x2"], a["y2"])
-    proper = (o1 * o2 < 0) & (o3 * o4 < 0)
-
-    def on_seg(s, px, py):
-        return _between(px, s["x1"], s["x2"]) & _between(py, s["y1"], s["y2"])
-    return (proper
-            | ((o1 == 0) & on_seg(a, b["x1"], b["y1"]))
-            | ((o2 == 0) & on_seg(a, b["x2"], b["y2"]))
-            | ((o3 == 0) & on_seg(b, a["x1"], a["y1"]))
-            | ((o4 == 0) & on_seg(b, a["x2"], a["y2"])))
+    """Closed segments a and b share at least one point; exact."""
+    o1 = orientation(a["x1"], a["y1"], a["x2"], a["y2"], b["x1"], b["y1"])
+    o2 = orientation(a["x1"], a["y1"], a["x2"], a["y2"], b["x2"], b["y2"])
+    o3 = orientation(b["x1"], b["y1"], b["x2"], b["y2"], a["x1"], a["y1"])
+    o4 = orientation(b["x1"], b["y1"], b["x2"], b["y2"], a["x2"], a["y2"])
+
+    def apart(c: str) -> Column:
+        return (F.greatest(a[f"{c}1"], a[f"{c}2"]) < F.least(b[f"{c}1"], b[f"{c}2"])) | (
+            F.greatest(b[f"{c}1"], b[f"{c}2"]) < F.least(a[f"{c}1"], a[f"{c}2"]))
+    # Segments whose boxes meet share a point when neither lies on one side of the other's line: of
+    # segments on one line the boxes alone decide.
+    return ~apart("x") & ~apart("y") & (o1 * o2 <= 0) & (o3 * o4 <= 0)
 
 
 # ---- grid join -------------------------------------------------------------
@@ -195,9 +178,10 @@ def _cells_between(lo: Column, hi: Column, size: Column) -> Column:
 
 
 def _prepared(parts: DataFrame) -> DataFrame:
-    """key, part, edges, b (box), level, h (strip height) of each polygon part."""
+    """key, part, edges, b (box), level, h (strip height), copies, edge_levels (bits), fx, fy of each polygon part."""
     shaped = parts.select("key", "part", F.flatten(F.transform("rings", ring_edges)).alias("edges"),
-                          outer_box(F.col("rings")).alias("b"))
+                          outer_box(F.col("rings")).alias("b"), F.col("rings")[0][0][0].alias("fx"),
+                          F.col("rings")[0][0][1].alias("fy"))
     n, box = F.size("edges"), F.col("b")
     low = F.transform("edges", lambda e: F.least(e["y1"], e["y2"]))
     high = F.transform("edges", lambda e: F.greatest(e["y1"], e["y2"]))
@@ -211,10 +195,67 @@ def _prepared(parts: DataFrame) -> DataFrame:
     heights = F.transform(F.sequence(F.lit(0), F.ceil(F.log2(n + 1)).cast("int")), lambda j: _size(top - j))
     fitting = F.filter(F.transform(heights, lambda h: F.struct(h.alias("h"), copies(h).alias("copies"))),
                        lambda c: c["copies"] <= 4 * n + 8)
-    chosen = F.element_at(fitting, -1)
-    return shaped.where(n > 0).select(
-        "key", "part", "edges", "b", chosen["h"].alias("h"), chosen["copies"].alias("copies"),
-        _level(F.greatest(box["maxx"] - box["minx"], box["maxy"] - box["miny"])).alias("level"))
+    found = F.aggregate("edges", F.lit(0).cast("bigint"), lambda acc, e: acc.bitwiseOR(_bit(_edge_level(e))))
+    sized = shaped.select("key", "part", "edges", "b", "fx", "fy", F.when(n > 0, F.element_at(fitting, -1)).alias("strip"),
+                          F.when(n > 0, _level(F.greatest(box["maxx"] - box["minx"], box["maxy"] - box["miny"]))).alias("level"),
+                          found.alias("edge_levels"))
+    return sized.select("key", "part", "edges", "b", "fx", "fy", "level", "edge_levels", F.col("strip.h").alias("h"),
+                        F.col("strip.copies").alias("copies"))
+
+
+def _bit(level: Column) -> Column:
+    return F.call_function("shiftleft", F.lit(1).cast("bigint"), ((level - MIN_LEVEL) / LEVEL_STEP).cast("int"))
+
+
+def _levels_of(bits: int) -> list[int]:
+    return [level for k, level in enumerate(range(MIN_LEVEL, MAX_LEVEL + 1, LEVEL_STEP)) if bits >> k & 1]
+
+
+class Layer:
+    """A polygon layer prepared for joins: one written row per part, and what is known of all of them.
+
+    The source is read once; every join reads the written copy, which also cuts the lineage.
+    """
+
+    def __init__(self, rows: DataFrame, index_bytes: int, levels: int, edge_levels: int):
+        self.rows, self.index_bytes, self.levels, self.edge_levels = rows, index_bytes, levels, edge_levels
+
+    @staticmethod
+    def of(parts: DataFrame | Layer) -> Layer:
+        """``parts`` (key, part, rings) prepared. Raises when two rows share key and part: their edges would be one polygon."""
+        if isinstance(parts, Layer):
+            return parts
+        rows = written(_prepared(parts), "polygons")
+        size, b = _size(F.col("level")), F.col("b")
+        cells = ((_cell(b["maxx"], size) - _cell(b["minx"], size) + 1)
+                 * (_cell(b["maxy"], size) - _cell(b["miny"], size) + 1))
+        own = rows.select("key", "part", cells.alias("cells"), "copies", _bit(F.col("level")).alias("level"), "edge_levels")
+        each = own.groupBy("key", "part").agg(
+            F.count(F.lit(1)).alias("n"), F.sum("cells").alias("cells"), F.sum("copies").alias("copies"),
+            F.bit_or("level").alias("level"), F.bit_or("edge_levels").alias("edge_levels"))
+        f = each.agg(F.max_by(F.struct("key", "part", "n"), "n").alias("most"), F.sum("cells").alias("cells"),
+                     F.sum("copies").alias("copies"), F.bit_or("level").alias("level"),
+                     F.bit_or("edge_levels").alias("edge_levels")).first()
+        if f["most"] is not None and f["most"]["n"] > 1:
+            raise ValueError(f"layer has several rows for key {f['most']['key']}, part {f['most']['part']}")
+        return Layer(rows, int(f["cells"] or 0) * CELL_ENTRY_BYTES + int(f["copies"] or 0) * EDGE_BYTES,
+                     f["level"] or 0, f["edge_levels"] or 0)
+
+    def keyed(self, key: Column) -> Layer:
+        """The layer with another key for each part."""
+        return Layer(self.rows.withColumn("key", key), self.index_bytes, self.levels, self.edge_levels)
+
+    def union(self, other: Layer) -> Layer:
+        return Layer(self.rows.unionByName(other.rows), self.index_bytes + other.index_bytes,
+                     self.levels | other.levels, self.edge_levels | other.edge_levels)
+
+    def shaped(self) -> DataFrame:
+        """The parts that have edges."""
+        return self.rows.where(F.size("edges") > 0)
+
+    def first_vertices(self) -> DataFrame:
+        """The first vertex of each part's outer ring, as a point (key, px, py)."""
+        return self.rows.select("key", F.col("fx").alias("px"), F.col("fy").alias("py"))
 
 
 def polygon_cells(prepared: DataFrame) -> DataFrame:
@@ -234,38 +275,20 @@ def polygon_strips(prepared: DataFrame) -> DataFrame:
     return spread.groupBy("key", "part", "strip").agg(F.collect_list("e").alias("edges"))
 
 
-def check_parts(parts: DataFrame) -> None:
-    """Raise when two rows share key and part: their edges would be taken for one polygon."""
-    twice = parts.groupBy("key", "part").count().where("count > 1").limit(1).collect()
-    if twice:
-        raise ValueError(f"layer has several rows for key {twice[0]['key']}, part {twice[0]['part']}")
-
-
-def index_facts(prepared: DataFrame) -> tuple[int, list[int]]:
-    """(bytes that the index takes at most, levels that occur), from one aggregate."""
-    size, b = _size(F.col("level")), F.col("b")
-    cells = ((_cell(b["maxx"], size) - _cell(b["minx"], size) + 1)
-             * (_cell(b["maxy"], size) - _cell(b["miny"], size) + 1))
-    row = prepared.agg(F.sum(cells).alias("cells"), F.sum("copies").alias("copies"),
-                       F.array_sort(F.collect_set("level")).alias("levels")).first()  # at most 46 levels
-    return int(row["cells"] or 0) * CELL_ENTRY_BYTES + int(row["copies"] or 0) * EDGE_BYTES, list(row["levels"])
-
-
-def points_in_polygons(points: DataFrame, parts: DataFrame, boundary: bool = False, point_key: str = "key",
+def points_in_polygons(points: DataFrame, parts: DataFrame | Layer, boundary: bool = False, point_key: str = "key",
                        max_broadcast_bytes: int = DEFAULT_BROADCAST_BYTES) -> DataFrame:
     """Left spatial join: distinct (point key, polygon key) for each polygon containing the point.
 
     ``points`` has ``point_key``, ``px``, ``py``. A point in no polygon gives
     one row with a NULL polygon key. ``boundary=False`` is *within* (a point
     on an edge is outside), ``True`` is *covers*. The index is broadcast only
-    when ``index_facts`` proves it small; otherwise points and index are both
+    when the layer's own bound proves it small; otherwise points and index are both
     shuffled on the cell, with a cell holding many points split over several
     tasks (``skew.salted_join``).
     """
-    check_parts(parts)
-    prepared = _prepared(parts)
-    bound, levels = index_facts(prepared)
-    small = bound <= max_broadcast_bytes
+    layer = Layer.of(parts)
+    prepared, levels = layer.shaped(), _levels_of(layer.levels)
+    small = layer.index_bytes <= max_broadcast_bytes
     px, py, b = F.col("px"), F.col("py"), F.col("b")
     all_levels = F.array(*[F.lit(x) for x in levels]) if levels else F.array().cast("array<int>")
     located = points.select(F.col(point_key).alias("pkey"), "px", "py", F.explode(all_levels).alias("level")).select(
@@ -287,9 +310,14 @@ def points_in_polygons(points: DataFrame, parts: DataFrame, boundary: bool = Fal
 
 # ---- intersects ------------------------------------------------------------
 
-def _levelled(e: DataFrame) -> DataFrame:
-    side = F.greatest(F.abs(F.col("x2") - F.col("x1")), F.abs(F.col("y2") - F.col("y1")))
-    return e.withColumn("own", _level(side))
+def _edge_level(e) -> Column:
+    return _level(F.greatest(F.abs(e["x2"] - e["x1"]), F.abs(e["y2"] - e["y1"])))
+
+
+def _levelled(layer: Layer, name: str) -> DataFrame:
+    """name, x1, y1, x2, y2, own (level) of the layer's edges."""
+    e = layer.rows.select(F.col("key").alias(name), F.inline("edges"))
+    return e.withColumn("own", _edge_level({c: F.col(c) for c in ("x1", "y1", "x2", "y2")}))
 
 
 def _filed(e: DataFrame, levels: Column) -> DataFrame:
@@ -300,20 +328,16 @@ def _filed(e: DataFrame, levels: Column) -> DataFrame:
     return columns.select("*", F.explode(_cells_between(F.least("y1", "y2"), F.greatest("y1", "y2"), size)).alias("cy"))
 
 
-def _levels_in(e: DataFrame) -> Column:
-    found = e.agg(F.array_sort(F.collect_set("own")).alias("levels")).first()["levels"]  # at most 46
-    return F.array(*[F.lit(x) for x in found]) if found else F.array().cast("array<int>")
-
-
-def polygons_intersecting(left: DataFrame, right: DataFrame,
+def polygons_intersecting(left: DataFrame | Layer, right: DataFrame | Layer,
                           max_broadcast_bytes: int = DEFAULT_BROADCAST_BYTES) -> DataFrame:
     """Left spatial join on *intersects*: (left key, right key) per touching pair.
 
     A left polygon touching nothing keeps one row with a NULL right key.
     """
-    le = _levelled(edges(left).select(F.col("key").alias("lkey"), "x1", "y1", "x2", "y2"))
-    re = _levelled(edges(right).select(F.col("key").alias("rkey"), "x1", "y1", "x2", "y2"))
-    left_levels, right_levels, own = _levels_in(le), _levels_in(re), F.array("own")
+    left, right = Layer.of(left), Layer.of(right)
+    le, re = _levelled(left, "lkey"), _levelled(right, "rkey")
+    left_levels, right_levels = (F.array(*[F.lit(x) for x in _levels_of(y.edge_levels)]).cast("array<int>") for y in (left, right))
+    own = F.array("own")
     a = {c: F.col(f"a.{c}") for c in ("x1", "y1", "x2", "y2")}
     b = {c: F.col(f"b.{c}") for c in ("x1", "y1", "x2", "y2")}
 
@@ -326,12 +350,12 @@ def polygons_intersecting(left: DataFrame, right: DataFrame,
     up_left = _filed(le, F.filter(right_levels, lambda x: x >= F.col("own")))
     up_right = _filed(re, F.filter(left_levels, lambda x: x > F.col("own")))
     crossing = meeting(up_left, _filed(re, own)).unionByName(meeting(_filed(le, own), up_right))
-    left_in_right = (points_in_polygons(first_vertices(left).withColumnRenamed("key", "lkey"), right, boundary=True,
+    left_in_right = (points_in_polygons(left.first_vertices().withColumnRenamed("key", "lkey"), right, boundary=True,
                                         point_key="lkey", max_broadcast_bytes=max_broadcast_bytes)
                      .where(F.col("polygon_key").isNotNull()).select("lkey", F.col("polygon_key").alias("rkey")))
-    right_in_left = (points_in_polygons(first_vertices(right).withColumnRenamed("key", "rkey"), left, boundary=True,
+    right_in_left = (points_in_polygons(right.first_vertices().withColumnRenamed("key", "rkey"), left, boundary=True,
                                         point_key="rkey", max_broadcast_bytes=max_broadcast_bytes)
                      .where(F.col("polygon_key").isNotNull()).select(F.col("polygon_key").alias("lkey"), "rkey"))
     pairs = crossing.unionByName(left_in_right).unionByName(right_in_left).distinct()
-    keys = left.select(F.col("key").alias("lkey")).distinct()
+    keys = left.rows.select(F.col("key").alias("lkey")).distinct()
     return keys.join(pairs, "lkey", "left")

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from ..functions import keys
 from ..operators import geometry as geo
 from ..operators import relational as rel
+from ..session import written
 
 
 def centroid_crosswalk(areas: DataFrame, zones: DataFrame, area_name: str = "area_key",
@@ -51,12 +52,15 @@ def _tagged(target: str, source: str):
 
 
 def centroid_crosswalks(layers: dict[str, DataFrame], pairs: list[tuple[str, str]] | None = None) -> DataFrame:
-    """Every centroid crosswalk of the set: (pair, source_key, target_key), a target layer indexed once."""
+    """Every centroid crosswalk of the set: (pair, source_key, target_key), a layer's centroids and index made once."""
+    wanted = _by_target(pairs or WITHIN_PAIRS)
+    centres = {name: written(geo.centroids(layers[name]).select("key", F.col("cx").alias("px"), F.col("cy").alias("py")), "centroids")
+               for name in sorted({source for sources in wanted.values() for source in sources})}
     out = None
-    for target, sources in _by_target(pairs or WITHIN_PAIRS).items():
+    for target, sources in wanted.items():
         points = None
         for source in sources:
-            own = geo.centroids(layers[source]).select(_tagged(target, source), F.col("cx").alias("px"), F.col("cy").alias("py"))
+            own = centres[source].select(_tagged(target, source), "px", "py")
             points = own if points is None else points.unionByName(own)
         found = geo.points_in_polygons(points, layers[target], boundary=False).select(
             "key.pair", F.col("key.key").alias("source_key"), F.col("polygon_key").alias("target_key"))
@@ -65,14 +69,16 @@ def centroid_crosswalks(layers: dict[str, DataFrame], pairs: list[tuple[str, str
 
 
 def intersects_crosswalks(layers: dict[str, DataFrame], pairs: list[tuple[str, str]] | None = None) -> DataFrame:
-    """Every overlap crosswalk of the set: (pair, source_key, target_key), a target layer filed once."""
+    """Every overlap crosswalk of the set: (pair, source_key, target_key), every layer read and prepared once."""
+    wanted = _by_target(pairs or INTERSECTS_PAIRS)
+    ready = {name: geo.Layer.of(layers[name]) for name in sorted({x for t, sources in wanted.items() for x in [t, *sources]})}
     out = None
-    for target, sources in _by_target(pairs or INTERSECTS_PAIRS).items():
+    for target, sources in wanted.items():
         left = None
         for source in sources:
-            own = layers[source].select(_tagged(target, source), "part", "rings")
-            left = own if left is None else left.unionByName(own)
-        found = geo.polygons_intersecting(left, layers[target]).select(
+            own = ready[source].keyed(_tagged(target, source))
+            left = own if left is None else left.union(own)
+        found = geo.polygons_intersecting(left, ready[target]).select(
             "lkey.pair", F.col("lkey.key").alias("source_key"), F.col("rkey").alias("target_key"))
         out = found if out is None else out.unionByName(found)
     return out

@@ -11,8 +11,9 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 SESSION_DEFAULTS = {
     "spark.sql.adaptive.enabled": "true",
@@ -66,3 +67,16 @@ def scratch_dir(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, *parts: str) -> str:
     """A path under the shared scratch folder (not created here)."""
     return os.path.join(scratch_dir(spark), *parts)
+
+
+def written(df: DataFrame, label: str) -> DataFrame:
+    """``df`` written once to the shared scratch folder and read back.
+
+    Cuts the lineage: what reads it reads files, a lost executor costs no earlier
+    step, and a plan that uses it several times doesn't compute it several times.
+    The files belong to the application; who owns ``spark.checkpoint.dir`` removes
+    them when it has ended.
+    """
+    path = scratch_path(df.sparkSession, "written", f"{label}-{uuid.uuid4().hex}")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

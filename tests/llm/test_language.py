@@ -31,6 +31,19 @@ def test_held_out_accuracy_and_contract(spark):
     assert len(right) > 200 and np.mean(right) > 0.97
 
 
+def test_rare_languages_are_learnt_and_copies_count_once(spark):
+    common = spark.range(6000).selectExpr("id as doc_id", "concat('the other one ', id) as text", "'en' as lang")
+    rare = spark.range(5).selectExpr("id + 10000 as doc_id", "concat('chat très beau ', id) as text", "'fr' as lang")
+    hot = spark.range(3000).selectExpr("id + 20000 as doc_id", "'une copie encore' as text", "'fr' as lang")
+    df = common.unionByName(rare).unionByName(hot).withColumn("TEXT2", F.lit("x"))
+    model = language.train(df, F.lit(True), rows=200)
+    assert model.langs == ["en", "fr"]
+    same = language.train(common.unionByName(rare).unionByName(hot.limit(1)), F.lit(True), rows=200)
+    assert (model.logs == same.logs).all()
+    got = {r.doc_id: r.lang_pred for r in language.identify(rare.unionByName(common.limit(50)), model).collect()}
+    assert all(v == ("fr" if k >= 10_000 else "en") for k, v in got.items()) and len(got) == 55
+
+
 def test_mixture_is_found_and_pure_text_stays_pure(spark):
     model = small_model(spark)
     assert model.langs == ["en", "fr"]

@@ -78,7 +78,7 @@ def test_the_shuffled_term_count_equals_the_broadcast_one(docs, monkeypatch):
     df = docs(corpus())
     scanned = pii.scan(df)
     few = sorted(map(tuple, pii.disclosures(df, scanned).collect()))
-    monkeypatch.setattr(pii, "BROADCAST_TERMS", 0)
+    monkeypatch.setattr(pii, "BROADCAST_BYTES", -1)
     assert sorted(map(tuple, pii.disclosures(df, scanned).collect())) == few
 
 
@@ -156,5 +156,35 @@ def test_spans_of_terms_are_their_places(docs):
 def test_the_shuffled_marking_equals_the_broadcast_one(docs, monkeypatch, rows_of):
     df = docs(far_corpus())
     few = rows_of(pii.find(df))
-    monkeypatch.setattr(pii, "BROADCAST_TERMS", 0)
+    monkeypatch.setattr(pii, "BROADCAST_BYTES", -1)
     assert rows_of(pii.find(df)) == few
+
+
+def test_a_long_list_of_addresses_takes_linear_time(spark, docs):
+    import time
+    took = []
+    for n in (5_000, 40_000):
+        text = "; ".join(f"a{k}@b.cc" for k in range(n))
+        began = time.time()
+        [row] = pii.find(docs([(1, text)])).collect()
+        took.append(time.time() - began)
+        assert len(row.base) == n and [b.start for b in row.base[:3]] == [0, 9, 18]
+        assert row.base[-1].end == len(text)
+    assert took[1] < 60
+
+
+def test_prefixes_and_cuts(spark):
+    from pyspark.sql import functions as F
+    for n in (0, 1, 2, 3, 10, 1000):
+        values = [(7 * k) % 13 for k in range(n)]
+        df = spark.createDataFrame([(values,)], "v array<int>")
+        sums, tops = df.where(F.size("v") > 0).select(
+            pii.prefixes(F.col("v"), lambda a, b: a + b, F.lit(0)),
+            pii.prefixes(F.col("v"), lambda a, b: F.greatest(a, b), F.lit(0))).first() or ([], [])
+        assert sums == [sum(values[:k]) for k in range(n)] and tops == [max([0, *values[:k]]) for k in range(n)]
+    text = "".join(chr(0x1F600 + k % 50) + "é" for k in range(3 * pii.CUT))
+    cuts = [(0, 0), (0, 5), (5, pii.CUT), (pii.CUT - 1, pii.CUT + 1), (10, 5 * pii.CUT + 3), (pii.CUT, 2 * pii.CUT), (0, len(text))]
+    df = spark.createDataFrame([(text,)], "t string").select(F.regexp_extract_all(
+        "t", F.lit(f"(?s).{{1,{pii.CUT}}}"), F.lit(0)).alias("b"))
+    got = df.select(*[pii._between(F.col("b"), F.lit(a), F.lit(b)) for a, b in cuts]).first()
+    assert list(got) == [text[a:b] for a, b in cuts]

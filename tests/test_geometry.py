@@ -103,8 +103,8 @@ def test_within_without_broadcast(spark, zones):
 
 
 def test_index_facts_bound_the_index(spark, zones):
-    prepared = geo._prepared(zones)
-    bytes_, levels = geo.index_facts(prepared)
+    layer = geo.Layer.of(zones)
+    prepared, bytes_, levels = layer.rows, layer.index_bytes, geo._levels_of(layer.levels)
     cells, copies = geo.polygon_cells(prepared), geo.polygon_strips(prepared).selectExpr("size(edges) n").collect()
     assert bytes_ == cells.count() * geo.CELL_ENTRY_BYTES + sum(r.n for r in copies) * geo.EDGE_BYTES
     assert {r.level for r in cells.collect()} == set(levels)

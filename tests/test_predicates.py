@@ -1,0 +1,129 @@
+"""The orientation predicate against exact fractions."""
+
+import math
+import random
+from fractions import Fraction
+
+import pytest
+from pyspark.sql import functions as F
+
+from blocklot.operators import geometry as geo
+from blocklot.operators import predicates
+
+
+def exact(ax, ay, bx, by, cx, cy):
+    ax, ay, bx, by, cx, cy = map(Fraction, (ax, ay, bx, by, cx, cy))
+    det = (bx - ax) * (cy - ay) - (by - ay) * (cx - ax)
+    return float((det > 0) - (det < 0))
+
+
+def triples(n, seed):
+    """Points on or very near the line of an edge, as a map has them (two decimals), and worse."""
+    rng = random.Random(seed)
+    out = []
+    for k in range(n):
+        kind = k % 6
+        if kind < 3:  # on one line in hundredths, which no binary fraction is
+            x, y, u, v = rng.randint(0, 10_000_000), rng.randint(0, 1_000_000), rng.randint(-4000, 4000), rng.randint(-4000, 4000)
+            t, s = rng.randint(1, 200), rng.randint(1, 200)
+            row = (x / 100, y / 100, (x + u * t) / 100, (y + v * t) / 100, (x + u * s) / 100, (y + v * s) / 100)
+        elif kind == 3:  # a few units in the last place off the line
+            base = rng.uniform(1, 24)
+            steps = [math.ulp(base) * rng.randint(-3, 3) for _ in range(3)]
+            row = (0.5 + steps[0], 0.5 + steps[1], 12.0, 12.0, base, base + steps[2])
+        elif kind == 4:  # sizes far apart
+            row = tuple(rng.choice([0.0, 1e-60, 1e60, 0.1, 0.3, -0.1, 7.0]) * rng.choice([1, 3, 0.7]) for _ in range(6))
+        else:  # whole numbers, many on one line
+            row = tuple(float(rng.randint(-5, 5)) for _ in range(6))
+        out.append(row)
+    out.append((74058.77, 8125.09, 79312.01, 9388.03, 77560.93, 8967.05))
+    return out
+
+
+NAMES = ["ax", "ay", "bx", "by", "cx", "cy"]
+
+
+@pytest.fixture(scope="module")
+def cases(spark):
+    rows = triples(12_000, 1)
+    return rows, spark.createDataFrame(rows, ", ".join(f"{n} double" for n in NAMES)).repartition(4)
+
+
+def test_orientation_equals_exact_fractions(cases):
+    rows, df = cases
+    got = df.select(*NAMES, predicates.orientation(*[F.col(n) for n in NAMES]).alias("o")).collect()
+    wrong = [r for r in got if r.o != exact(*r[:6])]
+    assert not wrong and len(got) == len(rows)
+    # The plain formula is wrong on some of them: the cases are what they are meant to be.
+    plain = [(r[2] - r[0]) * (r[5] - r[1]) - (r[3] - r[1]) * (r[4] - r[0]) for r in rows]
+    assert sum((p > 0) - (p < 0) != exact(*r) for p, r in zip(plain, rows)) > 20
+    assert sum(exact(*r) == -1 for r in rows) > 500 and sum(exact(*r) == 0 for r in rows) > 200
+
+
+def test_expansion_alone_equals_exact_fractions(cases):
+    _, df = cases
+    got = df.limit(3000).select(*NAMES, predicates._exact(*[F.col(n) for n in NAMES]).alias("o")).collect()
+    assert all(r.o == exact(*r[:6]) for r in got)
+
+
+def test_products_and_sums_are_exact(spark):
+    rng = random.Random(4)
+    rows = [(rng.uniform(-1, 1) * 10 ** rng.randint(-20, 20), rng.uniform(-1, 1) * 10 ** rng.randint(-20, 20)) for _ in range(500)]
+    df = spark.createDataFrame(rows, "a double, b double")
+    for r in df.select("a", "b", predicates.two_product(F.col("a"), F.col("b")).alias("p"),
+                       predicates.two_sum(F.col("a"), F.col("b")).alias("s")).collect():
+        assert sum(map(Fraction, r.p)) == Fraction(r.a) * Fraction(r.b)
+        assert Fraction(r.s["sum"]) + Fraction(r.s["error"]) == Fraction(r.a) + Fraction(r.b)
+
+
+def test_segments_touch_equals_exact_fractions(spark):
+    rng = random.Random(9)
+    rows = []
+    for a in triples(3000, 2):
+        ax, ay, bx, by, cx, cy = a
+        if max(map(abs, a)) < 1e9:
+            rows.append((ax, ay, bx, by, cx, cy, cx + rng.choice([0.0, 0.01, -5.0, 3.3]), cy + rng.choice([0.0, 0.01, 7.7])))
+
+    def touch(ax, ay, bx, by, cx, cy, dx, dy):
+        o = [exact(ax, ay, bx, by, cx, cy), exact(ax, ay, bx, by, dx, dy), exact(cx, cy, dx, dy, ax, ay), exact(cx, cy, dx, dy, bx, by)]
+
+        def on(x1, y1, x2, y2, x, y):
+            return min(x1, x2) <= x <= max(x1, x2) and min(y1, y2) <= y <= max(y1, y2)
+        return (o[0] * o[1] < 0 and o[2] * o[3] < 0 or o[0] == 0 and on(ax, ay, bx, by, cx, cy) or o[1] == 0 and on(ax, ay, bx, by, dx, dy)
+                or o[2] == 0 and on(cx, cy, dx, dy, ax, ay) or o[3] == 0 and on(cx, cy, dx, dy, bx, by))
+    names = [*NAMES, "dx", "dy"]
+    df = spark.createDataFrame(rows, ", ".join(f"{n} double" for n in names))
+    one = dict(zip(("x1", "y1", "x2", "y2"), (F.col(n) for n in names[:4])))
+    two = dict(zip(("x1", "y1", "x2", "y2"), (F.col(n) for n in names[4:])))
+    got = df.select(*names, geo.segments_touch(one, two).alias("t")).collect()
+    assert [r for r in got if r.t != touch(*r[:8])] == []
+    assert 100 < sum(r.t for r in got) < len(got) - 100
+
+
+def test_points_on_slanted_edges_with_decimals(spark):
+    """Within and covers of points on, or one unit beside, the edges of a quadrangle: exact fractions as the plain version."""
+    rng = random.Random(5)
+    ring = [(74058.77, 8125.09), (79312.01, 9388.03), (78000.33, 12000.71), (73500.5, 11000.25)]
+    edges = list(zip(ring, ring[1:] + ring[:1]))
+    points = [(77560.93, 8967.05)]
+    for (x1, y1), (x2, y2) in edges:
+        for k in range(200):
+            t = rng.randint(0, 100) / 100
+            x, y = round(x1 + (x2 - x1) * t, 2), y1 + (y2 - y1) * t
+            points += [(x, round(y, 2)), (x, math.nextafter(y, 1e9)), (x, math.nextafter(y, -1e9)), (x, y)]
+
+    def inside(p, boundary):
+        odd = False
+        for (x1, y1), (x2, y2) in edges:
+            o = exact(x1, y1, x2, y2, *p)
+            if o == 0 and min(x1, x2) <= p[0] <= max(x1, x2) and min(y1, y2) <= p[1] <= max(y1, y2):
+                return boundary
+            if (y1 > p[1]) != (y2 > p[1]) and (o > 0) == (y2 > y1):
+                odd = not odd
+        return odd
+    closed = [list(p) for p in ring + ring[:1]]
+    layer = spark.createDataFrame([(1, 0, [closed])], "key bigint, part int, rings array<array<array<double>>>")
+    df = spark.createDataFrame([(i, *p) for i, p in enumerate(points)], "key bigint, px double, py double")
+    for boundary in (False, True):
+        got = {r.key: r.polygon_key == 1 for r in geo.points_in_polygons(df, layer, boundary=boundary).collect()}
+        assert got == {i: inside(p, boundary) for i, p in enumerate(points)}
