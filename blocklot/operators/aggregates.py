@@ -59,7 +59,7 @@ def redistribute_missing(df: DataFrame, group: str = "Project_ID", lot: str = "B
     """
     missing = missing_key_sums(df, group, lot, measure, "__missing")
     kept = df.where(F.col(lot).isNotNull())
-    joined = salted_join(kept, missing, [group], how="left", rows_per_task=rows_per_task)
+    joined = salted_join(kept, missing, [group], how="left", rows_per_task=rows_per_task, other_unique=True)
     cols = [(F.col(c) + F.coalesce(F.col("__missing"), F.lit(0))).alias(c) if c == measure else F.col(c)
             for c in df.columns]
     return joined.select(cols)

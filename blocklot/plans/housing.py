@@ -227,7 +227,7 @@ def units_rollup_from_sources(housing: DataFrame, affordable: DataFrame, order:
         F.count(F.lit(1)).alias("__j"), agg.zero_sum("ClassANet").alias("ClassANet"))
     per_key = prepare_new_construction(affordable).groupBy("BBL", "year_of_completion").agg(
         F.count(F.lit(1)).alias("__m"), agg.zero_sum("All_Counted_Units").alias("__u"))
-    met = salted_join(jobs, per_key, ["BBL", "year_of_completion"], how="left", null_safe=True)
+    met = salted_join(jobs, per_key, ["BBL", "year_of_completion"], how="left", null_safe=True, other_unique=True)
     fan = F.greatest(F.coalesce(F.col("__m"), F.lit(0)), F.lit(1))
     out = met.groupBy(*ROLLUP_KEYS).agg(
         agg.zero_sum(F.col("ClassANet") * fan).alias("ClassANet_sum"),

@@ -167,3 +167,43 @@ def test_without_hot_keys_the_join_is_plain(spark):
     right = spark.range(50).select(F.col("id").alias("j"))
     plan = split_join(left, right, ["k"], ["j"], rows_per_task=100)._jdf.queryExecution().optimizedPlan().toString()
     assert "__l" not in plan and "Generate" not in plan
+
+
+def test_salts_are_the_same_when_a_partition_is_computed_again(spark, tmp_path):
+    """The numbers that salts come from are stored: another order of the rows, another number of tasks, the same salts."""
+    from blocklot.operators import skew
+    rows = spark.range(3000).select((F.col("id") % 2).alias("k"), F.col("id").alias("v")).repartition(7)
+    table = spark.createDataFrame([(0, 9, 1)], "__hot0 bigint, __l_splits int, __r_splits int")
+    salted = skew._salted(rows, ["k"], table, "l", "r")
+    first = {r.v: r["__l"] for r in salted.collect()}
+    again = {r.v: r["__l"] for r in salted.orderBy(F.rand(3)).collect()}
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    try:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", "2k")
+        other = {r.v: r["__l"] for r in salted.repartition(3, "v").collect()}
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+    assert first == again == other and len(set(first[v] for v in first if v % 2 == 0)) == 9
+    # Nothing in the plan draws a number: they are read from files.
+    plan = salted._jdf.queryExecution().optimizedPlan().toString()
+    assert "monotonically" not in plan and "rand(" not in plan and "Relation" in plan
+
+
+def test_helper_names_do_not_clash(spark):
+    from blocklot.operators.skew import salted_join
+    left = spark.range(500).select((F.col("id") % 2).alias("k"), F.col("id").alias("__id"), F.lit(1).alias("__l"),
+                                   F.lit(2).alias("__R_hot"), F.lit(3).alias("__rows"))
+    right = spark.range(300).select((F.col("id") % 2).alias("k"), F.col("id").alias("__o_k"), F.lit(5).alias("__hot0"))
+    got = salted_join(left, right, ["k"], how="left", rows_per_task=50)
+    assert got.columns == ["k", "__id", "__l", "__R_hot", "__rows", "__o_k", "__hot0"]
+    assert _equal(got, left.join(right, "k", "left"))
+
+
+def test_a_unique_side_is_not_counted(spark):
+    from blocklot.operators import skew
+    left = spark.range(1000).select((F.col("id") % 3).alias("k"), F.col("id").alias("v"))
+    right = spark.range(3).select(F.col("id").alias("j"), (F.col("id") * 10).alias("w"))
+    for how in ("left", "inner", "left_semi", "left_anti"):
+        for unique in (False, True):
+            got = skew.split_join(left, right, ["k"], ["j"], how, rows_per_task=100, right_unique=unique)
+            assert _equal(got, left.join(right, F.col("k") == F.col("j"), how))
