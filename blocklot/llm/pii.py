@@ -169,7 +169,7 @@ def _names(base: Column) -> Column:
 
 
 def _digest(text: Column) -> Column:
-    return F.sha2(text.cast("binary"), 256)
+    return F.unhex(F.sha2(text.cast("binary"), 256))
 
 
 def scan(docs: DataFrame) -> DataFrame:
@@ -321,7 +321,7 @@ def sanitise(docs: DataFrame) -> DataFrame:
     name, key, spans = free_name(docs, "sanitised"), free_name(docs, "digest"), free_name(docs, "spans")
     found = find(docs).groupBy("digest").agg(F.first(F.struct("base", "found")).alias(spans)).withColumnRenamed("digest", key)
     text = F.coalesce(col(docs, "text"), F.lit(""))
-    joined = docs.withColumn(key, F.sha2(text.cast("binary"), 256)).join(materialise(found, "pii-rewrite"), key, "left")
+    joined = docs.withColumn(key, _digest(text)).join(materialise(found, "pii-rewrite"), key, "left")
     clean = rewrite(F.coalesce(F.col("text"), F.lit("")), F.col(f"{spans}.base"), F.col(f"{spans}.found"))
     return joined.withColumn(name, clean).select(*[F.col(f"`{c}`") for c in docs.columns], name)
 
