@@ -139,6 +139,15 @@ def school_bridge_by_district(spark, sf_dir):
                                             standins.school_capacity(spark, sf_dir))
 
 
+@register("crosswalk_chain")
+def crosswalk_chain(spark, sf_dir):
+    """Sums over jobs x tract, council and school crosswalks x schools x buildings, as messages up a join tree."""
+    return school.crosswalk_chain(
+        _h(spark, sf_dir), _a(spark, sf_dir), standins.community_to_tract(spark, sf_dir),
+        standins.community_to_council(spark, sf_dir), standins.community_to_school(spark, sf_dir),
+        standins.school_capacity(spark, sf_dir))
+
+
 @register("council_school_summary")
 def council_school_summary(spark, sf_dir):
     """C11: the council join carried on to the schools, per (community, council)."""

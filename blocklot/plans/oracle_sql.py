@@ -625,3 +625,17 @@ ORACLE_SQL["crosswalk_set_intersects"] = _pairs_sql(
      ("community", "school"), ("council", "school")], _OVERLAP)
 ORACLE_SQL["crosswalk_within_decimal"] = (
     "SELECT source_key AS area_key, target_key AS zone_key FROM (" + _pairs_sql([("community", "council")], _WITHIN) + ")")
+
+# J5 as the chain of joins itself, every joined row built.
+ORACLE_SQL["crosswalk_chain"] = BASE + "," + SCHOOL_XW.lstrip() + """,
+tract_xw AS (SELECT DISTINCT (1 + c_custkey % 5) * 100 + 1 + c_custkey % 12 AS BoroCD FROM customer),
+council_xw AS (SELECT DISTINCT (1 + c_custkey % 5) * 100 + 1 + c_custkey % 12 AS BoroCD, 1 + c_custkey % 51 AS CounDist FROM customer)
+SELECT h.CommntyDst, x.SchoolDist, count(*) AS joined_rows, coalesce(sum(h.ClassANet), 0) AS housing_units,
+ CAST(coalesce(sum(s.SchoolCapacity), 0) AS BIGINT) AS spare_seats, coalesce(sum(a.All_Counted_Units), 0) AS affordable_units
+FROM housing_fx h
+LEFT JOIN tract_xw t ON h.CommntyDst = t.BoroCD
+LEFT JOIN council_xw c ON h.CommntyDst = c.BoroCD
+LEFT JOIN xw x ON h.CommntyDst = x.BoroCD
+LEFT JOIN schools s ON x.SchoolDist = s.Geo_Dist
+LEFT JOIN affordable_fx a ON h.BBL = a.BBL
+GROUP BY h.CommntyDst, x.SchoolDist"""

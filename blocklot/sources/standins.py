@@ -121,6 +121,13 @@ def community_to_tract(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def community_to_council(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Community -> council crosswalk, many to many: the councils that customers of a community vote in."""
+    key = F.col("c_custkey")
+    return read_table(spark, sf_dir, "customer").select(
+        ((1 + key % 5) * 100 + 1 + key % 12).alias("BoroCD"), (1 + key % 51).cast("double").alias("CounDist")).distinct()
+
+
 def transit_access(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Transit access per census tract: 11-digit text census ids, one row per part."""
     p = read_table(spark, sf_dir, "part")
