@@ -37,9 +37,12 @@ from pyspark.sql import functions as F
 
 from .joins import DEFAULT_BROADCAST_BYTES
 from .predicates import orientation
+from .rtree import BOX, RTree
 from .skew import salted_join
 from ..session import written
 
+#: How polygons, or edges, near a place are found.
+GRID, TREE = "grid", "tree"
 EDGE_FIELDS = "struct<x1:double,y1:double,x2:double,y2:double>"
 
 
@@ -276,7 +279,7 @@ def polygon_strips(prepared: DataFrame) -> DataFrame:
 
 
 def points_in_polygons(points: DataFrame, parts: DataFrame | Layer, boundary: bool = False, point_key: str = "key",
-                       max_broadcast_bytes: int = DEFAULT_BROADCAST_BYTES) -> DataFrame:
+                       max_broadcast_bytes: int = DEFAULT_BROADCAST_BYTES, index: str = GRID) -> DataFrame:
     """Left spatial join: distinct (point key, polygon key) for each polygon containing the point.
 
     ``points`` has ``point_key``, ``px``, ``py``. A point in no polygon gives
@@ -284,22 +287,28 @@ def points_in_polygons(points: DataFrame, parts: DataFrame | Layer, boundary: bo
     on an edge is outside), ``True`` is *covers*. The index is broadcast only
     when the layer's own bound proves it small; otherwise points and index are both
     shuffled on the cell, with a cell holding many points split over several
-    tasks (``skew.salted_join``).
+    tasks (``skew.salted_join``). ``index`` "tree" finds the boxes that hold a
+    point by a packed R-tree instead of the grids; the answer is the same.
     """
     layer = Layer.of(parts)
     prepared, levels = layer.shaped(), _levels_of(layer.levels)
     small = layer.index_bytes <= max_broadcast_bytes
     px, py, b = F.col("px"), F.col("py"), F.col("b")
-    all_levels = F.array(*[F.lit(x) for x in levels]) if levels else F.array().cast("array<int>")
-    located = points.select(F.col(point_key).alias("pkey"), "px", "py", F.explode(all_levels).alias("level")).select(
-        "pkey", "px", "py", "level", _cell(px, _size(F.col("level"))).alias("cx"),
-        _cell(py, _size(F.col("level"))).alias("cy"))
 
-    def look_up(rows: DataFrame, index: DataFrame, on: list[str]) -> DataFrame:
-        return rows.join(F.broadcast(index), on) if small else salted_join(rows, index, on, how="inner")
-
-    near = look_up(located, polygon_cells(prepared), ["level", "cx", "cy"]).where(
-        (px >= b["minx"]) & (px <= b["maxx"]) & (py >= b["miny"]) & (py <= b["maxy"]))
+    def look_up(rows: DataFrame, table: DataFrame, on: list[str]) -> DataFrame:
+        return rows.join(F.broadcast(table), on) if small else salted_join(rows, table, on, how="inner")
+
+    if index == TREE:
+        boxes = prepared.select(*[b[c].alias(c) for c in BOX], "key", "part", "h")
+        at = points.select(px.alias("minx"), py.alias("miny"), px.alias("maxx"), py.alias("maxy"), F.col(point_key).alias("pkey"), "px", "py")
+        near = RTree.of(boxes).meeting(at, max_broadcast_bytes if small else 0)
+    else:
+        all_levels = F.array(*[F.lit(x) for x in levels]) if levels else F.array().cast("array<int>")
+        located = points.select(F.col(point_key).alias("pkey"), "px", "py", F.explode(all_levels).alias("level")).select(
+            "pkey", "px", "py", "level", _cell(px, _size(F.col("level"))).alias("cx"),
+            _cell(py, _size(F.col("level"))).alias("cy"))
+        near = look_up(located, polygon_cells(prepared), ["level", "cx", "cy"]).where(
+            (px >= b["minx"]) & (px <= b["maxx"]) & (py >= b["miny"]) & (py <= b["maxy"]))
     in_strip = look_up(near.select("pkey", "px", "py", "key", "part", _cell(py, F.col("h")).alias("strip")),
                        polygon_strips(prepared), ["key", "part", "strip"])
     hits = in_strip.where(point_in_edges(F.col("edges"), px, py, boundary)).select(
@@ -329,10 +338,11 @@ def _filed(e: DataFrame, levels: Column) -> DataFrame:
 
 
 def polygons_intersecting(left: DataFrame | Layer, right: DataFrame | Layer,
-                          max_broadcast_bytes: int = DEFAULT_BROADCAST_BYTES) -> DataFrame:
+                          max_broadcast_bytes: int = DEFAULT_BROADCAST_BYTES, index: str = GRID) -> DataFrame:
     """Left spatial join on *intersects*: (left key, right key) per touching pair.
 
-    A left polygon touching nothing keeps one row with a NULL right key.
+    A left polygon touching nothing keeps one row with a NULL right key. ``index`` "tree" pairs
+    edges, and finds first vertices, by packed R-trees instead of the grids.
     """
     left, right = Layer.of(left), Layer.of(right)
     le, re = _levelled(left, "lkey"), _levelled(right, "rkey")
@@ -346,15 +356,22 @@ def polygons_intersecting(left: DataFrame | Layer, right: DataFrame | Layer,
         return one.alias("a").join(other.alias("b"), on[0] & on[1] & on[2]).where(
             segments_touch(a, b)).select("a.lkey", "b.rkey")
 
-    # Every pair once: at the right edge's level where that is the coarser one (or the same), else at the left's.
-    up_left = _filed(le, F.filter(right_levels, lambda x: x >= F.col("own")))
-    up_right = _filed(re, F.filter(left_levels, lambda x: x > F.col("own")))
-    crossing = meeting(up_left, _filed(re, own)).unionByName(meeting(_filed(le, own), up_right))
+    if index == TREE:
+        def boxed(e: DataFrame, key: str, side: str) -> DataFrame:
+            return e.select(F.least("x1", "x2").alias("minx"), F.least("y1", "y2").alias("miny"), F.greatest("x1", "x2").alias("maxx"),
+                            F.greatest("y1", "y2").alias("maxy"), key, F.struct("x1", "y1", "x2", "y2").alias(side))
+        met = RTree.of(boxed(re, "rkey", "b")).meeting(boxed(le, "lkey", "a"), max_broadcast_bytes, EDGE_BYTES)
+        crossing = met.where(segments_touch(a, b)).select("lkey", "rkey")
+    else:
+        # Every pair once: at the right edge's level where that is the coarser one (or the same), else at the left's.
+        up_left = _filed(le, F.filter(right_levels, lambda x: x >= F.col("own")))
+        up_right = _filed(re, F.filter(left_levels, lambda x: x > F.col("own")))
+        crossing = meeting(up_left, _filed(re, own)).unionByName(meeting(_filed(le, own), up_right))
     left_in_right = (points_in_polygons(left.first_vertices().withColumnRenamed("key", "lkey"), right, boundary=True,
-                                        point_key="lkey", max_broadcast_bytes=max_broadcast_bytes)
+                                        point_key="lkey", max_broadcast_bytes=max_broadcast_bytes, index=index)
                      .where(F.col("polygon_key").isNotNull()).select("lkey", F.col("polygon_key").alias("rkey")))
     right_in_left = (points_in_polygons(right.first_vertices().withColumnRenamed("key", "rkey"), left, boundary=True,
-                                        point_key="rkey", max_broadcast_bytes=max_broadcast_bytes)
+                                        point_key="rkey", max_broadcast_bytes=max_broadcast_bytes, index=index)
                      .where(F.col("polygon_key").isNotNull()).select(F.col("polygon_key").alias("lkey"), "rkey"))
     pairs = crossing.unionByName(left_in_right).unionByName(right_in_left).distinct()
     keys = left.rows.select(F.col("key").alias("lkey")).distinct()

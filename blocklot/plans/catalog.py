@@ -335,6 +335,18 @@ def _districts(spark, sf_dir):
     return {name: ingest.district_layer(spark, sf_dir, name) for name in layers.DISTRICTS}
 
 
+@register("crosswalk_within_tree")
+def crosswalk_within_tree(spark, sf_dir):
+    """C7/J8 by a packed R-tree instead of the grids."""
+    return crosswalks.centroid_crosswalk(ingest.area_layer(spark, sf_dir), ingest.zone_layer(spark, sf_dir), index=geo.TREE)
+
+
+@register("crosswalk_intersects_tree")
+def crosswalk_intersects_tree(spark, sf_dir):
+    """C8/J9 by packed R-trees over parts and edges instead of the grids."""
+    return crosswalks.intersects_crosswalk(ingest.area_layer(spark, sf_dir), ingest.zone_layer(spark, sf_dir), index=geo.TREE)
+
+
 @register("crosswalk_within_decimal")
 def crosswalk_within_decimal(spark, sf_dir):
     """C7 on layers whose corners are no binary fractions."""

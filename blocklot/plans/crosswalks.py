@@ -17,20 +17,20 @@ from ..session import written
 
 
 def centroid_crosswalk(areas: DataFrame, zones: DataFrame, area_name: str = "area_key",
-                       zone_name: str = "zone_key") -> DataFrame:
+                       zone_name: str = "zone_key", index: str = geo.GRID) -> DataFrame:
     """Distinct (area, zone) where the area's centroid lies strictly inside the zone.
 
     Areas whose centroid is in no zone keep one row with a NULL zone.
     """
     pts = geo.centroids(areas).select("key", F.col("cx").alias("px"), F.col("cy").alias("py"))
-    located = geo.points_in_polygons(pts, zones, boundary=False)
+    located = geo.points_in_polygons(pts, zones, boundary=False, index=index)
     return located.select(F.col("key").alias(area_name), F.col("polygon_key").alias(zone_name)).distinct()
 
 
 def intersects_crosswalk(areas: DataFrame, zones: DataFrame, area_name: str = "area_key",
-                         zone_name: str = "zone_key") -> DataFrame:
+                         zone_name: str = "zone_key", index: str = geo.GRID) -> DataFrame:
     """Distinct (area, zone) for every touching or overlapping pair (left join)."""
-    pairs = geo.polygons_intersecting(areas, zones)
+    pairs = geo.polygons_intersecting(areas, zones, index=index)
     return pairs.select(F.col("lkey").alias(area_name), F.col("rkey").alias(zone_name)).distinct()
 
 

@@ -504,8 +504,8 @@ hits AS (SELECT * FROM edge_hits UNION SELECT * FROM a_in_z UNION SELECT * FROM
 SELECT DISTINCT a.key AS area_key, h.zkey AS zone_key FROM area_box a LEFT JOIN hits h ON a.key = h.akey"""
 
 ORACLE_SQL["polygon_centroid"] = _with(GEO_LAYERS) + "SELECT key, area, cx, cy FROM cent"
-ORACLE_SQL["crosswalk_within"] = WITHIN_SQL
-ORACLE_SQL["crosswalk_intersects"] = INTERSECTS_SQL
+ORACLE_SQL["crosswalk_within"] = ORACLE_SQL["crosswalk_within_tree"] = WITHIN_SQL
+ORACLE_SQL["crosswalk_intersects"] = ORACLE_SQL["crosswalk_intersects_tree"] = INTERSECTS_SQL
 ORACLE_SQL["crosswalk_standardize"] = f"""
 WITH boro AS (SELECT DISTINCT (1 + c_custkey % 5) * 100 + 1 + c_custkey % 12 AS BoroCD FROM customer),
 school_xw AS (
