@@ -13,13 +13,13 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions import dates, keys
+from ..functions import dates, keys, layouts
 from ..operators import aggregates as agg
 from ..operators import geometry as geo
 from ..operators import preview, profile
 from ..operators import relational as rel
 from ..session import scratch_path
-from ..sources import geojson, ingest, layers, standins, tables
+from ..sources import geojson, ingest, layers, messy, standins, tables
 from ..sources.tables import read_table
 from . import housing as H
 from . import crosswalks, school
@@ -311,6 +311,15 @@ def zscore_outliers(spark, sf_dir):
     return profile.zscore_outliers(read_table(spark, sf_dir, "lineitem"))
 
 
+@register("dates_inferred")
+def dates_inferred(spark, sf_dir):
+    """F9 in any layout: three text columns, the layout of each inferred from all its rows."""
+    raw = messy.raw_dates(spark, sf_dir)
+    found = layouts.infer(raw, ["us_text", "eu_text", "mixed_text"])
+    return raw.select("o_orderkey", *[found[f"{c}_text"].date(f"{c}_text").alias(f"{c}_date") for c in ("us", "eu", "mixed")],
+                      found["mixed_text"].year("mixed_text").alias("mixed_year"))
+
+
 # ---- geometry and crosswalks ----------------------------------------------
 
 @register("polygon_centroid")

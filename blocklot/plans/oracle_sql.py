@@ -639,3 +639,10 @@ LEFT JOIN xw x ON h.CommntyDst = x.BoroCD
 LEFT JOIN schools s ON x.SchoolDist = s.Geo_Dist
 LEFT JOIN affordable_fx a ON h.BBL = a.BBL
 GROUP BY h.CommntyDst, x.SchoolDist"""
+
+# The dates that the texts were written from.
+ORACLE_SQL["dates_inferred"] = """
+SELECT o_orderkey, CAST(o_orderdate AS DATE) AS us_date, CAST(o_orderdate AS DATE) AS eu_date,
+ CASE WHEN o_orderkey % 9 NOT IN (0, 7) THEN CAST(o_orderdate AS DATE) END AS mixed_date,
+ CASE WHEN o_orderkey % 9 NOT IN (0, 7) THEN year(o_orderdate) END AS mixed_year
+FROM orders"""

@@ -51,3 +51,20 @@ def raw_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
         board.alias("board_text"), council.alias("council_text"),
         tract_num.alias("tract_number"), tract_text.alias("tract_text"),
     )
+
+
+def raw_dates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Order dates as text: one column month first, one day first, one in every other layout (and some that are no dates)."""
+    o = read_table(spark, sf_dir, "orders")
+    key, day = F.col("o_orderkey"), F.col("o_orderdate").cast("timestamp")
+
+    def written(pattern: str):
+        return F.date_format(day, pattern)
+    mixed = F.when(key % 9 == 1, written("MMM d, yyyy")).when(key % 9 == 2, written("d MMMM yyyy")).when(
+        key % 9 == 3, written("yyyyMMdd")).when(key % 9 == 4, written("yyyy/M/d")).when(
+        key % 9 == 5, written("yyyy-MM-dd'T'HH:mm:ss'+05:30'")).when(key % 9 == 6, written("dd-MMM-yy")).when(
+        key % 9 == 7, F.lit("not a date")).when(key % 9 == 8, written("E, dd MMM yyyy"))
+    return o.select(
+        key.alias("o_orderkey"),
+        F.when(key % 3 == 0, written("M/d/yyyy")).when(key % 3 == 1, written("MM/dd/yyyy")).otherwise(written("M/d/yyyy h:mm a")).alias("us_text"),
+        F.when(key % 2 == 0, written("d/M/yyyy")).otherwise(written("dd/MM/yyyy HH:mm")).alias("eu_text"), mixed.alias("mixed_text"))
