@@ -25,7 +25,7 @@ CANDIDATE_ESTIMATE = 100  # HLL estimate under which exact distinct sets are col
 Z_LIMIT = 3.0
 
 
-def _missing(df: DataFrame, name: str) -> Column:
+def missing_value(df: DataFrame, name: str) -> Column:
     c = F.col(name)
     if isinstance(df.schema[name].dataType, FractionalType):
         return c.isNull() | F.isnan(c)
@@ -40,7 +40,7 @@ def dataset_checks(df: DataFrame) -> DataFrame:
     """One row: total rows, rows in duplicate groups (all copies), rows with a gap, columns."""
     any_missing = None
     for c in df.columns:
-        m = _missing(df, c)
+        m = missing_value(df, c)
         any_missing = m if any_missing is None else (any_missing | m)
     # 16 bytes a row instead of the whole row; rows that share both hashes are then compared whole.
     hashed = df.select(F.xxhash64(*df.columns).alias("__h1"), F.xxhash64(F.lit(1), *df.columns).alias("__h2"),
@@ -64,7 +64,7 @@ def dataset_checks(df: DataFrame) -> DataFrame:
 
 def null_counts(df: DataFrame) -> DataFrame:
     """(column, missing) in column order, from one aggregate."""
-    counts = df.agg(*[F.count_if(_missing(df, c)).alias(f"m{i}") for i, c in enumerate(df.columns)])
+    counts = df.agg(*[F.count_if(missing_value(df, c)).alias(f"m{i}") for i, c in enumerate(df.columns)])
     pairs = F.array(*[F.struct(F.lit(i).alias("position"), F.lit(c).alias("column_name"),
                                F.col(f"m{i}").alias("missing")) for i, c in enumerate(df.columns)])
     return counts.select(F.inline(pairs))
@@ -90,7 +90,7 @@ def column_stats(df: DataFrame) -> dict:
     aggs = []
     for i, f in enumerate(df.schema.fields):
         v = _value(f.name, f.dataType)
-        aggs += [F.count_if(_missing(df, f.name)).alias(f"missing{i}"),
+        aggs += [F.count_if(missing_value(df, f.name)).alias(f"missing{i}"),
                  F.approx_count_distinct(v).alias(f"approx{i}")]
         if _ranged(f.dataType):
             aggs += [F.min(v).cast("string").alias(f"lo{i}"), F.max(v).cast("string").alias(f"hi{i}")]

@@ -646,3 +646,5 @@ SELECT o_orderkey, CAST(o_orderdate AS DATE) AS us_date, CAST(o_orderdate AS DAT
  CASE WHEN o_orderkey % 9 NOT IN (0, 7) THEN CAST(o_orderdate AS DATE) END AS mixed_date,
  CASE WHEN o_orderkey % 9 NOT IN (0, 7) THEN year(o_orderdate) END AS mixed_year
 FROM orders"""
+
+ORACLE_SQL["profile_incremental"] = ORACLE_SQL["profile_dataset_lineitem"]
