@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import os
 import tempfile
 import uuid
@@ -49,10 +51,22 @@ def ship_package(spark: SparkSession) -> None:
 _WORKER: dict[tuple, object] = {}
 
 
+def _release() -> None:
+    """Gives memory that is free in this process back to the machine, where its allocators can."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc has it
+    if trim is not None:
+        trim(0)
+
+
 def worker_cache(kind: str, key: tuple, make):
     """An object that a Python worker keeps from task to task; those of other kinds are let go."""
-    for other in [k for k in _WORKER if k[0] != kind]:
-        del _WORKER[other]
+    others = [k for k in _WORKER if k[0] != kind]
+    if others:
+        for other in others:
+            del _WORKER[other]
+        _release()
     if (kind, *key) not in _WORKER:
         _WORKER[(kind, *key)] = make()
     return _WORKER[(kind, *key)]
@@ -60,7 +74,9 @@ def worker_cache(kind: str, key: tuple, make):
 
 def drop_caches() -> None:
     """Lets go what an earlier operator kept in this worker; for operators that keep nothing."""
-    _WORKER.clear()
+    if _WORKER:
+        _WORKER.clear()
+        _release()
 
 
 def shared_path(spark: SparkSession, label: str) -> str:

@@ -44,7 +44,7 @@ WINDOW = 64
 STEPS = 15
 PENALTY = 2.0
 SMOOTHING = 0.1
-TRAIN_ROWS = 8_000
+TRAIN_ROWS = 5_000
 UNKNOWN = "und"
 #: Bytes of text whose windows are held at a time.
 ROWS_BYTES = 2 << 20
@@ -183,8 +183,8 @@ def train(docs: DataFrame, learn: Column, rows: int = TRAIN_ROWS) -> Model:
 
 def _has_letters(raw: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     ascii_letter = ((raw | 0x20) >= 0x61) & ((raw | 0x20) <= 0x7A) & (raw < 0x80)
-    sums = np.concatenate([[0], np.cumsum(ascii_letter)])
-    found = sums[offsets[1:]] > sums[offsets[:-1]]
+    at = np.flatnonzero(ascii_letter)
+    found = np.searchsorted(at, offsets[1:]) > np.searchsorted(at, offsets[:-1])
     for i in np.flatnonzero(~found).tolist():
         found[i] = any(c.isalpha() for c in raw[offsets[i]:offsets[i + 1]].tobytes().decode("utf-8", "replace"))
     return found
@@ -195,8 +195,9 @@ def predictions(model: Model, column) -> tuple[list[str], np.ndarray, list[str]]
     raw, offsets = text_buffer(column)
     share = np.zeros((len(offsets) - 1, len(model.langs)))
     for a, b in row_blocks(offsets, ROWS_BYTES):
-        share[a:b] = model.mixtures(raw[offsets[a]:offsets[b]], offsets[a:b + 1] - offsets[a])
-    share[~_has_letters(raw, offsets)] = 0
+        part, bounds = raw[offsets[a]:offsets[b]], offsets[a:b + 1] - offsets[a]
+        share[a:b] = model.mixtures(part, bounds)
+        share[a:b][~_has_letters(part, bounds)] = 0
     if not model.langs:
         return [UNKNOWN] * len(share), np.zeros(len(share)), [""] * len(share)
     best, score = share.argmax(axis=1), share.max(axis=1)
