@@ -44,7 +44,7 @@ from .common import col, read_table, row_blocks, ship_package, text_buffer, work
 from .word_ids import ALPHANUMERIC, PUNCTUATION, WordIds, byte_table, pieces, taken
 
 #: What a worker keeps: states of the transducer, token pairs that were tried, chunks with their ids.
-STATES, PAIRS, CHUNKS = 150_000, 100_000, 500_000
+STATES, PAIRS, CHUNKS = 110_000, 50_000, 300_000
 #: Tokens that are fed to the decoder at a time.
 STREAM_TOKENS = 4096
 #: Of each byte: a visible ASCII character.
@@ -54,7 +54,7 @@ NEVER = 1 << 40
 #: Below it, Python and the pattern agree for good on what a letter is.
 LATIN_END = "\u0250"
 #: Bytes of text per batch that goes back to Spark.
-OUT_BYTES = 4 << 20
+OUT_BYTES = 2 << 20
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -325,6 +325,7 @@ def encode_batches(batches: Iterator[pa.RecordBatch], ranks_path: str, pattern:
             ends = np.concatenate([[0], np.cumsum(lengths)]).astype(np.int32)
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0).slice(a, b - a), pa.ListArray.from_arrays(pa.array(ends), pa.array(ids))], ["doc_id", "ids"])
+            pa.default_memory_pool().release_unused()  # the worker shares the executor's memory
 
 
 def stream_text(data: bytes, ends: np.ndarray, tokens: int = STREAM_TOKENS) -> str:

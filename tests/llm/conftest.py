@@ -15,7 +15,7 @@ def documents(spark):
 @pytest.fixture(scope="session")
 def duck():
     con = duckdb.connect()
-    for name in ("documents", "benchmark", "labels", "pages", "conversations"):
+    for name in ("documents", "benchmark", "labels", "pages", "conversations", "embeddings"):
         con.sql(f"create view {name} as select * from '{SMALL}/{name}.parquet'")
     return con
 
