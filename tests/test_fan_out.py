@@ -51,3 +51,35 @@ def test_school_bridge_meets_packed_schools(spark):
     assert out.count() == 101 and out.where("SchoolCapacity = 20").count() == 100
     # The join makes three rows, one for each job; the schools come out of an array.
     assert "Generate inline" in out._jdf.queryExecution().executedPlan().toString()
+
+
+def _bytes(df, path):
+    df.write.parquet(str(path))
+    return sum(f.stat().st_size for f in path.rglob("*.parquet"))
+
+
+def test_result_is_small_when_written(spark, tmp_path):
+    jobs = spark.range(0, 1500, 1, 2).select("id", (F.col("id") % 30).cast("double").alias("dist"))
+    schools = spark.range(9000).select(F.col("id").alias("school"), (F.col("id") % 30).alias("geo"),
+                                       F.xxhash64("id").alias("code"), F.pmod(F.xxhash64("id"), F.lit(701)).alias("seats"))
+    plain = jobs.join(F.broadcast(schools), jobs.dist == schools.geo, "left")
+    for options in ({}, {"packed_rows": 64}, {"packed_rows": 128, "built_rows": 100_000}):
+        out = fan_out_join(jobs, schools, "dist", "geo", **options)
+        _same(out, plain)
+        # The schools of a district come again and again, job after job: 450,000 rows, few more bytes than 9,000.
+        assert _bytes(out, tmp_path / f"out{len(options)}") < 0.4 * _bytes(plain, tmp_path / f"plain{len(options)}")
+
+
+def test_order_of_the_result(spark):
+    jobs = spark.range(0, 400, 1, 1).select("id", (F.col("id") % 4).cast("double").alias("dist"))
+    schools = spark.range(1200).select(F.col("id").alias("school"), (F.col("id") % 4).alias("geo"))
+    out = fan_out_join(jobs, schools, "dist", "geo", packed_rows=100)
+    rows = [(r.dist, r.school // 400, r.id) for r in out.collect()]
+    # 12 arrays, each of them with its 100 jobs.
+    assert len(rows) == 120_000 and sum(a[:2] != b[:2] for a, b in zip(rows, rows[1:])) == 11
+    assert sum(a != b for a, b in zip(rows, rows[1:])) == 12 * 100 - 1
+
+
+def test_few_rows_a_key_are_not_sorted(spark):
+    jobs, schools = _tables(spark)
+    assert "Sort [dist" not in fan_out_join(jobs, schools, "dist", "geo")._jdf.queryExecution().executedPlan().toString()
